@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import bitplanes
+from . import bitplanes, media, mixing
 
 
 def queries() -> dict:
     return {
+        "op6_source_mixing": mixing.op6_source_mixing,
+        "op1_wav_fingerprints": media.op1_wav_fingerprints,
         "op3_bit_plane_tokens": bitplanes.op3_bit_plane_tokens,
     }
 
