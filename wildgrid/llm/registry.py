@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from . import bitplanes, media, mixing
+from . import bitplanes, langid, media, mixing, urls
 
 
 def queries() -> dict:
     return {
         "op6_source_mixing": mixing.op6_source_mixing,
         "op1_wav_fingerprints": media.op1_wav_fingerprints,
+        "op2_host_reputation": urls.op2_host_reputation,
+        "op7_ppm_language": langid.op7_ppm_language,
         "op3_bit_plane_tokens": bitplanes.op3_bit_plane_tokens,
     }
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {
+        "op2_host_reputation": urls.OP2_SQL,
+    }
