@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bitplanes, langid, media, mixing, urls
+from . import bitplanes, langid, licenses, media, mixing, urls
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op1_wav_fingerprints": media.op1_wav_fingerprints,
         "op2_host_reputation": urls.op2_host_reputation,
         "op7_ppm_language": langid.op7_ppm_language,
+        "op9_license_scan": licenses.op9_license_scan,
         "op3_bit_plane_tokens": bitplanes.op3_bit_plane_tokens,
     }
 
@@ -18,4 +19,5 @@ def queries() -> dict:
 def oracle_sql() -> dict:
     return {
         "op2_host_reputation": urls.OP2_SQL,
+        "op9_license_scan": licenses.OP9_SQL,
     }
