@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bitplanes, langid, licenses, media, mixing, urls
+from . import ann, bitplanes, langid, licenses, media, mixing, urls
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op2_host_reputation": urls.op2_host_reputation,
         "op7_ppm_language": langid.op7_ppm_language,
         "op9_license_scan": licenses.op9_license_scan,
+        "op8_additive_quantisation": ann.op8_additive_quantisation,
         "op3_bit_plane_tokens": bitplanes.op3_bit_plane_tokens,
     }
 
