@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bitplanes, langid, licenses, media, mixing, urls
+from . import ann, bitplanes, langid, licenses, media, mixing, pieces, urls
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op7_ppm_language": langid.op7_ppm_language,
         "op9_license_scan": licenses.op9_license_scan,
         "op8_additive_quantisation": ann.op8_additive_quantisation,
+        "op5_sentencepiece_viterbi": pieces.op5_sentencepiece_viterbi,
         "op3_bit_plane_tokens": bitplanes.op3_bit_plane_tokens,
     }
 
