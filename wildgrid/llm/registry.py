@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bitplanes, langid, licenses, media, mixing, pieces, urls
+from . import ann, bitplanes, jaccard, langid, licenses, media, mixing, pieces, urls
 
 
 def queries() -> dict:
@@ -14,6 +14,7 @@ def queries() -> dict:
         "op9_license_scan": licenses.op9_license_scan,
         "op8_additive_quantisation": ann.op8_additive_quantisation,
         "op5_sentencepiece_viterbi": pieces.op5_sentencepiece_viterbi,
+        "op4_ngram_jaccard": jaccard.op4_ngram_jaccard,
         "op3_bit_plane_tokens": bitplanes.op3_bit_plane_tokens,
     }
 
@@ -21,5 +22,6 @@ def queries() -> dict:
 def oracle_sql() -> dict:
     return {
         "op2_host_reputation": urls.OP2_SQL,
+        "op4_ngram_jaccard": jaccard.OP4_SQL,
         "op9_license_scan": licenses.OP9_SQL,
     }
