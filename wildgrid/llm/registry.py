@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from . import ann, bitplanes, jaccard, langid, licenses, media, mixing, pieces, urls
+from . import ann, bitplanes, jaccard, langid, licenses, media, mixing, pieces, transcripts, urls
+
+
+def _pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict:
@@ -15,6 +21,7 @@ def queries() -> dict:
         "op8_additive_quantisation": ann.op8_additive_quantisation,
         "op5_sentencepiece_viterbi": pieces.op5_sentencepiece_viterbi,
         "op4_ngram_jaccard": jaccard.op4_ngram_jaccard,
+        "op10_transcript_roles": transcripts.op10_transcript_roles,
         "op3_bit_plane_tokens": bitplanes.op3_bit_plane_tokens,
     }
 
