@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+
 from . import ann, bitplanes, jaccard, langid, licenses, media, mixing, pieces, transcripts, urls
 
 
-def _pipeline(spark, sf_dir):
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
@@ -13,16 +15,17 @@ def _pipeline(spark, sf_dir):
 
 def queries() -> dict:
     return {
-        "op6_source_mixing": mixing.op6_source_mixing,
+        "pipeline": pipeline,
         "op1_wav_fingerprints": media.op1_wav_fingerprints,
         "op2_host_reputation": urls.op2_host_reputation,
+        "op3_bit_plane_tokens": bitplanes.op3_bit_plane_tokens,
+        "op4_ngram_jaccard": jaccard.op4_ngram_jaccard,
+        "op5_sentencepiece_viterbi": pieces.op5_sentencepiece_viterbi,
+        "op6_source_mixing": mixing.op6_source_mixing,
         "op7_ppm_language": langid.op7_ppm_language,
-        "op9_license_scan": licenses.op9_license_scan,
         "op8_additive_quantisation": ann.op8_additive_quantisation,
-        "op5_sentencepiece_viterbi": pieces.op5_sentencepiece_viterbi,
-        "op4_ngram_jaccard": jaccard.op4_ngram_jaccard,
+        "op9_license_scan": licenses.op9_license_scan,
         "op10_transcript_roles": transcripts.op10_transcript_roles,
-        "op3_bit_plane_tokens": bitplanes.op3_bit_plane_tokens,
     }
 
 
