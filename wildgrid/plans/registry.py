@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from . import core
+
+MODULES = (core,)
+
 
 def queries() -> dict:
-    return {}
+    return {name: f for m in MODULES for name, f in m.Q.functions.items()}
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {name: sql for m in MODULES for name, sql in m.Q.sql.items()}
