@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import core
+from . import core, joins, reports
 
-MODULES = (core,)
+MODULES = (core, joins, reports)
 
 
 def queries() -> dict:
