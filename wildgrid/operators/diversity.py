@@ -86,8 +86,8 @@ def sigma(pam: DataFrame, of: str = "species") -> DataFrame:
     """
     marginal, size, name = (omega, "N", "omega") if of == "species" else (alpha, "S", "alpha")
     m = marginal(pam)
-    own = m.select(F.col(of).alias("i"), F.col(of).alias("j"), F.col(name).alias("n"))
-    n = shared(pam, of).unionByName(own)
-    j = n.join(m.select(F.col(of).alias("i"), F.col(name).alias("mi")), "i").join(m.select(F.col(of).alias("j"), F.col(name).alias("mj")), "j").crossJoin(F.broadcast(sizes(pam)))
+    own = m.select(F.col(of).alias("i"), F.col(of).alias("j"), F.col(name).alias("both"))
+    found = shared(pam, of).withColumnRenamed("n", "both").unionByName(own)
+    j = found.join(m.select(F.col(of).alias("i"), F.col(name).alias("mi")), "i").join(m.select(F.col(of).alias("j"), F.col(name).alias("mj")), "j").crossJoin(F.broadcast(sizes(pam)))
     total = F.col(size)
-    return j.select("i", "j", (F.col("n") / total - (F.col("mi") / total) * (F.col("mj") / total)).alias("sigma"))
+    return j.select("i", "j", (F.col("both") / total - (F.col("mi") / total) * (F.col("mj") / total)).alias("sigma"))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import core, joins, reports
+from . import core, joins, matrices, reports
 
-MODULES = (core, joins, reports)
+MODULES = (core, joins, reports, matrices)
 
 
 def queries() -> dict:
