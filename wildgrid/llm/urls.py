@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, table
+from .common import lower_ascii, table, written
 
 #: (verdict, host, path): a rule holds for its host and all hosts below, where the path begins with the rule's.
 RULES = [
@@ -56,8 +56,8 @@ def registered(host: Column) -> tuple[Column, Column]:
     return F.when(long, F.element_at(names, -F.least(n, F.lit(3)))).otherwise(two), suffix
 
 
-def _level(groups: DataFrame, parent: str) -> DataFrame:
-    """(group, parent, s, n, ...) with ``k``: the prior strength at this level, one number for all groups.
+def _strength(groups: DataFrame) -> float:
+    """(s, n, mean_above) of a level's groups -> the strength of their prior, one number for the level.
 
     Method of moments for the beta-binomial around the parents' means: the variance of
     the groups' shares beyond that of coin flips.
@@ -68,31 +68,32 @@ def _level(groups: DataFrame, parent: str) -> DataFrame:
     chance, room = F.sum(F.when(labelled, F.col("n") * p * (1 - p))), F.sum(F.when(labelled, F.col("n") * (F.col("n") - 1) * p * (1 - p)))
     # E[(s - n p)^2] = n p (1 - p) (1 + (n - 1) rho), k = 1 / rho - 1
     rho = F.try_divide(spread - chance, room)
-    strength = groups.agg(F.coalesce(F.round(F.when(rho > 0, F.greatest(F.lit(WEAKEST), F.least(F.lit(STRONGEST), 1 / rho - 1))), 6), F.lit(STRONGEST)).alias("k"))
-    return groups.crossJoin(F.broadcast(strength))  # one row
+    return groups.agg(F.coalesce(F.round(F.when(rho > 0, F.greatest(F.lit(WEAKEST), F.least(F.lit(STRONGEST), 1 / rho - 1))), 6), F.lit(STRONGEST))).first()[0]
 
 
 def host_reputation(outcomes: DataFrame) -> DataFrame:
     """(host, good: 1, 0 or null) -> host, s, n, a, b, mean, bound for every host among the rows.
 
     Null ``good`` rows aren't labelled but their hosts are scored. Without any label
-    all means are 1/2. Empty hosts are hosts of their own.
+    all means are 1/2. Empty hosts are hosts of their own. The sums of each level are
+    written once; each level's prior strength is one number.
     """
     domain, suffix = registered(F.col("host"))
+    sums = F.sum("s").alias("s"), F.sum("n").alias("n")
     hosts = outcomes.groupBy("host").agg(F.coalesce(F.sum("good"), F.lit(0)).cast("double").alias("s"), F.count("good").cast("double").alias("n"))
-    hosts = hosts.withColumn("domain", domain).withColumn("suffix", suffix)
-    domains = hosts.groupBy("domain", "suffix").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
-    tops = domains.groupBy("suffix").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
-    all_ = tops.agg(F.coalesce(F.try_divide(F.sum("s"), F.sum("n")), F.lit(0.5)).alias("mean_above"))
-
-    def posterior(level: DataFrame, parent: str) -> DataFrame:
-        level = _level(level, parent)
-        a = F.col("s") + F.col("k") * F.col("mean_above")
-        return level.withColumn("a", a).withColumn("b", F.col("n") + F.col("k") - F.col("a")).withColumn("mean", F.col("a") / (F.col("n") + F.col("k")))
-
-    tops = posterior(tops.crossJoin(F.broadcast(all_)), "all")
-    domains = posterior(domains.join(tops.select("suffix", F.col("mean").alias("mean_above")), "suffix"), "suffix")
-    hosts = posterior(hosts.join(domains.select("domain", F.col("mean").alias("mean_above")), "domain"), "domain")
+    hosts = written(hosts.withColumn("domain", domain).withColumn("suffix", suffix), "hosts")
+    domains = written(hosts.groupBy("domain", "suffix").agg(*sums), "domains")
+    tops = domains.groupBy("suffix").agg(*sums)
+    mean = tops.agg(F.coalesce(F.try_divide(F.sum("s"), F.sum("n")), F.lit(0.5))).first()[0]
+
+    def posterior(level: DataFrame) -> DataFrame:
+        k = F.lit(_strength(level))
+        a = F.col("s") + k * F.col("mean_above")
+        return level.withColumn("a", a).withColumn("b", F.col("n") + k - F.col("a")).withColumn("mean", F.col("a") / (F.col("n") + k))
+
+    tops = posterior(tops.withColumn("mean_above", F.lit(mean)))
+    domains = posterior(domains.join(tops.select("suffix", F.col("mean").alias("mean_above")), "suffix"))
+    hosts = posterior(hosts.join(domains.select("domain", F.col("mean").alias("mean_above")), "domain"))
     size = F.col("a") + F.col("b")
     deviation = F.sqrt(F.greatest(F.lit(0.0), F.col("a") * F.col("b") / (size * size * (size + 1))))
     return hosts.select("host", "s", "n", "a", "b", F.col("mean"), F.greatest(F.lit(0.0), F.col("mean") - Z * deviation).alias("bound"))
@@ -122,7 +123,7 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str, str
     split = pages.withColumn("host", host).withColumn("path", path)
     labels = outcomes.where(F.col("page_id").isNotNull()).groupBy("page_id").agg(F.min("good").alias("good"))
     labelled = split.select("page_id", "host").join(labels, "page_id", "left").select("host", "good")
-    hosts = host_reputation(labelled).select("host", F.col("bound").alias("reputation"))
+    hosts = written(host_reputation(labelled).select("host", F.col("bound").alias("reputation")), "reputation")
     if rules:
         listed = spark.createDataFrame([(h, p, v) for v, h, p in rules], "rule_host_name string, rule_path string, rule_verdict string")
         hosts = hosts.join(host_rules(hosts.select("host"), listed), "host", "left")
