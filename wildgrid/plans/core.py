@@ -370,3 +370,28 @@ def _(spark, d):
 def _(spark, d):
     o = spark.read.parquet(f"{d}/orders.parquet")
     return o.select("o_orderkey", X.month_string(F.col("o_orderdate")).alias("this_month"), X.month_string(F.col("o_orderdate"), 1).alias("month_before"))
+
+
+# --- databases ------------------------------------------------------------------
+
+#: An embedded database inside the session's own JVM, for local sessions; a real one is given by its own url.
+LOCAL_DATABASE = "jdbc:derby:memory:wildgrid;create=true"
+_DERBY = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+
+
+def _through_database(spark, d, table, replace):
+    df = spark.read.parquet(f"{d}/supplier.parquet").select("s_suppkey", "s_acctbal")
+    io.write_jdbc(df.limit(0) if replace else df, LOCAL_DATABASE, table, replace=True, **_DERBY)
+    if replace:
+        io.write_jdbc(df, LOCAL_DATABASE, table, **_DERBY)
+    return io.jdbc(spark, LOCAL_DATABASE, table, **_DERBY).select(F.col("S_SUPPKEY").alias("s_suppkey"), F.col("S_ACCTBAL").alias("s_acctbal"))
+
+
+@Q.add("scan_jdbc", "select s_suppkey, s_acctbal from supplier")
+def _(spark, d):
+    return _through_database(spark, d, "scanned", False)
+
+
+@Q.add("sink_jdbc", "select s_suppkey, s_acctbal from supplier")
+def _(spark, d):
+    return _through_database(spark, d, "appended", True)

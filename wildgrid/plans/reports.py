@@ -343,3 +343,50 @@ def _(spark, d):
     lon, lat = X.fixed_point(F.col("lon"), F.col("lat"), F.col("country"))
     cleaned = kept.select("id", X.clean_value(F.col("provider")).alias("provider"), lon.alias("lon"), lat.alias("lat"), X.vocabulary(F.col("basis"), X.BASIS).alias("basis"), X.second_choice(F.col("verbatim_locality"), F.col("locality"), F.col("habitat")).alias("locality"))
     return records.rename(cleaned, {"id": "id", "provider": "provider", "lon": "longitude", "lat": "latitude", "basis": "basis_of_record", "locality": "locality"}, ["id", "provider", "longitude", "latitude", "basis_of_record", "locality"])
+
+
+@Q.add("job_region_reports", _pivot_sql(), "ann", "keyed")
+def _(spark, d):
+    """Region lists written by type, read again for the shares of each status."""
+    path = io.scratch(spark, "regions")
+    io.write_by(_aggregate(spark, d), path, "location_type")
+    rows = spark.read.parquet(path)
+    return counts.status_pivot(rows, "location_type", "location", statuses=_STATUS)
+
+
+@Q.add("job_group_by_state", "select gbifid, taxonkey, census_state from ann where census_state is not null", "ann")
+def _(spark, d):
+    path = io.scratch(spark, "states")
+    io.write_by(annotated(spark, d).where("census_state is not null"), path, "census_state", columns=["gbifid", "taxonkey"])
+    return spark.read.parquet(path).select("gbifid", "taxonkey", F.col("census_state").cast("string").alias("census_state"))
+
+
+@Q.add("job_inspect_record", "select o.gbifid, o.taxonkey, o.census_county from ann o where gbifid = (select min(gbifid) from ann where census_county is not null)", "ann")
+def _(spark, d):
+    ann = annotated(spark, d)
+    first = ann.where("census_county is not null").agg(F.min("gbifid")).first()[0]
+    return io.by_id(ann, "gbifid", first).select("gbifid", "taxonkey", "census_county")
+
+
+@Q.add("job_annotate_riis", """> k as (select *, case when coalesce(gbif_res_taxonkey, '') = '' then -1 else try_cast(gbif_res_taxonkey as int) end as key from riis where try_cast(gbif_res_taxonkey as int) is not null)
+select occurrenceid::varchar as occurrenceid, gbif_res_taxonkey, key + 100000 as new_key from k""", "riis")
+def _(spark, d):
+    """The register read as text, its keys resolved by a table, written under its date and read again."""
+    path = io.scratch(spark, "register")
+    raw = domain(spark, d, "riis")
+    io.write_csv(raw, f"{path}/in", raw.columns)
+    typed = register.typed(io.register_csv(spark, f"{path}/in", raw.columns)).where("not bad")
+    table = typed.select("key").distinct().withColumn("new_key", F.col("key") + 100000)
+    out = typed.join(table, "key").select("occurrenceid", "gbif_res_taxonkey", "new_key")
+    io.write_csv(out, f"{path}/2024_01_01", out.columns)
+    return io.csv(spark, f"{path}/2024_01_01", "occurrenceid string, gbif_res_taxonkey string, new_key int")
+
+
+@Q.add("job_clean_provider", f"""> n as (select id, 'new-' || resource_id as resource_id, 'https://host/ipt/resource?r=new-' || resource_id as resource_url, case when lower(kingdom) in ('animalia', 'plantae', 'fungi') then upper(substring(kingdom, 1, 1)) || lower(substring(kingdom, 2)) end as kingdom from raw) select * from n""", "raw")
+def _(spark, d):
+    from wildgrid.functions import text as X
+
+    raw = domain(spark, d, "raw").select("id", "resource_id", F.col("provider").alias("resource"), "resource_url", "kingdom")
+    actions = raw.select("resource_id").distinct().select("resource_id", F.lit("replace").alias("action"), F.concat(F.lit("new-"), "resource_id").alias("new_id"), F.lit("Name").alias("new_name"))
+    done = records.rewrite_resource(records.all_strings(raw, X.without_quotes), actions, "resource_id", "https://host/ipt/resource?r")
+    return done.select("id", "resource_id", "resource_url", X.kingdom(F.col("kingdom")).alias("kingdom"))
