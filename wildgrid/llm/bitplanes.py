@@ -30,7 +30,7 @@ from .common import scratch, table
 
 BLOCK = 1 << 16
 #: Distinct chunks of text that one worker keeps with their ids.
-MEMO = 700_000
+MEMO = 1_000_000
 HEAD = struct.Struct("<4sBBxxI")
 MAGIC = b"PLN1"
 MODES = ("byte", "bit")
@@ -76,7 +76,9 @@ def decode_block(data: bytes) -> np.ndarray:
 # --- text to ids --------------------------------------------------------------
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_NEAR = re.compile(r"^ | (?:\s|$)|[^\S ] ")  # a space beside other white space, or at an end
+#: White space but space and line end; a text with none of it, and no space beside another, is cut at every space.
+_ODD_SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
+_ODD = re.compile(f"[{re.escape(_ODD_SPACES)}]")
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(rf"(?:[{_LETTERS}]++|[.,;:!?]++|\n(?=\S))++")
 #: How a byte-level vocabulary writes each byte: visible Latin-1 characters stand for themselves, the others follow from 256.
@@ -85,6 +87,45 @@ _BYTES = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SE
 _PIECE = re.compile(rf"[{_LETTERS}]+|[.,;:!?]+|\n")
 
 
+def _visible(piece: str) -> str:
+    return piece.encode().decode("latin-1").translate(_BYTES)
+
+
+class _Chunks(dict):
+    """Ids of chunks that follow a space, found when they are first asked for."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.inner = tokenizer, {}  # inner: pieces that follow no space
+
+    def __missing__(self, chunk: str) -> bytes:
+        if chunk.isascii() and chunk.isalpha():
+            ids = self.piece("Ġ" + chunk)
+        elif _PLAIN.fullmatch(chunk):
+            head, *more = _PIECE.findall(chunk)
+            ids = self.get(head) or self.setdefault(head, self.piece("Ġ" + _visible(head)))
+            if more:
+                ids += self.inside(more)
+        else:
+            ids = self.whole(" " + chunk)
+        self[chunk] = ids
+        return ids
+
+    def first(self, chunk: str) -> bytes:
+        """Ids of the chunk that a text begins with."""
+        return self.inside(_PIECE.findall(chunk)) if _PLAIN.fullmatch(chunk) else self.whole(chunk)
+
+    def inside(self, pieces: list[str]) -> bytes:
+        inner = self.inner
+        return b"".join([inner.get(p) or inner.setdefault(p, self.piece(_visible(p))) for p in pieces])
+
+    def piece(self, text: str) -> bytes:
+        """Ids of one piece of the pre-tokenizer, straight from the model."""
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(text)]).tobytes()
+
+    def whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+
 class Encoder:
     """The tokenizers library behind a memo of chunks.
 
@@ -99,42 +140,24 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.memo: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        self.limit = memo
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _learn(self, chunks: list[str]) -> None:
-        """Ids of chunks that follow a space."""
-        plain = [c for c in chunks if _PLAIN.fullmatch(c)]
-        cut = {c: [" " + (p := _PIECE.findall(c))[0], *p[1:]] for c in plain}
-        known, model = self.pieces, self.tokenizer.model
-        for c, ps in cut.items():
-            for p in ps:
-                if p not in known:  # one piece of the pre-tokenizer: straight to the model
-                    known[p] = array("I", [t.id for t in model.tokenize(p.encode().decode("latin-1").translate(_BYTES))]).tobytes()
-            self.memo[c] = b"".join([known[p] for p in ps])
-        rest = [c for c in chunks if c not in cut]
-        self.memo.update(zip(rest, self._whole([" " + c for c in rest])))
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True
+        self.chunks, self.limit = _Chunks(tokenizer), memo
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.memo) > self.limit:
-            self.memo.clear()
-        if len(self.pieces) > self.limit:
-            self.pieces.clear()
-        parts = [_CUT.split(t) if _NEAR.search(t) else t.split(" ") for t in texts]
-        new: set[str] = set()
-        for p in parts:
-            new.update(p[1:])
-        if unknown := [c for c in new if c not in self.memo]:
-            self._learn(unknown)
-        heads = self._whole([p[0] for p in parts])
-        get = self.memo.__getitem__
-        return [b"".join([h, *map(get, p[1:])]) for h, p in zip(heads, parts)]
+        chunks, out = self.chunks, []
+        get = chunks.__getitem__
+        for t in texts:
+            if len(chunks) > self.limit or len(chunks.inner) > self.limit:
+                chunks.clear()
+                chunks.inner.clear()
+            if "  " in t or " \n" in t or "\n " in t or t[:1] == " " or t[-1:] == " " or _ODD.search(t):
+                parts = _CUT.split(t)
+            else:
+                parts = t.split(" ")
+            head = chunks.first(parts.pop(0))
+            out.append(head + b"".join(map(get, parts)))
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
