@@ -149,6 +149,8 @@ def parse(lines: DataFrame, hmm: Hmm, chunk: int = CHUNK) -> DataFrame:
     Null lines are empty ones. A null conv_id is a transcript of its own. Repeated rows
     are lines like others. An empty table gives none.
     """
+    if chunk < 2:
+        raise ValueError("a chunk of fewer than two lines never ends")
     spark = lines.sparkSession
     shared = spark.sparkContext.broadcast(hmm)
     seen = lines.select("conv_id", "place", F.coalesce("line", F.lit("")).alias("line")).withColumn("seen", observation(F.col("line")))
