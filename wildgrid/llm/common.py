@@ -30,12 +30,31 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Spark's setting by which a query's shuffle files go when it ends, not when their frames are collected.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table of the shared folder: cuts lineage and outlives executors."""
+    """``df`` as a Parquet table of the shared folder: cuts lineage, outlives executors, and frees its shuffles' disk."""
     spark = df.sparkSession
-    path = scratch(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path, before = scratch(spark, name), spark.conf.get(_CLEAN)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        # planned anew, so that the setting holds
+        df.select("*").write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.written_to = path
+    return back
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes what ``written`` has written, once nothing reads it any more."""
+    for t in tables:
+        jvm = t.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t.written_to)
+        path.getFileSystem(t.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def lower_ascii(column):

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, table, written
+from .common import LOWER, UPPER, forget, table, written
 
 #: Segments whose one-deletion neighbourhoods are indexed.
 NEIGHBOURS = 2
@@ -110,13 +110,13 @@ class Bands:
         return self.apart(s * 100 // self.percent, s) + 1
 
     def probes(self, size: int) -> list[tuple[int, int]]:
-        """(band, worth of segments that a set of this size may leave out there), its own band first."""
+        """(band, segments less those that a set of this size needs there), its own band first."""
         out, band = [], self.of(size)
         while band >= 0 and self.high(band) * 100 >= self.percent * size:
             m = self.segments(band)
             if m > 1:  # with one segment, similar sets are equal, and those are one node
                 need = self.apart(size, min(size, self.high(band))) + 1
-                out.append((band, min((1 << 20) - 1, m + min(NEIGHBOURS, m) - need)))
+                out.append((band, m - need))
             band -= 1
         return out
 
@@ -131,16 +131,23 @@ def signatures(s: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
         order = np.argsort(seg, kind="stable")
         upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed[order], dtype=np.uint64)])
         ends = np.searchsorted(seg[order], np.arange(m + 1))
-        sums = upto[ends[1:]] - upto[ends[:-1]]
+        sums, size = upto[ends[1:]] - upto[ends[:-1]], np.diff(ends)
         salt = _mix(np.arange(m).astype(np.uint64) + np.uint64(band << 32))
-        kind = PROBE | (INDEX if band == own else 0)
-        meta = spare << 3 | band << 23 | np.arange(m) << 31
-        sigs.append(_mix(sums ^ salt))
-        metas.append(meta | kind)
-        for k in range(min(NEIGHBOURS, m)):
+        # equality up to one element counts 2 where less than all can be missing
+        wide = np.flatnonzero(size[:NEIGHBOURS] > 1)
+        spare += len(wide)
+        probed = np.ones(m, bool)
+        empty = np.flatnonzero(size == 0)[: max(0, spare)]  # left out first: everybody has some
+        probed[empty] = False
+        kind = np.where(probed, PROBE, 0) | (INDEX if band == own else 0)
+        meta = min((1 << 20) - 1, spare - len(empty)) << 3 | band << 23 | np.arange(m) << 31 | kind
+        kept = kind > 0
+        sigs.append(_mix(sums ^ salt)[kept])
+        metas.append(meta[kept])
+        for k in wide:
             less = sums[k] - mixed[order[ends[k] : ends[k + 1]]]
             sigs.append(_mix(less ^ salt[k]))
-            metas.append(np.full(len(less), meta[k] | kind | LESS))
+            metas.append(np.full(len(less), meta[k] | LESS))
     if not sigs:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     return np.concatenate(sigs).view(np.int64), np.concatenate(metas)
@@ -152,6 +159,22 @@ def parities(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def scaled_parities(s: np.ndarray) -> np.ndarray:
+    """Parities of at least as many bits as the set has elements, a power of two; half of them folded on the other are those of half the length."""
+    bits = 1 << max(9, (len(s) - 1).bit_length())
+    odd = np.bincount((_mix(s ^ _M2) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little")
+
+
+def difference_bound(x: np.ndarray, y: np.ndarray) -> int:
+    """Two sets differ in so many elements at least, by their scaled parities."""
+    while len(x) != len(y):
+        if len(x) < len(y):
+            x, y = y, x
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 # --- passes over texts ----------------------------------------------------------
 
 
@@ -199,9 +222,9 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
                 part = b.slice(lo, 256)
                 sets = [shingles(t, words) for t in part.column("text").to_pylist()]
                 odd = np.array([parities(s) for s in sets]).reshape(-1, PARITIES)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([len(s) for s in sets], pa.int32()), pa.array([s.tobytes() for s in sets], pa.binary()), *[pa.array(odd[:, i]) for i in range(PARITIES)]], names=["rep", "size", "elements", *names])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([len(s) for s in sets], pa.int32()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([scaled_parities(s).tobytes() for s in sets], pa.binary()), *[pa.array(odd[:, i]) for i in range(PARITIES)]], names=["rep", "size", "elements", "odd", *names])
 
-    return docs.mapInArrow(run, "rep long, size int, elements binary, " + ", ".join(f"{n} long" for n in names))
+    return docs.mapInArrow(run, "rep long, size int, elements binary, odd binary, " + ", ".join(f"{n} long" for n in names))
 
 
 # --- pairs ----------------------------------------------------------------------
@@ -228,9 +251,22 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             part = batch.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], names=["a", "b"])
 
-    light = sets.drop("elements")
-    near = pairs.join(light.alias("x"), F.col("a") == F.col("x.rep")).join(light.alias("y"), F.col("b") == F.col("y.rep")).where(_near(percent, "x", "y")).select("a", "b")
-    full = near.join(sets.select(F.col("rep").alias("a"), F.col("elements").alias("ea")), "a").join(sets.select(F.col("rep").alias("b"), F.col("elements").alias("eb")), "b")
+    def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y, m, n in zip(batch.column("oa"), batch.column("ob"), batch.column("na").to_pylist(), batch.column("nb").to_pylist()):
+                apart = difference_bound(*(np.frombuffer(v.as_buffer(), np.uint8) for v in (x, y)))
+                keep.append(100 * min(m, n) >= percent * max(m, n) and apart * (100 + percent) <= (100 - percent) * (m + n))
+            part = batch.filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], names=["a", "b"])
+
+    def beside(df: DataFrame, **columns: str) -> DataFrame:
+        for end in "ab":
+            df = df.join(sets.select(F.col("rep").alias(end), *[F.col(c).alias(n + end) for n, c in columns.items()]), end)
+        return df
+
+    near = written(beside(pairs, o="odd", n="size").select("a", "b", "oa", "ob", "na", "nb").mapInArrow(prune, "a long, b long"), "near")
+    full = beside(near, e="elements")
     return full.select("a", "b", "ea", "eb").mapInArrow(run, "a long, b long").distinct()
 
 
@@ -245,7 +281,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        e = written(small, "edges")
+        old, e = e, written(small, "edges")
+        forget(old)
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == state:
             break
@@ -272,12 +309,13 @@ def near_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     texts = docs.join(nodes.select("rep").distinct().hint("shuffle_hash"), F.col("doc_id") == F.col("rep"), "left_semi")
     rows = _signature_rows(texts, words, percent)
-    shared = rows.withColumn("n", F.count("*").over(Window.partitionBy("sig"))).where("n > 1")
+    bucket, kind = Window.partitionBy("sig"), _bits("meta", 0, 3)
+    asked = F.max(kind.bitwiseAND(F.lit(PROBE))).over(bucket) > 0
+    shared = rows.withColumn("n", F.count("*").over(bucket)).withColumn("asked", asked).where("n > 1 and asked").drop("asked")
     shared = written(shared, "shared")
     sets = _sets(docs.join(shared.select("rep").distinct().hint("shuffle_hash"), F.col("doc_id") == F.col("rep"), "left_semi"), words)
     sets = written(sets, "elements")
 
-    kind = _bits("meta", 0, 3)
     share = shared.where(kind.bitwiseAND(F.lit(LESS)) == 0).groupBy("rep").agg(F.sum("n").alias("share"))
     pivots = shared.where(kind.bitwiseAND(F.lit(INDEX)) > 0).join(share, "rep", "left").groupBy("sig").agg((-F.max(F.struct("share", -F.col("rep")))["col2"]).alias("pivot"))
     first = shared.join(pivots, "sig").where("rep <> pivot").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
@@ -287,6 +325,7 @@ def near_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     label = shared.where("n > 2").join(found, F.col("rep") == F.col("node"), "left").withColumn("component", F.coalesce("component", "rep")).drop("node")
     mixed = label.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("sig")
     rest = written(label.join(mixed, "sig"), "rest")
+    forget(shared, links)
     band, segment, spare = _bits("meta", 23, 8), _bits("meta", 31, 24), _bits("meta", 3, 20)
     probe = rest.where(kind.bitwiseAND(F.lit(PROBE)) > 0).withColumns({"band": band, "segment": segment, "spare": spare})
     costs = probe.groupBy("rep", "size", "band", "segment", "spare").agg(F.sum("n").alias("cost"))
@@ -303,6 +342,7 @@ def near_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     more = _linked(second, sets, percent)
     named = more.join(found.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(found.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
     joined = written(components(named.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))), "joined")
+    forget(sets, rest)
 
     of_node = nodes.join(found, F.col("rep") == F.col("node"), "left").select("n", "x", "y", F.coalesce("component", "rep").alias("c"))
     of_node = of_node.join(joined, F.col("c") == F.col("node"), "left").select("n", "x", "y", F.coalesce("component", "c").alias("c"))
