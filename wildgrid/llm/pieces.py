@@ -20,6 +20,7 @@ import re
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ from .common import table
 
 SPACE = "▁"
 UNKNOWN = 10.0
-MEMO = 800_000
+MEMO = 450_000
 #: A word with the spaces before it. The mark in a text stands for itself in bytes, so it is part of a word.
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]*")
 #: Stands for U+2581 of the text while spaces are written so; no valid text holds a lone surrogate.
@@ -103,31 +104,43 @@ class Pieces:
         return out.decode("utf-8", "replace").removeprefix(" ")
 
 
+class _Words(dict):
+    """Ids of words behind one space, found when they are first asked for."""
+
+    def __init__(self, model: Pieces):
+        self.model = model
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = array("I", self.model.viterbi(SPACE + word)[0]).tobytes()
+        return ids
+
+
 class Encoder:
+    """Whole texts by their words. The memo holds ids alone; a text's score is the sum over its ids."""
+
     def __init__(self, path: str, memo: int = MEMO):
         self.model, self.limit = Pieces(path), memo
-        self.memo: dict[str, tuple[bytes, float]] = {}
+        self.words = _Words(self.model)
+        self.scores = np.zeros(len(self.model.pieces))
+        for i, score in self.model.scores.items():
+            self.scores[i] = score
+        for b, i in self.model.bytes.items():  # an unknown character counts once, at its first byte
+            self.scores[i] = 0.0 if 0x80 <= b < 0xC0 else self.model.unknown
 
     def __call__(self, text: str) -> tuple[bytes, float]:
         """Ids (32 bits, little-endian) and score. The empty text has no ids."""
         if not text:
             return b"", 0.0
-        written = SPACE + (text.replace(SPACE, _MARK) if SPACE in text else text).replace(" ", SPACE)
-        memo, parts = self.memo, _WORD.findall(written)
-        parts.pop()  # the empty match at the end
-        for w in set(parts).difference(memo):
-            if len(memo) >= self.limit:
-                memo.clear()
-                return self(text) if len(set(parts)) < self.limit else self._long(parts)
-            ids, score = self.model.viterbi(w)
-            memo[w] = array("I", ids).tobytes(), score
-        got = [memo[w] for w in parts]
-        return b"".join([g[0] for g in got]), float(sum([g[1] for g in got]))
-
-    def _long(self, parts: list[str]) -> tuple[bytes, float]:
-        """A text with more different words than the memo holds."""
-        got = [self.model.viterbi(w) for w in parts]
-        return b"".join(array("I", g[0]).tobytes() for g in got), float(sum(g[1] for g in got))
+        if SPACE in text:
+            text = text.replace(SPACE, _MARK)
+        if "  " in text or text[0] == " ":
+            parts = [w[1:] for w in _WORD.findall(SPACE + text.replace(" ", SPACE))[:-1]]  # the last match is empty
+        else:
+            parts = text.split(" ")
+        if len(self.words) > self.limit:
+            self.words.clear()
+        ids = b"".join(map(self.words.__getitem__, parts))
+        return ids, float(self.scores[np.frombuffer(ids, np.uint32)].sum())
 
 
 _encoders: dict[str, Encoder] = {}
