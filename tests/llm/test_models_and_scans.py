@@ -199,6 +199,24 @@ def test_scan_edges(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_long_templates_are_found_in_windows_of_their_own(spark):
+    """A whole license text has more distinct words than a block of ``WINDOW``."""
+    full = next(t for label, t, _ in licenses.NOTICES if label == "mit")
+    apache = next(t for label, t, _ in licenses.NOTICES if label == "apache-2")
+    own = sorted(set(re.findall("[a-z0-9]+", full.lower())))
+    assert len(own) * licenses.THRESHOLD > licenses.WINDOW
+    texts = [full, "pad " * 97 + full + " pad" * 50, apache, apache.replace("Apache", "Other").replace("apache", "other"), "nothing"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {}
+    for r in licenses.similar_blocks(df, ["doc_id"], licenses.NOTICES).collect():
+        found.setdefault(r.doc_id, set()).add((r.label, r.containment))
+    assert ("mit", 1.0) in found[0] and ("mit", 1.0) in found[1] and ("apache-2", 1.0) in found[2]
+    assert 3 not in found and 4 not in found  # all words but the license's name
+    with pytest.raises(ValueError):
+        licenses.similar_blocks(df, ["doc_id"], licenses.NOTICES, window=licenses.WINDOW)
+    assert {licenses.window_of(t) for t in licenses.TEMPLATES} == {licenses.WINDOW}
+
+
 # --- transcripts ------------------------------------------------------------------------
 
 

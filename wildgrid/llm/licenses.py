@@ -1,8 +1,10 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-Each text is cut into blocks: windows of ``WINDOW`` words, half overlapping, so any
-run of up to half a window lies wholly in one. A block matches a template if it
-holds at least ``threshold`` of the template's distinct words. The join finds all:
+Each text is cut into blocks: windows of words, half overlapping, so any run of up to
+half a window lies wholly in one. A template's window is ``WINDOW``, doubled until half
+of it holds the whole template; templates of one window share their blocks. A block
+matches a template if it holds at least ``threshold`` of the template's distinct words,
+and all words that the template names as compulsory. The join finds all:
 
 * frequency: template words are ordered by the number of documents that hold them,
   counted over all documents, rarest first;
@@ -20,12 +22,14 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, table
+from .common import LOWER, UPPER, lower_ascii, table
 
+_LOWER = str.maketrans(UPPER, LOWER)
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 PHRASES = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
 TEMPLATES = [
@@ -36,7 +40,17 @@ TEMPLATES = [
     ("cc-by-nc", "licensed under cc by nc 4 0"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
 ]
+#: Real notices and texts, with the words that none of their copies lacks. ``OP9_SQL`` doesn't hold them; pass them to ``scan``.
+_AS_IS = 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'
+NOTICES = [
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. " + _AS_IS, "sublicense"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", "fee"),
+    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.", "redistributions"),
+    ("apache-2", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.", "apache"),
+    ("gpl-3", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.", "gnu 3"),
+]
 THRESHOLD = 0.8
+#: Words of a block at least.
 WINDOW = 64
 MAX_WORDS = 20_000
 
@@ -70,38 +84,70 @@ def scan_phrases(docs: DataFrame, phrases=PHRASES, text: str = "text") -> DataFr
     return w.withColumns(places).drop("lic_words", "lic_joined", "lic_found")
 
 
+def _template(template: tuple) -> tuple[str, list[str], list[str]]:
+    """(label, text) or (label, text, compulsory words) -> label, words, compulsory words."""
+    label, *texts = template
+    of = lambda t: [w for w in re.split(NOT_WORD, t.translate(_LOWER)) if w]
+    found, must = of(texts[0]), sorted(set(of(texts[1]))) if len(texts) > 1 else []
+    if not found or set(must) - set(found):
+        raise ValueError(f"template {label}: no words, or compulsory ones that it doesn't hold")
+    return label, found, must
+
+
+def window_of(template: tuple) -> int:
+    """``WINDOW``, doubled until half of it holds the template."""
+    n, window = len(_template(template)[1]), WINDOW
+    while window < 2 * n:
+        window *= 2
+    return window
+
+
 def template_index(docs: DataFrame, templates, threshold: float, text: str = "text") -> tuple[list[str], list[tuple]]:
-    """All template words, rarest first, and a row (token, template, label, place, size, need, tokens) for each word of a prefix."""
-    sets = [(label, sorted(set(t.split()))) for label, t in templates]
-    vocabulary = sorted({w for _, s in sets for w in s})
+    """All template words, rarest first, and a row (token, template, label, place, size, need, tokens, must) for each word of a prefix."""
+    sets = [(label, sorted(set(found)), must) for label, found, must in map(_template, templates)]
+    vocabulary = sorted({w for _, s, _ in sets for w in s})
     if len(vocabulary) > MAX_WORDS:
         raise ValueError(f"{len(vocabulary)} template words; at most {MAX_WORDS} are allowed")
     held = F.array_intersect(words(F.col(f"`{text}`")), F.array(*map(F.lit, vocabulary)))
     counted = dict(docs.select(F.explode(held).alias("w")).groupBy("w").count().collect())  # at most the vocabulary
     order = {w: (counted.get(w, 0), w) for w in vocabulary}
     rows = []
-    for number, (label, s) in enumerate(sets):
+    for number, (label, s, must) in enumerate(sets):
         s = sorted(s, key=order.get)
         need = max(1, math.ceil(threshold * len(s) - 1e-9))
-        rows += [(w, number, label, k, len(s), need, s) for k, w in enumerate(s[: len(s) - need + 1])]
+        rows += [(w, number, label, k, len(s), need, s, must) for k, w in enumerate(s[: len(s) - need + 1])]
     return sorted(vocabulary, key=order.get), rows
 
 
-def similar_blocks(docs: DataFrame, key: list[str], templates=TEMPLATES, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
-    """(key, block, label, containment) of every block that matches a template; block is its first word's number."""
+def similar_blocks(docs: DataFrame, key: list[str], templates=TEMPLATES, threshold: float = THRESHOLD, text: str = "text", window: int | None = None) -> DataFrame:
+    """(key, block, label, containment) of every block that matches a template; block is its first word's number.
+
+    Each template has the blocks of its own window unless ``window`` is given; one that some template can't fit in is an error.
+    """
+    of: dict[int, list[tuple]] = {}
+    for t in templates:
+        of.setdefault(window or window_of(t), []).append(t)
+    found = [_similar_blocks(docs, key, ts, threshold, text, w) for w, ts in sorted(of.items())]
+    return reduce(DataFrame.union, found).distinct() if len(found) > 1 else found[0]
+
+
+def _similar_blocks(docs: DataFrame, key: list[str], templates, threshold: float, text: str, window: int) -> DataFrame:
     order, rows = template_index(docs, templates, threshold, text)
-    index = docs.sparkSession.createDataFrame(rows, "token string, template int, label string, place int, size int, need int, tokens array<string>")
+    if (most := max(r[5] for r in rows)) > window:
+        raise ValueError(f"a template needs {most} words; a block of {window} can't hold them")
+    index = docs.sparkSession.createDataFrame(rows, "token string, template int, label string, place int, size int, need int, tokens array<string>, must array<string>")
     prefix = F.array(*map(F.lit, sorted({r[0] for r in rows})))
     w = docs.select(*key, words(F.col(f"`{text}`")).alias("lic_words")).where(F.arrays_overlap("lic_words", prefix))
-    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("lic_words") - 1), F.lit(WINDOW // 2))
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("lic_words") - 1), F.lit(window // 2))
     blocks = w.select(*key, "lic_words", F.explode(starts).alias("block"))
-    cut = F.slice("lic_words", F.col("block") + 1, WINDOW)
+    cut = F.slice("lic_words", F.col("block") + 1, window)
     blocks = blocks.select(*key, "block", F.array_intersect(F.array(*map(F.lit, order)), cut).alias("own"))  # rarest first
     probes = blocks.select(*key, "block", "own", F.explode(F.array_intersect("own", prefix)).alias("token"))
     after = F.size("own") - F.array_position("own", F.col("token"))
     near = (F.size("own") >= F.col("need")) & (1 + F.least(F.col("size") - 1 - F.col("place"), after) + F.least(F.col("place"), F.array_position("own", F.col("token")) - 1) >= F.col("need"))
     overlap = F.size(F.array_intersect("tokens", "own"))
-    found = probes.join(index, "token").where(near).where(overlap >= F.col("need"))
+    named = F.size(F.array_except("must", "own")) == 0
+    found = probes.join(index, "token").where(near).where((overlap >= F.col("need")) & named)
     return found.select(*key, "block", "label", (overlap / F.col("size")).alias("containment")).distinct()
 
 
