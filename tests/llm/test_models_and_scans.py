@@ -91,6 +91,21 @@ def test_code_lengths_match_trees(spark, monkeypatch):
     assert np.allclose(model.lengths(texts), want, rtol=1e-5)
 
 
+def test_rare_scripts_beside_a_hot_one(spark):
+    """More bytes than 127 occur, and those of the rare languages are the rarest."""
+    rnd = random.Random(2)
+    latin = "".join(map(chr, [*range(33, 127), *range(0xC0, 0x180)]))
+    text = lambda a, n: " ".join("".join(rnd.choice(a) for _ in range(5)) for _ in range(n)).encode()
+    train = {"hot": [text(latin, 3000)], "one": [text("\u0e01\u0e02\u0e03", 30)], "two": [text("\u0e04\u0e05\u0e06", 30)]}
+    model = langid.train(spark.createDataFrame([(lang, t.decode()) for lang, ts in train.items() for t in ts], "lang string, text string"))
+    kept = {b for ts in train.values() for t in ts for b in t}
+    assert len(kept) > 127
+    texts = [text("\u0e01\u0e02\u0e03", 3), text("\u0e04\u0e05\u0e06", 3), text(latin, 3), b"\xf4\x8f\xbf\xbf a"]
+    assert np.allclose(model.lengths(texts), [brute_bits(train, t, model.langs, kept) for t in texts], rtol=1e-5)
+    assert model.predict([t.decode() for t in texts[:3]])[0] == ["one", "two", "hot"]
+    assert len(model.bits) < 20_000 < model.base**3  # only what occurs
+
+
 def test_undetermined_and_empty(spark):
     learned = langid.train(spark.createDataFrame([("en", "the and of"), ("de", "der und von")], "lang string, text string"))
     df = spark.createDataFrame([(1, None), (2, ""), (3, "12 !?"), (4, "the of"), (5, "der und " * 50_000)], "doc_id long, text string")
