@@ -169,6 +169,24 @@ def test_targets_and_taken(spark):
     assert key(found) == key(again)
 
 
+@pytest.mark.parametrize("block_rows", [16, 1024])
+@pytest.mark.parametrize("large", [[60_000], [5_000] * 9])
+def test_documents_that_do_not_fit_are_passed_over(spark, block_rows, large):
+    """Wherever large ones lie in hash order, smaller ones behind them fill the target up."""
+    rows = [(i, "a", n) for i, n in enumerate([*large, *[30] * 300, *[7] * 40, 0, 0])]
+    rows += [(10_000 + i, "b", n) for i, n in enumerate([40_000, *[100] * 150])]
+    df = spark.createDataFrame(rows, "doc_id long, source string, n long").withColumn("text", F.col("doc_id").cast("string"))
+    for weights in ((1, 9), (7, 1)):
+        found = mixing.placed(df, F.col("n"), weights=weights, block_rows=block_rows).collect()
+        assert len(found) == len(rows) and not any(r.mix_places for r in found if r.n == 0 and r.mix_target == 0)
+        for source in "ab":
+            own = [r for r in found if r.source == source]
+            taken, target, whole = sum(r.n * len(r.mix_places) for r in own), own[0].mix_target, int(own[0].mix_target // own[0].mix_source_size)
+            left = [r.n for r in own if r.n and len(r.mix_places) == whole]
+            assert {len(r.mix_places) for r in own if r.n} <= {whole, whole + 1}
+            assert abs(taken - target) <= min(left or [max(r.n for r in own)]) / 2 + 1e-6
+
+
 def test_leaves_add_up_and_are_fair(spark):
     quotas = spark.createDataFrame([(0, 40), (1, 25), (2, 0), (3, 7)], "number int, tickets long")
     leaves = mixing.split_tickets(quotas, 8, 3).collect()

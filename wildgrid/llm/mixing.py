@@ -5,9 +5,10 @@
    fixed point is found in closed form from running sums over the sources.
 2. Blocks. A source's documents lie in the order of a seeded hash and are cut into
    blocks of about ``block_rows`` documents. A source takes all its blocks
-   ``floor(target / size)`` times, and once more the first blocks up to the rest of
-   the target; in the last of these the documents up to it, and the one among the
-   others whose size fits best into what is missing then.
+   ``floor(target / size)`` times, and once more the first documents up to the rest
+   of the target, where those larger than all of it don't count. What is missing then,
+   less than one document, is filled from all others by ascending size until none
+   fits, and the next one is added if that comes nearer to the target.
 3. Tree. The block tickets of all sources are split between the two halves of the
    output shards again and again. A node draws, without putting back, as many
    tickets as its left half has room for: each ticket goes left with chance
@@ -25,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_checked, table
+from .common import broadcast_checked, table, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -102,6 +103,41 @@ def _drawn(seed: int) -> Column:
     return F.aggregate("quota", begin, source, lambda s: s["taken"])
 
 
+def _headed(rows: DataFrame) -> DataFrame:
+    """``rows`` with mix_head: whether the running sum in hash order, of the rows that can fit, is within the last pass there.
+
+    ``before``: that sum where the row's block begins.
+    """
+    fits = F.col("mix_size") <= F.col("mix_rest")
+    order = Window.partitionBy("mix_number", "mix_block").orderBy("mix_key", "mix_size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = F.col("before") + F.sum(F.when(fits, F.col("mix_size")).otherwise(0)).over(order)
+    return rows.withColumn("mix_head", fits & (F.col("before") < F.col("mix_rest")) & (upto <= F.col("mix_rest")))
+
+
+def _cuts(headed: DataFrame) -> DataFrame:
+    """mix_number, mix_block, cut, cut_rows of each block that helps to fill what the head leaves of the last pass.
+
+    Of the rows outside the head those of 1 to cut - 1 words are taken, and ``cut_rows``
+    of the block's ones of cut words. Only sums by size and by block are sorted.
+    """
+    head, size = F.col("mix_head"), F.col("mix_size")
+    by_size = headed.groupBy("mix_number", "mix_size").agg(F.sum(F.when(head, size).otherwise(0)).alias("taken"), F.count(F.when(~head & (size > 0), 1)).alias("n"), F.first("mix_rest").alias("rest"))
+    source = Window.partitionBy("mix_number")
+    by_size = by_size.withColumn("gap", F.col("rest") - F.sum("taken").over(source))
+    by_size = by_size.withColumn("less", F.sum(F.col("n") * size).over(source.orderBy("mix_size")) - F.col("n") * size)
+    room = F.col("gap") - F.col("less")
+    count = F.floor(room / size)
+    missing = room - count * size
+    nearer = (size - missing < missing).cast("long")
+    # the smallest size of which not all rows fit
+    cut = by_size.where((F.col("n") > 0) & (F.col("less") + F.col("n") * size > F.col("gap"))).groupBy("mix_number").agg(F.min(F.struct(size.alias("cut"), (count + nearer).alias("rows"))).alias("c"))
+    left = headed.where(~head & (size > 0)).join(cut.select("mix_number", "c.cut", "c.rows"), "mix_number").where(size <= F.col("cut"))
+    found = left.groupBy("mix_number", "mix_block").agg(F.first("cut").alias("cut"), F.first("rows").alias("rows"), F.count(F.when(size < F.col("cut"), 1)).alias("smaller"), F.count(F.when(size == F.col("cut"), 1)).alias("n"))
+    earlier = F.sum("n").over(Window.partitionBy("mix_number").orderBy("mix_block")) - F.col("n")
+    found = found.withColumn("cut_rows", F.least(F.col("n"), F.greatest(F.lit(0), F.col("rows") - earlier)))
+    return found.where((F.col("smaller") > 0) | (F.col("cut_rows") > 0)).select("mix_number", "mix_block", "cut", "cut_rows")
+
+
 def placed(docs: DataFrame, size: Column | None = None, *, source: str = "source", weights=WEIGHTS, cap: float = 3.0, shards: int = 8, block_rows: int = 1024, seed: int = 7) -> DataFrame:
     """``docs`` with mix_size, mix_source_size, mix_target and mix_places, an array of (shard, pass, rank).
 
@@ -118,20 +154,25 @@ def placed(docs: DataFrame, size: Column | None = None, *, source: str = "source
     text_key = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in docs.columns if c in ("doc_id", "text")])
     d = docs.withColumn("mix_size", F.coalesce(word_count(F.col("text")) if size is None else size, F.lit(0)).cast("long"))
     d = d.withColumn("mix_key", text_key)
-    sizes = d.groupBy(F.col(f"`{source}`").alias("source")).agg(F.count("*").alias("n"), F.sum("mix_size").alias("words"))
+    slim = written(d.select(F.col(f"`{source}`").alias("source"), "mix_key", "mix_size"), "mix-rows")  # words are counted once for all sums
+    sizes = slim.groupBy("source").agg(F.count("*").alias("n"), F.sum("mix_size").alias("words"))
     targets = source_targets(sizes, weights, cap)
-    targets = targets.select(F.col("source").alias("mix_source"), F.col("words").alias("mix_source_size"), F.col("target").alias("mix_target"), F.col("number").alias("mix_number"), F.greatest(F.lit(1), F.ceil(F.col("n") / block_rows)).alias("mix_blocks"))
-    d = d.join(broadcast_checked(targets, SMALL), F.col(f"`{source}`").eqNullSafe(F.col("mix_source"))).drop("mix_source")
+    whole = F.when(F.col("words") > 0, F.floor(F.col("target") / F.col("words"))).otherwise(0).cast("long")
+    targets = targets.withColumn("mix_whole", whole).withColumn("mix_rest", F.greatest(F.lit(0.0), F.col("target") - F.col("mix_whole") * F.col("words")))
+    targets = targets.select(F.col("source").alias("mix_source"), F.col("words").alias("mix_source_size"), F.col("target").alias("mix_target"), F.col("number").alias("mix_number"), F.greatest(F.lit(1), F.ceil(F.col("n") / block_rows)).alias("mix_blocks"), "mix_whole", "mix_rest")
+    targets = broadcast_checked(targets, SMALL)
     unit = F.shiftrightunsigned(F.col("mix_key"), 11) / F.lit(float(1 << 53))
-    d = d.withColumn("mix_block", F.floor(unit * F.col("mix_blocks")))
+    blocked = lambda rows, name: rows.join(targets, F.col(f"`{name}`").eqNullSafe(F.col("mix_source"))).drop("mix_source").withColumn("mix_block", F.floor(unit * F.col("mix_blocks")))
+    d, slim = blocked(d, source), blocked(slim, "source")
 
-    blocks = d.groupBy("mix_number", "mix_block").agg(F.sum("mix_size").alias("words"), *[F.first(c).alias(c) for c in ("mix_source_size", "mix_target")])
+    fits = F.when(F.col("mix_size") <= F.col("mix_rest"), F.col("mix_size")).otherwise(0)
+    blocks = slim.groupBy("mix_number", "mix_block").agg(F.sum(fits).alias("words"), *[F.first(c).alias(c) for c in ("mix_whole", "mix_rest")])
     run = Window.partitionBy("mix_number").orderBy("mix_block")
-    blocks = blocks.withColumn("before", F.sum("words").over(run) - F.col("words"))
-    whole = F.when(F.col("mix_source_size") > 0, F.floor(F.col("mix_target") / F.col("mix_source_size"))).otherwise(0).cast("long")
-    rest = F.greatest(F.lit(0.0), F.col("mix_target") - F.col("whole") * F.col("mix_source_size"))
-    blocks = blocks.withColumn("whole", whole).withColumn("rest", rest)
-    passes = F.filter(F.sequence(F.lit(0).cast("long"), F.col("whole")), lambda p: (p < F.col("whole")) | (F.col("before") < F.col("rest")))
+    blocks = blocks.withColumn("before", F.sum("words").over(run) - F.col("words")).drop("words")
+    cuts = _cuts(_headed(slim.join(blocks.select("mix_number", "mix_block", "before"), ["mix_number", "mix_block"])))
+    blocks = blocks.join(cuts, ["mix_number", "mix_block"], "left")
+    begun = F.col("before") < F.col("mix_rest")
+    passes = F.filter(F.sequence(F.lit(0).cast("long"), F.col("mix_whole")), lambda p: (p < F.col("mix_whole")) | begun | F.col("cut").isNotNull())
     blocks = blocks.withColumn("passes", passes)
 
     tickets = blocks.select("mix_number", "mix_block", F.explode("passes").alias("pass"))
@@ -142,20 +183,17 @@ def placed(docs: DataFrame, size: Column | None = None, *, source: str = "source
     tickets = tickets.withColumn("at", F.row_number().over(dealt)).join(bounds.withColumnRenamed("number", "mix_number"), "mix_number")
     tickets = tickets.withColumn("shard", F.size(F.filter("bounds", lambda b: b["upto"] < F.col("at"))))
     tickets = tickets.groupBy("mix_number", "mix_block").agg(F.sort_array(F.collect_list(F.struct("pass", "shard"))).alias("tickets"))
-    blocks = blocks.select("mix_number", "mix_block", "before", "whole", "rest").join(tickets, ["mix_number", "mix_block"], "left").select("mix_number", "mix_block", F.struct("before", "whole", "rest", "tickets").alias("mix_plan"))
-
-    d = d.join(blocks, ["mix_number", "mix_block"])
-    plan, block = F.col("mix_plan"), Window.partitionBy("mix_number", "mix_block")
-    room = plan["rest"] - plan["before"]  # of the last pass, when this block begins
-    d = d.withColumn("mix_upto", F.sum("mix_size").over(block.orderBy("mix_key", "mix_size").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    over = F.col("mix_upto") > room
-    d = d.withColumn("mix_gap", room - F.coalesce(F.max(F.when(~over, F.col("mix_upto"))).over(block), F.lit(0)))
-    off = F.abs(F.col("mix_size") - F.col("mix_gap"))
-    best = F.row_number().over(block.orderBy(F.when(over, off).asc_nulls_last(), "mix_key", "mix_size")) == 1
-    last = ~over | (best & (off < F.col("mix_gap")))
+    blocks = blocks.select("mix_number", "mix_block", "before", "cut", "cut_rows").join(tickets, ["mix_number", "mix_block"], "left")
+
+    d = _headed(d.join(blocks.select("mix_number", "mix_block", "before", F.struct("cut", "cut_rows", "tickets").alias("mix_plan")), ["mix_number", "mix_block"]))
+    plan = F.col("mix_plan")
+    at_cut = ~F.col("mix_head") & (F.col("mix_size") == plan["cut"])
+    among = F.row_number().over(Window.partitionBy("mix_number", "mix_block").orderBy(F.when(at_cut, 0).asc_nulls_last(), "mix_key"))
+    filling = (F.col("mix_size") > 0) & ((F.col("mix_size") < plan["cut"]) | (at_cut & (among <= plan["cut_rows"])))
+    last = F.col("mix_head") | F.coalesce(filling, F.lit(False))
     tickets = F.coalesce(plan["tickets"], F.array().cast("array<struct<pass:bigint,shard:int>>"))
     d = d.withColumn("mix_last", last)
-    mine = F.filter(tickets, lambda t: (t["pass"] < plan["whole"]) | F.col("mix_last"))
+    mine = F.filter(tickets, lambda t: (t["pass"] < F.col("mix_whole")) | F.col("mix_last"))
     places = F.transform(mine, lambda t: F.struct(t["shard"].alias("shard"), t["pass"].alias("pass"), F.xxhash64(F.lit(seed + 2), t["shard"], t["pass"], F.col("mix_key")).alias("rank")))
     return d.select(*[F.col(f"`{c}`") for c in docs.columns], "mix_size", "mix_source_size", "mix_target", places.alias("mix_places"))
 
