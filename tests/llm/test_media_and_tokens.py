@@ -100,6 +100,18 @@ def test_stored_ids_are_those_in_order(spark):
     assert sum(r.n_ids for r in index) == at and [r.position for r in index] == list(np.cumsum([0, *(r.n_ids for r in index)])[:-1])
 
 
+def test_special_tokens_in_texts_are_those_of_the_library(spark):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(BYTE_BPE)
+    texts = ["<|endoftext|>", "a <|endoftext|> b", "a<|endoftext|>\n b  <|endoftext|><|endoftext|> c", "<|endoftext| >", "plain"]
+    path = bitplanes.scratch(spark, "test")
+    bitplanes.write_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path, BYTE_BPE)
+    found = bitplanes.read_tokens(spark, path, with_ids=True).orderBy("doc_id").collect()
+    want = [[*t.encode(x, add_special_tokens=False).ids, 0] for x in texts]
+    assert [np.frombuffer(r.ids, "<u4").tolist() for r in found] == want and want[0] == [50256, 0]
+
+
 def test_no_documents_and_repeated_ids(spark):
     path = bitplanes.scratch(spark, "test")
     bitplanes.write_tokens(docs(spark).limit(0), path, BYTE_BPE)

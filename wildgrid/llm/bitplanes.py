@@ -132,16 +132,18 @@ class Encoder:
     The byte-level pre-tokenizer always starts a new piece at a single space between
     two other characters, so a text may be cut there and each chunk encoded alone.
     Chunks of Latin letters, plain marks and single line ends are cut further at
-    the borders between these, where it starts new pieces too. Each text's ids are
-    those of the whole text.
+    the borders between these, where it starts new pieces too. Texts that hold an
+    added token are not cut. Each text's ids are those of the whole text. With
+    ``plain`` special tokens in texts are ordinary text.
     """
 
-    def __init__(self, path: str, memo: int = MEMO):
+    def __init__(self, path: str, memo: int = MEMO, plain: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        tokenizer.encode_special_tokens = plain
+        self.added = [] if plain else [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         self.chunks, self.limit = _Chunks(tokenizer), memo
 
     def __call__(self, texts: list[str]) -> list[bytes]:
@@ -151,6 +153,9 @@ class Encoder:
             if len(chunks) > self.limit or len(chunks.inner) > self.limit:
                 chunks.clear()
                 chunks.inner.clear()
+            if any(a in t for a in self.added):
+                out.append(chunks.whole(t))
+                continue
             if "  " in t or " \n" in t or "\n " in t or t[:1] == " " or t[-1:] == " " or _ODD.search(t):
                 parts = _CUT.split(t)
             else:
@@ -164,9 +169,9 @@ _encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """One for each worker process and tokenizer."""
+    """One for each worker process and tokenizer; ids are those that the library gives by default."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, plain=False)
     return _encoders[path]
 
 
