@@ -1,7 +1,8 @@
 """A corpus from raw documents: STAGES, each written as Parquet and read again as the next one's documents.
 
-1. language: documents without a determinable language, and those whose code is longest-winded
-   in all learned languages, are rejected (``wildgrid.llm.langid``);
+1. language: documents without a determinable language are rejected, that is those without text
+   or letters, and short ones between languages (``wildgrid.llm.langid``). The score compares
+   the learned languages only: gibberish and other languages are not rejected by it;
 2. near duplicates: of each group linked by 5-word shingles of similarity 0.8 or more the
    document with the smallest id stays (``wildgrid.llm.jaccard``);
 3. mixture: sources are brought to their target weights; documents are left out or
