@@ -16,12 +16,11 @@ similarity t or more differ in at most H = (1 - t) / (1 + t) * (|R| + |S|) eleme
 * Cost: the allocation leaves out the segments with the most rows, as counted over
   the whole index.
 
-Buckets are never multiplied out. First every member is compared with its bucket's
-pivot (the member that shares the most); links give components. Then only buckets
-that still span several components are left, less the segments that the allocation
-leaves out; their members are compared across components, after a bound on the
-difference by parities. Links inside a component add nothing to components, so none
-between different components is lost.
+First every member is compared with its bucket's pivot (the member that shares the
+most); links give components. Then only buckets that still span several components
+are left, less the segments that the allocation leaves out; their members are compared
+across components, after a bound on the difference by parities. Links inside a
+component add nothing to components, so none between different components is lost.
 """
 
 from __future__ import annotations
@@ -42,7 +41,8 @@ NEIGHBOURS = 2
 RATIO = 1.25
 #: 64-bit parities kept for each set; the population count of their difference bounds that of the sets from below.
 PARITIES = 8
-WORD_MEMO = 400_000
+#: Words that one worker keeps with their hashes, and the longest such word in bytes: both bound its memory.
+WORD_MEMO, LONG = 400_000, 64
 INDEX, PROBE, LESS = 1, 2, 4
 
 _LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
@@ -63,7 +63,9 @@ class _Words(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= WORD_MEMO:
             self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= LONG:
+            self[word] = h
         return h
 
 
@@ -294,18 +296,30 @@ def _bits(column: str, shift: int, width: int) -> Column:
     return F.shiftright(F.col(column), shift).bitwiseAND(F.lit((1 << width) - 1))
 
 
+def _texts_of_one_id(keys: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(a, b): the nodes of a doc_id with several texts, each with the smallest of them. Ids and digests alone are shuffled."""
+    mine = keys.where("n > 0 and doc_id is not null")
+    several = written(mine.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id"), "repeated-ids")
+    of_id = mine.join(several, "doc_id").join(nodes, ["n", "x", "y"]).select("doc_id", "rep").distinct()
+    least = of_id.groupBy("doc_id").agg(F.min("rep").alias("a"))
+    return of_id.join(least, "doc_id").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+
+
 def near_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, text) -> doc_id, n_shingles, component_id: one row for each row.
 
     component_id is the smallest doc_id reachable by links, itself included. Texts
     without words (null, empty) have no shingles and are linked with nothing. Rows
-    that share a doc_id are one document of several texts. A null doc_id has a null
-    component and takes no part. Other columns are ignored; an empty table gives none.
+    that share a doc_id are one document of several texts, so a link of one of these
+    is a link of the document, and all texts of an id have the same component. A null
+    doc_id has a null component and takes no part. Other columns are ignored; an empty
+    table gives none.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     keys = written(_set_keys(docs, words), "sets")
     nodes = keys.where("n > 0 and doc_id is not null").groupBy("n", "x", "y").agg(F.min("doc_id").alias("rep"))
     nodes = written(nodes, "nodes")
+    same_id = _texts_of_one_id(keys, nodes)
 
     texts = docs.join(nodes.select("rep").distinct().hint("shuffle_hash"), F.col("doc_id") == F.col("rep"), "left_semi")
     rows = _signature_rows(texts, words, percent)
@@ -319,7 +333,7 @@ def near_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     share = shared.where(kind.bitwiseAND(F.lit(LESS)) == 0).groupBy("rep").agg(F.sum("n").alias("share"))
     pivots = shared.where(kind.bitwiseAND(F.lit(INDEX)) > 0).join(share, "rep", "left").groupBy("sig").agg((-F.max(F.struct("share", -F.col("rep")))["col2"]).alias("pivot"))
     first = shared.join(pivots, "sig").where("rep <> pivot").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
-    links = written(_linked(first, sets, percent), "links")
+    links = written(_linked(first, sets, percent).unionByName(same_id), "links")
     found = written(components(links), "components")
 
     label = shared.where("n > 2").join(found, F.col("rep") == F.col("node"), "left").withColumn("component", F.coalesce("component", "rep")).drop("node")
