@@ -4,21 +4,28 @@
    ``cap`` times its own size, and what is above is shared again by weight. The
    fixed point is found in closed form from running sums over the sources.
 2. Blocks. A source's documents lie in the order of a seeded hash and are cut into
-   blocks of about ``block_rows`` documents. A source takes all its blocks
-   ``floor(target / size)`` times, and once more the first documents up to the rest
-   of the target, where those larger than all of it don't count. What is missing then,
-   less than one document, is filled from all others by ascending size until none
-   fits, and the next one is added if that comes nearer to the target.
-3. Tree. The block tickets of all sources are split between the two halves of the
-   output shards again and again. A node draws, without putting back, as many
-   tickets as its left half has room for: each ticket goes left with chance
-   room / remaining, which is a multivariate-hypergeometric draw. Leaves hold exact
-   quotas that add up to each source's tickets.
-4. Deal. A source's tickets in another seeded order go to the shards by quota, so
-   shards hold disjoint blocks; rows are shuffled inside their shard by a hash.
-
-DataFrame operations only. Only tables of sources and blocks are sorted by window;
-documents meet their block by one shuffle on (source, block).
+   blocks of about ``block_rows`` documents (fewer in small sources, so that there is
+   something to draw). A source has one ticket a block for each of its ``floor(target /
+   size)`` whole passes, and, if its target isn't reached by these, for one last pass.
+3. Tree. The tickets of all sources are split between the two halves of the output
+   shards again and again. At each node the numbers of tickets that go left are one
+   multivariate-hypergeometric draw: source by source a hypergeometric number, given
+   the room and the tickets that are left. Leaves hold exact quotas that add up to each
+   source's tickets.
+4. Deal. A source's blocks in a permuted order go to the shards by quota, so shards hold
+   disjoint blocks of a pass. Of a whole pass's blocks a shard takes everything. The rest
+   of a source's target is shared by its shards in proportion to the words of the last
+   pass's blocks that they have drawn; each takes documents of these blocks, in a permuted
+   order of its own, as far as its share goes. So the tree decides which documents are
+   in the mix. What is then still missing, less than a document a shard, is filled from
+   the others by ascending size until none fits, and the next one is added if that comes
+   nearer to the target.
+5. Rows are shuffled inside their shard by a hash.
+
+DataFrame operations only. Only tables of sources and of blocks (a thousandth of the
+rows) are sorted by source; documents meet their block by one shuffle on (source, block).
+One row holds all sources of a tree's node, and targets are found in one sort of the
+sources: there may be millions of documents a source, but not millions of sources.
 """
 
 from __future__ import annotations
@@ -32,6 +39,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 #: Sources up to this number are joined by broadcast, more by shuffle.
 SMALL = 10_000
+#: Standard deviations (and whole numbers beyond) to each side that a hypergeometric draw looks at.
+SPREAD = 12
 
 
 def word_count(text: Column) -> Column:
@@ -84,34 +93,63 @@ def split_tickets(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     return nodes.select(F.col("node").alias("shard"), F.explode("quota").alias("x")).select("x.number", "shard", F.col("x.q").alias("quota"))
 
 
-def _drawn(seed: int) -> Column:
-    """Tickets of each source that go left at a node, drawn without putting back."""
+def hypergeometric(u: Column, total: Column, marked: Column, drawn: Column) -> Column:
+    """Of ``drawn`` things out of ``total``, how many of the ``marked`` ones, at the quantile u in [0, 1).
+
+    Chances are summed upwards from ``SPREAD`` standard deviations below the mean, each by its ratio
+    to the one before; beyond these there is less than a double can hold.
+    """
+    n, k, d = (c.cast("double") for c in (total, marked, drawn))
+    mean = F.when(n > 0, d * k / n).otherwise(0.0)
+    spread = F.sqrt(F.when(n > 1, mean * (n - k) / n * (n - d) / (n - 1)).otherwise(0.0))
+    reach = SPREAD * spread + SPREAD
+    low = F.greatest(F.lit(0.0), d - (n - k), F.ceil(mean - reach).cast("double"))
+    high = F.least(d, k, F.floor(mean + reach).cast("double"))
+    steps = F.sequence(low.cast("long"), F.greatest(low, high).cast("long"))
+
+    def ratio(i: Column) -> Column:
+        """The chance of i + 1 to that of i."""
+        return (k - i) * (d - i) / ((i + 1) * (n - k - d + i + 1))
 
-    def ticket(source: Column):
-        def step(s: Column, t: Column) -> Column:
-            left = (_chance(F.lit(seed), F.col("width"), F.col("node"), source["number"], t) * s["rest"] < s["room"]).cast("long")
-            return F.struct((s["rest"] - 1).alias("rest"), (s["room"] - left).alias("room"), (s["got"] + left).alias("got"))
+    def add(s: Column, i: Column) -> Column:
+        return F.struct((s["p"] * ratio(i)).alias("p"), (s["sum"] + s["p"]).alias("sum"))
 
-        return step
+    def pick(s: Column, i: Column) -> Column:
+        below = s["sum"] + s["p"] <= s["goal"]
+        return F.struct((s["p"] * ratio(i)).alias("p"), (s["sum"] + s["p"]).alias("sum"), s["goal"].alias("goal"), F.when(below, i + 1).otherwise(s["at"]).alias("at"))
+
+    one, none = F.lit(1.0), F.lit(0.0)
+    everything = F.aggregate(steps, F.struct(one.alias("p"), none.alias("sum")), add, lambda s: s["sum"])
+    begin = F.struct(one.alias("p"), none.alias("sum"), (u * everything).alias("goal"), low.cast("long").alias("at"))
+    return F.least(F.aggregate(steps, begin, pick, lambda s: s["at"]), high.cast("long"))
+
+
+def _drawn(seed: int) -> Column:
+    """Tickets of each source that go left at a node, drawn without putting back."""
 
     def source(s: Column, x: Column) -> Column:
-        start = F.struct(s["rest"].alias("rest"), s["room"].alias("room"), F.lit(0).cast("long").alias("got"))
-        each = F.filter(F.sequence(F.lit(0).cast("long"), x["q"]), lambda t: t > 0)
-        return F.aggregate(each, start, ticket(x), lambda o: F.struct(o["rest"].alias("rest"), o["room"].alias("room"), F.concat(s["taken"], F.array(o["got"])).alias("taken")))
+        u = _chance(F.lit(seed), F.col("width"), F.col("node"), x["number"])
+        got = hypergeometric(u, s["rest"], x["q"], s["room"])
+        step = F.struct(got.alias("got"))
+        return F.element_at(F.transform(F.array(step), lambda g: F.struct((s["rest"] - x["q"]).alias("rest"), (s["room"] - g["got"]).alias("room"), F.concat(s["taken"], F.array(g["got"])).alias("taken"))), 1)
 
     begin = F.struct(F.col("total").alias("rest"), F.floor(F.col("total") / 2).cast("long").alias("room"), F.array().cast("array<bigint>").alias("taken"))
     return F.aggregate("quota", begin, source, lambda s: s["taken"])
 
 
+def _small() -> Column:
+    """Whether a row can be one of those that a shard takes first from its blocks: it isn't larger than an even share."""
+    return F.col("mix_size") <= F.col("mix_rest") / F.least(F.col("mix_shards"), F.col("mix_blocks"))
+
+
 def _headed(rows: DataFrame) -> DataFrame:
-    """``rows`` with mix_head: whether the running sum in hash order, of the rows that can fit, is within the last pass there.
+    """``rows`` with mix_head: whether the running sum of the small ones in permuted order is within their shard's share there.
 
-    ``before``: that sum where the row's block begins.
+    ``before``: that sum where the row's block begins; ``share``: the shard's.
     """
-    fits = F.col("mix_size") <= F.col("mix_rest")
     order = Window.partitionBy("mix_number", "mix_block").orderBy("mix_key", "mix_size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    upto = F.col("before") + F.sum(F.when(fits, F.col("mix_size")).otherwise(0)).over(order)
-    return rows.withColumn("mix_head", fits & (F.col("before") < F.col("mix_rest")) & (upto <= F.col("mix_rest")))
+    upto = F.col("before") + F.sum(F.when(_small(), F.col("mix_size")).otherwise(0)).over(order)
+    return rows.withColumn("mix_head", _small() & F.coalesce(upto <= F.col("share"), F.lit(False)))
 
 
 def _cuts(headed: DataFrame) -> DataFrame:
@@ -138,6 +176,58 @@ def _cuts(headed: DataFrame) -> DataFrame:
     return found.where((F.col("smaller") > 0) | (F.col("cut_rows") > 0)).select("mix_number", "mix_block", "cut", "cut_rows")
 
 
+def _rows(docs: DataFrame, size: Column | None, source: str, seed: int) -> DataFrame:
+    """``docs`` with mix_size and mix_key, the place in the permuted order of its source."""
+    key = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in docs.columns if c in ("doc_id", "text")])
+    d = docs.withColumn("mix_size", F.coalesce(word_count(F.col("text")) if size is None else size, F.lit(0)).cast("long"))
+    return d.withColumn("mix_key", key)
+
+
+def plan(slim: DataFrame, weights, cap: float, shards: int, block_rows: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(source, mix_key, mix_size) -> targets of the sources, and the written plan of their blocks.
+
+    A block's row: mix_number, mix_block, tickets (pass, shard) of the whole passes, last_shard
+    and share (of the source's rest, in words; null without a last pass), before (words of
+    the shard's small rows in its blocks before this one).
+    """
+    sizes = slim.groupBy("source").agg(F.count("*").alias("n"), F.sum("mix_size").alias("words"))
+    targets = source_targets(sizes, weights, cap)
+    whole = F.when(F.col("words") > 0, F.floor(F.col("target") / F.col("words"))).otherwise(0).cast("long")
+    targets = targets.withColumn("mix_whole", whole).withColumn("mix_rest", F.greatest(F.lit(0.0), F.col("target") - F.col("mix_whole") * F.col("words")))
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / block_rows), F.least(F.col("n"), F.lit(4 * shards)))
+    targets = targets.select(F.col("source").alias("mix_source"), F.col("words").alias("mix_source_size"), F.col("target").alias("mix_target"), F.col("number").alias("mix_number"), blocks.alias("mix_blocks"), F.lit(shards).alias("mix_shards"), "mix_whole", "mix_rest")
+    targets = broadcast_checked(written(targets, "mix-targets"), SMALL)
+
+    small = F.when(_small(), F.col("mix_size")).otherwise(0)
+    blocks = blocked(slim, targets, "source").groupBy("mix_number", "mix_block").agg(F.sum(small).alias("words"), *[F.first(c).alias(c) for c in ("mix_whole", "mix_rest")])
+    blocks = written(blocks, "mix-blocks")
+    is_last = F.col("pass") == F.col("mix_whole")
+    passes = F.filter(F.sequence(F.lit(0).cast("long"), F.col("mix_whole")), lambda p: (p < F.col("mix_whole")) | (F.col("mix_rest") > 0))
+    # a source's whole passes and its last one are dealt each by its own quota
+    tickets = blocks.withColumn("pass", F.explode(passes)).withColumn("number", F.col("mix_number") * 2 + is_last.cast("int"))
+    leaves = split_tickets(tickets.groupBy("number").agg(F.count("*").alias("tickets")), shards, seed)
+    upto = F.sum("quota").over(Window.partitionBy("number").orderBy("shard"))
+    bounds = leaves.select("number", "shard", upto.alias("upto")).groupBy("number").agg(F.sort_array(F.collect_list(F.struct("shard", "upto"))).alias("bounds"))
+    dealt = Window.partitionBy("number").orderBy(F.xxhash64(F.lit(seed + 1), "mix_number", "pass", "mix_block"), "pass", "mix_block")
+    tickets = tickets.withColumn("at", F.row_number().over(dealt)).join(bounds, "number")
+    tickets = written(tickets.select("mix_number", "mix_block", "mix_rest", "words", "pass", is_last.alias("is_last"), F.size(F.filter("bounds", lambda b: b["upto"] < F.col("at"))).alias("shard")), "mix-tickets")
+
+    last = tickets.where("is_last")
+    mine, all_ = Window.partitionBy("mix_number", "shard"), Window.partitionBy("mix_number")
+    last = last.withColumn("share", F.try_divide(F.col("mix_rest") * F.sum("words").over(mine), F.sum("words").over(all_)))
+    before = F.sum("words").over(mine.orderBy(F.xxhash64(F.lit(seed + 3), "shard", "mix_block"), "mix_block")) - F.col("words")
+    last = last.select("mix_number", "mix_block", F.col("shard").alias("last_shard"), "share", before.alias("before"))
+    whole = tickets.where("not is_last").groupBy("mix_number", "mix_block").agg(F.sort_array(F.collect_list(F.struct("pass", "shard"))).alias("tickets"))
+    found = blocks.select("mix_number", "mix_block").join(last, ["mix_number", "mix_block"], "left").join(whole, ["mix_number", "mix_block"], "left")
+    return targets, written(found, "mix-plan")
+
+
+def blocked(rows: DataFrame, targets: DataFrame, source: str) -> DataFrame:
+    """Rows with their source's columns and mix_block, by the key's place in the source's order."""
+    unit = F.shiftrightunsigned(F.col("mix_key"), 11) / F.lit(float(1 << 53))
+    return rows.join(targets, F.col(f"`{source}`").eqNullSafe(F.col("mix_source"))).drop("mix_source").withColumn("mix_block", F.floor(unit * F.col("mix_blocks")))
+
+
 def placed(docs: DataFrame, size: Column | None = None, *, source: str = "source", weights=WEIGHTS, cap: float = 3.0, shards: int = 8, block_rows: int = 1024, seed: int = 7) -> DataFrame:
     """``docs`` with mix_size, mix_source_size, mix_target and mix_places, an array of (shard, pass, rank).
 
@@ -151,50 +241,23 @@ def placed(docs: DataFrame, size: Column | None = None, *, source: str = "source
     """
     if clash := [c for c in docs.columns if c.lower().startswith("mix_")]:
         raise ValueError(f"columns {clash} clash with those that are added")
-    text_key = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in docs.columns if c in ("doc_id", "text")])
-    d = docs.withColumn("mix_size", F.coalesce(word_count(F.col("text")) if size is None else size, F.lit(0)).cast("long"))
-    d = d.withColumn("mix_key", text_key)
+    d = _rows(docs, size, source, seed)
     slim = written(d.select(F.col(f"`{source}`").alias("source"), "mix_key", "mix_size"), "mix-rows")  # words are counted once for all sums
-    sizes = slim.groupBy("source").agg(F.count("*").alias("n"), F.sum("mix_size").alias("words"))
-    targets = source_targets(sizes, weights, cap)
-    whole = F.when(F.col("words") > 0, F.floor(F.col("target") / F.col("words"))).otherwise(0).cast("long")
-    targets = targets.withColumn("mix_whole", whole).withColumn("mix_rest", F.greatest(F.lit(0.0), F.col("target") - F.col("mix_whole") * F.col("words")))
-    targets = targets.select(F.col("source").alias("mix_source"), F.col("words").alias("mix_source_size"), F.col("target").alias("mix_target"), F.col("number").alias("mix_number"), F.greatest(F.lit(1), F.ceil(F.col("n") / block_rows)).alias("mix_blocks"), "mix_whole", "mix_rest")
-    targets = broadcast_checked(targets, SMALL)
-    unit = F.shiftrightunsigned(F.col("mix_key"), 11) / F.lit(float(1 << 53))
-    blocked = lambda rows, name: rows.join(targets, F.col(f"`{name}`").eqNullSafe(F.col("mix_source"))).drop("mix_source").withColumn("mix_block", F.floor(unit * F.col("mix_blocks")))
-    d, slim = blocked(d, source), blocked(slim, "source")
-
-    fits = F.when(F.col("mix_size") <= F.col("mix_rest"), F.col("mix_size")).otherwise(0)
-    blocks = slim.groupBy("mix_number", "mix_block").agg(F.sum(fits).alias("words"), *[F.first(c).alias(c) for c in ("mix_whole", "mix_rest")])
-    run = Window.partitionBy("mix_number").orderBy("mix_block")
-    blocks = blocks.withColumn("before", F.sum("words").over(run) - F.col("words")).drop("words")
-    cuts = _cuts(_headed(slim.join(blocks.select("mix_number", "mix_block", "before"), ["mix_number", "mix_block"])))
-    blocks = blocks.join(cuts, ["mix_number", "mix_block"], "left")
-    begun = F.col("before") < F.col("mix_rest")
-    passes = F.filter(F.sequence(F.lit(0).cast("long"), F.col("mix_whole")), lambda p: (p < F.col("mix_whole")) | begun | F.col("cut").isNotNull())
-    blocks = blocks.withColumn("passes", passes)
-
-    tickets = blocks.select("mix_number", "mix_block", F.explode("passes").alias("pass"))
-    leaves = split_tickets(tickets.groupBy(F.col("mix_number").alias("number")).agg(F.count("*").alias("tickets")), shards, seed)
-    upto = F.sum("quota").over(Window.partitionBy("number").orderBy("shard"))
-    bounds = leaves.select("number", "shard", upto.alias("upto")).groupBy("number").agg(F.sort_array(F.collect_list(F.struct("shard", "upto"))).alias("bounds"))
-    dealt = Window.partitionBy("mix_number").orderBy(F.xxhash64(F.lit(seed + 1), "mix_number", "pass", "mix_block"), "pass", "mix_block")
-    tickets = tickets.withColumn("at", F.row_number().over(dealt)).join(bounds.withColumnRenamed("number", "mix_number"), "mix_number")
-    tickets = tickets.withColumn("shard", F.size(F.filter("bounds", lambda b: b["upto"] < F.col("at"))))
-    tickets = tickets.groupBy("mix_number", "mix_block").agg(F.sort_array(F.collect_list(F.struct("pass", "shard"))).alias("tickets"))
-    blocks = blocks.select("mix_number", "mix_block", "before", "cut", "cut_rows").join(tickets, ["mix_number", "mix_block"], "left")
-
-    d = _headed(d.join(blocks.select("mix_number", "mix_block", "before", F.struct("cut", "cut_rows", "tickets").alias("mix_plan")), ["mix_number", "mix_block"]))
-    plan = F.col("mix_plan")
-    at_cut = ~F.col("mix_head") & (F.col("mix_size") == plan["cut"])
-    among = F.row_number().over(Window.partitionBy("mix_number", "mix_block").orderBy(F.when(at_cut, 0).asc_nulls_last(), "mix_key"))
-    filling = (F.col("mix_size") > 0) & ((F.col("mix_size") < plan["cut"]) | (at_cut & (among <= plan["cut_rows"])))
-    last = F.col("mix_head") | F.coalesce(filling, F.lit(False))
-    tickets = F.coalesce(plan["tickets"], F.array().cast("array<struct<pass:bigint,shard:int>>"))
-    d = d.withColumn("mix_last", last)
-    mine = F.filter(tickets, lambda t: (t["pass"] < F.col("mix_whole")) | F.col("mix_last"))
-    places = F.transform(mine, lambda t: F.struct(t["shard"].alias("shard"), t["pass"].alias("pass"), F.xxhash64(F.lit(seed + 2), t["shard"], t["pass"], F.col("mix_key")).alias("rank")))
+    targets, blocks = plan(slim, weights, cap, shards, block_rows, seed)
+    at = ["mix_number", "mix_block"]
+    cuts = _cuts(_headed(blocked(slim, targets, "source").join(blocks.select(*at, "before", "share"), at)))
+    blocks = blocks.join(cuts, at, "left")
+    d = blocked(d, targets, source).join(blocks.select(*at, "before", "share", F.struct("cut", "cut_rows", "tickets", "last_shard").alias("mix_plan")), at)
+    d = _headed(d)
+    own = F.col("mix_plan")
+    at_cut = ~F.col("mix_head") & (F.col("mix_size") == own["cut"])
+    among = F.row_number().over(Window.partitionBy(*at).orderBy(F.when(at_cut, 0).asc_nulls_last(), "mix_key"))
+    filling = (F.col("mix_size") > 0) & ((F.col("mix_size") < own["cut"]) | (at_cut & (among <= own["cut_rows"])))
+    last = own["last_shard"].isNotNull() & (F.col("mix_head") | F.coalesce(filling, F.lit(False)))
+    none = F.array().cast("array<struct<pass:bigint,shard:int>>")
+    tickets = F.concat(F.coalesce(own["tickets"], none), F.when(F.col("mix_in"), F.array(F.struct(F.col("mix_whole").alias("pass"), own["last_shard"].alias("shard")))).otherwise(none))
+    d = d.withColumn("mix_in", last)
+    places = F.transform(tickets, lambda t: F.struct(t["shard"].alias("shard"), t["pass"].alias("pass"), F.xxhash64(F.lit(seed + 2), t["shard"], t["pass"], F.col("mix_key")).alias("rank")))
     return d.select(*[F.col(f"`{c}`") for c in docs.columns], "mix_size", "mix_source_size", "mix_target", places.alias("mix_places"))
 
 
@@ -204,12 +267,20 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("mix_place.shard").alias("mix_shard"), F.col("mix_place.rank").alias("mix_rank"))
 
 
-def write_shards(mix: DataFrame, path: str, tasks: int) -> None:
-    """One folder a shard, each shuffled: rows lie in the order of their rank."""
-    mix.repartitionByRange(tasks, "mix_shard", "mix_rank").sortWithinPartitions("mix_shard", "mix_rank").write.partitionBy("mix_shard").parquet(path)
+def in_order(mix: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Shard after shard, each shuffled: rows lie in the order of their rank. A shard may be several tasks' ranges."""
+    at = ["mix_shard", "mix_rank"]
+    return (mix.repartitionByRange(tasks, *at) if tasks else mix.repartitionByRange(*at)).sortWithinPartitions(*at)
+
+
+def write_shards(mix: DataFrame, path: str, tasks: int | None = None) -> None:
+    """One folder a shard, in order."""
+    in_order(mix, tasks).write.partitionBy("mix_shard").parquet(path)
 
 
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A last column, shards: those that hold the document, one for each time it is taken."""
     docs = placed(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     taken = F.size("mix_places").cast("long") * F.col("mix_size")
-    return docs.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), taken.alias("taken"))
+    shards = F.array_join(F.transform("mix_places", lambda p: p["shard"].cast("string")), ",")
+    return docs.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), taken.alias("taken"), shards.alias("shards"))
