@@ -5,11 +5,13 @@ and stands for the sum of those. Codebooks are fitted to residuals on a bounded
 sample (``SAMPLE`` rows) and refined by beam-search encoding and least squares; every row is
 encoded by beam search and keeps the norm of its reconstruction. A search looks up
 inner products of query and code words in a table, sums them for each stored row,
-and scores the best ``RERANK`` rows of each block again on the original vectors.
+keeps the best ``RERANK`` rows of each query over the whole index, fetches the original
+vectors of these alone, and scores them again exactly.
 
-Queries and rows are both dealt into blocks by a hash of their key; each pair of
-blocks is one row of an equi-join on a grid of (query block, row group), so no task
-holds more than two blocks, and each pair returns at most k rows a query.
+The scan is linear: every query is compared with every row's codes. Queries and codes
+are both dealt into blocks by a hash of their key, and each pair of blocks is one row of
+an equi-join on a grid of (query block, row group), so no task holds more than two
+blocks. Only codes and norms go through that join, never the rows' vectors.
 """
 
 from __future__ import annotations
@@ -21,14 +23,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import broadcast_checked, table, written
 
-BOOKS, WORDS = 16, 256
+BOOKS, WORDS = 32, 128
 BEAM = 4
 #: Rows that codebooks are fitted to at most, taken by the smallest hashes of their keys.
 SAMPLE = 8192
-RERANK = 200
-QUERY_BLOCK, ROW_BLOCK = 512, 8192
+RERANK = 256
+QUERY_BLOCK, ROW_BLOCK = 1024, 16384
+#: Queries up to this number meet their shortlists by broadcast, more by shuffle.
+FEW = 20_000
 METRICS = ("ip", "l2")
 
 
@@ -108,15 +112,22 @@ def usable(vectors: DataFrame) -> DataFrame:
     """(vec_id, embedding) of rows that take part: no null, no null or non-finite component, not zero, not empty.
 
     Of several dimensions only the commonest takes part, of equally common ones the larger.
+    Rows of one vec_id are one row, that with the smallest vector in the order of its components.
     """
     v = F.col("embedding").cast("array<double>")
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("embedding")).where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0)).where(F.forall("embedding", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))) & F.exists("embedding", lambda c: c != 0))
     common = rows.groupBy(F.size("embedding").alias("d")).count().agg(F.max(F.struct("count", "d"))["d"]).first()[0]
-    return rows if common is None else rows.where(F.size("embedding") == common)
+    if common is not None:
+        rows = rows.where(F.size("embedding") == common)
+    repeated = rows.groupBy("vec_id").count().where("count > 1").select("vec_id")
+    if repeated.limit(1).count() == 0:
+        return rows
+    one = rows.join(repeated, "vec_id", "left_semi").groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    return rows.join(repeated, "vec_id", "left_anti").unionByName(one)
 
 
 def build_index(vectors: DataFrame, books: np.ndarray) -> DataFrame:
-    """(vec_id, embedding) -> vec_id, embedding, codes, norm (squared, of the reconstruction): every row."""
+    """(vec_id, embedding) -> vec_id, codes, norm (squared, of the reconstruction): every row."""
     shared = vectors.sparkSession.sparkContext.broadcast(books)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,9 +137,9 @@ def build_index(vectors: DataFrame, books: np.ndarray) -> DataFrame:
             x = _matrix(b.column("embedding"), shared.value.shape[2])
             codes = encode(x, shared.value)
             norm = (decode(codes, shared.value) ** 2).sum(1)
-            yield pa.RecordBatch.from_pydict({"vec_id": b.column("vec_id"), "embedding": b.column("embedding"), "codes": pa.array([c.tobytes() for c in codes], pa.binary()), "norm": pa.array(norm)})
+            yield pa.RecordBatch.from_pydict({"vec_id": b.column("vec_id"), "codes": pa.array([c.tobytes() for c in codes], pa.binary()), "norm": pa.array(norm)})
 
-    return vectors.select("vec_id", "embedding").mapInArrow(run, "vec_id long, embedding array<double>, codes binary, norm double")
+    return vectors.select("vec_id", "embedding").mapInArrow(run, "vec_id long, codes binary, norm double")
 
 
 def _matrix(column, dimension: int) -> np.ndarray:
@@ -147,60 +158,69 @@ def _top(scores: np.ndarray, k: int) -> np.ndarray:
     return np.nonzero(wanted)[1].reshape(len(scores), k)
 
 
-def search_block(ids: np.ndarray, x: np.ndarray, codes: np.ndarray, norm: np.ndarray, query_ids: np.ndarray, q: np.ndarray, books: np.ndarray, k: int, rerank: int, metric: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, vec_id, score) of the best k of one block for each query. Rows must be in ascending order of id."""
-    lookup = np.einsum("qd,mkd->mqk", q, books, optimize=True).astype(np.float32)
-    near = np.zeros((len(q), len(ids)), np.float32)
-    for m in range(len(books)):
-        near += lookup[m][:, codes[:, m]]
-    if metric == "l2":
-        near = 2 * near - norm.astype(np.float32)
-    out = []
-    for lo in range(0, len(q), 64):
-        best = _top(near[lo : lo + 64], min(rerank, len(ids)))
-        part = q[lo : lo + 64]
-        exact = (x[best] * part[:, None, :]).sum(2) if metric == "ip" else -((x[best] - part[:, None, :]) ** 2).sum(2)
-        exact[ids[best] == query_ids[lo : lo + 64, None]] = -np.inf  # never the query itself
-        order = np.lexsort((ids[best], -exact), axis=1)[:, :k]
-        score, found = np.take_along_axis(exact, order, 1), np.take_along_axis(ids[best], order, 1)
-        keep = score > -np.inf
-        out.append((np.broadcast_to(query_ids[lo : lo + 64, None], found.shape)[keep], found[keep], score[keep]))
-    return tuple(np.concatenate(x) for x in zip(*out))
-
-
-def search(index: DataFrame, queries: DataFrame, books: np.ndarray, k: int = 20, rerank: int = RERANK, metric: str = "ip") -> DataFrame:
-    """(query_id, rank, vec_id, score): each query's k nearest of the index, itself left out.
-
-    ``index``: from ``build_index``; ``queries``: (vec_id, embedding), usable rows. Equal
-    scores go to the smaller vec_id; fewer rows than k are all returned. metric "ip":
-    inner product; "l2": minus the squared distance. Rows of one vec_id are one row.
-    """
-    if metric not in METRICS:
-        raise ValueError(f"metric {metric!r} is none of {METRICS}")
-    spark = index.sparkSession
-    index, queries = index.dropDuplicates(["vec_id"]), queries.dropDuplicates(["vec_id"])
+def scan_block(ids: np.ndarray, codes: np.ndarray, norm: np.ndarray, query_ids: np.ndarray, q: np.ndarray, books: np.ndarray, keep: int, metric: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(query, vec_id, table score) of the best ``keep`` rows of one block for each query. Rows must be in ascending order of id."""
+    for lo in range(0, len(q), 128):
+        part, own = q[lo : lo + 128], query_ids[lo : lo + 128, None]
+        lookup = np.einsum("qd,mkd->mqk", part, books, optimize=True).astype(np.float32)
+        near = np.zeros((len(part), len(ids)), np.float32)
+        for m in range(len(books)):
+            near += lookup[m][:, codes[:, m]]
+        if metric == "l2":
+            near = 2 * near - norm.astype(np.float32)
+        near[ids[None] == own] = -np.inf  # never the query itself
+        best = _top(near, min(keep, len(ids)))
+        score = np.take_along_axis(near, best, 1)
+        some = score > -np.inf
+        yield np.broadcast_to(own, best.shape)[some], ids[best][some], score[some]
+
+
+def shortlist(index: DataFrame, queries: DataFrame, books: np.ndarray, keep: int, metric: str) -> DataFrame:
+    """(query_id, vec_id): the ``keep`` rows of the whole index with the best table scores for each query, ties to smaller ids."""
     groups, blocks = (max(1, -(-df.count() // size)) for df, size in ((index, ROW_BLOCK), (queries, QUERY_BLOCK)))
     key = F.xxhash64("vec_id")
-    row = F.struct("vec_id", "embedding", "codes", "norm")
-    rows = index.groupBy(F.pmod(key, F.lit(groups)).alias("row_group")).agg(F.sort_array(F.collect_list(row)).alias("rows"))  # about ROW_BLOCK rows
+    rows = index.groupBy(F.pmod(key, F.lit(groups)).alias("row_group")).agg(F.sort_array(F.collect_list(F.struct("vec_id", "codes", "norm"))).alias("rows"))  # about ROW_BLOCK rows
     asked = queries.groupBy(F.pmod(key, F.lit(blocks)).alias("query_block")).agg(F.collect_list(F.struct("vec_id", "embedding")).alias("asked"))
     asked = asked.withColumn("row_group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<long>")))
     rows = rows.withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")))
     pairs = rows.join(asked, ["query_block", "row_group"]).select("rows", "asked")
-    shared = spark.sparkContext.broadcast(books)
+    shared = index.sparkSession.sparkContext.broadcast(books)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        d = shared.value.shape[2]
         for b in batches:
             for i in range(b.num_rows):
                 r, a = b.column("rows").slice(i, 1).flatten(), b.column("asked").slice(i, 1).flatten()
-                ids, x, codes, norm = r.flatten()
+                ids, codes, norm = r.flatten()
                 codes = np.frombuffer(b"".join(codes.to_pylist()), np.uint8).reshape(len(ids), -1)
                 asked_ids, q = a.flatten()
-                found = search_block(ids.to_numpy(), _matrix(x, d), codes, norm.to_numpy(), asked_ids.to_numpy(), _matrix(q, d), shared.value, k, rerank, metric)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["query_id", "vec_id", "score"])
+                for found in scan_block(ids.to_numpy(), codes, norm.to_numpy(), asked_ids.to_numpy(), _matrix(q, shared.value.shape[2]), shared.value, keep, metric):
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["query_id", "vec_id", "near"])
+
+    found = pairs.mapInArrow(run, "query_id long, vec_id long, near float")
+    order = Window.partitionBy("query_id").orderBy(F.col("near").desc(), "vec_id")
+    return found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= keep).select("query_id", "vec_id")
+
+
+def search(index: DataFrame, vectors: DataFrame, queries: DataFrame, books: np.ndarray, k: int = 20, rerank: int = RERANK, metric: str = "ip") -> DataFrame:
+    """(query_id, rank, vec_id, score): each query's k nearest of the index, itself left out.
+
+    ``index``: from ``build_index`` of ``vectors``; ``vectors`` and ``queries``: (vec_id, embedding), as
+    ``usable`` gives them. Equal scores go to the smaller vec_id; fewer rows than k are all
+    returned. metric "ip": inner product; "l2": minus the squared distance.
+    """
+    if metric not in METRICS:
+        raise ValueError(f"metric {metric!r} is none of {METRICS}")
+    asked = broadcast_checked(queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q")), FEW)
+    pairs = shortlist(index, queries, books, max(rerank, k), metric).join(vectors.select("vec_id", "embedding"), "vec_id").join(asked, "query_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                x, q = (_matrix(b.column(c), len(b.column(c)[0])) for c in ("embedding", "q"))
+                score = (x * q).sum(1) if metric == "ip" else -((x - q) ** 2).sum(1)
+                yield pa.RecordBatch.from_arrays([b.column("query_id"), b.column("vec_id"), pa.array(score)], names=["query_id", "vec_id", "score"])
 
-    found = pairs.mapInArrow(run, "query_id long, vec_id long, score double")
+    found = pairs.select("query_id", "vec_id", "embedding", "q").mapInArrow(run, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
@@ -211,4 +231,4 @@ def op8_additive_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     if books is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     index = written(build_index(vectors, books), "op8")
-    return search(index, vectors.where(F.col("vec_id") % 20 == 0), books)
+    return search(index, vectors, vectors.where(F.col("vec_id") % 20 == 0), books)
