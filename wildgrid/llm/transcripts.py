@@ -9,6 +9,9 @@ transcripts of any length: lines are cut into chunks, each chunk's best scores f
 every state to every state are one matrix, matrices are multiplied (max, +) level by
 level, and the states at the borders come back down the same way. No task holds
 more than a chunk of lines or of matrices.
+
+Rendering. A line that opens a turn loses its marker if that names the role found; every
+other character stays. A turn is written as its role's tag, its lines, and an end tag.
 """
 
 from __future__ import annotations
@@ -39,21 +42,26 @@ OBSERVATIONS = CLASSES * 2 * (len(LENGTHS) + 1)
 CHUNK = 512
 
 
-def observation(line: Column) -> Column:
-    """Number of a line's observation: marker class (none, each role's, any other), question mark, length."""
+def marker_kind(line: Column) -> Column:
+    """0 without a marker, role number + 1 for a known one, ``CLASSES`` - 1 for any other word before a colon."""
     name = F.lower(F.regexp_extract(line, MARKER, 1))
     kind = F.when(name == "", 0)
     for k, role in enumerate(ROLES):
         kind = kind.when(name.isin(*MARKERS[role]), k + 1)
-    kind = kind.otherwise(CLASSES - 1)
+    return kind.otherwise(CLASSES - 1)
+
+
+def observation(line: Column) -> Column:
+    """Number of a line's observation: marker class, question mark, length."""
     asks = F.rtrim(line).endswith("?").cast("int")
     size = sum((F.length(line) >= n).cast("int") for n in LENGTHS)
-    return F.coalesce((kind * 2 + asks) * (len(LENGTHS) + 1) + size, F.lit(0)).cast("int")
+    return F.coalesce((marker_kind(line) * 2 + asks) * (len(LENGTHS) + 1) + size, F.lit(0)).cast("int")
 
 
-def content(line: Column) -> Column:
-    """A line without its marker."""
-    return F.regexp_replace(line, MARKER, "")
+def content(line: Column, role: Column, is_first: Column) -> Column:
+    """A line without its marker, if it opens a turn and the marker names the turn's role; else the line as it is."""
+    named = F.element_at(F.array(*map(F.lit, ["", *ROLES, ""])), marker_kind(line) + 1)
+    return F.when(is_first & (named == role), F.regexp_replace(line, MARKER, "")).otherwise(line)
 
 
 class Hmm:
@@ -95,16 +103,45 @@ def fit(lines: DataFrame) -> Hmm:
     """(conv_id, place, line, role, is_first) with known roles -> model; rows with other roles are left out.
 
     ``place`` orders a transcript's lines; the line before is its neighbour in that order.
+    Lines are counted in range partitions; of each of these only its counts and its two
+    outer lines reach the driver, so a transcript of any length is spread over tasks.
     """
     code = F.coalesce(*[F.when(F.col("role") == r, 2 * k) for k, r in enumerate(ROLES)]) + F.when(F.col("is_first"), 0).otherwise(1)
     known = lines.select("conv_id", "place", observation(F.col("line")).alias("seen"), code.alias("state")).where("state is not null")
-    before = F.lag("state").over(Window.partitionBy("conv_id").orderBy("place"))
-    counts = known.withColumn("before", F.coalesce(before, F.lit(STATES))).groupBy("before", "state", "seen").count().collect()
-    move, see = np.zeros((STATES + 1, STATES)), np.zeros((STATES, OBSERVATIONS))
-    for before, state, seen, n in counts:
-        move[before, state] += n
-        see[state, seen] += n
-    return Hmm(move, see)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, first, last = np.zeros((STATES + 1, STATES, OBSERVATIONS), np.int64), None, None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            conv, state, seen = (b.column(c).to_pylist() for c in ("conv_id", "state", "seen"))
+            if first is None:
+                first = {"conv": conv[0], "state": state[0], "seen": seen[0]}
+            else:
+                counts[last[1] if conv[0] == last[0] else STATES, state[0], seen[0]] += 1
+            before = [s if c == d else STATES for s, c, d in zip(state, conv, conv[1:])]
+            np.add.at(counts, (np.array(before, int), np.array(state[1:], int), np.array(seen[1:], int)), 1)
+            last = conv[-1], state[-1]
+        if first is not None:
+            at = np.nonzero(counts)
+            yield pa.RecordBatch.from_pylist([{"part": TaskContext.get().partitionId(), "first": first, "last": {"conv": last[0], "state": last[1]}, "at": [int(i) for i in np.ravel_multi_index(at, counts.shape)], "n": counts[at].tolist()}], schema=_COUNTS)
+
+    order = ["conv_id", "place", "state", "seen"]
+    ordered = known.repartitionByRange("conv_id", "place").sortWithinPartitions(*order).select("conv_id", "state", "seen")
+    parts = sorted(ordered.mapInArrow(count, "part int, first struct<conv:long,state:int,seen:int>, last struct<conv:long,state:int>, at array<int>, n array<long>").collect(), key=lambda r: r.part)
+    counts, last = np.zeros((STATES + 1, STATES, OBSERVATIONS)), None
+    for r in parts:
+        np.add.at(counts.ravel(), r["at"], r["n"])
+        before = last.state if last is not None and last.conv == r["first"].conv else STATES
+        counts[before, r["first"].state, r["first"].seen] += 1
+        last = r["last"]
+    return Hmm(counts.sum(2), counts.sum(0))
+
+
+_COUNTS = pa.schema([
+    ("part", pa.int32()), ("first", pa.struct([("conv", pa.int64()), ("state", pa.int32()), ("seen", pa.int32())])),
+    ("last", pa.struct([("conv", pa.int64()), ("state", pa.int32())])), ("at", pa.list_(pa.int32())), ("n", pa.list_(pa.int64())),
+])
 
 
 def _chunks(lines: DataFrame, model, size: int) -> DataFrame:
@@ -142,12 +179,12 @@ def _chunks(lines: DataFrame, model, size: int) -> DataFrame:
 
 
 def parse(lines: DataFrame, hmm: Hmm, chunk: int = CHUNK) -> DataFrame:
-    """(conv_id, place, line) -> those with role, is_first and rendered: one row for each line.
+    """(conv_id, place, line) -> conv_id, place, line, role, is_first, turn_no, content: one row for each line.
 
-    ``place`` (turn, text, row) orders a transcript's lines. rendered: the line without marker,
-    behind the tag of its role if it begins a turn, the turn before being closed.
-    Null lines are empty ones. A null conv_id is a transcript of its own. Repeated rows
-    are lines like others. An empty table gives none.
+    ``place`` (turn, text, row) orders a transcript's lines. turn_no counts a transcript's
+    turns from 1; content: the line without the marker that opens its turn. Null lines are
+    empty ones. A null conv_id is a transcript of its own. Repeated rows are lines like
+    others. An empty table gives none. Other columns are ignored.
     """
     if chunk < 2:
         raise ValueError("a chunk of fewer than two lines never ends")
@@ -174,12 +211,29 @@ def parse(lines: DataFrame, hmm: Hmm, chunk: int = CHUNK) -> DataFrame:
     own = levels[0].select(F.col("conv_id").alias("c"), F.col("nth").alias("m"), "chunk")
     borders = own.join(ends, own["c"].eqNullSafe(ends["conv_id"]) & (own["m"] == ends["nth"])).select("chunk", "begin", "end", (F.col("nth") == 0).alias("opens"))
     joined = rows.drop("matrix").join(borders, "chunk").repartition("chunk").sortWithinPartitions("chunk", "pos")
-    found = joined.select("conv_id", "place", "line", "seen", "chunk", "begin", "end", "opens").mapInArrow(_states(shared), "conv_id long, place struct<turn:long,text:long,row:int>, line string, opens boolean, state int")
+    states = joined.select("conv_id", "place", "line", "seen", "chunk", "pos", "begin", "end", "opens").mapInArrow(_states(shared), "conv_id long, place struct<turn:long,text:long,row:int>, line string, chunk long, pos int, opens boolean, state int")
+    states = written(states.withColumn("is_first", (F.col("state") % 2 == 0) | F.col("opens")), "states")
+    # turns before a chunk, from one row for each chunk; then those inside it
+    begun = states.groupBy("conv_id", "chunk").agg(F.count_if("is_first").alias("n"))
+    before = begun.select("chunk", (F.sum("n").over(order) - F.col("n")).alias("before"))
+    inside = F.count_if("is_first").over(Window.partitionBy("chunk").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     role = F.element_at(F.array(*map(F.lit, ROLES)), F.floor(F.col("state") / 2).cast("int") + 1)
-    opening = F.concat(F.when(F.col("opens"), "").otherwise("<|end|>\n"), F.lit("<|"), F.col("role"), F.lit("|>\n"))
-    starts = (F.col("state") % 2 == 0) | F.col("opens")
-    found = found.withColumn("role", role).withColumn("is_first", starts)
-    return found.select("conv_id", "place", "line", "role", "is_first", F.concat(F.when(starts, opening).otherwise(""), content(F.col("line"))).alias("rendered"))
+    found = states.withColumn("inside", inside).join(before, "chunk").withColumn("role", role)
+    return found.select("conv_id", "place", "line", "role", "is_first", (F.col("before") + F.col("inside")).alias("turn_no"), content(F.col("line"), role, F.col("is_first")).alias("content"))
+
+
+def turns(parsed: DataFrame) -> DataFrame:
+    """From ``parse``: conv_id, turn_no, role, n_lines, text, rendered: one row for each turn.
+
+    text: the turn's lines as they were, less the marker that opened it. rendered:
+    behind the role's tag and before an end tag, with ``<|`` in the text written as
+    ``<||``, so that no text can look like a tag; a transcript is its turns' concatenation.
+    A turn's text is one value, so its length is bounded as any value's is.
+    """
+    one = parsed.groupBy("conv_id", "turn_no").agg(F.min("role").alias("role"), F.count("*").alias("n_lines"), F.sort_array(F.collect_list(F.struct("place", "content"))).alias("lines"))
+    text = F.array_join(F.transform("lines", lambda x: x["content"]), "\n")
+    shown = F.concat(F.lit("<|"), F.col("role"), F.lit("|>\n"), F.replace("text", F.lit("<|"), F.lit("<||")), F.lit("<|end|>\n"))
+    return one.select("conv_id", "turn_no", "role", "n_lines", text.alias("text")).withColumn("rendered", shown)
 
 
 def _stack(parts: list[dict]) -> np.ndarray:
@@ -224,10 +278,10 @@ def _states(shared):
         def solved(rows: list[dict]) -> list[dict]:
             m = shared.value.matrices(np.array([r["seen"] for r in rows]))
             path = [*states_between(m, rows[0]["begin"], rows[0]["end"]), rows[0]["end"]]
-            return [{"conv_id": r["conv_id"], "place": r["place"], "line": r["line"], "opens": r["opens"] and k == 0, "state": s} for k, (r, s) in enumerate(zip(rows, path))]
+            return [{"conv_id": r["conv_id"], "place": r["place"], "line": r["line"], "chunk": r["chunk"], "pos": r["pos"], "opens": r["opens"] and k == 0, "state": s} for k, (r, s) in enumerate(zip(rows, path))]
 
         for b in batches:
-            schema = pa.schema([*(b.schema.field(n) for n in ("conv_id", "place", "line", "opens")), ("state", pa.int32())])
+            schema = pa.schema([*(b.schema.field(n) for n in ("conv_id", "place", "line", "chunk", "pos", "opens")), ("state", pa.int32())])
             *whole, kept = [list(rows) for _, rows in groupby(kept + b.to_pylist(), itemgetter("chunk"))] or [[]]  # the last may go on in the next batch
             yield pa.RecordBatch.from_pylist([x for rows in whole for x in solved(rows)], schema=schema)
         if kept:
@@ -262,8 +316,8 @@ def held_out(conv_id: Column) -> Column:
 
 
 def op10_transcript_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Roles of every line of every conversation's raw transcript; the table's own roles are learned from but for held-out transcripts."""
+    """The turns of every conversation's raw transcript; the table's own roles are learned from but for held-out transcripts."""
     lines = raw_lines(table(spark, sf_dir, "conversations"))
     hmm = fit(lines.where(~held_out(F.col("conv_id"))))
-    found = parse(lines.select("conv_id", "place", "line"), hmm)
-    return found.select("conv_id", F.col("place.turn").alias("turn"), F.col("place.row").alias("line_no"), held_out(F.col("conv_id")).alias("held_out"), F.col("role").alias("role_pred"), "is_first", F.crc32(F.encode("rendered", "UTF-8")).alias("rendered_crc32"))
+    found = turns(parse(lines.select("conv_id", "place", "line"), hmm))
+    return found.select("conv_id", "turn_no", held_out(F.col("conv_id")).alias("held_out"), F.col("role").alias("role_pred"), "n_lines", "text", "rendered")
