@@ -12,6 +12,7 @@ writer commits the files, so lost executors and repeated tasks leave no trace.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 from .common import scratch, table
 
 BLOCK = 1 << 16
-#: Distinct chunks of text that one worker keeps with their ids.
-MEMO = 1_000_000
+#: Distinct chunks of text that one worker keeps with their ids, and the longest such chunk: both bound its memory.
+MEMO, LONG = 1_000_000, 64
 HEAD = struct.Struct("<4sBBxxI")
 MAGIC = b"PLN1"
 MODES = ("byte", "bit")
@@ -102,12 +103,13 @@ class _Chunks(dict):
             ids = self.piece("Ġ" + chunk)
         elif _PLAIN.fullmatch(chunk):
             head, *more = _PIECE.findall(chunk)
-            ids = self.get(head) or self.setdefault(head, self.piece("Ġ" + _visible(head)))
+            ids = self.get(head) or self.kept(self, head, self.piece("Ġ" + _visible(head)))
             if more:
                 ids += self.inside(more)
         else:
             ids = self.whole(" " + chunk)
-        self[chunk] = ids
+        if len(chunk) <= LONG:
+            self[chunk] = ids
         return ids
 
     def first(self, chunk: str) -> bytes:
@@ -116,7 +118,13 @@ class _Chunks(dict):
 
     def inside(self, pieces: list[str]) -> bytes:
         inner = self.inner
-        return b"".join([inner.get(p) or inner.setdefault(p, self.piece(_visible(p))) for p in pieces])
+        return b"".join([inner.get(p) or self.kept(inner, p, self.piece(_visible(p))) for p in pieces])
+
+    @staticmethod
+    def kept(memo: dict, piece: str, ids: bytes) -> bytes:
+        if len(piece) <= LONG:
+            memo[piece] = ids
+        return ids
 
     def piece(self, text: str) -> bytes:
         """Ids of one piece of the pre-tokenizer, straight from the model."""
@@ -126,6 +134,15 @@ class _Chunks(dict):
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
+def _cuts(settings: dict) -> bool:
+    """Whether a tokenizer's file has the byte-level pieces, and nothing beside them, that cutting at spaces relies on."""
+    before, model = settings["pre_tokenizer"] or {}, settings["model"]
+    plain = settings["normalizer"] is None and settings["post_processor"] is None and settings["truncation"] is None and settings["padding"] is None
+    pieces = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+    words = model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+    return plain and pieces and words and not any(t["normalized"] for t in settings["added_tokens"])
+
+
 class Encoder:
     """The tokenizers library behind a memo of chunks.
 
@@ -133,18 +150,18 @@ class Encoder:
     two other characters, so a text may be cut there and each chunk encoded alone.
     Chunks of Latin letters, plain marks and single line ends are cut further at
     the borders between these, where it starts new pieces too. Texts that hold an
-    added token are not cut. Each text's ids are those of the whole text. With
-    ``plain`` special tokens in texts are ordinary text.
+    added token are not cut, and with a file whose settings are others (``_cuts``) none
+    are. Each text's ids are those of ``encode(text, add_special_tokens=False)``.
     """
 
-    def __init__(self, path: str, memo: int = MEMO, plain: bool = True):
+    def __init__(self, path: str, memo: int = MEMO):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = plain
-        self.added = [] if plain else [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         self.chunks, self.limit = _Chunks(tokenizer), memo
+        self.cuts = _cuts(json.loads(tokenizer.to_str()))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         chunks, out = self.chunks, []
@@ -153,7 +170,7 @@ class Encoder:
             if len(chunks) > self.limit or len(chunks.inner) > self.limit:
                 chunks.clear()
                 chunks.inner.clear()
-            if any(a in t for a in self.added):
+            if not self.cuts or any(a in t for a in self.added):
                 out.append(chunks.whole(t))
                 continue
             if "  " in t or " \n" in t or "\n " in t or t[:1] == " " or t[-1:] == " " or _ODD.search(t):
@@ -169,9 +186,9 @@ _encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """One for each worker process and tokenizer; ids are those that the library gives by default."""
+    """One for each worker process and tokenizer."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path, plain=False)
+        _encoders[path] = Encoder(path)
     return _encoders[path]
 
 
