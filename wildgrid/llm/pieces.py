@@ -11,7 +11,7 @@ written in bytes, which keeps it apart.
 
 No piece goes on over the border before a space that follows another character, so
 best paths of words are parts of the best path of the text: words are encoded once
-for each worker, in a bounded memo.
+for each worker, in a memo of bounded size (long words aren't kept).
 """
 
 from __future__ import annotations
@@ -29,7 +29,8 @@ from .common import table
 
 SPACE = "▁"
 UNKNOWN = 10.0
-MEMO = 450_000
+#: Words that one worker keeps with their ids, and the longest such word: both bound its memory.
+MEMO, LONG = 450_000, 64
 #: A word with the spaces before it. The mark in a text stands for itself in bytes, so it is part of a word.
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]*")
 #: Stands for U+2581 of the text while spaces are written so; no valid text holds a lone surrogate.
@@ -111,7 +112,9 @@ class _Words(dict):
         self.model = model
 
     def __missing__(self, word: str) -> bytes:
-        ids = self[word] = array("I", self.model.viterbi(SPACE + word)[0]).tobytes()
+        ids = array("I", self.model.viterbi(SPACE + word)[0]).tobytes()
+        if len(word) <= LONG:
+            self[word] = ids
         return ids
 
 
@@ -219,4 +222,5 @@ def op5_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     found = decode(encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model), model)
     joined = F.crc32(F.encode(F.array_join(F.transform("ids", lambda i: i.cast("string")), " "), "UTF-8"))
-    return found.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), joined.alias("ids_crc32"), F.round("piece_score", 3).alias("piece_score"), F.sha2("decoded", 256).alias("decoded_sha256"), F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+    n = F.when(F.col("ids").isNotNull(), F.size("ids").cast("long"))
+    return found.select("doc_id", n.alias("n_pieces"), joined.alias("ids_crc32"), F.round("piece_score", 3).alias("piece_score"), F.sha2("decoded", 256).alias("decoded_sha256"), F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
