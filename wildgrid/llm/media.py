@@ -159,10 +159,15 @@ def text_payload(text, multiple: int = FRAME, fill: str = " "):
 
 
 def op1_wav_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A last column, fingerprint: the time-coded array itself. feature is the number of its pairs and their digest.
+
+    The file of each text is read back in the stage that makes it; a table of media to be
+    kept is ``encode_wav`` written by Spark's writer, and ``wav_features`` reads such a table alike.
+    """
     docs = table(spark, sf_dir, "documents")
     n = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
     rows = docs.select("doc_id", n.alias("n_bytes"), text_payload(F.col("text")).alias("payload"))
     found = wav_features(encode_wav(rows, "payload"))
     coded = F.sha2(F.to_json("fingerprint"), 256)
     feature = F.concat_ws(":", F.lit("pairs"), F.size("fingerprint").cast("string"), coded)
-    return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"))
+    return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"), "fingerprint")
