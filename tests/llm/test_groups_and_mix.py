@@ -2,6 +2,7 @@
 
 import random
 import re
+from math import comb
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,6 +18,10 @@ def sets(text, k):
     return {tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
 
 
+def spark_rows(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
 def brute(rows, k, percent):
     """doc_id -> (shingles, smallest reachable id); rows of one id are one document."""
     s = [(i, sets(t, k)) for i, t in rows]
@@ -128,6 +133,18 @@ def test_no_rows_null_ids_repeated_rows(spark):
     assert sorted((r.doc_id or 0, r.component_id or 0) for r in found) == [(0, 0), (1, 1), (2, 1), (2, 1), (5, 5)]
 
 
+def test_texts_of_one_id_are_one_document(spark):
+    """Links of any text of an id are links of the document, on chains of ids and texts too."""
+    a, b, c = "a b c d e f g", "h i j k l m n", "o p q r s t u"
+    rows = [(5, a), (5, b), (1, a), (9, b), (20, c), (21, c), (30, "x y z"), (31, ""), (31, None)]
+    found = {r.doc_id: r.component_id for r in jaccard.near_components(spark_rows(spark, rows)).collect()}
+    assert found == {5: 1, 1: 1, 9: 1, 20: 20, 21: 20, 30: 30, 31: 31}
+    rnd = random.Random(4)
+    rows = [(rnd.randrange(60), t) for _, t in corpus(11, 90)]
+    found = sorted(tuple(r) for r in jaccard.near_components(spark_rows(spark, rows), 3, 90).collect())
+    assert found == brute(rows, 3, 90)
+
+
 # --- mixing -------------------------------------------------------------------------------
 
 
@@ -187,6 +204,51 @@ def test_documents_that_do_not_fit_are_passed_over(spark, block_rows, large):
             assert abs(taken - target) <= min(left or [max(r.n for r in own)]) / 2 + 1e-6
 
 
+def brute_last_pass(rows, blocks, targets, shards):
+    """Keys that the last pass takes: by loops over (source number, block, key, size) and the shard of each block."""
+    out = set()
+    for number, (rest, n_blocks) in targets.items():
+        mine = [r for r in rows if r[0] == number]
+        small = lambda r: r[3] <= rest / min(shards, n_blocks)  # noqa: B023, E731
+        words = sum(r[3] for r in mine if small(r))
+        left = rest
+        for shard in {blocks[r[:2]] for r in mine}:
+            own = [r for r in mine if blocks[r[:2]][:1] == shard[:1] and small(r)]
+            share = rest * sum(r[3] for r in own) / words if words else 0
+            total = 0
+            for r in sorted(own, key=lambda r: (blocks[r[:2]][1], r[2])):
+                total += r[3]
+                if total <= share + 1e-9 and r[2] not in out:
+                    out.add(r[2])
+                    left -= r[3]
+        for r in sorted((r for r in mine if r[2] not in out and r[3]), key=lambda r: (r[3], r[1], r[2])):
+            if r[3] > left:
+                if r[3] - left < left:
+                    out.add(r[2])
+                break
+            out.add(r[2])
+            left -= r[3]
+    return out
+
+
+def test_last_pass_matches_brute_force(spark):
+    rnd = random.Random(6)
+    rows = [(i, rnd.choice("aaab") if i > 40 else "c", rnd.choice([1, 3, 20, 50, 200, 900])) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, n long").withColumn("text", F.col("doc_id").cast("string"))
+    taken = {}
+    for shards, seed in ((4, 7), (4, 8), (1, 7)):
+        slim = mixing._rows(df, F.col("n"), "source", seed).select("source", "mix_key", "mix_size", "doc_id")
+        targets, blocks = mixing.plan(slim.select("source", "mix_key", "mix_size"), (5, 2, 1), 3.0, shards, 8, seed)
+        order = {(r.mix_number, r.mix_block): (r.last_shard, r.before) for r in blocks.collect()}
+        placed = mixing.blocked(slim, targets, "source").collect()
+        want = brute_last_pass([(r.mix_number, r.mix_block, r.mix_key, r.mix_size) for r in placed], order, {r.mix_number: (r.mix_rest, r.mix_blocks) for r in targets.collect()}, shards)
+        whole = {r.doc_id: r.mix_whole for r in placed}
+        found = {r.doc_id: len(r.mix_places) for r in mixing.placed(df, F.col("n"), block_rows=8, shards=shards, seed=seed).collect()}
+        assert found == {r.doc_id: whole[r.doc_id] + (r.mix_key in want) for r in placed}
+        taken[shards, seed] = found
+    assert taken[4, 7] != taken[4, 8] and taken[4, 7] != taken[1, 7]  # seed and tree decide
+
+
 def test_leaves_add_up_and_are_fair(spark):
     quotas = spark.createDataFrame([(0, 40), (1, 25), (2, 0), (3, 7)], "number int, tickets long")
     leaves = mixing.split_tickets(quotas, 8, 3).collect()
@@ -198,6 +260,25 @@ def test_leaves_add_up_and_are_fair(spark):
         mixing.split_tickets(quotas, 3, 1)
 
 
+def test_hypergeometric_quantiles(spark):
+    """Against the distribution by binomial coefficients, and large numbers by mean and range."""
+    cases = [(0, 0, 0), (1, 1, 1), (10, 4, 5), (10, 10, 3), (10, 0, 7), (50, 20, 49), (200, 77, 100)]
+    us = [0.0, 0.01, 0.3, 0.52, 0.77, 0.999]
+    rows = [(u, *c) for c in cases for u in us]
+    draw = mixing.hypergeometric(F.col("u"), F.col("n"), F.col("k"), F.col("d"))
+    found = spark.createDataFrame(rows, "u double, n long, k long, d long").select("*", draw.alias("x")).collect()
+    for r in found:
+        cumulative, x = 0, max(0, r.d - (r.n - r.k))
+        while True:
+            cumulative += comb(r.k, x) * comb(r.n - r.k, r.d - x)
+            if cumulative > r.u * comb(r.n, r.d):
+                break
+            x += 1
+        assert r.x == x, r
+    large = spark.range(40).select(((F.col("id") + 0.5) / 40).alias("u"), F.lit(20_000_000).alias("n"), F.lit(6_000_000).alias("k"), F.lit(10_000_000).alias("d")).select(draw.alias("x")).collect()
+    assert abs(sum(r.x for r in large) / 40 - 3_000_000) < 100 and len({r.x for r in large}) == 40
+
+
 def test_shards_hold_the_mix(spark, tmp_path):
     _, df = mix_table(spark, 2, 150)
     mix = mixing.mixed(df, block_rows=8, shards=4)
@@ -233,6 +314,8 @@ def test_stages_one_by_one(spark):
         if name == "language":
             letters = {r.doc_id for r in given.collect() if r.text and any(c.isalpha() for c in r.text)}
             assert {r.doc_id for r in rows.collect()} == letters
+            noise = docs.limit(20).withColumn("text", F.sha2(F.col("text"), 256)).unionByName(docs)
+            assert corpus_pipeline.language(spark, noise.withColumn("lang", F.when(F.length("text") != 64, F.col("lang"))), d).count() == rows.count()
         if name == "near_duplicates":
             groups = brute([(r.doc_id, r.text) for r in given.collect()], 5, 80)
             assert sorted(r.doc_id for r in rows.collect()) == sorted(i for i, _, c in groups if i == c)
@@ -244,8 +327,34 @@ def test_stages_one_by_one(spark):
 def test_stages_without_rows_and_with_odd_ones(spark):
     d = "/root/testdata/sf0.001"
     odd = spark.createDataFrame([(None, None, None, None, 0), (1, "", "en", "s", 0), (2, "hello there you", "en", None, 5), (2, "hello there you", "en", None, 5), (3, "x" * 200_000, "de", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    odd = odd.selectExpr("*", "1 as score", "2 as lang_pred", "3 as mix_size", "4 as mix_shard", "5 as component_id", "'r' as row", "'d' as doc")
     for docs in (odd.limit(0), odd):
         rows = docs
         for _, stage in corpus_pipeline.STAGES:
             rows = corpus_pipeline.written(stage(spark, rows, d), "test-odd")
         rows.count()
+
+
+def test_no_text_is_lost_where_ids_repeat(spark):
+    """Survivors are chosen by text: one row of each group of near-duplicate texts, whatever their ids."""
+    a, b, c = "a b c d e f g", "h i j k l m n", "o p q r s t u"
+    schema = "doc_id long, text string, row string, doc string"
+
+    def kept(rows):
+        df = spark.createDataFrame([(i, t, "r", "d") for i, t in rows], schema)
+        out = corpus_pipeline.near_duplicates(spark, df, "")
+        assert out.columns == df.columns
+        return sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+
+    assert kept([(5, a), (5, b), (1, a), (9, b), (None, a), (2, c), (2, c), (2, None), (2, ""), (3, c), (None, "z")]) == [(1, a), (2, ""), (2, c), (2, None), (5, b), (None, "z")]
+    rnd = random.Random(5)
+    rows = [(rnd.choice([None, *range(20)]), t) for _, t in corpus(12, 60)]
+    numbered = list(enumerate(t for _, t in rows))
+    groups = {}
+    for i, n, g in brute(numbered, 5, 80):
+        groups.setdefault(g, []).append(rows[i])
+    found = kept(rows)
+    assert len(found) == len(groups)
+    for members in groups.values():
+        least = min((i is None, i or 0) for i, _ in members)
+        assert any(r in found for r in members if (r[0] is None, r[0] or 0) == least)

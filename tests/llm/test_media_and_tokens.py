@@ -57,6 +57,20 @@ def test_pairs_find_known_tones():
     assert [tuple(r) for r in rows] == sorted(brute, key=lambda r: (r[0], r[3]))
 
 
+def test_peaks_match_a_direct_transform():
+    """Every bin of every frame by the sum that defines it, then the definition of a peak, on short signals."""
+    n, hop = media.FRAME, media.HOP
+    window = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(n) / (n - 1))
+    wave_ = np.exp(-2j * np.pi * np.outer(np.arange(n // 2 + 1), np.arange(n)) / n)
+    for seed in range(4):
+        x = np.frombuffer(random.Random(seed).randbytes(n + hop * 30), np.uint8)
+        frames = [(x[k : k + n].astype(float) - 128) * window for k in range(0, len(x) - n + 1, hop)]
+        level = [np.floor(np.log2(np.abs(wave_ @ f)[media.LOW_BIN : -1] ** 2 + 1) * 64) for f in frames]
+        best = [(int(p.max()), int(p.argmax()) + media.LOW_BIN) for p in level]
+        want = [(t, b) for t, (v, b) in enumerate(best) if v > 0 and (t == 0 or v > best[t - 1][0]) and (t == len(best) - 1 or v >= best[t + 1][0])]
+        assert [tuple(map(int, r)) for r in zip(*media.peaks(x))] == want
+
+
 def test_spectrogram_in_parts_is_that_of_the_whole(monkeypatch):
     x = np.frombuffer(random.Random(1).randbytes(40_000), np.uint8)
     whole = np.concatenate([p for _, p in media.spectrogram(x)])
@@ -77,13 +91,30 @@ def test_cut_texts_have_the_ids_of_whole_ones():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(BYTE_BPE)
-    t.encode_special_tokens = True
     rnd = random.Random(1)
-    texts = [x or "" for x in TEXTS[:-1]] + ["<|endoftext|> a b", *("".join(rnd.choice("ab é1'.,\n \t\x1c\x85　sS²ß") for _ in range(rnd.randint(0, 40))) for _ in range(800))]
+    texts = [x or "" for x in TEXTS[:-1]] + ["<|endoftext|> a b", "hello <|endoftext|> world", "y" * 200 + " " + "x" * 200, *("".join(rnd.choice("ab é1'.,\n \t\x1c\x85　sS²ß") for _ in range(rnd.randint(0, 40))) for _ in range(800))]
     assert bitplanes.Encoder(BYTE_BPE)(texts) == [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch(texts, add_special_tokens=False)]
     assert bitplanes.Encoder(BYTE_BPE, memo=3)(texts[:50]) == bitplanes.Encoder(BYTE_BPE)(texts[:50])
 
 
+def test_other_tokenizers_see_whole_texts(tmp_path):
+    """Files with a normalizer or another pre-tokenizer: no cutting, still the library's ids."""
+    import json
+
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+    texts = [" Ab  Cd", "x y", "A<|endoftext|> B"]
+    for k, change in enumerate(({"normalizer": normalizers.Lowercase()}, {"pre_tokenizer": pre_tokenizers.ByteLevel(add_prefix_space=True)})):
+        t = Tokenizer.from_file(BYTE_BPE)
+        for name, value in change.items():
+            setattr(t, name, value)
+        path = tmp_path / f"{k}.json"
+        path.write_text(json.dumps(json.loads(t.to_str())))
+        enc = bitplanes.Encoder(str(path))
+        assert not enc.cuts and enc(texts) == [np.array(t.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+    assert bitplanes.Encoder(BYTE_BPE).cuts
+
+
 def test_stored_ids_are_those_in_order(spark):
     from tokenizers import Tokenizer
 

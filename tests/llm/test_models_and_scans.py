@@ -47,23 +47,21 @@ def test_reputation_shrinks(spark):
 # --- languages --------------------------------------------------------------------
 
 
-def brute_bits(train, text, langs, kept):
+def brute_bits(train, text, langs):
     """Code length by dictionaries of contexts."""
-    sym = lambda b: b if b in kept else -1
-    out = []
+    pad, out = b" " * langid.ORDER, []
     for lang in langs:
         ctx = {}
         for t in train[lang]:
-            s = [sym(b) for b in b"  " + t]
-            for i in range(2, len(s)):
-                for o in range(3):
-                    ctx.setdefault(tuple(s[i - o : i]), {}).setdefault(s[i], 0)
-                    ctx[tuple(s[i - o : i])][s[i]] += 1
-        bits, s = 0.0, [sym(b) for b in b"  " + text]
-        other = math.log2(max(1, 256 - len(kept)))
-        for i in range(2, len(s)):
-            for o in (2, 1, 0):
-                c = ctx.get(tuple(s[i - o : i]))
+            s = pad + t
+            for i in range(len(pad), len(s)):
+                for o in range(langid.ORDER + 1):
+                    seen = ctx.setdefault(s[i - o : i], {})
+                    seen[s[i]] = seen.get(s[i], 0) + 1
+        bits, s = 0.0, pad + text
+        for i in range(len(pad), len(s)):
+            for o in range(langid.ORDER, -1, -1):
+                c = ctx.get(s[i - o : i])
                 if c is None:
                     continue
                 n, d = sum(c.values()), len(c)
@@ -72,8 +70,7 @@ def brute_bits(train, text, langs, kept):
                     break
                 bits += math.log2((n + d) / d)
             else:
-                bits += math.log2(len(kept) + 1)
-            bits += other if s[i] == -1 else 0
+                bits += 8
         out.append(bits)
     return out
 
@@ -83,9 +80,8 @@ def test_code_lengths_match_trees(spark, monkeypatch):
     train = {"aa": [bytes(rnd.choice(b"abcd ") for _ in range(80)) for _ in range(3)], "bb": [bytes(rnd.choice(b"xyzd ") for _ in range(80)) for _ in range(3)]}
     rows = [(lang, t.decode()) for lang, ts in train.items() for t in ts]
     model = langid.train(spark.createDataFrame([*rows, (None, "zz"), ("cc", None)], "lang string, text string"))
-    kept = {b for ts in train.values() for t in ts for b in t}
     texts = [b"abcd dcba", b"xyz", b"qqq unseen \xc3\xa9", b"d", b"abcd xyz " * 40]
-    want = [brute_bits(train, t, model.langs, kept) for t in texts]
+    want = [brute_bits(train, t, model.langs) for t in texts]
     assert model.langs == ["aa", "bb"] and np.allclose(model.lengths(texts), want, rtol=1e-5)
     monkeypatch.setattr(langid, "CHUNK", 10)  # texts by parts
     assert np.allclose(model.lengths(texts), want, rtol=1e-5)
@@ -98,19 +94,35 @@ def test_rare_scripts_beside_a_hot_one(spark):
     text = lambda a, n: " ".join("".join(rnd.choice(a) for _ in range(5)) for _ in range(n)).encode()
     train = {"hot": [text(latin, 3000)], "one": [text("\u0e01\u0e02\u0e03", 30)], "two": [text("\u0e04\u0e05\u0e06", 30)]}
     model = langid.train(spark.createDataFrame([(lang, t.decode()) for lang, ts in train.items() for t in ts], "lang string, text string"))
-    kept = {b for ts in train.values() for t in ts for b in t}
-    assert len(kept) > 127
     texts = [text("\u0e01\u0e02\u0e03", 3), text("\u0e04\u0e05\u0e06", 3), text(latin, 3), b"\xf4\x8f\xbf\xbf a"]
-    assert np.allclose(model.lengths(texts), [brute_bits(train, t, model.langs, kept) for t in texts], rtol=1e-5)
+    assert np.allclose(model.lengths(texts), [brute_bits(train, t, model.langs) for t in texts], rtol=1e-5)
     assert model.predict([t.decode() for t in texts[:3]])[0] == ["one", "two", "hot"]
-    assert len(model.bits) < 20_000 < model.base**3  # only what occurs
+
+
+def test_only_frequent_grams_are_kept_where_there_are_too_many(spark):
+    rows = [("a", 1, g, 1 + g // 10) for g in range(1000)] + [("b", 1, g, 5) for g in range(300)] + [("b", 0, g, 7) for g in range(9)]
+    counts = spark.createDataFrame(rows, "lang string, length int, gram long, n long")
+    assert langid.frequent(counts).count() == len(rows)
+    kept = {(r.lang, r.length, r.gram) for r in langid.frequent(counts, grams=305).collect()}
+    assert kept == {("a", 1, g) for g in range(700, 1000)} | {("b", 1, g) for g in range(300)} | {("b", 0, g) for g in range(9)}
+    assert {r.lang for r in langid.frequent(counts, grams=10).where("length = 1").collect()} == {"a"}  # 300 alike: all or none
+
+
+def test_scores_tell_text_from_noise(spark):
+    """Scores don't grow with length alone: what no language describes scores low however long it is."""
+    model = langid.train(spark.read.parquet(f"{TINY}/documents.parquet"))
+    rnd = random.Random(8)
+    noise = ["".join(rnd.choice("0123456789abcdef") for _ in range(n)) for n in (20, 200, 20_000)] + ["".join(map(chr, (rnd.randrange(0x4E00, 0x9000) for _ in range(500))))]
+    assert max(model.predict(noise)[1]) < 0.5
+    lang, score = model.predict(["Of the thing and that her.", "Der und die nicht. " * 2000])
+    assert lang == ["en", "de"] and min(score) > 0.9
 
 
 def test_undetermined_and_empty(spark):
     learned = langid.train(spark.createDataFrame([("en", "the and of"), ("de", "der und von")], "lang string, text string"))
     df = spark.createDataFrame([(1, None), (2, ""), (3, "12 !?"), (4, "the of"), (5, "der und " * 50_000)], "doc_id long, text string")
     found = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(df, learned).collect()}
-    assert found[1] == found[2] == found[3] == ("und", 0.0) and found[4][0] == "en" and found[5] == ("de", 1.0)
+    assert found[1] == found[2] == found[3] == ("und", 0.0) and found[4][0] == "en" and found[5][0] == "de" and found[5][1] > 0.9
     nothing = langid.train(spark.createDataFrame([], "lang string, text string"))
     assert {r.lang_pred for r in langid.identify(df, nothing).collect()} == {"und"}
     with pytest.raises(ValueError):
@@ -140,7 +152,7 @@ def test_recall_ties_and_scores(spark):
     use = ann.usable(df)
     assert use.count() == 1500
     books = ann.train(use, books=8, words=64)
-    found = ann.search(ann.build_index(use, books), use.where("vec_id % 20 = 0"), books, k=20).collect()
+    found = ann.search(ann.build_index(use, books), use, use.where("vec_id % 20 = 0"), books, k=20, rerank=60).collect()
     by = {}
     for r in found:
         by.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
@@ -161,11 +173,20 @@ def test_few_vectors_and_none(spark):
     use = ann.usable(df.where("vec_id < 5"))
     books = ann.train(use, books=2, words=8)
     for metric in ann.METRICS:
-        found = ann.search(ann.build_index(use, books), use.where("vec_id = 0"), books, metric=metric).collect()
+        found = ann.search(ann.build_index(use, books), use, use.where("vec_id = 0"), books, metric=metric).collect()
         assert sorted(r.vec_id for r in found) == [1, 2, 3, 4]
     assert ann.train(ann.usable(df.limit(0))) is None
     with pytest.raises(ValueError):
-        ann.search(use, use, books, metric="cosine")
+        ann.search(use, use, use, books, metric="cosine")
+
+
+def test_repeated_ids_are_one_row(spark):
+    df = spark.createDataFrame([(1, [2.0, 0.0]), (1, [1.0, 5.0]), (1, [1.0, 5.0]), (2, [3.0, 1.0]), (3, [0.5, 1.0])], "vec_id long, embedding array<double>")
+    use = ann.usable(df)
+    assert sorted((r.vec_id, r.embedding) for r in use.collect()) == [(1, [1.0, 5.0]), (2, [3.0, 1.0]), (3, [0.5, 1.0])]
+    books = ann.train(use, books=2, words=4)
+    found = ann.search(ann.build_index(use, books), use, use.where("vec_id = 2"), books).collect()
+    assert [(r.rank, r.vec_id, r.score) for r in sorted(found, key=lambda r: r.rank)] == [(1, 1, 8.0), (2, 3, 2.5)]
 
 
 def test_beam_search_is_no_worse_than_greedy():
@@ -255,19 +276,55 @@ def test_path_is_best_of_all():
     assert score(path) == pytest.approx(max(score(p) for p in itertools.product(range(transcripts.STATES), repeat=5)))
 
 
-def test_markers_odd_rows_and_rendering(spark):
+def test_rendering_keeps_everything_but_markers(spark):
+    """Each turn is closed, and a transcript's texts are its lines less the markers that opened turns."""
     hmm = transcripts.fit(transcripts.raw_lines(spark.read.parquet(f"{TINY}/conversations.parquet")))
-    turns = [(1, 0, "system", "be good"), (1, 1, "user", "what\nis it?"), (1, 2, "assistant", "this"), (None, None, None, None), (2, 0, "user", ""), (2, 0, "user", ""), (3, 0, "user", "long " * 20_000)]
-    lines = transcripts.raw_lines(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
-    found = transcripts.parse(lines.select("conv_id", "place", "line"), hmm).orderBy("conv_id", "place").collect()
-    assert len(found) == 8
-    first = [r for r in found if r.conv_id == 1]
-    assert "".join(r.rendered + "\n" for r in first).count("<|end|>") == sum(r.is_first for r in first) - 1
+    place = lambda k: (k, 0, 0)
+    texts = ["System: be good", "User: what", "https://example.org/page", "Note: keep this word", "Result: 5", "is it <|end|>?", "Assistant: this", "", "User: and?", "[A]: done"]
+    rows = [(1, place(k), t) for k, t in enumerate(texts)] + [(None, place(0), None), (2, place(0), "User: "), (2, place(0), "User: "), (3, place(0), "long " * 20_000)]
+    lines = spark.createDataFrame(rows, "conv_id long, place struct<turn:long,text:long,row:int>, line string")
+    for chunk in (2, 512):
+        found = transcripts.parse(lines, hmm, chunk)
+        assert found.count() == len(rows)
+        out = {(r.conv_id, r.turn_no): r for r in transcripts.turns(found).collect()}
+        mine = [out[1, k] for k in range(1, 1 + sum(c == 1 for c, _ in out))]
+        starts = {(r.role, r.text.split("\n")[0]) for r in mine}
+        assert {("system", "be good"), ("user", "what"), ("assistant", "this"), ("user", "and?"), ("assistant", "done")} <= starts
+        assert "\n".join(r.text for r in mine) == "\n".join(re.sub(r"^(System|User|Assistant|\[A\]): ", "", t) for t in texts)
+        whole = "".join(r.rendered for r in mine)
+        assert whole.count("<|end|>") == len(mine) and whole.endswith("<|assistant|>\ndone<|end|>\n") and "is it <||end|>?" in whole
+        assert out[None, 1].text == "" and out[3, 1].text == "long " * 20_000 and sum(r.n_lines for (c, _), r in out.items() if c == 2) == 2
     none = lines.limit(0)
-    assert transcripts.parse(none.select("conv_id", "place", "line"), transcripts.fit(none)).count() == 0
+    assert transcripts.turns(transcripts.parse(none, transcripts.fit(none.selectExpr("*", "'user' as role", "true as is_first")))).count() == 0
+
+
+def test_fit_counts_every_line_and_its_neighbour(spark):
+    """By range partitions as by loops, whatever their number, on one long transcript and on short ones."""
+    rnd = random.Random(3)
+    rows = [(c, (k, 0, 0), rnd.choice(["User: a", "b?", "Assistant: " + "c" * 300, "d"]), rnd.choice(["user", "assistant", "other"]), rnd.random() < 0.5) for c, n in ((1, 400), (None, 90), (2, 1), (3, 40)) for k in range(n)]
+    df = spark.createDataFrame(rows, "conv_id long, place struct<turn:long,text:long,row:int>, line string, role string, is_first boolean")
+    move = np.zeros((transcripts.STATES + 1, transcripts.STATES))
+    last = {}
+    for c, _, _, role, first in rows:
+        if role != "other":
+            state = 2 * transcripts.ROLES.index(role) + (not first)
+            move[last.get(c, transcripts.STATES), state] += 1
+            last[c] = state
+    for parts in (1, 7):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        found = transcripts.fit(df)
+        assert np.allclose(found.move[:, : transcripts.STATES], np.log((move + 1) / (move + 1).sum(1, keepdims=True)))
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
 
 
 def test_held_out_roles(spark):
-    given = transcripts.raw_lines(spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")).select("conv_id", F.col("place.turn").alias("turn"), F.col("place.row").alias("line_no"), "role")
-    found = transcripts.op10_transcript_roles(spark, "/root/testdata/sf0.01").where("held_out").join(given, ["conv_id", "turn", "line_no"]).collect()
-    assert len(found) > 100 and sum(r.role == r.role_pred for r in found) / len(found) > 0.93
+    """Lines of marked and unmarked turns; the latter alone are much harder."""
+    conversations = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
+    lines = transcripts.raw_lines(conversations)
+    hmm = transcripts.fit(lines.where(~transcripts.held_out(F.col("conv_id"))))
+    given = lines.where(transcripts.held_out(F.col("conv_id")))
+    found = transcripts.parse(given, hmm).withColumnRenamed("role", "found").join(given.select("conv_id", "place", "role"), ["conv_id", "place"]).collect()
+    right = [r.role == r.found for r in found]
+    assert len(found) > 100 and sum(right) / len(found) > 0.93
+    out = transcripts.op10_transcript_roles(spark, "/root/testdata/sf0.01")
+    assert out.agg(F.sum("n_lines")).first()[0] == lines.count() and out.columns[:5] == ["conv_id", "turn_no", "held_out", "role_pred", "n_lines"]

@@ -20,11 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset
-    (tests, local mode) a temporary folder of this machine is taken.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset a local session
+    (tests) takes a temporary folder of this machine; any other is refused, as its
+    executors would each write to a disk of their own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
