@@ -1,10 +1,10 @@
 """A corpus from raw documents: STAGES, each written as Parquet and read again as the next one's documents.
 
-1. language: documents without a determinable language are rejected, that is those without text
-   or letters, and short ones between languages (``wildgrid.llm.langid``). The score compares
-   the learned languages only: gibberish and other languages are not rejected by it;
-2. near duplicates: of each group linked by 5-word shingles of similarity 0.8 or more the
-   document with the smallest id stays (``wildgrid.llm.jaccard``);
+1. language: documents without a determinable language are rejected: those without text or
+   letters, and those that no learned language's code lengths describe well or better
+   than the others' (``wildgrid.llm.langid``);
+2. near duplicates: of each group of texts linked by 5-word shingles of similarity 0.8 or more
+   the one with the smallest id stays (``wildgrid.llm.jaccard``);
 3. mixture: sources are brought to their target weights; documents are left out or
    repeated as drawn (``wildgrid.llm.mixing``);
 4. pieces: the ids of every document's text (``wildgrid.llm.pieces``).
@@ -21,45 +21,70 @@ from pyspark.sql import functions as F
 from wildgrid.llm import jaccard, langid, mixing, pieces
 from wildgrid.llm.common import table, written
 
-#: A language must take this share of a text's probability to be accepted.
-LANGUAGE_SHARE = 0.5
+#: Least score of a language (its share at ``langid.SCORED`` bytes of text) for it to be accepted.
+LANGUAGE_SHARE = 0.35
 
 
 def _columns(df: DataFrame, docs: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def _neutral(docs: DataFrame) -> DataFrame:
+    """Columns that no stage reads under neutral names, so that none clashes with what the operators add."""
+    used = ("doc_id", "text", "lang", "source")
+    return docs.toDF(*[c if c in used else f"kept_{k}" for k, c in enumerate(docs.columns)])
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents that are ``und``, or of which no language has ``LANGUAGE_SHARE``."""
-    found = langid.identify(docs, langid.train(docs))
-    return _columns(found.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LANGUAGE_SHARE)), docs)
+    """Rejects documents that are ``und`` (null, empty, letterless), or whose score is below ``LANGUAGE_SHARE``.
+
+    Languages are learned from the documents' own labels; without any every document is
+    ``und`` and goes. Repeated rows are judged alike. Other columns come through as they are, whatever their names.
+    """
+    rows = _neutral(docs)
+    found = langid.identify(rows, langid.train(rows), names=("kept_lang", "kept_score"))
+    kept = found.where((F.col("kept_lang") != langid.UNDETERMINED) & (F.col("kept_score") >= LANGUAGE_SHARE))
+    return _columns(kept, rows).toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: that with the smallest id. Rows without id, of which none can be chosen, stay.
+    """One row of each group of near-duplicate texts stays: that with the smallest id.
 
-    Of repeated rows with the chosen id one stays.
+    Groups are of texts: a row's id decides nothing but which row stays. So rows of one
+    id with different texts all stay, unless they are near duplicates; of rows with equal
+    ids in a group the one with the smaller hash of its text stays, null ids come last.
+    Texts without words are no near duplicates. Repeated rows are a group like others.
     """
-    groups = jaccard.near_components(docs)
-    dropped = groups.where("component_id < doc_id").select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti")
-    several = kept.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if several.limit(1).count() == 0:
-        return _columns(kept, docs)
-    once = kept.join(several, "doc_id").dropDuplicates(["doc_id"])
-    return _columns(kept.join(several, "doc_id", "left_anti").unionByName(once), docs)
+    ids = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    if ids.limit(1).count() == 0 and docs.where("doc_id is null").limit(1).count() == 0:
+        groups = jaccard.near_components(docs)
+        dropped = groups.where("component_id < doc_id").select("doc_id")
+        return _columns(docs.join(dropped, "doc_id", "left_anti"), docs)
+    # the rows get numbers of their own, written once, so that a repeated task can't change them
+    numbered = written(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")), "numbered")
+    groups = jaccard.near_components(numbered.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text")))
+    order = F.struct(F.col("doc.doc_id").isNull().alias("none"), "doc.doc_id", F.xxhash64("doc.text").alias("text"), "row")
+    found = numbered.select("row", order.alias("order")).join(groups.select(F.col("doc_id").alias("row"), "component_id"), "row")
+    first = found.groupBy("component_id").agg(F.min("order")["row"].alias("row")).select("row")
+    return numbered.join(first, "row", "left_semi").select("doc.*").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _columns(mixing.mixed(docs), docs)
+    """The mix of the sources: rows are left out or repeated as the splitting tree draws, and lie shard after shard, shuffled.
+
+    A null source is a source of its own; null and empty texts have no words and are not
+    drawn; equal rows are drawn alike. An empty table gives an empty mix. Other columns come through as they are.
+    """
+    rows = _neutral(docs)
+    return _columns(mixing.in_order(mixing.mixed(rows)), rows).toDF(*docs.columns)
 
 
 def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, n_pieces and ids of every document of the mixture."""
+    """doc_id, source, n_pieces and ids of every row of the mixture. A null text has null ids and n_pieces, an empty one none and 0; repeated rows stay."""
     import public_tokenizers
 
     found = pieces.encode(docs.select("doc_id", "source", "text"), public_tokenizers.path("piece_bpe_32k.model"))
-    return found.select("doc_id", "source", F.size("ids").alias("n_pieces"), "ids")
+    return found.select("doc_id", "source", F.when(F.col("ids").isNotNull(), F.size("ids")).alias("n_pieces"), "ids")
 
 
 STAGES = [("language", language), ("near_duplicates", near_duplicates), ("mixture", mixture), ("piece_ids", piece_ids)]
