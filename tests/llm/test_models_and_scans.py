@@ -180,6 +180,18 @@ def test_few_vectors_and_none(spark):
         ann.search(use, use, use, books, metric="cosine")
 
 
+def test_scan_of_many_blocks_is_that_of_one(spark, monkeypatch):
+    x, df = vectors(spark, 400)
+    use = ann.usable(df)
+    books = ann.train(use, books=4, words=16)
+    index = ann.build_index(use, books)
+    want = sorted(map(tuple, ann.shortlist(index, use.where("vec_id % 20 = 0"), books, 30, "ip").collect()))
+    assert len(want) == 20 * 30
+    monkeypatch.setattr(ann, "ROW_BLOCK", 16)
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 7)
+    assert sorted(map(tuple, ann.shortlist(index, use.where("vec_id % 20 = 0"), books, 30, "ip").collect())) == want
+
+
 def test_repeated_ids_are_one_row(spark):
     df = spark.createDataFrame([(1, [2.0, 0.0]), (1, [1.0, 5.0]), (1, [1.0, 5.0]), (2, [3.0, 1.0]), (3, [0.5, 1.0])], "vec_id long, embedding array<double>")
     use = ann.usable(df)

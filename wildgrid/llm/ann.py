@@ -9,9 +9,10 @@ keeps the best ``RERANK`` rows of each query over the whole index, fetches the o
 vectors of these alone, and scores them again exactly.
 
 The scan is linear: every query is compared with every row's codes. Queries and codes
-are both dealt into blocks by a hash of their key, and each pair of blocks is one row of
-an equi-join on a grid of (query block, row group), so no task holds more than two
-blocks. Only codes and norms go through that join, never the rows' vectors.
+are both dealt into blocks by a hash of their key, and blocks meet in an equi-join on
+(query block, lane), each pair of blocks being one row of it, so no task holds more than
+two blocks and one shortlist. Only codes and norms go through that join, never the rows'
+vectors, and what comes out grows with the queries alone.
 """
 
 from __future__ import annotations
@@ -30,7 +31,9 @@ BEAM = 4
 #: Rows that codebooks are fitted to at most, taken by the smallest hashes of their keys.
 SAMPLE = 8192
 RERANK = 256
-QUERY_BLOCK, ROW_BLOCK = 1024, 16384
+QUERY_BLOCK, ROW_BLOCK = 512, 8192
+#: Row groups are dealt into so many lanes; a lane's groups are scanned one after the other, and give one shortlist a query.
+LANES = 4
 #: Queries up to this number meet their shortlists by broadcast, more by shuffle.
 FEW = 20_000
 METRICS = ("ip", "l2")
@@ -158,8 +161,9 @@ def _top(scores: np.ndarray, k: int) -> np.ndarray:
     return np.nonzero(wanted)[1].reshape(len(scores), k)
 
 
-def scan_block(ids: np.ndarray, codes: np.ndarray, norm: np.ndarray, query_ids: np.ndarray, q: np.ndarray, books: np.ndarray, keep: int, metric: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(query, vec_id, table score) of the best ``keep`` rows of one block for each query. Rows must be in ascending order of id."""
+def scan_block(ids: np.ndarray, codes: np.ndarray, norm: np.ndarray, query_ids: np.ndarray, q: np.ndarray, books: np.ndarray, keep: int, metric: str) -> tuple[np.ndarray, np.ndarray]:
+    """(vec_id, table score) of the best ``keep`` rows of one block, one line for each query; -inf where there are fewer. Rows must be in ascending order of id."""
+    found = []
     for lo in range(0, len(q), 128):
         part, own = q[lo : lo + 128], query_ids[lo : lo + 128, None]
         lookup = np.einsum("qd,mkd->mqk", part, books, optimize=True).astype(np.float32)
@@ -170,31 +174,52 @@ def scan_block(ids: np.ndarray, codes: np.ndarray, norm: np.ndarray, query_ids:
             near = 2 * near - norm.astype(np.float32)
         near[ids[None] == own] = -np.inf  # never the query itself
         best = _top(near, min(keep, len(ids)))
-        score = np.take_along_axis(near, best, 1)
-        some = score > -np.inf
-        yield np.broadcast_to(own, best.shape)[some], ids[best][some], score[some]
+        found.append((ids[best], np.take_along_axis(near, best, 1)))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def merged(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray], keep: int) -> tuple[np.ndarray, np.ndarray]:
+    """The best ``keep`` of two shortlists for each query, of equal scores the smaller ids."""
+    ids, score = (np.concatenate(z, axis=1) for z in zip(x, y))
+    order = np.lexsort((ids, -score), axis=1)[:, :keep]
+    return np.take_along_axis(ids, order, 1), np.take_along_axis(score, order, 1)
 
 
 def shortlist(index: DataFrame, queries: DataFrame, books: np.ndarray, keep: int, metric: str) -> DataFrame:
     """(query_id, vec_id): the ``keep`` rows of the whole index with the best table scores for each query, ties to smaller ids."""
-    groups, blocks = (max(1, -(-df.count() // size)) for df, size in ((index, ROW_BLOCK), (queries, QUERY_BLOCK)))
+    groups, blocks = max(LANES, -(-index.count() // ROW_BLOCK)), max(1, -(-queries.count() // QUERY_BLOCK))
     key = F.xxhash64("vec_id")
     rows = index.groupBy(F.pmod(key, F.lit(groups)).alias("row_group")).agg(F.sort_array(F.collect_list(F.struct("vec_id", "codes", "norm"))).alias("rows"))  # about ROW_BLOCK rows
+    rows = rows.select((F.col("row_group") % LANES).cast("int").alias("lane"), "rows")
     asked = queries.groupBy(F.pmod(key, F.lit(blocks)).alias("query_block")).agg(F.collect_list(F.struct("vec_id", "embedding")).alias("asked"))
-    asked = asked.withColumn("row_group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<long>")))
+    asked = asked.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(LANES - 1))))
     rows = rows.withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")))
-    pairs = rows.join(asked, ["query_block", "row_group"]).select("rows", "asked")
+    pairs = rows.join(asked, ["query_block", "lane"]).sortWithinPartitions("query_block", "lane").select("query_block", "lane", "rows", "asked")
     shared = index.sparkSession.sparkContext.broadcast(books)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, asked_ids, best = None, None, None
+
+        def closed() -> pa.RecordBatch:
+            some = best[1] > -np.inf
+            query = np.broadcast_to(asked_ids[:, None], some.shape)[some]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in (query, best[0][some], best[1][some])], names=["query_id", "vec_id", "near"])
+
         for b in batches:
             for i in range(b.num_rows):
+                now = b.column("query_block")[i].as_py(), b.column("lane")[i].as_py()
+                if now != at and at is not None:
+                    yield closed()
                 r, a = b.column("rows").slice(i, 1).flatten(), b.column("asked").slice(i, 1).flatten()
                 ids, codes, norm = r.flatten()
                 codes = np.frombuffer(b"".join(codes.to_pylist()), np.uint8).reshape(len(ids), -1)
-                asked_ids, q = a.flatten()
-                for found in scan_block(ids.to_numpy(), codes, norm.to_numpy(), asked_ids.to_numpy(), _matrix(q, shared.value.shape[2]), shared.value, keep, metric):
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["query_id", "vec_id", "near"])
+                query_ids, q = a.flatten()
+                query_ids = query_ids.to_numpy()
+                found = scan_block(ids.to_numpy(), codes, norm.to_numpy(), query_ids, _matrix(q, shared.value.shape[2]), shared.value, keep, metric)
+                best = merged(best, found, keep) if now == at else found
+                at, asked_ids = now, query_ids
+        if at is not None:
+            yield closed()
 
     found = pairs.mapInArrow(run, "query_id long, vec_id long, near float")
     order = Window.partitionBy("query_id").orderBy(F.col("near").desc(), "vec_id")
