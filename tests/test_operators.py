@@ -29,7 +29,7 @@ def test_irregular_polygons_match_a_plain_test(spark):
     p = spark.createDataFrame(points, "gbifid int, lon double, lat double")
     want = sorted((i, k) for i, x, y in points for k, r in enumerate(rings) if inside(r, x, y))
     assert sorted(tuple(r) for r in spatial.spatial_join(p, layer).select("gbifid", "fid").collect()) == want
-    assert sorted(tuple(r) for r in spatial.cross_filter(p, layer).select("gbifid", "fid").collect()) == want
+    assert sorted(tuple(r) for r in spatial.theta_filter(p, layer, G.contains(F.col("edges"), F.col("lon"), F.col("lat"))).select("gbifid", "fid").collect()) == want
 
 
 def test_holes_and_missing_places(spark):
@@ -106,3 +106,58 @@ def test_empty_tables(spark):
 def test_month_wraps_at_january(spark):
     d = spark.sql("select date'2024-01-15' as d")
     assert d.select(X.month_string(F.col("d"), 1)).first()[0] == "2023_12_01"
+
+
+def test_broken_matrices_are_found(spark, monkeypatch):
+    """Each check of consistency finds what it is for: a cell lost, a total changed, presence by another bound."""
+    from wildgrid.operators import diversity, matrix
+
+    rows = [("a", "x", 5), ("a", "y", 2), ("b", "x", 1), ("b", "z", 7), ("c", "y", 3)]
+    stacked = spark.createDataFrame(rows, "site string, species string, n long")
+    check = lambda: {(r.rule, r.label, r.expected, r.found) for r in matrix.consistency(stacked, "site", "species", "n", 2).collect()}
+    assert check() == set()
+    build = matrix.build
+    with monkeypatch.context() as m:
+        m.setattr(matrix, "build", lambda *a: build(*a).where("not (row = 'b' and col = 'z')"))
+        assert check() == {("list_row_total", "b", 8, 1), ("list_col_total", "z", 7, None)}
+    with monkeypatch.context() as m:
+        summary = matrix.summary
+        m.setattr(matrix, "summary", lambda cells, axis=0: summary(cells.where("col <> 'y' or row <> 'c'"), axis))
+        assert check() == {("summary_total", "y", 5, 2), ("summary_count", "c", 1, None)}
+    with monkeypatch.context() as m:
+        presence = diversity.presence
+        m.setattr(diversity, "presence", lambda cells, least, *a: presence(cells, least + 1, *a))
+        assert check() == {("presence_alpha", "a", 2, 1)}
+
+
+def test_dependent_fields(spark):
+    """Every rule, among them one coordinate without the other and a centroid without coordinates."""
+    from wildgrid.operators import quality
+
+    cols = "id int, tsn string, accepted_name string, accepted_tsn string, lon string, lat string, centroid string, country string, thumb string, media string"
+    rows = [
+        (1, "T", None, "A", None, None, None, "ZZ", None, None), (2, None, None, None, "5", "", None, "ZZ", None, None), (3, None, None, None, None, "7", "county", "ZZ", None, None),
+        (4, None, None, None, "", None, "county", "US", None, None), (5, None, None, None, "3", "4", "county", "US", None, None), (6, None, None, None, "-3", "4", "county", "CA", "t", None), (7, "T", "N", "A", "-3", "4", None, "US", "t", "m"),
+    ]
+    found = {(r.record_id, r.rule, r.value) for r in quality.dependent(spark.createDataFrame(rows, cols), "id").collect()}
+    assert found == {(1, "tsn", "T"), (2, "one_coordinate", "5"), (3, "one_coordinate", "7"), (4, "centroid", "county"), (5, "sign", "3 4"), (6, "thumb", "t")}
+
+
+def test_runs_and_ranks_do_not_depend_on_partitions(spark):
+    import random
+
+    from wildgrid.operators import matrix, records
+
+    rnd = random.Random(3)
+    rows = [(p, i, rnd.randrange(5)) for p, n in (("hot", 300), ("b", 20), (None, 9)) for i in range(n)]
+    want, last = {}, {}
+    for p, i, k in rows:
+        run, before = last.get(p, (0, k))
+        last[p] = run + (k < before), k
+        want[p, i] = last[p][0]
+    df = spark.createDataFrame(rows, "part string, at int, k int")
+    assert {(r.part, r.at): r.run for r in records.sorted_runs(df, "k", "at", "part").collect()} == want
+    table = spark.createDataFrame([(str(i), v) for i, v in enumerate([9, 9, 7, 5, 5, 5, 5, 1, None])], "label string, v long")
+    for largest, n, expected in ((True, 4, [1, 1, 3, 4, 4, 4, 4]), (False, 2, [1, 2, 2, 2, 2]), (True, 50, [1, 1, 3, 4, 4, 4, 4, 8])):
+        assert sorted(r["rank"] for r in matrix.rank(table, "v", largest, n).collect()) == expected
+    assert matrix.rank(table.limit(0), "v").count() == 0

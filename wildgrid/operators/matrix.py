@@ -87,8 +87,8 @@ def compare(cells: DataFrame, label: str, axis: int = 0) -> DataFrame:
 
 def random_labels(cells: DataFrame, n: int, axis: int = 0, seed: int = 1) -> DataFrame:
     """n labels in the order of a seeded hash."""
-    labels = cells.select(F.col(AXES[axis]).alias("label")).distinct()
-    return labels.orderBy(F.xxhash64(F.lit(seed), "label"), "label").limit(n)
+    labels = cells.select(F.col(AXES[axis]).cast("string").alias("label")).distinct()
+    return labels.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), "label").cast("binary")), "label").limit(n)
 
 
 def summary(cells: DataFrame, axis: int = 0) -> DataFrame:
@@ -104,11 +104,20 @@ def summary_row(table: DataFrame, label: str) -> DataFrame:
 
 
 def rank(table: DataFrame, by: str, largest: bool = True, n: int = 10) -> DataFrame:
-    """The n first by a measure, ties with the last kept. The n-th value bounds the rows before ranks are given."""
-    order = F.col(by).desc() if largest else F.col(by).asc()
-    last = table.orderBy(order).limit(n).agg((F.min if largest else F.max)(by).alias("_last"))
-    kept = table.crossJoin(F.broadcast(last)).where(F.col(by) >= F.col("_last") if largest else F.col(by) <= F.col("_last")).drop("_last")
-    return kept.withColumn("rank", F.rank().over(Window.orderBy(order)))
+    """The n first by a measure, ties with the last kept.
+
+    Fewer than n rows are before the n-th value: these get their ranks in one window; all
+    rows of that value, however many, have the next rank in common.
+    """
+    order = F.col(by).desc_nulls_last() if largest else F.col(by).asc_nulls_last()
+    top = table.orderBy(order).limit(n).select(by)
+    last = top.agg((F.min if largest else F.max)(by).alias("_last"))
+    bound = top.crossJoin(F.broadcast(last)).agg(F.first("_last").alias("_last"), F.count_if(F.col(by) != F.col("_last")).alias("_before"))  # one row
+    rows = table.crossJoin(F.broadcast(bound))
+    above = F.col(by) > F.col("_last") if largest else F.col(by) < F.col("_last")
+    first = rows.where(above).drop("_last", "_before").withColumn("rank", F.rank().over(Window.orderBy(order)))
+    tied = rows.where(F.col(by) == F.col("_last")).withColumn("rank", (F.col("_before") + 1).cast("int")).drop("_last", "_before")
+    return first.unionByName(tied)
 
 
 def concat_columns(*parts: DataFrame) -> DataFrame:

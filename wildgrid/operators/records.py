@@ -186,10 +186,27 @@ def resource_actions(tickets: DataFrame, existing: DataFrame, legacy: DataFrame,
 
 
 def sorted_runs(df: DataFrame, key: str, order: str, part: str) -> DataFrame:
-    """Rows with run: a new one begins where the key decreases, within each part (file) in input order."""
-    w = Window.partitionBy(part).orderBy(order)
-    down = F.coalesce((F.col(key) < F.lag(key).over(w)).cast("int"), F.lit(0))
-    return df.withColumn("_down", down).withColumn("run", F.sum("_down").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("int")).drop("_down")
+    """Rows with run: a new one begins where the key decreases, within each part (file) in input order.
+
+    A part may be any share of all rows: rows lie in range partitions, written once; a run's
+    number is that in its range, with what one row for each range and part says of those before.
+    """
+    from wildgrid.sources import io
+
+    spark = df.sparkSession
+    path = io.scratch(spark, "runs")
+    io.write_parquet(df.repartitionByRange(part, order).withColumn("_range", F.spark_partition_id()), path)
+    rows = spark.read.parquet(path)
+    own = Window.partitionBy("_range", part).orderBy(order)
+    down = F.coalesce((F.col(key) < F.lag(key).over(own)).cast("int"), F.lit(0))
+    rows = rows.withColumn("_down", down).withColumn("_in", F.sum("_down").over(own.rowsBetween(Window.unboundedPreceding, 0))).drop("_down")
+    ends = rows.groupBy("_range", part).agg(F.min_by(key, order).alias("_first"), F.max_by(key, order).alias("_last"), F.max("_in").alias("_downs"))
+    before = Window.partitionBy(part).orderBy("_range")
+    ends = ends.withColumn("_border", F.coalesce((F.col("_first") < F.lag("_last").over(before)).cast("int"), F.lit(0)))
+    upto = F.sum(F.col("_border") + F.col("_downs")).over(before.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_downs")
+    ends = ends.select(F.col("_range").alias("_r"), F.col(part).alias("_p"), upto.alias("_before"))
+    joined = rows.join(ends, (F.col("_range") == F.col("_r")) & F.col(part).eqNullSafe(F.col("_p")))
+    return joined.withColumn("run", (F.col("_before") + F.col("_in")).cast("int")).drop("_range", "_r", "_p", "_before", "_in")
 
 
 def merge_sorted(key: str, *parts: DataFrame) -> DataFrame:

@@ -33,10 +33,13 @@ def spatial_join(points: DataFrame, layer: DataFrame, *attributes: str, cell: fl
     return found.join(layer.select("fid", *[a for a in attributes if a not in keys]), "fid") if attributes else found
 
 
-def cross_filter(points: DataFrame, layer: DataFrame, *attributes: str) -> DataFrame:
-    """The same by comparing all points with all polygons. Only for tests on small tables."""
-    both = points.crossJoin(layer.select("fid", "edges", *attributes))
-    return both.where(G.contains(F.col("edges"), F.col("lon"), F.col("lat"))).drop("edges")
+def theta_filter(points: DataFrame, layer: DataFrame, condition: Column, *attributes: str, cell: float = CELL, widen: float = 0.0) -> DataFrame:
+    """Points and polygons for which ``condition`` (over lon, lat and edges) holds, if it can hold within ``widen`` of a polygon's envelope only.
+
+    The layer may be of any size: pairs come from the cells that a point and a widened envelope share, never from a cross join.
+    """
+    found = candidates(points, layer, cell, widen).where(condition).drop("edges")
+    return found.join(layer.select("fid", *attributes), "fid") if attributes else found
 
 
 def first_polygon(found: DataFrame, key: str, *order: str) -> DataFrame:
@@ -144,15 +147,25 @@ def merged_layers(*layers: DataFrame) -> DataFrame:
 
 
 def chunk_bounds(df: DataFrame, chunks: int, *order: str) -> DataFrame:
-    """Rows with chunk: runs of ceil(N / chunks) rows in the given order.
+    """Rows with rank and chunk: runs of ceil(N / chunks) rows in the given order."""
+    n = max(1, -(-df.count() // chunks))
+    return ranked(df, *order).withColumn("chunk", F.floor(F.col("rank") / n).cast("int"))
+
+
+def ranked(df: DataFrame, *order: str) -> DataFrame:
+    """Rows with rank (from 0) in the given order.
 
     Ranks come from range partitions and their offsets, so no task holds all rows; the
-    window below is over one row for each partition.
+    window below is over one row for each partition. The partitions are written once, so
+    that counts and ranks can't see different ones.
     """
-    n = max(1, -(-df.count() // chunks))
-    part = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+    from wildgrid.sources import io
+
+    path = io.scratch(df.sparkSession, "ranked")
+    part = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    io.write_parquet(part, path)
+    part = df.sparkSession.read.parquet(path)
     own = part.withColumn("_row", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = part.groupBy("_part").count().withColumn("_before", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count")
-    rank = F.col("_before") + F.col("_row") - 1
-    return own.join(F.broadcast(sizes), "_part").withColumn("chunk", F.floor(rank / n).cast("int")).withColumn("rank", rank).drop("_part", "_row", "_before")
+    return own.join(F.broadcast(sizes), "_part").withColumn("rank", F.col("_before") + F.col("_row") - 1).drop("_part", "_row", "_before")  # one row a partition

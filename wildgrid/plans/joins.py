@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wildgrid.functions import text as X
+from wildgrid.functions import geometry as G
 from wildgrid.operators import records, register, spatial
 
 from .query import Queries
@@ -35,11 +36,10 @@ def _(spark, d):
     return spatial.update_by_key(occ, found, "gbifid", {"census_county": "name"}, ("name",)).drop("lon", "lat")
 
 
-@Q.add("cross_filter_spatial", "select gbifid, p.fid from occ join poly p on abs(lon - mx) + abs(lat - my) < r where p.fid < 3", "occ", "poly")
+@Q.add("cross_filter_spatial", "select gbifid, p.fid from occ join poly p on abs(lon - mx) + abs(lat - my) < r", "occ", "poly")
 def _(spark, d):
-    """The theta form, over three polygons; the others use the cell join."""
-    few = layer(spark, d, "poly").where("fid < 3")
-    return spatial.cross_filter(_points(spark, d), few).select("gbifid", "fid")
+    """The theta form: any predicate between points and whole polygons, behind the cells that both touch."""
+    return spatial.theta_filter(_points(spark, d), layer(spark, d, "poly"), G.contains(F.col("edges"), F.col("lon"), F.col("lat"))).select("gbifid", "fid")
 
 
 @Q.add("riis_region", "select gbifid, census_state, case when census_state in ('AK', 'HI') then census_state when census_state is not null then 'L48' end as riis_region from ann", "ann")

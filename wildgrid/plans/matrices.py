@@ -124,7 +124,7 @@ def _(spark, d):
     return M.axis_counts(_cells(spark, d), 0)
 
 
-@Q.add("random_labels")
+@Q.add("random_labels", "select row as label from (select distinct row from cells) q order by md5('1:' || row), row limit 5", "cells")
 def _(spark, d):
     return M.random_labels(_cells(spark, d), 5)
 
@@ -323,10 +323,3 @@ def _(spark, d):
 def _(spark, d):
     found = spatial.centres_and_extent(layer(spark, d, "poly"))
     return found.withColumns({"x": F.round("x", 6), "y": F.round("y", 6)})
-
-
-@Q.add("job_county_pam", "> h as (select p.name as site, species, count(*) as n from occ join poly p on abs(lon - mx) + abs(lat - my) < r where species is not null group by 1, 2), b as (select site, species from h where n >= 2) select site, count(*) as alpha from b group by 1", "occ", "poly")
-def _(spark, d):
-    hits = spatial.spatial_join(domain(spark, d, "occ").select("gbifid", "species", "lon", "lat"), layer(spark, d, "poly"), "name")
-    cells = M.build(hits.withColumn("n", F.lit(1).cast("long")), "name", "species", "n")
-    return D.alpha(D.presence(cells, 2))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import core, joins, matrices, reports
+from . import core, jobs, joins, matrices, reports
 
-MODULES = (core, joins, reports, matrices)
+MODULES = (core, joins, reports, matrices, jobs)
 
 
 def queries() -> dict:

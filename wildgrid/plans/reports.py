@@ -82,14 +82,20 @@ def _(spark, d):
     return counts.location_violations(annotated(spark, d))
 
 
-def _parts(spark, d):
-    ann = annotated(spark, d)
+def _written(spark, d):
+    """The annotated subset as a table, for queries that read it several times."""
+    path = io.scratch(spark, "annotated")
+    io.write_parquet(annotated(spark, d).select("gbifid", "census_state", "state_county", "aiannh_name", "riis_region", "taxonkey", "species"), path)
+    return spark.read.parquet(path)
+
+
+def _parts(ann):
     return [counts.location_summary(ann.where(F.col("gbifid") % 3 == k)) for k in range(3)]
 
 
 @Q.add("combine_summaries", f"> {_SUMMARY} select location_type, location, region_species, species, cast(count as bigint) as count from sm", "ann")
 def _(spark, d):
-    return counts.combine(*_parts(spark, d))
+    return counts.combine(*_parts(_written(spark, d)))
 
 
 @Q.add("summary_report", f"> {_SUMMARY} select location_type, location, count(distinct region_species) as species, sum(count)::bigint as occurrences from sm group by 1, 2", "ann")
@@ -180,9 +186,10 @@ def _(spark, d):
 @Q.add("compare_location_counts", f"> {_SUMMARY} select distinct location_type, location, case when location = 'AK' then 'missing' when location = 'HI' then 'unequal' else 'good' end as verdict from sm", "ann")
 def _(spark, d):
     """Parts against a whole from which AK was taken, and HI counted once too much."""
-    whole = _summary(spark, d).where("location <> 'AK'")
+    ann = _written(spark, d)
+    whole = counts.location_summary(ann).where("location <> 'AK'")
     odd = F.when(F.col("location") == "HI", F.col("count") + 1).otherwise(F.col("count"))
-    return counts.compare_counts(counts.combine(*_parts(spark, d)), whole.withColumn("count", odd))
+    return counts.compare_counts(counts.combine(*_parts(ann)), whole.withColumn("count", odd))
 
 
 @Q.add("annotate_report", "select 'failed_id' as what, cast(gbifid as string) as value, 1::bigint as n from sub where gbifid in (select gbifid from ann where census_state is null) union all select 'rank', taxonrank, count(*) from occ where taxonrank not in ('SPECIES', 'SUBSPECIES', 'VARIETY', 'FORM', 'INFRASPECIFIC_NAME', 'INFRASUBSPECIFIC_NAME') group by 2", "ann")
@@ -306,43 +313,10 @@ def _(spark, d):
 # --- jobs -------------------------------------------------------------------------
 
 
-@Q.add("job_monthly", f"> {_SUMMARY} select location_type, location, sum(count)::bigint as occurrences from sm group by 1, 2", "ann")
-def _(spark, d):
-    """Subset, annotation and register join into one table; its list is written and read for the report."""
-    path = io.scratch(spark, "monthly")
-    io.write_parquet(annotated(spark, d), f"{path}/annotated")
-    io.write_parquet(counts.location_summary(spark.read.parquet(f"{path}/annotated")), f"{path}/summary")
-    return spark.read.parquet(f"{path}/summary").groupBy("location_type", "location").agg(F.sum("count").alias("occurrences"))
-
-
-@Q.add("job_annotate_records", """> h as (select gbifid, min(p.name) as county from occ join poly p on abs(lon - mx) + abs(lat - my) < r group by 1)
-select gbifid, county from occ join h using (gbifid) where taxonrank in ('SPECIES', 'SUBSPECIES', 'VARIETY', 'FORM', 'INFRASPECIFIC_NAME', 'INFRASUBSPECIFIC_NAME')""", "occ", "poly")
-def _(spark, d):
-    from .views import layer
-
-    occ = domain(spark, d, "occ").withColumns({"rank": F.col("taxonrank"), "accepted_key": F.col("taxonkey"), "species_key": F.col("taxonkey")})
-    kept = records.taxon_keys(occ).select("gbifid", "lon", "lat")
-    found = spatial.spatial_join(kept, layer(spark, d, "poly"), "name")
-    return spatial.first_polygon(found.select("gbifid", F.col("name").alias("county")), "gbifid", "county")
-
-
 @Q.add("job_summarize_combine", f"> {_SUMMARY} select distinct location_type, location, 'good' as verdict from sm", "ann")
 def _(spark, d):
-    return counts.compare_counts(counts.combine(*_parts(spark, d)), _summary(spark, d))
-
-
-@Q.add("job_clean_gbif", """> c as (select *, try_cast(lon as double) as x, try_cast(lat as double) as y, case when lower(replace(trim(provider), '$', '')) in ('na', '#na', 'n/a', '') then null else replace(trim(provider), '$', '') end as p from raw
- where not (provided_name is null and taxon_key is null) and not coalesce(lower(status) = 'absent', false))
-select id, p as provider, case when x = 0 and y = 0 then null when country in ('US', 'CA') and x > 0 then -x else x end as longitude, case when x = 0 and y = 0 then null else y end as latitude,
-case basis when 'HUMAN_OBSERVATION' then 'observation' when 'PRESERVED_SPECIMEN' then 'specimen' when 'FOSSIL_SPECIMEN' then 'fossil' else basis end as basis_of_record,
-coalesce(nullif(verbatim_locality, ''), nullif(locality, ''), nullif(habitat, '')) as locality from c""", "raw")
-def _(spark, d):
-    from wildgrid.functions import text as X
-
-    kept = records.discard(domain(spark, d, "raw"), "provided_name", "taxon_key", "status")
-    lon, lat = X.fixed_point(F.col("lon"), F.col("lat"), F.col("country"))
-    cleaned = kept.select("id", X.clean_value(F.col("provider")).alias("provider"), lon.alias("lon"), lat.alias("lat"), X.vocabulary(F.col("basis"), X.BASIS).alias("basis"), X.second_choice(F.col("verbatim_locality"), F.col("locality"), F.col("habitat")).alias("locality"))
-    return records.rename(cleaned, {"id": "id", "provider": "provider", "lon": "longitude", "lat": "latitude", "basis": "basis_of_record", "locality": "locality"}, ["id", "provider", "longitude", "latitude", "basis_of_record", "locality"])
+    ann = _written(spark, d)
+    return counts.compare_counts(counts.combine(*_parts(ann)), counts.location_summary(ann))
 
 
 @Q.add("job_region_reports", _pivot_sql(), "ann", "keyed")
@@ -359,34 +333,3 @@ def _(spark, d):
     path = io.scratch(spark, "states")
     io.write_by(annotated(spark, d).where("census_state is not null"), path, "census_state", columns=["gbifid", "taxonkey"])
     return spark.read.parquet(path).select("gbifid", "taxonkey", F.col("census_state").cast("string").alias("census_state"))
-
-
-@Q.add("job_inspect_record", "select o.gbifid, o.taxonkey, o.census_county from ann o where gbifid = (select min(gbifid) from ann where census_county is not null)", "ann")
-def _(spark, d):
-    ann = annotated(spark, d)
-    first = ann.where("census_county is not null").agg(F.min("gbifid")).first()[0]
-    return io.by_id(ann, "gbifid", first).select("gbifid", "taxonkey", "census_county")
-
-
-@Q.add("job_annotate_riis", """> k as (select *, case when coalesce(gbif_res_taxonkey, '') = '' then -1 else try_cast(gbif_res_taxonkey as int) end as key from riis where try_cast(gbif_res_taxonkey as int) is not null)
-select occurrenceid::varchar as occurrenceid, gbif_res_taxonkey, key + 100000 as new_key from k""", "riis")
-def _(spark, d):
-    """The register read as text, its keys resolved by a table, written under its date and read again."""
-    path = io.scratch(spark, "register")
-    raw = domain(spark, d, "riis")
-    io.write_csv(raw, f"{path}/in", raw.columns)
-    typed = register.typed(io.register_csv(spark, f"{path}/in", raw.columns)).where("not bad")
-    table = typed.select("key").distinct().withColumn("new_key", F.col("key") + 100000)
-    out = typed.join(table, "key").select("occurrenceid", "gbif_res_taxonkey", "new_key")
-    io.write_csv(out, f"{path}/2024_01_01", out.columns)
-    return io.csv(spark, f"{path}/2024_01_01", "occurrenceid string, gbif_res_taxonkey string, new_key int")
-
-
-@Q.add("job_clean_provider", f"""> n as (select id, 'new-' || resource_id as resource_id, 'https://host/ipt/resource?r=new-' || resource_id as resource_url, case when lower(kingdom) in ('animalia', 'plantae', 'fungi') then upper(substring(kingdom, 1, 1)) || lower(substring(kingdom, 2)) end as kingdom from raw) select * from n""", "raw")
-def _(spark, d):
-    from wildgrid.functions import text as X
-
-    raw = domain(spark, d, "raw").select("id", "resource_id", F.col("provider").alias("resource"), "resource_url", "kingdom")
-    actions = raw.select("resource_id").distinct().select("resource_id", F.lit("replace").alias("action"), F.concat(F.lit("new-"), "resource_id").alias("new_id"), F.lit("Name").alias("new_name"))
-    done = records.rewrite_resource(records.all_strings(raw, X.without_quotes), actions, "resource_id", "https://host/ipt/resource?r")
-    return done.select("id", "resource_id", "resource_url", X.kingdom(F.col("kingdom")).alias("kingdom"))
