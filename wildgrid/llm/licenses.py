@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import math
 import re
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +39,7 @@ TEMPLATES = [
     ("cc-by-nc", "licensed under cc by nc 4 0"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
 ]
-#: Real notices and texts, with the words that none of their copies lacks. ``OP9_SQL`` doesn't hold them; pass them to ``scan``.
+#: Real notices and texts, with the words that none of their copies lacks.
 _AS_IS = 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'
 NOTICES = [
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. " + _AS_IS, "sublicense"),
@@ -120,35 +119,34 @@ def template_index(docs: DataFrame, templates, threshold: float, text: str = "te
 
 
 def similar_blocks(docs: DataFrame, key: list[str], templates=TEMPLATES, threshold: float = THRESHOLD, text: str = "text", window: int | None = None) -> DataFrame:
-    """(key, block, label, containment) of every block that matches a template; block is its first word's number.
+    """(key, window, block, label, containment) of every block that matches a template; block is its first word's number.
 
     Each template has the blocks of its own window unless ``window`` is given; one that some template can't fit in is an error.
+    All windows' blocks are cut in one pass over the texts.
     """
-    of: dict[int, list[tuple]] = {}
-    for t in templates:
-        of.setdefault(window or window_of(t), []).append(t)
-    found = [_similar_blocks(docs, key, ts, threshold, text, w) for w, ts in sorted(of.items())]
-    return reduce(DataFrame.union, found).distinct() if len(found) > 1 else found[0]
-
-
-def _similar_blocks(docs: DataFrame, key: list[str], templates, threshold: float, text: str, window: int) -> DataFrame:
     order, rows = template_index(docs, templates, threshold, text)
-    if (most := max(r[5] for r in rows)) > window:
-        raise ValueError(f"a template needs {most} words; a block of {window} can't hold them")
-    index = docs.sparkSession.createDataFrame(rows, "token string, template int, label string, place int, size int, need int, tokens array<string>, must array<string>")
+    windows = [window or window_of(t) for t in templates]
+    rows = [(*r, windows[r[1]]) for r in rows]
+    if narrow := [r for r in rows if r[5] > r[8]]:
+        raise ValueError(f"a template needs {narrow[0][5]} words; a block of {narrow[0][8]} can't hold them")
+    index = docs.sparkSession.createDataFrame(rows, "token string, template int, label string, place int, size int, need int, tokens array<string>, must array<string>, window int")
     prefix = F.array(*map(F.lit, sorted({r[0] for r in rows})))
     w = docs.select(*key, words(F.col(f"`{text}`")).alias("lic_words")).where(F.arrays_overlap("lic_words", prefix))
-    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("lic_words") - 1), F.lit(window // 2))
-    blocks = w.select(*key, "lic_words", F.explode(starts).alias("block"))
-    cut = F.slice("lic_words", F.col("block") + 1, window)
-    blocks = blocks.select(*key, "block", F.array_intersect(F.array(*map(F.lit, order)), cut).alias("own"))  # rarest first
-    probes = blocks.select(*key, "block", "own", F.explode(F.array_intersect("own", prefix)).alias("token"))
+    last = F.greatest(F.lit(0), F.size("lic_words") - 1)
+
+    def starts(size: int) -> Column:
+        return F.transform(F.sequence(F.lit(0), last, F.lit(size // 2)), lambda s: F.struct(F.lit(size).alias("window"), s.alias("block")))
+
+    blocks = w.select(*key, "lic_words", F.explode(F.concat(*map(starts, sorted(set(windows))))).alias("at")).select(*key, "lic_words", "at.window", "at.block")
+    cut = F.slice("lic_words", F.col("block") + 1, F.col("window"))
+    blocks = blocks.select(*key, "window", "block", F.array_intersect(F.array(*map(F.lit, order)), cut).alias("own"))  # rarest first
+    probes = blocks.select(*key, "window", "block", "own", F.explode(F.array_intersect("own", prefix)).alias("token"))
     after = F.size("own") - F.array_position("own", F.col("token"))
     near = (F.size("own") >= F.col("need")) & (1 + F.least(F.col("size") - 1 - F.col("place"), after) + F.least(F.col("place"), F.array_position("own", F.col("token")) - 1) >= F.col("need"))
     overlap = F.size(F.array_intersect("tokens", "own"))
     named = F.size(F.array_except("must", "own")) == 0
-    found = probes.join(index, "token").where(near).where((overlap >= F.col("need")) & named)
-    return found.select(*key, "block", "label", (overlap / F.col("size")).alias("containment")).distinct()
+    found = probes.join(F.broadcast(index), ["token", "window"]).where(near).where((overlap >= F.col("need")) & named)  # at most MAX_WORDS words
+    return found.select(*key, "window", "block", "label", (overlap / F.col("size")).alias("containment")).distinct()
 
 
 def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
@@ -173,22 +171,28 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold: float
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """Phrases, short notices, and the opening texts of common licenses with their compulsory words."""
+    found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"), templates=[*TEMPLATES, *NOTICES])
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score")
 
 
 def _oracle() -> str:
     """Brute force: every phrase at every word, every template in every block."""
     places = " union all ".join(f"select doc_id, '{label}' as label, i - 1 as pos from w, generate_series(1, n) g(i) where ws[i:i + {len(p.split()) - 1}] = {p.split()}" for p, label in PHRASES)
-    sets = ", ".join(f"('{label}', {sorted(set(t.split()))}, {max(1, math.ceil(THRESHOLD * len(set(t.split())) - 1e-9))})" for label, t in TEMPLATES)
+    sets = []
+    for t in [*TEMPLATES, *NOTICES]:
+        label, found, must = _template(t)
+        own = sorted(set(found))
+        sets.append(f"('{label}', {own}, {must}::varchar[], {max(1, math.ceil(THRESHOLD * len(own) - 1e-9))}, {window_of(t)})")
+    sets = ", ".join(sets)
     return f"""
 with w0 as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{NOT_WORD}'), lambda x: x <> '') as ws from documents),
 w as (select doc_id, ws, len(ws) as n from w0),
 p as ({places}),
 b as (select doc_id, count(*) as n_base, min(pos) as first_word, max(pos) as last_word, string_agg(distinct label, ',' order by label) as base_labels from p group by doc_id),
-t(label, ts, need) as (values {sets}),
-k as (select doc_id, list_distinct(ws[i + 1:i + {WINDOW}]) as own from w, generate_series(0, (select max(len(ws)) from w0), {WINDOW // 2}) g(i) where i < n),
-m as (select doc_id, label, max(len(list_intersect(ts, own))::double / len(ts)) as c from k, t where len(list_intersect(ts, own)) >= need group by doc_id, label),
+t(label, ts, must, need, size) as (values {sets}),
+k as (select doc_id, size, list_distinct(ws[i + 1:i + size]) as own from w, (select distinct size from t) z, lateral (select unnest(generate_series(0, greatest(n - 1, 0), size // 2)) as i) g where i < n),
+m as (select doc_id, label, max(len(list_intersect(ts, own))::double / len(ts)) as c from k join t using (size) where len(list_intersect(ts, own)) >= need and list_has_all(own, must) group by doc_id, label),
 l as (select doc_id, string_agg(distinct label, ',' order by label) as labels from (select doc_id, label from p union all select doc_id, label from m) q group by doc_id),
 s as (select doc_id, max(c) as c from m group by doc_id)
 select w.doc_id, n::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word::bigint as first_word, last_word::bigint as last_word,
