@@ -85,6 +85,10 @@ def test_code_lengths_match_trees(spark, monkeypatch):
     assert model.langs == ["aa", "bb"] and np.allclose(model.lengths(texts), want, rtol=1e-5)
     monkeypatch.setattr(langid, "CHUNK", 10)  # texts by parts
     assert np.allclose(model.lengths(texts), want, rtol=1e-5)
+    mine = {(r.length, r.gram): r.n for r in langid.count_grams(spark.createDataFrame(rows[:3], "lang string, text string")).collect()}
+    for k in range(langid.ORDER + 1):
+        seen = [int.from_bytes((b" " * langid.ORDER + t)[i - k : i + 1], "big") for t in train["aa"] for i in range(langid.ORDER, len(t) + langid.ORDER)]
+        assert {g: n for (o, g), n in mine.items() if o == k} == {g: seen.count(g) for g in seen}
 
 
 def test_rare_scripts_beside_a_hot_one(spark):
