@@ -1,8 +1,9 @@
 """A corpus from raw documents: STAGES, each written as Parquet and read again as the next one's documents.
 
 1. language: documents without a determinable language are rejected: those without text or
-   letters, and those that no learned language's code lengths describe well or better
-   than the others' (``wildgrid.llm.langid``);
+   letters, and those that the raw code of 8 bits a byte describes better than any learned
+   language, such as noise and unlearned scripts (``wildgrid.llm.langid``). Texts between
+   two learned languages stay;
 2. near duplicates: of each group of texts linked by 5-word shingles of similarity 0.8 or more
    the one with the smallest id stays (``wildgrid.llm.jaccard``);
 3. mixture: sources are brought to their target weights; documents are left out or
@@ -21,8 +22,9 @@ from pyspark.sql import functions as F
 from wildgrid.llm import jaccard, langid, mixing, pieces
 from wildgrid.llm.common import table, written
 
-#: Least score of a language (its share at ``langid.SCORED`` bytes of text) for it to be accepted.
-LANGUAGE_SHARE = 0.35
+#: Least score of a language (its share at ``langid.SCORED`` bytes of text) for it to be accepted: low enough for texts that
+#: mix languages, whose share is divided between these, and far above noise, whose share is that of the raw code.
+LANGUAGE_SHARE = 0.1
 
 
 def _columns(df: DataFrame, docs: DataFrame) -> DataFrame:
