@@ -39,9 +39,24 @@ def test_reputation_shrinks(spark):
     r = {x.host: x for x in urls.host_reputation(spark.createDataFrame(rows, "host string, good int")).collect()}
     assert r["a.good.com"].bound > r["b.good.com"].bound > r["d.bad.com"].bound  # few labels, then none but the domain's
     assert 0 < r["lone.org"].mean < 1 and all(0 <= x.bound <= x.mean <= 1 for x in r.values())
-    names = spark.createDataFrame([("y.x.co.uk",), ("com",), ("a.b.com",)], "h string")
-    d, s = urls.registered(F.col("h"))
-    assert [tuple(x) for x in names.select(d, s).collect()] == [("x.co.uk", "co.uk"), ("com", "com"), ("b.com", "com")]
+    names = ["y.x.co.uk", "com", "a.b.com", "w.a.gov.mx:80", "me@b.com:8080", "10.0.0.1:80", "[::1]:443", "a.de.mytop", ""]
+    d, s = urls.registered(F.col("h"), ("de.mytop",))
+    found = [tuple(x) for x in spark.createDataFrame([(n,) for n in names], "h string").select(d, s).collect()]
+    assert found == [
+        ("x.co.uk", "co.uk"), ("com", "com"), ("b.com", "com"), ("a.gov.mx", "gov.mx"), ("b.com", "com"), ("10.0.0.1", "10.0.0.1"), ("[::1]", "[::1]"), ("a.de.mytop", "de.mytop"), ("", ""),
+    ]
+
+
+def test_hot_hosts_and_repeated_pages(spark):
+    # one host has most pages, 1,200 hosts have one each and so too few to be broadcast
+    rows = [(i, "http://hot.com/en/") for i in range(3000)] + [(3000 + i, f"http://h{i}.org/a") for i in range(1200)] + [(1, "http://hot.com/en/"), (None, "http://hot.com/"), (None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = pages.where("page_id is not null").select("page_id", (F.col("page_id") % 2).cast("int").alias("good"))
+    found = urls.judge(pages, labels, urls.RULES)
+    assert found.count() == len(rows) and found.where("reputation is null").count() == 0
+    r = {x.host: x for x in urls.host_reputation(found.join(labels.dropDuplicates(["page_id"]), "page_id", "left").select("host", "good")).collect()}
+    assert all(math.isclose(x.reputation, r[x.host].bound) for x in found.select("host", "reputation").distinct().collect())
+    assert [x["count"] for x in found.where("host = 'hot.com'").groupBy("rule").count().orderBy(F.col("rule").desc_nulls_last()).collect()] == [3001, 1]
 
 
 # --- languages --------------------------------------------------------------------
