@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wildgrid.llm import jaccard, langid, mixing, pieces
-from wildgrid.llm.common import table, written
+from wildgrid.llm.common import forget, table, written
 
 #: Least score of a language (its share at ``langid.SCORED`` bytes of text) for it to be accepted: low enough for texts that
 #: mix languages, whose share is divided between these, and far above noise, whose share is that of the raw code.
@@ -96,7 +96,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; a stage's table is deleted when the next one's is whole."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        forget(*before)
+        before = [docs]
     return docs
