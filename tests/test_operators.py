@@ -1,6 +1,7 @@
 """Invariants and edge cases of the operators that the SQL comparison doesn't reach."""
 
 import itertools
+import math
 import random
 
 import pytest
@@ -32,6 +33,41 @@ def test_irregular_polygons_match_a_plain_test(spark):
     assert sorted(tuple(r) for r in spatial.theta_filter(p, layer, G.contains(F.col("edges"), F.col("lon"), F.col("lat"))).select("gbifid", "fid").collect()) == want
 
 
+def test_clipped_polygons_match_whole_ones(spark):
+    """Long rings over many small cells: containment and nearest distance as with all edges."""
+    rnd = random.Random(8)
+    rings = [[(c + rnd.uniform(2, 6) * math.cos(2 * math.pi * i / n), rnd.uniform(2, 6) * math.sin(2 * math.pi * i / n)) for i in range(n)] for c, n in ((-4, 3), (0, 40), (5, 150))]
+    rings.append([(-6.0, -6.0), (6.0, -6.0), (6.0, 6.0), (-6.0, 6.0)])  # edges on the borders of cells
+    spots = [(x / 2, y / 2) for x in range(-14, 15, 4) for y in range(-14, 15, 4)] + [(rnd.uniform(-13, 13), rnd.uniform(-9, 9)) for _ in range(400)]
+    layer = spark.createDataFrame([(k, f"n{k}", [[{"x": x, "y": y} for x, y in r]]) for k, r in enumerate(rings)], "fid int, name string, rings array<array<struct<x:double,y:double>>>")
+    layer = layer.withColumn("edges", G.edges(F.col("rings")))
+    p = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(spots)], "gbifid int, lon double, lat double")
+
+    def sides(r):
+        return list(zip(r, r[1:] + r[:1]))
+
+    def inside(r, x, y):
+        return sum((y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1 for (x1, y1), (x2, y2) in sides(r)) % 2 == 1
+
+    def apart(r, x, y):
+        def to(x1, y1, x2, y2):
+            dx, dy = x2 - x1, y2 - y1
+            u = min(1, max(0, ((x - x1) * dx + (y - y1) * dy) / (dx * dx + dy * dy)))
+            return math.hypot(x - x1 - u * dx, y - y1 - u * dy)
+
+        return 0.0 if inside(r, x, y) else min(to(*a, *b) for a, b in sides(r))
+
+    want = sorted((i, k, f"n{k}") for i, (x, y) in enumerate(spots) for k, r in enumerate(rings) if inside(r, x, y))
+    for cell in (0.5, 2.5, 40.0):
+        assert sorted(tuple(r) for r in spatial.spatial_join(p, layer, "name", cell=cell).select("gbifid", "fid", "name").collect()) == want
+        found = {r.gbifid: (r.fid, r.distance) for r in spatial.nearest_polygon(p, layer, "gbifid", 1.3, cell).collect()}
+        for i, (x, y) in enumerate(spots):
+            d, k = min((apart(r, x, y), k) for k, r in enumerate(rings))
+            assert (i in found) == (d <= 1.3) and (i not in found or found[i] == (k, pytest.approx(d)))
+    clipped = G.clipped_cover(layer, 0.5).agg(F.max(F.size("edges")), F.count(F.when((F.size("edges") == 0) & (F.col("crossed") == 1), 1))).first()
+    assert clipped[0] < 100 and clipped[1] > 100
+
+
 def test_holes_and_missing_places(spark):
     outer, hole = [(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0)], [(3.0, 3.0), (7.0, 3.0), (7.0, 7.0), (3.0, 7.0)]
     layer = spark.createDataFrame([(1, [[{"x": x, "y": y} for x, y in r] for r in (outer, hole)])], "fid int, rings array<array<struct<x:double,y:double>>>").withColumn("edges", G.edges(F.col("rings")))

@@ -24,19 +24,24 @@ def edges(rings: Column) -> Column:
     return F.flatten(F.transform(F.filter(rings, lambda r: F.size(r) > 2), ring))
 
 
-def contains(e: Column, lon: Column, lat: Column) -> Column:
+def crossings(e: Column, lon: Column, lat: Column) -> Column:
+    """How many edges a ray from the point towards larger x crosses."""
     def crossed(k: Column) -> Column:
         return ((k["y1"] > lat) != (k["y2"] > lat)) & (lon < (k["x2"] - k["x1"]) * (lat - k["y1"]) / (k["y2"] - k["y1"]) + k["x1"])
-    return F.size(F.filter(e, crossed)) % 2 == 1
+    return F.size(F.filter(e, crossed))
+
+
+def contains(e: Column, lon: Column, lat: Column) -> Column:
+    return crossings(e, lon, lat) % 2 == 1
 
 
 def distance(e: Column, lon: Column, lat: Column) -> Column:
-    """To the nearest edge; 0 inside."""
+    """To the nearest edge; infinite without edges."""
     def to(k: Column) -> Column:
         dx, dy = k["x2"] - k["x1"], k["y2"] - k["y1"]
         u = F.least(F.lit(1.0), F.greatest(F.lit(0.0), ((lon - k["x1"]) * dx + (lat - k["y1"]) * dy) / (dx * dx + dy * dy)))
         return F.sqrt(F.pow(lon - (k["x1"] + u * dx), 2) + F.pow(lat - (k["y1"] + u * dy), 2))
-    return F.when(contains(e, lon, lat), 0.0).otherwise(F.array_min(F.transform(e, to)))
+    return F.coalesce(F.array_min(F.transform(e, to)), F.lit(float("inf")))
 
 
 def bounds(e: Column) -> dict[str, Column]:
@@ -54,15 +59,41 @@ def centre(e: Column) -> tuple[Column, Column]:
     return total(lambda k: (k["x1"] + k["x2"]) * cross(k)) / area, total(lambda k: (k["y1"] + k["y2"]) * cross(k)) / area
 
 
-def cover(layer: DataFrame, cell: float, widen: float = 0.0) -> DataFrame:
-    """(fid, edges, ...) -> a row for each grid cell that a polygon's (widened) envelope touches: cx, cy, fid, envelope."""
-    b = layer.select("fid", *[v.alias(k) for k, v in bounds(F.col("edges")).items()])
+def cover(layer: DataFrame, cell: float, widen: float = 0.0, *keep: str) -> DataFrame:
+    """(fid, edges, ...) -> a row for each grid cell that a polygon's (widened) envelope touches: cx, cy, fid, envelope, kept columns."""
+    b = layer.select("fid", *keep, *[v.alias(k) for k, v in bounds(F.col("edges")).items()])
     def run(lo: Column, hi: Column) -> Column:
         return F.explode(F.sequence(F.floor((lo - widen) / cell), F.floor((hi + widen) / cell)))
     b = b.withColumn("cx", run(F.col("xmin"), F.col("xmax")))
     return b.withColumn("cy", run(F.col("ymin"), F.col("ymax")))
 
 
+def clipped_cover(layer: DataFrame, cell: float, widen: float = 0.0, *keep: str) -> DataFrame:
+    """``cover`` with what a point of the cell needs of its polygon.
+
+    ``edges`` are those that a ray from such a point may cross; ``crossed`` is 1 if it surely crosses
+    an odd number of others, which pass the cell's whole row to its right; ``near`` (with ``widen``) are the edges within
+    that distance. A cell wholly inside a polygon has no edges and crossed 1; cells wholly outside (and not near) are left out.
+    Cells are compared one column wider than need be, so that rounding can't tell a ray from its edge.
+    """
+    def span(k: Column, axis: str, by: float = 0.0) -> tuple[Column, Column]:
+        a, b = k[f"{axis}1"], k[f"{axis}2"]
+        return F.floor((F.least(a, b) - by) / cell), F.floor((F.greatest(a, b) + by) / cell)
+    def sure(k: Column) -> Column:
+        (low, high), (left, _) = span(k, "y"), span(k, "x")
+        return (low < F.col("cy")) & (high > F.col("cy")) & (left > F.col("cx") + 1)
+    def possible(k: Column) -> Column:
+        (low, high), (_, right) = span(k, "y"), span(k, "x")
+        return (low <= F.col("cy")) & (high >= F.col("cy")) & (right >= F.col("cx") - 1) & ~sure(k)
+    def close(k: Column) -> Column:
+        (low, high), (left, right) = span(k, "y", widen), span(k, "x", widen)
+        return F.col("cy").between(low, high) & F.col("cx").between(left, right)
+    e = F.col("edges")
+    near = F.filter(e, close) if widen else F.lit(None).cast(f"array<{EDGE}>")
+    out = cover(layer, cell, widen, "edges", *keep).withColumns({"crossed": F.size(F.filter(e, sure)) % 2, "near": near, "edges": F.filter(e, possible)})
+    return out.where((F.size("edges") > 0) | (F.col("crossed") == 1) | (F.size("near") > 0))
+
+
 def pieces(layer: DataFrame, rings: str = "rings") -> DataFrame:
     """Multipolygons as simple polygons with the same attributes and the piece's number."""
     others = [c for c in layer.columns if c != rings]

@@ -1,8 +1,8 @@
 """Spatial joins by grid cells, point grids and polygon tables.
 
 A polygon layer has ``fid``, attributes and ``edges``. Points and polygon cells meet in
-an equi-join; edges, which may be long, are attached after the envelope test by a
-second join on fid. Spark broadcasts the cells or the edges where they are small.
+one equi-join; a cell holds only the edges that its own points need, so a long coast
+costs a point no more than a short one. Spark broadcasts the cells where they are small.
 """
 
 from __future__ import annotations
@@ -15,22 +15,31 @@ from wildgrid.functions import geometry as G
 CELL = 2.5
 
 
-def candidates(points: DataFrame, layer: DataFrame, cell: float = CELL, widen: float = 0.0, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Points with fid and edges of each polygon whose widened envelope holds them; ``keys``: columns that must be equal too."""
-    cells = G.cover(layer, cell, widen)
-    if keys:
-        cells = cells.join(layer.select("fid", *keys), "fid")
+def _met(points: DataFrame, cells: DataFrame, cell: float, widen: float, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Points with each polygon cell (of ``G.cover``) that they lie in, if the widened envelope holds them."""
     p = points.where(F.col("lon").isNotNull() & F.col("lat").isNotNull()).withColumns({"cx": F.floor(F.col("lon") / cell), "cy": F.floor(F.col("lat") / cell)})
-    near = p.join(cells, ["cx", "cy", *keys])
     inside = F.col("lon").between(F.col("xmin") - widen, F.col("xmax") + widen) & F.col("lat").between(F.col("ymin") - widen, F.col("ymax") + widen)
-    near = near.where(inside).drop("cx", "cy", "xmin", "xmax", "ymin", "ymax")
+    return p.join(cells, ["cx", "cy", *keys]).where(inside)
+
+
+def candidates(points: DataFrame, layer: DataFrame, cell: float = CELL, widen: float = 0.0) -> DataFrame:
+    """Points with fid and all edges of each polygon whose widened envelope holds them."""
+    near = _met(points, G.cover(layer, cell, widen), cell, widen).drop("cx", "cy", "xmin", "xmax", "ymin", "ymax")
     return near.join(layer.select("fid", "edges"), "fid")
 
 
+def _inside() -> Column:
+    return (F.col("crossed") + G.crossings(F.col("edges"), F.col("lon"), F.col("lat"))) % 2 == 1
+
+
 def spatial_join(points: DataFrame, layer: DataFrame, *attributes: str, cell: float = CELL, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Inner join of points and the polygons that contain them; a point in two polygons has two rows. Points without place have none."""
-    found = candidates(points, layer, cell, keys=keys).where(G.contains(F.col("edges"), F.col("lon"), F.col("lat"))).drop("edges")
-    return found.join(layer.select("fid", *[a for a in attributes if a not in keys]), "fid") if attributes else found
+    """Inner join of points and the polygons that contain them, with fid and attributes; ``keys``: columns that must be equal too.
+
+    A point in two polygons has two rows. Points without place have none.
+    """
+    more = [a for a in attributes if a not in keys]
+    found = _met(points, G.clipped_cover(layer, cell, 0.0, *keys, *more), cell, 0.0, keys).where(_inside())
+    return found.select(*points.columns, "fid", *more)
 
 
 def theta_filter(points: DataFrame, layer: DataFrame, condition: Column, *attributes: str, cell: float = CELL, widen: float = 0.0) -> DataFrame:
@@ -57,10 +66,10 @@ def update_by_key(df: DataFrame, found: DataFrame, key: str, columns: dict[str,
 
 def nearest_polygon(points: DataFrame, layer: DataFrame, key: str, cutoff: float = 1.0, cell: float = CELL) -> DataFrame:
     """(key, fid, distance) of the nearest polygon within ``cutoff``, 0 inside one; of equally near ones the smallest fid."""
-    d = G.distance(F.col("edges"), F.col("lon"), F.col("lat"))
-    near = candidates(points, layer, cell, cutoff).withColumn("distance", d).where(F.col("distance") <= cutoff)
-    one = near.groupBy(key).agg(F.min(F.struct("distance", "fid")).alias("r"))
-    return one.select(key, "r.fid", "r.distance")
+    d = F.when(_inside(), 0.0).otherwise(G.distance(F.col("near"), F.col("lon"), F.col("lat")))
+    near = _met(points, G.clipped_cover(layer, cell, cutoff), cell, cutoff)
+    one = near.groupBy(key).agg(F.min(F.struct(d.alias("distance"), "fid")).alias("r"))
+    return one.where(F.col("r.distance") <= cutoff).select(key, "r.fid", "r.distance")
 
 
 def min_gap(points: DataFrame, areas: DataFrame, key: str, cell: float = CELL) -> DataFrame:
