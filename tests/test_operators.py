@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -197,3 +198,21 @@ def test_runs_and_ranks_do_not_depend_on_partitions(spark):
     for largest, n, expected in ((True, 4, [1, 1, 3, 4, 4, 4, 4]), (False, 2, [1, 2, 2, 2, 2]), (True, 50, [1, 1, 3, 4, 4, 4, 4, 8])):
         assert sorted(r["rank"] for r in matrix.rank(table, "v", largest, n).collect()) == expected
     assert matrix.rank(table.limit(0), "v").count() == 0
+
+
+def test_annotated_table_follows_its_files(spark, tmp_path):
+    """One table for a folder, written anew when a file changes or the table is gone."""
+    import shutil
+
+    from wildgrid.plans import views
+
+    for name in ("orders", "customer", "nation", "part"):
+        shutil.copy(f"/root/testdata/sf0.001/{name}.parquet", tmp_path)
+    first = views.annotated_table(spark, str(tmp_path))
+    assert views.annotated_table(spark, str(tmp_path)).inputFiles() == first.inputFiles()
+    n = first.count()
+    assert n == views.annotated(spark, str(tmp_path)).count() > 0
+    shutil.rmtree(first.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0])
+    assert views.annotated_table(spark, str(tmp_path)).count() == n
+    duckdb.sql(f"copy (select * from '/root/testdata/sf0.001/orders.parquet' where o_orderkey % 2 = 0) to '{tmp_path}/orders.parquet'")
+    assert 0 < views.annotated_table(spark, str(tmp_path)).count() < n

@@ -76,22 +76,17 @@ def clipped_cover(layer: DataFrame, cell: float, widen: float = 0.0, *keep: str)
     that distance. A cell wholly inside a polygon has no edges and crossed 1; cells wholly outside (and not near) are left out.
     Cells are compared one column wider than need be, so that rounding can't tell a ray from its edge.
     """
-    def span(k: Column, axis: str, by: float = 0.0) -> tuple[Column, Column]:
-        a, b = k[f"{axis}1"], k[f"{axis}2"]
-        return F.floor((F.least(a, b) - by) / cell), F.floor((F.greatest(a, b) + by) / cell)
-    def sure(k: Column) -> Column:
-        (low, high), (left, _) = span(k, "y"), span(k, "x")
-        return (low < F.col("cy")) & (high > F.col("cy")) & (left > F.col("cx") + 1)
-    def possible(k: Column) -> Column:
-        (low, high), (_, right) = span(k, "y"), span(k, "x")
-        return (low <= F.col("cy")) & (high >= F.col("cy")) & (right >= F.col("cx") - 1) & ~sure(k)
-    def close(k: Column) -> Column:
-        (low, high), (left, right) = span(k, "y", widen), span(k, "x", widen)
-        return F.col("cy").between(low, high) & F.col("cx").between(left, right)
-    e = F.col("edges")
-    near = F.filter(e, close) if widen else F.lit(None).cast(f"array<{EDGE}>")
-    out = cover(layer, cell, widen, "edges", *keep).withColumns({"crossed": F.size(F.filter(e, sure)) % 2, "near": near, "edges": F.filter(e, possible)})
-    return out.where((F.size("edges") > 0) | (F.col("crossed") == 1) | (F.size("near") > 0))
+    def span(axis: str, by: float = 0.0) -> tuple[str, str]:
+        a, b = f"e.{axis}1", f"e.{axis}2"
+        return f"floor((least({a}, {b}) - {by}D) / {cell}D)", f"floor((greatest({a}, {b}) + {by}D) / {cell}D)"
+    (low, high), (left, right) = span("y"), span("x")
+    sure = f"({low} < cy and {high} > cy and {left} > cx + 1)"
+    possible = f"{low} <= cy and {high} >= cy and {right} >= cx - 1 and not {sure}"
+    (low, high), (left, right) = span("y", widen), span("x", widen)
+    near = f"filter(edges, e -> cy between {low} and {high} and cx between {left} and {right})" if widen else f"cast(null as array<{EDGE}>)"
+    columns = {"crossed": f"size(filter(edges, e -> {sure})) % 2", "near": near, "edges": f"filter(edges, e -> {possible})"}
+    out = cover(layer, cell, widen, "edges", *keep).withColumns({c: F.expr(e) for c, e in columns.items()})
+    return out.where("size(edges) > 0 or crossed = 1 or size(near) > 0")
 
 
 def pieces(layer: DataFrame, rings: str = "rings") -> DataFrame:

@@ -10,7 +10,7 @@ from wildgrid.sources import io
 from wildgrid.streaming import arrivals
 
 from .query import Queries
-from .views import annotated, domain, layer
+from .views import annotated_table, domain, layer
 
 Q = Queries()
 
@@ -99,7 +99,7 @@ _BY_STATE = "select census_state, count(*) as occ_count from ann where census_st
 
 
 def _by_state(spark, d):
-    return annotated(spark, d).where("census_state is not null").groupBy("census_state").agg(F.count("*").alias("occ_count"))
+    return annotated_table(spark, d).where("census_state is not null").groupBy("census_state").agg(F.count("*").alias("occ_count"))
 
 
 @Q.add("sink_parquet_sorted", _BY_STATE, "ann")
@@ -114,13 +114,13 @@ def _(spark, d):
 
 @Q.add("sink_annotated_records", "select gbifid, census_state, riis_assessment from ann where census_state is not null", "ann")
 def _(spark, d):
-    path = put(annotated(spark, d).select("gbifid", "census_state", "riis_assessment", F.struct("lon", "lat").alias("geom")), "annotated", io.write_annotated)
+    path = put(annotated_table(spark, d).select("gbifid", "census_state", "riis_assessment", F.struct("lon", "lat").alias("geom")), "annotated", io.write_annotated)
     return io.csv(spark, f"{path}/text", "gbifid long, census_state string, riis_assessment string", sep="\t").intersect(spark.read.parquet(f"{path}/parquet"))
 
 
 @Q.add("sink_partitioned", "select gbifid, species, census_state from ann where census_state is not null", "ann")
 def _(spark, d):
-    kept = annotated(spark, d).where("census_state is not null").select("gbifid", "species", "census_state")
+    kept = annotated_table(spark, d).where("census_state is not null").select("gbifid", "species", "census_state")
     return spark.read.parquet(put(kept, "partitioned", lambda x, p: io.write_by(x, p, "census_state")))
 
 

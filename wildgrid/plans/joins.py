@@ -9,7 +9,7 @@ from wildgrid.functions import geometry as G
 from wildgrid.operators import records, register, spatial
 
 from .query import Queries
-from .views import annotated, domain, layer, view, with_views
+from .views import annotated, annotated_table, domain, layer, view, with_views
 
 Q = Queries()
 POINTS = ("gbifid", "lon", "lat")
@@ -100,7 +100,7 @@ def _(spark, d):
 
 @Q.add("pad_min_gap", "> s as (select gbifid, lon, lat, census_state as state from ann) select gbifid, min(gap) as gap, arg_min(a.name, gap || a.name) as name from s join areas a using (state) where abs(lon - mx) + abs(lat - my) < r group by 1", "ann", "areas")
 def _(spark, d):
-    points = annotated(spark, d).select("gbifid", "lon", "lat", F.col("census_state").alias("state"))
+    points = annotated_table(spark, d).select("gbifid", "lon", "lat", F.col("census_state").alias("state"))
     return spatial.min_gap(points, layer(spark, d, "areas"), "gbifid")
 
 
@@ -245,7 +245,7 @@ def _(spark, d):
 
 @Q.add("unresolved_to_source", "select o.gbifid, o.lon, o.lat, o.datasetkey from ann join occ o using (gbifid) where census_state is null", "ann")
 def _(spark, d):
-    lost = annotated(spark, d).where("census_state is null").select("gbifid")
+    lost = annotated_table(spark, d).where("census_state is null").select("gbifid")
     return domain(spark, d, "occ").join(lost, "gbifid", "left_semi").select("gbifid", "lon", "lat", "datasetkey")
 
 

@@ -8,7 +8,7 @@ from wildgrid.operators import counts, quality, records, register, spatial
 from wildgrid.sources import io
 
 from .query import Queries
-from .views import annotated, domain, view
+from .views import annotated_table, domain, view
 
 Q = Queries()
 
@@ -25,7 +25,7 @@ def _counts(name, region, more=()):
 
     @Q.add(name, f"select {cols}, count(*) as occ_count, count(distinct taxonkey) as species_count from ann where {region} is not null and species is not null group by {cols}", "ann")
     def _(spark, d):
-        return counts.region_counts(annotated(spark, d), region, *more)
+        return counts.region_counts(annotated_table(spark, d), region, *more)
 
 
 for _n, (_c, _) in counts.REGIONS.items():
@@ -38,7 +38,7 @@ def _list(name, *keys):
 
     @Q.add(name, f"select {cols}, count(*) as occ_count from ann where census_state is not null and species is not null group by {cols}", "ann")
     def _(spark, d):
-        return counts.species_list(annotated(spark, d), *keys)
+        return counts.species_list(annotated_table(spark, d), *keys)
 
 
 _list("list_state_species", "census_state")
@@ -48,12 +48,12 @@ _list("list_aiannh_species", "aiannh_name")
 
 @Q.add("riis_totals", "select riis_assessment, count(*) as total from ann group by 1", "ann")
 def _(spark, d):
-    return counts.totals(annotated(spark, d), "riis_assessment").orderBy("total")
+    return counts.totals(annotated_table(spark, d), "riis_assessment").orderBy("total")
 
 
 @Q.add("coverage_counts", "select count(*) as total, count(census_state) as with_state, count(riis_occurrence_id) as with_register from ann", "ann")
 def _(spark, d):
-    return counts.coverage(annotated(spark, d))
+    return counts.coverage(annotated_table(spark, d))
 
 
 @Q.add("count_records", "select (select count(*) from orders) as orders, (select count(*) from sub) as kept", "sub")
@@ -69,7 +69,7 @@ _SUMMARY = """sm as (select location_type, location, concat_ws('__', riis_region
 
 
 def _summary(spark, d):
-    return counts.location_summary(annotated(spark, d))
+    return counts.location_summary(annotated_table(spark, d))
 
 
 @Q.add("location_summary", f"> {_SUMMARY} select * from sm", "ann")
@@ -79,14 +79,7 @@ def _(spark, d):
 
 @Q.add("location_violations", "select 'state' as location_type, count(*) filter (where census_state is null) as n from ann union all select 'county', count(*) filter (where state_county is null) from ann", "ann")
 def _(spark, d):
-    return counts.location_violations(annotated(spark, d))
-
-
-def _written(spark, d):
-    """The annotated subset as a table, for queries that read it several times."""
-    path = io.scratch(spark, "annotated")
-    io.write_parquet(annotated(spark, d).select("gbifid", "census_state", "state_county", "aiannh_name", "riis_region", "taxonkey", "species"), path)
-    return spark.read.parquet(path)
+    return counts.location_violations(annotated_table(spark, d))
 
 
 def _parts(ann):
@@ -95,7 +88,7 @@ def _parts(ann):
 
 @Q.add("combine_summaries", f"> {_SUMMARY} select location_type, location, region_species, species, cast(count as bigint) as count from sm", "ann")
 def _(spark, d):
-    return counts.combine(*_parts(_written(spark, d)))
+    return counts.combine(*_parts(annotated_table(spark, d)))
 
 
 @Q.add("summary_report", f"> {_SUMMARY} select location_type, location, count(distinct region_species) as species, sum(count)::bigint as occurrences from sm group by 1, 2", "ann")
@@ -175,7 +168,7 @@ def _(spark, d):
 
 @Q.add("count_assessments", "> v(riis_assessment) as (values ('ECONOMY'), ('presumed_native'), ('never seen')) select v.riis_assessment, count(gbifid) as n from v left join ann using (riis_assessment) group by 1", "ann")
 def _(spark, d):
-    return counts.assessment_counts(annotated(spark, d), ("ECONOMY", "presumed_native", "never seen"))
+    return counts.assessment_counts(annotated_table(spark, d), ("ECONOMY", "presumed_native", "never seen"))
 
 
 @Q.add("count_locations_species", f"> {_SUMMARY} select 'location' as kind, location_type || '__' || location as label, sum(count)::bigint as count from sm group by 2 union all select 'species', region_species, sum(count)::bigint from sm group by 2", "ann")
@@ -186,7 +179,7 @@ def _(spark, d):
 @Q.add("compare_location_counts", f"> {_SUMMARY} select distinct location_type, location, case when location = 'AK' then 'missing' when location = 'HI' then 'unequal' else 'good' end as verdict from sm", "ann")
 def _(spark, d):
     """Parts against a whole from which AK was taken, and HI counted once too much."""
-    ann = _written(spark, d)
+    ann = annotated_table(spark, d)
     whole = counts.location_summary(ann).where("location <> 'AK'")
     odd = F.when(F.col("location") == "HI", F.col("count") + 1).otherwise(F.col("count"))
     return counts.compare_counts(counts.combine(*_parts(ann)), whole.withColumn("count", odd))
@@ -196,7 +189,7 @@ def _(spark, d):
 def _(spark, d):
     occ = domain(spark, d, "occ")
     rejected = records.rejected_ranks(occ.select(F.col("taxonrank").alias("rank")))
-    return counts.annotate_report(records.subset(occ), annotated(spark, d).where("census_state is not null"), "gbifid", rejected)
+    return counts.annotate_report(records.subset(occ), annotated_table(spark, d).where("census_state is not null"), "gbifid", rejected)
 
 
 # --- order and sets ---------------------------------------------------------------
@@ -315,7 +308,7 @@ def _(spark, d):
 
 @Q.add("job_summarize_combine", f"> {_SUMMARY} select distinct location_type, location, 'good' as verdict from sm", "ann")
 def _(spark, d):
-    ann = _written(spark, d)
+    ann = annotated_table(spark, d)
     return counts.compare_counts(counts.combine(*_parts(ann)), counts.location_summary(ann))
 
 
@@ -331,5 +324,5 @@ def _(spark, d):
 @Q.add("job_group_by_state", "select gbifid, taxonkey, census_state from ann where census_state is not null", "ann")
 def _(spark, d):
     path = io.scratch(spark, "states")
-    io.write_by(annotated(spark, d).where("census_state is not null"), path, "census_state", columns=["gbifid", "taxonkey"])
+    io.write_by(annotated_table(spark, d).where("census_state is not null"), path, "census_state", columns=["gbifid", "taxonkey"])
     return spark.read.parquet(path).select("gbifid", "taxonkey", F.col("census_state").cast("string").alias("census_state"))

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wildgrid.operators import records, register, spatial
+from wildgrid.sources import io
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -129,6 +131,31 @@ def annotated(spark: SparkSession, sf_dir: str, riis: DataFrame | None = None) -
     return register.assess(out, domain(spark, sf_dir, "riis") if riis is None else riis)
 
 
+#: Tables of ``annotated`` that were written: (application, folder, state of its files) to path.
+_ANNOTATED: dict[tuple, str] = {}
+
+
+def annotated_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``annotated`` as a table in the shared folder, which all reports read.
+
+    A session writes it once for each folder, and again when names, lengths or times of the
+    folder's files have changed or the table is gone. Each report is then one scan and one aggregate.
+    """
+    files = spark.read.format("binaryFile").load([f"{sf_dir}/{t}.parquet" for t in ("orders", "customer", "nation", "part")])
+    state = files.agg(F.count("*"), F.sum("length"), F.max("modificationTime"), F.sum(F.crc32("path"))).first()
+    key = (spark.sparkContext.applicationId, sf_dir, *state)
+    if key in _ANNOTATED:
+        try:
+            return spark.read.parquet(_ANNOTATED[key])
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+    path = io.scratch(spark, "annotated")
+    io.write_parquet(annotated(spark, sf_dir), path)
+    _ANNOTATED[key] = path
+    return spark.read.parquet(path)
+
+
 _RANKS = "('SPECIES','SUBSPECIES','VARIETY','FORM','INFRASPECIFIC_NAME','INFRASUBSPECIFIC_NAME')"
 SUB = f"""
 select * from occ where lat is not null and lon is not null and countrycode = 'US' and occurrencestatus = 'PRESENT'
