@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bitplanes, jaccard, langid, licenses, media, mixing, pieces, transcripts, urls
+from . import ann, audit, bitplanes, jaccard, langid, licenses, media, mixing, pieces, transcripts, urls
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,7 @@ def queries() -> dict:
         "op8_additive_quantisation": ann.op8_additive_quantisation,
         "op9_license_scan": licenses.op9_license_scan,
         "op10_transcript_roles": transcripts.op10_transcript_roles,
+        "op12_filter_audit": audit.op12_filter_audit,
     }
 
 
@@ -34,4 +35,5 @@ def oracle_sql() -> dict:
         "op2_host_reputation": urls.OP2_SQL,
         "op4_ngram_jaccard": jaccard.OP4_SQL,
         "op9_license_scan": licenses.OP9_SQL,
+        "op12_filter_audit": audit.OP12_SQL,
     }
