@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, audit, bitplanes, jaccard, langid, licenses, media, mixing, pieces, transcripts, urls
+from . import ann, audit, bitplanes, jaccard, langid, licenses, media, mixing, pieces, pivots, transcripts, urls
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +27,7 @@ def queries() -> dict:
         "op9_license_scan": licenses.op9_license_scan,
         "op10_transcript_roles": transcripts.op10_transcript_roles,
         "op12_filter_audit": audit.op12_filter_audit,
+        "op13_pivot_search": pivots.op13_pivot_search,
     }
 
 
@@ -36,4 +37,5 @@ def oracle_sql() -> dict:
         "op4_ngram_jaccard": jaccard.OP4_SQL,
         "op9_license_scan": licenses.OP9_SQL,
         "op12_filter_audit": audit.OP12_SQL,
+        "op13_pivot_search": pivots.OP13_SQL,
     }
