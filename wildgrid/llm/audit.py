@@ -197,10 +197,14 @@ def text_failures(m: np.ndarray) -> np.ndarray:
     return (words < MIN_WORDS) | (100 * distinct < MIN_DISTINCT * words) << 1 | (100 * capitals > MAX_CAPITALS * points) << 2 | (symbols > 0) << 3
 
 
-def judged(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text, source) -> doc_id, part, digest (of the text), fails (bits A to D). A null text is an empty one."""
+def named(docs: DataFrame) -> DataFrame:
+    """doc_id, part, digest (of the text), text as bytes. A null text is an empty one."""
     text, part = F.coalesce(F.col("text").cast("string"), F.lit("")), F.coalesce(F.col("source").cast("string"), F.lit(""))
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), part.alias("part"), F.unhex(F.sha2(text, 256)).alias("digest"), text.cast("binary").alias("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), part.alias("part"), F.unhex(F.sha2(text, 256)).alias("digest"), text.cast("binary").alias("text"))
+
+
+def judged(docs: DataFrame) -> DataFrame:
+    """Of ``named`` rows: doc_id, part, digest, fails (bits A to D)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -213,16 +217,16 @@ def judged(docs: DataFrame) -> DataFrame:
             fails = text_failures(measures(data, offsets[1:] - offsets[0]))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("part"), b.column("digest"), pa.array(fails.astype(np.int32))], names=["doc_id", "part", "digest", "fails"])
 
-    return slim.mapInArrow(run, "doc_id long, part string, digest binary, fails int")
+    return docs.mapInArrow(run, "doc_id long, part string, digest binary, fails int")
 
 
-def with_copies(rows: DataFrame) -> DataFrame:
-    """Adds E's bit: a row's text is also that of a row with a smaller doc_id, anywhere in the table.
+def with_copies(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Adds E's bit to the ``judged`` rows of ``docs``: a row's text is also that of a row with a smaller doc_id, anywhere in the table.
 
     Rows without doc_id neither are nor have smaller ones; rows that share the smallest id are no copies of each other.
     Texts that occur once meet nothing; a text of a third of all rows is one row of the other side, so Spark can split its rows.
     """
-    seen = rows.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("digest", "least")
+    seen = docs.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("digest", "least")
     found = rows.join(seen, "digest", "left").withColumn("fails", F.col("fails") + F.when(F.col("doc_id") > F.col("least"), 1 << 4).otherwise(0))
     return found.select("doc_id", "part", "fails")
 
@@ -245,7 +249,8 @@ def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     orders = F.split(F.lit(",".join(map("".join, itertools.permutations(FILTERS)))), ",")
     bits = "aggregate(split({}, ''), 0, (a, c) -> a + if(c = '', 0, shiftleft(1, instr('" + FILTERS + "', c) - 1)))"
     # 600 fixed rows, beside each part
-    found = failure_sets(with_copies(judged(docs)), labels).withColumn("filter_order", F.explode(orders)).withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(len(FILTERS)))))
+    docs = named(docs)
+    found = failure_sets(with_copies(judged(docs), docs), labels).withColumn("filter_order", F.explode(orders)).withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(len(FILTERS)))))
     found = found.withColumns({"bit": F.expr(bits.format("substr(filter_order, step, 1)")), "before": F.expr(bits.format("left(filter_order, step - 1)"))})
     own, early = lambda s: s["fails"].bitwiseAND(F.col("bit")) != 0, lambda s: s["fails"].bitwiseAND(F.col("before")) != 0
 
