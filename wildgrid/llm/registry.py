@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, audit, bitplanes, jaccard, langid, licenses, media, mixing, pieces, pivots, transcripts, urls
+from . import alignment, ann, audit, bitplanes, jaccard, langid, licenses, media, mixing, pieces, pivots, transcripts, urls
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,7 @@ def queries() -> dict:
         "op8_additive_quantisation": ann.op8_additive_quantisation,
         "op9_license_scan": licenses.op9_license_scan,
         "op10_transcript_roles": transcripts.op10_transcript_roles,
+        "op11_lockstep_alignment": alignment.op11_lockstep_alignment,
         "op12_filter_audit": audit.op12_filter_audit,
         "op13_pivot_search": pivots.op13_pivot_search,
     }
