@@ -75,6 +75,7 @@ class Pair:
         pieces = (self.b.id_to_piece(i).lstrip("▁") for i in range(self.b.get_piece_size()))
         self.cuts = _cuts(json.loads(self.a.to_str())) and not any("▁" in p for p in pieces)
         self.chunks, self.memo = _Chunks(self.a), {}
+        self.decimals = _decimals(max(len(self.a_bytes), len(self.b_bytes)))
 
     def _ids(self, text: str, a: bytes) -> tuple[bytes, bytes, bool]:
         """Ids of both as bytes, and whether both spell space + text. The ids of the first are given."""
@@ -140,36 +141,32 @@ def merge(a_end: np.ndarray, b_end: np.ndarray, a_first: np.ndarray, b_first: np
     return tuple(np.concatenate(x) for x in zip(*links)) if links else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool))
 
 
-_DIGITS = 10
+def _decimals(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The decimal digits of 0 to n - 1 as rows of bytes with one place to spare, and their numbers."""
+    size = np.array([len(str(k)) for k in range(n)])
+    return np.array([list(str(k).encode().ljust(len(str(n)) + 1)) for k in range(n)], np.uint8), size
 
 
-def written_groups(a_ids: np.ndarray, b_ids: np.ndarray, a_last: np.ndarray, b_last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def written_groups(decimals: tuple[np.ndarray, np.ndarray], a_ids: np.ndarray, b_ids: np.ndarray, a_last: np.ndarray, b_last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of ``a1,a2|b1;a3|b2,b3;`` over all groups, and where each group ends in them. *_last: tokens that end a group."""
     a_group, b_group = (np.cumsum(x) - x for x in (a_last, b_last))
     a_before, b_before = (np.concatenate([[0], np.flatnonzero(x) + 1]) for x in (a_last, b_last))  # tokens before each group
     place = np.concatenate([np.arange(len(a_ids)) + b_before[a_group], np.arange(len(b_ids)) + a_before[b_group + 1]])
-    ids, mark = np.empty(len(place), np.int64), np.empty(len(place), np.uint8)
+    ids, mark = np.empty(len(place), np.int32), np.empty(len(place), np.uint8)
     ids[place] = np.concatenate([a_ids, b_ids])
     mark[place] = np.concatenate([np.where(a_last, ord("|"), ord(",")), np.where(b_last, ord(";"), ord(","))])
-    size = np.ones(len(ids), np.int64)
-    for d in range(1, _DIGITS):
-        size += ids >= 10**d
-    end = np.cumsum(size + 1)
-    out = np.empty(int(end[-1]) if len(end) else 0, np.uint8)
-    out[end - 1] = mark
-    at, rest = end - 2, ids
-    while len(at):  # the last digit of each id that has one left
-        out[at] = ord("0") + rest % 10
-        rest = rest // 10
-        more = rest > 0
-        at, rest = at[more] - 1, rest[more]
-    return out, end[mark == ord(";")] if len(end) else end
+    digits, sizes = decimals
+    size, cells = sizes[ids], digits[ids]
+    cells[np.arange(len(ids)), size] = mark
+    out = cells[np.arange(digits.shape[1])[None] <= size[:, None]]
+    return out, np.cumsum(size + 1)[mark == ord(";")]
 
 
 class Batch:
     """Everything about the documents of one batch, from their sequences of ids."""
 
     def __init__(self, pair: Pair, documents: list[list[tuple[bytes, bytes]]]):
+        self.decimals = pair.decimals
         sequences = [s for d in documents for s in d]
         n = len(documents)
         self.doc_of = np.repeat(np.arange(n), list(map(len, documents)))
@@ -193,7 +190,7 @@ class Batch:
         """SHA-256 of each document's groups; empty without tokens."""
         a_last, b_last = np.zeros(len(self.a), bool), np.zeros(len(self.b), bool)
         a_last[self.i[self.cut]], b_last[self.j[self.cut]] = True, True
-        text, ends = written_groups(self.a, self.b, a_last, b_last)
+        text, ends = written_groups(self.decimals, self.a, self.b, a_last, b_last)
         groups = np.cumsum(self.n_groups)
         stop = np.concatenate([[0], ends])[groups]
         start = np.concatenate([[0], stop[:-1]])
