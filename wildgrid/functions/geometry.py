@@ -68,6 +68,19 @@ def cover(layer: DataFrame, cell: float, widen: float = 0.0, *keep: str) -> Data
     return b.withColumn("cy", run(F.col("ymin"), F.col("ymax")))
 
 
+def _span(axis: str, cell: float, by: float = 0.0) -> tuple[str, str]:
+    """The first and the last cell along an axis that an edge (widened) meets."""
+    a, b = f"e.{axis}1", f"e.{axis}2"
+    return f"floor((least({a}, {b}) - {by}D) / {cell!r}D)", f"floor((greatest({a}, {b}) + {by}D) / {cell!r}D)"
+
+
+def _needed(cell: float) -> dict[str, str]:
+    """``edges`` that a ray from a point of the cell (cx, cy) may cross, and the parity ``crossed`` of those that it surely crosses."""
+    (low, high), (left, right) = _span("y", cell), _span("x", cell)
+    sure = f"({low} < cy and {high} > cy and {left} > cx + 1)"
+    return {"crossed": f"size(filter(edges, e -> {sure})) % 2", "edges": f"filter(edges, e -> {low} <= cy and {high} >= cy and {right} >= cx - 1 and not {sure})"}
+
+
 def clipped_cover(layer: DataFrame, cell: float, widen: float = 0.0, *keep: str) -> DataFrame:
     """``cover`` with what a point of the cell needs of its polygon.
 
@@ -76,20 +89,49 @@ def clipped_cover(layer: DataFrame, cell: float, widen: float = 0.0, *keep: str)
     that distance. A cell wholly inside a polygon has no edges and crossed 1; cells wholly outside (and not near) are left out.
     Cells are compared one column wider than need be, so that rounding can't tell a ray from its edge.
     """
-    def span(axis: str, by: float = 0.0) -> tuple[str, str]:
-        a, b = f"e.{axis}1", f"e.{axis}2"
-        return f"floor((least({a}, {b}) - {by}D) / {cell}D)", f"floor((greatest({a}, {b}) + {by}D) / {cell}D)"
-    (low, high), (left, right) = span("y"), span("x")
-    sure = f"({low} < cy and {high} > cy and {left} > cx + 1)"
-    possible = f"{low} <= cy and {high} >= cy and {right} >= cx - 1 and not {sure}"
-    (low, high), (left, right) = span("y", widen), span("x", widen)
+    (low, high), (left, right) = _span("y", cell, widen), _span("x", cell, widen)
     near = f"filter(edges, e -> cy between {low} and {high} and cx between {left} and {right})" if widen else f"cast(null as array<{EDGE}>)"
-    columns = {"crossed": f"size(filter(edges, e -> {sure})) % 2", "near": near, "edges": f"filter(edges, e -> {possible})"}
-    out = cover(layer, cell, widen, "edges", *keep).withColumns({c: F.expr(e) for c, e in columns.items()})
+    out = cover(layer, cell, widen, "edges", *keep).withColumns({c: F.expr(e) for c, e in {"near": near, **_needed(cell)}.items()})
     return out.where("size(edges) > 0 or crossed = 1 or size(near) > 0")
 
 
+def clipped(rows: DataFrame, cell: float) -> DataFrame:
+    """Rows of ``clipped_cover`` (without near) moved to smaller cells inside their own: cx, cy of these are given, edges and crossed are those of the larger ones."""
+    before = rows.withColumn("_crossed", F.col("crossed")).withColumns({c: F.expr(e) for c, e in _needed(cell).items()})
+    return before.withColumn("crossed", (F.col("crossed") + F.col("_crossed")) % 2).drop("_crossed").where("size(edges) > 0 or crossed = 1")
+
+
+def ring_area(r: Column) -> Column:
+    """Signed area of a ring array<struct<x,y>>: positive where it runs against the clock."""
+    n = F.size(r)
+    def cross(i: Column) -> Column:
+        a, b = F.get(r, i), F.get(r, (i + 1) % n)
+        return a["x"] * b["y"] - b["x"] * a["y"]
+    return F.aggregate(F.transform(F.sequence(F.lit(0), n - 1), cross), F.lit(0.0), lambda t, v: t + v) / 2
+
+
+def _within(a: Column, b: Column) -> Column:
+    """Whether ring a lies in ring b: most middles of its edges do, and its area is smaller. Rings of a layer don't cross, but may touch."""
+    middles = F.transform(a["edges"], lambda e: F.struct(((e["x1"] + e["x2"]) / 2).alias("x"), ((e["y1"] + e["y2"]) / 2).alias("y")))
+    inside = F.size(F.filter(middles, lambda m: contains(b["edges"], m["x"], m["y"])))
+    return (a["area"] < b["area"]) & (2 * inside > F.size(a["edges"]))
+
+
 def pieces(layer: DataFrame, rings: str = "rings") -> DataFrame:
-    """Multipolygons as simple polygons with the same attributes and the piece's number."""
+    """Multipolygons as simple polygons with the same attributes: piece (its number, in the order of outer rings), rings (outer ring, then its holes).
+
+    A ring inside an even number of others is an outer ring, one inside an odd number is a hole of the smallest that
+    holds it, so an island in a hole is a piece of its own, whichever way rings run. Rings of fewer than three
+    places are left out; a polygon without rings has no piece.
+    """
     others = [c for c in layer.columns if c != rings]
-    return layer.select(*others, F.posexplode(rings).alias("piece", "ring")).withColumn(rings, F.array("ring")).drop("ring")
+    known = F.transform(F.filter(rings, lambda r: F.size(r) > 2), lambda r: F.struct(r.alias("ring"), edges(F.array(r)).alias("edges"), F.abs(ring_area(r)).alias("area")))
+    out = layer.select(*others, known.alias("_rings"))
+    # of each ring: the places of those that hold it
+    above = F.transform("_rings", lambda a: F.filter(F.transform("_rings", lambda b, i: F.when(_within(a, b), i)), lambda i: i.isNotNull()))
+    out = out.withColumn("_above", above)
+    out = out.select(*others, "_rings", "_above", F.posexplode("_rings").alias("_at", "_outer")).where(F.size(F.get("_above", F.col("_at"))) % 2 == 0)
+    depth = F.size(F.get("_above", F.col("_at")))
+    holes = F.filter(F.transform("_rings", lambda h, i: F.when(F.array_contains(F.get("_above", i), F.col("_at")) & (F.size(F.get("_above", i)) == depth + 1), h["ring"])), lambda r: r.isNotNull())
+    number = F.size(F.filter(F.transform("_above", lambda a, i: (i < F.col("_at")) & (F.size(a) % 2 == 0)), lambda x: x))
+    return out.select(*others, number.alias("piece"), F.concat(F.array(F.col("_outer.ring")), holes).alias(rings))

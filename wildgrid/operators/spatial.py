@@ -1,18 +1,161 @@
 """Spatial joins by grid cells, point grids and polygon tables.
 
-A polygon layer has ``fid``, attributes and ``edges``. Points and polygon cells meet in
-one equi-join; a cell holds only the edges that its own points need, so a long coast
-costs a point no more than a short one. Spark broadcasts the cells where they are small.
+A polygon layer has ``fid``, attributes and ``edges``. An ``Index`` has one row for each grid
+cell with all polygons that meet it, each with only those edges that the cell's own points need, so a
+long coast costs a point no more than a short one. A point meets the one row of its cell and
+is tested there, so points stay one row each: nothing is grouped by point or joined back to it.
+Spark broadcasts the index where it is small. Cells with too many edges, or with too many points
+for their edges, can be split into quarters (``refined``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from dataclasses import dataclass, replace
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wildgrid.functions import geometry as G
 
 CELL = 2.5
+#: Quarterings of a cell at most, and edges that a cell may always have.
+DEPTH, FEW = 8, 8
+
+
+# --- the index of cells -------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Index:
+    """Cells of a polygon layer.
+
+    cells: _cx, _cy (the grid cell), _leaf (the quarter's path: 1 for a whole cell, else its parent's times 4, plus 1 for the right and 2
+    for the upper half), _gx, _gy (its place in the grid of its size), keys, _polygons. splits: _cx, _cy, _splits, the paths that were quartered; None where none was.
+    """
+
+    cells: DataFrame
+    cell: float
+    attributes: tuple[str, ...]
+    keys: tuple[str, ...] = ()
+    splits: DataFrame | None = None
+    depth: int = 0
+
+
+_PARTS = ("fid", "xmin", "xmax", "ymin", "ymax", "crossed", "edges")
+
+
+def index(layer: DataFrame, *attributes: str, cell: float = CELL, keys: Iterable[str] = ()) -> Index:
+    """The index of a layer; a point must also have the polygon's ``keys``."""
+    keys = tuple(keys)
+    more = tuple(a for a in attributes if a not in keys)
+    rows = G.clipped_cover(layer, cell, 0.0, *keys, *more)
+    cells = rows.groupBy("cx", "cy", *keys).agg(F.collect_list(F.struct(*_PARTS, *more)).alias("_polygons"))
+    return Index(cells.select(F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), F.lit(1).cast("long").alias("_leaf"), F.col("cx").alias("_gx"), F.col("cy").alias("_gy"), *keys, "_polygons"), cell, more, keys)
+
+
+def _edges() -> Column:
+    return F.aggregate("_polygons", F.lit(0), lambda n, p: n + F.size(p["edges"]))
+
+
+def refined(index: Index, most: int, points: DataFrame | None = None, depth: int = DEPTH) -> Index:
+    """The index with cells quartered as long as they have more than ``most`` edges; with ``points``, as long as points times edges exceed ``most``.
+
+    Cells of up to ``FEW`` edges and those quartered ``depth`` times stay. A quarter keeps of its parent's edges what its
+    own points need. The work is that of the layer, and one count of the points by the smallest cells; each round is written.
+    """
+    from wildgrid.sources import io
+
+    spark, keys = index.cells.sparkSession, index.keys
+    weights = None
+    if points is not None:
+        size = index.cell / 2**depth
+        path = io.scratch(spark, "cell-points")
+        placed = points.where("lon is not null and lat is not null").groupBy(F.floor(F.col("lon") / size).alias("_gx"), F.floor(F.col("lat") / size).alias("_gy")).agg(F.count("*").alias("_n"))
+        io.write_parquet(placed, path)
+        weights = spark.read.parquet(path)
+    done, split, rest = [], [], index.cells
+    for level in range(depth):
+        load = rest.groupBy("_cx", "_cy", "_leaf", "_gx", "_gy").agg(F.sum(_edges()).alias("_e"))
+        if weights is None:
+            load = load.withColumn("_n", F.lit(1).cast("long"))
+        else:
+            coarse = weights.groupBy(*[F.shiftright(c, depth - level).alias(c) for c in ("_gx", "_gy")]).agg(F.sum("_n").alias("_n"))
+            load = load.join(coarse, ["_gx", "_gy"], "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+        many = load.where((F.col("_e") > FEW) & (F.col("_e") * F.col("_n") > most)).select("_cx", "_cy", "_leaf")
+        path = io.scratch(spark, "cells")
+        io.write_parquet(many, f"{path}/split")
+        many = spark.read.parquet(f"{path}/split")
+        if many.isEmpty():
+            break
+        split.append(many)
+        done.append(rest.join(many, ["_cx", "_cy", "_leaf"], "left_anti"))
+        quarters = _quartered(rest.join(many, ["_cx", "_cy", "_leaf"], "left_semi"), index.cell / 2 ** (level + 1), index)
+        io.write_parquet(quarters, f"{path}/quarters")
+        rest = spark.read.parquet(f"{path}/quarters")
+    if not split:
+        return index
+    cells = _union([*done, rest])
+    splits = _union(split).groupBy("_cx", "_cy").agg(F.collect_list("_leaf").alias("_splits"))
+    return replace(index, cells=cells, splits=splits, depth=len(split))
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _quartered(cells: DataFrame, size: float, index: Index) -> DataFrame:
+    """Each cell as its four quarters of that size, with what these need of its polygons."""
+    rows = cells.withColumn("_q", F.explode(F.array(*map(F.lit, range(4)))))
+    rows = rows.withColumns({"_leaf": F.col("_leaf") * 4 + F.col("_q"), "cx": F.col("_gx") * 2 + F.col("_q") % 2, "cy": F.col("_gy") * 2 + F.floor(F.col("_q") / 2)})
+    rows = rows.withColumn("_p", F.explode("_polygons")).select("_cx", "_cy", "_leaf", "cx", "cy", *index.keys, "_p.*")
+    kept = G.clipped(rows, size).groupBy("_cx", "_cy", "_leaf", "cx", "cy", *index.keys).agg(F.collect_list(F.struct(*_PARTS, *index.attributes)).alias("_polygons"))
+    return kept.select("_cx", "_cy", "_leaf", F.col("cx").alias("_gx"), F.col("cy").alias("_gy"), *index.keys, "_polygons")
+
+
+def _leaf(index: Index) -> Column:
+    """The path of the quarter that a point lies in, down to where its cell isn't split any more."""
+    leaf = F.lit(1).cast("long")
+    splits = F.coalesce("_splits", F.array().cast("array<long>"))
+    for level in range(1, index.depth + 1):
+        right, up = ((F.floor(F.col(c) / (index.cell / 2**level)) - 2 * F.floor(F.col(c) / (index.cell / 2 ** (level - 1)))) for c in ("lon", "lat"))
+        leaf = F.when(F.array_contains(splits, leaf), leaf * 4 + right + 2 * up).otherwise(leaf)
+    return leaf
+
+
+def with_polygons(points: DataFrame, index: Index, name: str = "polygons") -> DataFrame:
+    """Every point with an array of fid and attributes of the polygons that hold it; empty without any or without place."""
+    p = points.withColumns({"_cx": F.floor(F.col("lon") / index.cell), "_cy": F.floor(F.col("lat") / index.cell)})
+    if index.splits is not None:
+        p = p.join(index.splits, ["_cx", "_cy"], "left").withColumn("_leaf", _leaf(index))
+    else:
+        p = p.withColumn("_leaf", F.lit(1).cast("long"))
+    met = p.join(index.cells.drop("_gx", "_gy"), ["_cx", "_cy", "_leaf", *index.keys], "left")
+    lon, lat = F.col("lon"), F.col("lat")
+
+    def holds(q: Column) -> Column:
+        return lon.between(q["xmin"], q["xmax"]) & lat.between(q["ymin"], q["ymax"]) & ((q["crossed"] + G.crossings(q["edges"], lon, lat)) % 2 == 1)
+
+    held = F.transform(F.filter("_polygons", holds), lambda q: F.struct(*[q[c].alias(c) for c in ("fid", *index.attributes)]))
+    kind = f"array<struct<{','.join(f'`{c}`:{t}' for c, t in _types(index))}>>"
+    return met.select(*points.columns, F.coalesce(held, F.array().cast(kind)).alias(name))
+
+
+def _types(index: Index) -> list[tuple[str, str]]:
+    own = index.cells.schema["_polygons"].dataType.elementType
+    return [(c, own[c].dataType.simpleString()) for c in ("fid", *index.attributes)]
+
+
+def least(name: str, *order: str, where=None) -> Column:
+    """The first struct of an array of ``with_polygons`` in the given order (then by fid); null if there is none (that ``where`` accepts)."""
+    kept = F.filter(name, where) if where is not None else F.col(name)
+    return F.array_min(F.transform(kept, lambda q: F.struct(*[q[c].alias(c) for c in dict.fromkeys([*order, "fid"])])))
+
+
+# --- joins --------------------------------------------------------------------
 
 
 def _met(points: DataFrame, cells: DataFrame, cell: float, widen: float, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -32,14 +175,14 @@ def _inside() -> Column:
     return (F.col("crossed") + G.crossings(F.col("edges"), F.col("lon"), F.col("lat"))) % 2 == 1
 
 
-def spatial_join(points: DataFrame, layer: DataFrame, *attributes: str, cell: float = CELL, keys: tuple[str, ...] = ()) -> DataFrame:
+def spatial_join(points: DataFrame, layer: DataFrame | Index, *attributes: str, cell: float = CELL, keys: tuple[str, ...] = ()) -> DataFrame:
     """Inner join of points and the polygons that contain them, with fid and attributes; ``keys``: columns that must be equal too.
 
     A point in two polygons has two rows. Points without place have none.
     """
-    more = [a for a in attributes if a not in keys]
-    found = _met(points, G.clipped_cover(layer, cell, 0.0, *keys, *more), cell, 0.0, keys).where(_inside())
-    return found.select(*points.columns, "fid", *more)
+    own = layer if isinstance(layer, Index) else index(layer, *attributes, cell=cell, keys=keys)
+    found = with_polygons(points, own, "_held")
+    return found.select(*points.columns, F.explode("_held").alias("_held")).select(*points.columns, "_held.*")
 
 
 def theta_filter(points: DataFrame, layer: DataFrame, condition: Column, *attributes: str, cell: float = CELL, widen: float = 0.0) -> DataFrame:
@@ -58,10 +201,12 @@ def first_polygon(found: DataFrame, key: str, *order: str) -> DataFrame:
     return one.select(key, "r.*")
 
 
-def update_by_key(df: DataFrame, found: DataFrame, key: str, columns: dict[str, str], order: tuple[str, ...]) -> DataFrame:
-    """``df`` with the columns (new name: found column) of its first row in ``found``; without one they are null."""
-    one = first_polygon(found.select(key, *dict.fromkeys([*order, *columns.values()])), key, *order)
-    return df.join(one.select(key, *[F.col(c).alias(n) for n, c in columns.items()]), key, "left")
+def update_by_key(points: DataFrame, layer: DataFrame | Index, columns: dict[str, str], *order: str) -> DataFrame:
+    """Points with attributes (new name: attribute) of the first polygon that holds them, in the given order; without one they are null."""
+    own = layer if isinstance(layer, Index) else index(layer, *dict.fromkeys([*order, *columns.values()]))
+    found = with_polygons(points, own, "_held")
+    first = least("_held", *dict.fromkeys([*order, *columns.values()]))
+    return found.withColumn("_held", first).select(*points.columns, *[F.col("_held")[c].alias(n) for n, c in columns.items()])
 
 
 def nearest_polygon(points: DataFrame, layer: DataFrame, key: str, cutoff: float = 1.0, cell: float = CELL) -> DataFrame:
@@ -72,25 +217,66 @@ def nearest_polygon(points: DataFrame, layer: DataFrame, key: str, cutoff: float
     return one.where(F.col("r.distance") <= cutoff).select(key, "r.fid", "r.distance")
 
 
+#: Distances to which ``nearest_polygons`` widens its search, in degrees.
+RINGS = (0.0, 0.3, 1.0, 2.8, 5.5)
+#: Distances that differ by no more are equal.
+TIE = 1e-9
+
+
+def nearest_polygons(points: DataFrame, layer: DataFrame, key: str, rings: tuple[float, ...] = RINGS, cell: float = CELL) -> DataFrame:
+    """(key, fid, distance, ring) of the nearest polygon within the last of ``rings``, and of all others as near (within ``TIE``).
+
+    Polygons that hold the point come first (distance 0). Only points without any go on to the next ring, where
+    they meet all polygons within its distance, so most points never meet a widened cell. Every ring's finds and rest are written:
+    the work of a ring is that of the points it still has. Points without place have no rows.
+    """
+    from wildgrid.sources import io
+
+    spark, found = points.sparkSession, []
+    path = io.scratch(spark, "rings")
+    rest = points.select(key, "lon", "lat").where("lon is not null and lat is not null")
+    for number, ring in enumerate(rings):
+        if ring == 0:
+            met = with_polygons(rest, index(layer, cell=cell), "_held")
+            met = met.withColumn("near", F.transform("_held", lambda q: F.struct(F.lit(0.0).alias("distance"), q["fid"].alias("fid")))).select(key, "lon", "lat", "near")
+        else:
+            # cells as wide as the ring, so that a polygon isn't repeated over many of them
+            size = max(cell, ring)
+            near = _met(rest, G.clipped_cover(layer, size, ring), size, ring)
+            d = F.when(_inside(), 0.0).otherwise(G.distance(F.col("near"), F.col("lon"), F.col("lat")))
+            near = near.select(key, F.struct(d.alias("distance"), "fid").alias("d")).where(F.col("d.distance") <= ring)
+            least_ = F.min("d.distance").over(Window.partitionBy(key))
+            near = near.withColumn("_least", least_).where(F.col("d.distance") <= F.col("_least") + TIE)
+            met = rest.join(near.groupBy(key).agg(F.collect_list("d").alias("near")), key, "left")
+            met = met.withColumn("near", F.coalesce("near", F.array().cast("array<struct<distance:double,fid:" + dict(layer.dtypes)["fid"] + ">>")))
+        io.write_parquet(met, f"{path}/{number}")
+        met = spark.read.parquet(f"{path}/{number}")
+        found.append(met.select(key, F.explode("near").alias("d"), F.lit(ring).alias("ring")).select(key, "d.fid", "d.distance", "ring"))
+        rest = met.where("size(near) = 0").select(key, "lon", "lat")
+        if rest.isEmpty():
+            break
+    return _union(found)
+
+
 def min_gap(points: DataFrame, areas: DataFrame, key: str, cell: float = CELL) -> DataFrame:
     """(key, gap, name) of the protected area of the point's own state with the lowest gap status, then name."""
-    hits = spatial_join(points, areas, "gap", "name", cell=cell, keys=("state",))
-    return first_polygon(hits.select(key, "gap", "name"), key, "gap", "name")
+    found = with_polygons(points, index(areas, "gap", "name", cell=cell, keys=("state",)), "_held").withColumn("_first", least("_held", "gap", "name"))
+    return found.where(F.col("_first").isNotNull()).select(key, "_first.gap", "_first.name")
 
 
-def land_then_sea(points: DataFrame, land: DataFrame, sea: DataFrame, key: str) -> DataFrame:
+def land_then_sea(points: DataFrame, land: DataFrame, sea: DataFrame) -> DataFrame:
     """Points with place, region and match_count.
 
     One polygon on land gives its name; several are cleared. Otherwise, one at sea gives
     its region. match_count is that of the layer looked at last, 2 for two and more.
+    Both layers are one index, so points meet them once.
     """
-    def counted(layer: DataFrame, n: str, value: str) -> DataFrame:
-        hits = spatial_join(points.select(key, "lon", "lat"), layer, "name")
-        return hits.groupBy(key).agg(F.least(F.count("*"), F.lit(2)).alias(n), F.min("name").alias(value))
-    out = points.join(counted(land, "on_land", "land_name"), key, "left").join(counted(sea, "at_sea", "sea_name"), key, "left")
-    one = F.coalesce(F.col("on_land") == 1, F.lit(False))
-    count = F.coalesce(F.when(one, 1).otherwise(F.col("at_sea")), F.lit(0)).cast("int")
-    place, region = F.when(one, F.col("land_name")), F.when(~one & (F.col("at_sea") == 1), F.col("sea_name"))
+    both = land.select("fid", "edges", "name", F.lit(False).alias("at_sea")).unionByName(sea.select("fid", "edges", "name", F.lit(True).alias("at_sea")))
+    out = with_polygons(points, index(both, "name", "at_sea"), "_held")
+    out = out.withColumns({"_land": F.filter("_held", lambda q: ~q["at_sea"]), "_sea": F.filter("_held", lambda q: q["at_sea"])})
+    one = F.size("_land") == 1
+    count = F.when(one, 1).otherwise(F.least(F.size("_sea"), F.lit(2)))
+    place, region = F.when(one, F.get("_land", 0)["name"]), F.when(~one & (F.size("_sea") == 1), F.get("_sea", 0)["name"])
     return out.select(*points.columns, place.alias("place"), region.alias("region"), count.alias("match_count"))
 
 

@@ -145,7 +145,7 @@ def _looked_up(spark: SparkSession, raw: DataFrame, df: DataFrame) -> DataFrame:
 
 
 def _land_and_sea(spark: SparkSession, d: str, df: DataFrame) -> DataFrame:
-    return spatial.land_then_sea(df, layer(spark, d, "poly"), layer(spark, d, "areas"), "id")
+    return spatial.land_then_sea(df, layer(spark, d, "poly"), layer(spark, d, "areas"))
 
 
 @Q.add("job_clean_gbif", f"""> {_LOOKUPS}, sets as ({_SETS}),

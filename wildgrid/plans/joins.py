@@ -32,8 +32,7 @@ def _(spark, d):
 @Q.add("update_by_key", "select gbifid, taxonkey, name as census_county from occ left join (select gbifid, min(p.name) as name from occ join poly p on abs(lon - mx) + abs(lat - my) < r group by 1) using (gbifid)", "occ", "poly")
 def _(spark, d):
     occ = domain(spark, d, "occ").select("gbifid", "taxonkey", "lon", "lat")
-    found = spatial.spatial_join(occ.select(*POINTS), layer(spark, d, "poly"), "name")
-    return spatial.update_by_key(occ, found, "gbifid", {"census_county": "name"}, ("name",)).drop("lon", "lat")
+    return spatial.update_by_key(occ, layer(spark, d, "poly"), {"census_county": "name"}, "name").drop("lon", "lat")
 
 
 @Q.add("cross_filter_spatial", "select gbifid, p.fid from occ join poly p on abs(lon - mx) + abs(lat - my) < r", "occ", "poly")
@@ -92,6 +91,22 @@ def _(spark, d):
     return near.select("gbifid", "fid", F.round("distance", 9).alias("distance"))
 
 
+@Q.add("nearest_polygon_rings", f"""{_DIST.replace("where gbifid % 4 = 0 and", "where").rsplit(chr(10) + "select", 1)[0]},
+b as (select gbifid, min(d) as least from s group by 1)
+select gbifid, fid, d as distance, case when d = 0 then 0.0::double when least <= 0.3 then 0.3 when least <= 1.0 then 1.0 when least <= 2.8 then 2.8 else 5.5 end as ring from s join b using (gbifid) where d - least <= 1e-9 and least <= 5.5""", "occ", "poly")
+def _(spark, d):
+    """The search that widens from ring to ring, to 5.5 degrees, with all polygons as near as the nearest."""
+    return spatial.nearest_polygons(_points(spark, d), layer(spark, d, "poly"), "gbifid").select("gbifid", "fid", F.round("distance", 9).alias("distance"), "ring")
+
+
+@Q.add("spatial_join_refined", "select gbifid, p.fid, p.name, stusps from occ join poly p on abs(lon - mx) + abs(lat - my) < r", "occ", "poly")
+def _(spark, d):
+    """The join over cells that are quartered while the points in them times their edges exceed a bound."""
+    points = _points(spark, d)
+    own = spatial.index(layer(spark, d, "poly"), "name", "stusps", cell=20.0)
+    return spatial.spatial_join(points, spatial.refined(own, 50_000, points)).select("gbifid", "fid", "name", "stusps")
+
+
 @Q.add("first_polygon", "select gbifid, min(p.name) as name from occ join poly p on abs(lon - mx) + abs(lat - my) < r group by 1", "occ", "poly")
 def _(spark, d):
     found = spatial.spatial_join(_points(spark, d), layer(spark, d, "poly"), "name")
@@ -109,7 +124,7 @@ m as (select gbifid, least(count(*), 2) as n, min(p.name) as name from occ join
 select gbifid, case when h.n = 1 then h.name end as place, case when coalesce(h.n, 0) <> 1 and m.n = 1 then m.name end as region, cast(case when h.n = 1 then 1 else coalesce(m.n, 0) end as int) as match_count
 from occ left join h using (gbifid) left join m using (gbifid)""", "occ", "poly", "areas")
 def _(spark, d):
-    return spatial.land_then_sea(_points(spark, d), layer(spark, d, "poly"), layer(spark, d, "areas"), "gbifid").select("gbifid", "place", "region", "match_count")
+    return spatial.land_then_sea(_points(spark, d), layer(spark, d, "poly"), layer(spark, d, "areas")).select("gbifid", "place", "region", "match_count")
 
 
 # --- lookups --------------------------------------------------------------------

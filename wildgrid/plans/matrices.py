@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wildgrid.functions import geometry as G
 from wildgrid.operators import diversity as D
 from wildgrid.operators import matrix as M
 from wildgrid.operators import spatial
@@ -300,18 +301,21 @@ def _(spark, d):
 
 @Q.add("cell_cover", "select fid, cast(x as bigint) as cx, cast(y as bigint) as cy from poly, generate_series(-20, 20) a(x), generate_series(-20, 20) b(y) where x between floor((mx - r) / 2.5) and floor((mx + r) / 2.5) and y between floor((my - r) / 2.5) and floor((my + r) / 2.5)", "poly")
 def _(spark, d):
-    from wildgrid.functions.geometry import cover
+    return G.cover(layer(spark, d, "poly"), 2.5).select("fid", "cx", "cy")
 
-    return cover(layer(spark, d, "poly"), 2.5).select("fid", "cx", "cy")
 
-
-@Q.add("polygon_explode", "select fid, name, cast(k as int) as piece from poly, generate_series(0, 1) g(k)", "poly")
+@Q.add("polygon_explode", """select fid, name, piece::int as piece, rings::int as rings, round(part * r * r, 9) as area
+from poly, (values (0, 1, 0.125::double), (1, 2, 1.5), (2, 2, 0.375)) v(piece, rings, part)""", "poly")
 def _(spark, d):
-    from wildgrid.functions.geometry import pieces
-
-    poly = layer(spark, d, "poly")
-    ring = F.transform("edges", lambda e: F.struct(e["x1"].alias("x"), e["y1"].alias("y")))
-    return pieces(poly.select("fid", "name", F.array(ring, ring).alias("rings"))).select("fid", "name", "piece")
+    """A county with a lake, an island in the lake, and a second part with a lake of its own: three simple polygons with their holes."""
+    def ring(dx: float, size: float):
+        return F.transform(F.array(*[F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in ((1, 0), (0, 1), (-1, 0), (0, -1))]), lambda p: F.struct((F.col("mx") + (dx + p["x"] * size) * F.col("r")).alias("x"), (F.col("my") + p["y"] * size * F.col("r")).alias("y")))
+
+    rings = F.array(ring(0, 0.25), ring(0, 1), ring(0, 0.5), ring(2.5, 0.25), ring(2.5, 0.5))
+    parts = G.pieces(domain(spark, d, "poly").select("fid", "name", rings.alias("rings")))
+    own = F.transform("rings", lambda r: F.abs(G.ring_area(r)))
+    area = F.get(own, 0) * 2 - F.aggregate(own, F.lit(0.0), lambda a, x: a + x)
+    return parts.select("fid", "name", "piece", F.size("rings").alias("rings"), F.round(area, 9).alias("area"))
 
 
 @Q.add("merged_layers", "select fid, name, stusps, cast(null as varchar) as geoid from poly union all select fid, name, null, geoid from native", "poly", "native")

@@ -115,17 +115,16 @@ def layer(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def annotated(spark: SparkSession, sf_dir: str, riis: DataFrame | None = None) -> DataFrame:
     """The annotated subset: counties, native lands, region, register (``riis``, or the folder's own).
 
-    Both layers meet the points in one join; of each layer the polygon with the smallest name counts.
+    Both layers are one index that the points meet once, each point staying one row; of each layer the polygon with the smallest name counts.
     """
     sub = records.subset(domain(spark, sf_dir, "occ"))
     sub = sub.withColumn("taxonkey_species", F.concat(F.col("taxonkey").cast("string"), F.lit(" "), "species"))
     land = F.lit(True).alias("land")
     both = layer(spark, sf_dir, "poly").select((F.col("fid") * 2).alias("fid"), "edges", "name", F.col("stusps").alias("code"), ~land)
     both = both.toDF("fid", "edges", "name", "code", "land").unionByName(layer(spark, sf_dir, "native").select((F.col("fid") * 2 + 1).alias("fid"), "edges", "name", F.col("geoid").alias("code"), land))
-    found = spatial.spatial_join(sub.select("gbifid", "lon", "lat"), both, "name", "code", "land")
-    first = lambda which: F.min(F.when(which, F.struct("name", "code")))
-    one = found.groupBy("gbifid").agg(first(~F.col("land")).alias("county"), first(F.col("land")).alias("native"))
-    out = sub.join(one.select("gbifid", F.col("county.code").alias("census_state"), F.col("county.name").alias("census_county"), F.col("native.name").alias("aiannh_name"), F.col("native.code").alias("aiannh_geoid")), "gbifid", "left")
+    held = spatial.with_polygons(sub, spatial.index(both, "name", "code", "land"), "_held")
+    held = held.withColumns({"_county": spatial.least("_held", "name", "code", where=lambda q: ~q["land"]), "_native": spatial.least("_held", "name", "code", where=lambda q: q["land"])})
+    out = held.select(*sub.columns, F.col("_county.code").alias("census_state"), F.col("_county.name").alias("census_county"), F.col("_native.name").alias("aiannh_name"), F.col("_native.code").alias("aiannh_geoid"))
     out = out.withColumn("state_county", F.concat("census_state", F.lit(" "), "census_county"))
     out = out.withColumn("riis_region", register.region_of(F.col("census_state")))
     return register.assess(out, domain(spark, sf_dir, "riis") if riis is None else riis)
