@@ -17,6 +17,7 @@ one document alone need no lookup, so only the others meet the links again.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import os
 from collections.abc import Iterator
@@ -27,13 +28,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bitplanes import _BYTES, _CUT, _ODD, _Chunks, _cuts
+from .bitplanes import _BYTES, _CUT, _ODD, _cuts
 from .common import scratch, table
 
 #: Bytes of text that are merged at a time, and chunks of text in one sequence.
 WINDOW, CHUNKS = 1 << 21, 64
 #: Chunks that one worker keeps with their ids, and the longest of these: both bound its memory.
-MEMO, LONG = 300_000, 64
+MEMO, LONG = 400_000, 64
 #: Id pairs of several documents that are broadcast at most; beyond it they meet the links in a shuffled join.
 PAIRS = 1_000_000
 
@@ -59,7 +60,8 @@ class Pair:
 
     Texts are cut at single spaces between two other characters. The first always starts a new
     piece there, and so does the second if none of its pieces has a space behind another character
-    (looked up here; with another model texts stay whole). Strings of special tokens are plain text.
+    (looked up here; with another model texts stay whole). Chunks that a window of texts has and the memo
+    lacks are encoded in one call, as one text. Strings of special tokens are plain text.
     """
 
     def __init__(self, a_path: str, b_path: str):
@@ -74,39 +76,69 @@ class Pair:
         self.a_size, self.b_size = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
         pieces = (self.b.id_to_piece(i).lstrip("▁") for i in range(self.b.get_piece_size()))
         self.cuts = _cuts(json.loads(self.a.to_str())) and not any("▁" in p for p in pieces)
-        self.chunks, self.memo = _Chunks(self.a), {}
+        # chunks of late, and those of before: what is asked for again moves from these to those
+        self.memo: dict[str, tuple[bytes, bytes] | None] = {}
+        self.old: dict[str, tuple[bytes, bytes] | None] = {}
         self.decimals = _decimals(max(len(self.a_bytes), len(self.b_bytes)))
 
-    def _ids(self, text: str, a: bytes) -> tuple[bytes, bytes, bool]:
-        """Ids of both as bytes, and whether both spell space + text. The ids of the first are given."""
-        b = np.array(self.b.encode(text), np.uint32)
+    def _whole(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of both, if both spell space + text."""
         said = (" " + text).encode()
-        right = b"".join([self.a_bytes[i] for i in np.frombuffer(a, np.uint32)]) == said == b"".join([self.b_bytes[i] for i in b])
-        return a, b.tobytes(), right
-
-    def _chunk(self, chunk: str) -> tuple[bytes, bytes, bool]:
-        found = self._ids(chunk, self.chunks[chunk])
-        if len(chunk) <= LONG:
-            self.memo[chunk] = found
-        return found
-
-    def sequences(self, text: str) -> list[tuple[bytes, bytes]]:
-        """Ids of both for consecutive parts of the text, each part beginning a token of both; none if the bytes differ."""
-        if not text:
-            return []
-        if len(self.memo) > MEMO or len(self.chunks) > MEMO or len(self.chunks.inner) > MEMO:
-            self.memo.clear()
-            self.chunks.clear()
-            self.chunks.inner.clear()
-        if self.cuts:
-            odd = "  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " " or _ODD.search(text)
-            get, chunk = self.memo.get, self._chunk
-            found = [get(c) or chunk(c) for c in (_CUT.split(text) if odd else text.split(" "))]
-            if all([x[2] for x in found]):
-                parts = (found[k : k + CHUNKS] for k in range(0, len(found), CHUNKS))
-                return [(b"".join([x[0] for x in p]), b"".join([x[1] for x in p])) for p in parts]
-        a, b, right = self._ids(text, np.array(self.a.encode(" " + text, add_special_tokens=False).ids, np.uint32).tobytes())
-        return [(a, b)] if right else []
+        a, b = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)
+        if b"".join([self.a_bytes[i] for i in a]) != said or b"".join([self.b_bytes[i] for i in b]) != said:
+            return None
+        return np.array(a, np.uint32), np.array(b, np.uint32)
+
+    def _chunks(self, chunks: list[str]) -> dict[str, tuple[bytes, bytes] | None]:
+        """The ids of each chunk (None where a tokenizer doesn't spell it), found as one text."""
+        ids = self._whole(" ".join(chunks))
+        if ids is None:
+            if len(chunks) == 1:
+                return {chunks[0]: None}
+            half = len(chunks) // 2
+            return self._chunks(chunks[:half]) | self._chunks(chunks[half:])
+        ends = np.cumsum([len(c.encode()) + 1 for c in chunks])
+        sides = []
+        for i, size in zip(ids, (self.a_size, self.b_size)):
+            to = np.searchsorted(np.cumsum(size[i]), ends, "right") * 4
+            raw, to = i.tobytes(), to.tolist()
+            sides.append([raw[x:y] for x, y in zip([0, *to], to)])
+        return dict(zip(chunks, zip(*sides)))
+
+    def documents(self, texts: list[str]) -> list[list[tuple[bytes, bytes]]]:
+        """Of each text the ids of both for consecutive parts, each part beginning a token of both; none if the bytes differ."""
+        if not self.cuts:
+            ids = [self._whole(t) if t else None for t in texts]
+            return [[(x[0].tobytes(), x[1].tobytes())] if x else [] for x in ids]
+        if len(self.memo) > MEMO // 2:
+            self.memo, self.old = {}, self.memo
+        odd = lambda t: "  " in t or " \n" in t or "\n " in t or t[:1] == " " or t[-1:] == " " or _ODD.search(t)
+        cut = [_CUT.split(t) if odd(t) else t.split(" ") for t in texts]
+        known = [list(map(self.memo.get, chunks)) for chunks in cut]
+        wanted = {c for chunks, found in zip(cut, known) if None in found for c, x in zip(chunks, found) if x is None}
+        wanted.discard("")
+        new = {c: self.old[c] for c in wanted & self.old.keys()}
+        wanted -= new.keys()
+        # a chunk with spaces at an end isn't cut from its neighbours as one text, nor is one that B spells otherwise
+        apart = [c for c in wanted if c.strip() != c or "▁" in c or len(c) > LONG]
+        new |= {c: self._chunks([c])[c] for c in apart}
+        if together := list(wanted.difference(apart)):
+            new |= self._chunks(together)
+        self.memo |= {c: x for c, x in new.items() if len(c) <= LONG}
+        out = []
+        for text, chunks, found in zip(texts, cut, known):
+            if not text:
+                out.append([])
+                continue
+            if None in found:
+                found = [x or new.get(c) for x, c in zip(found, chunks)]
+                if None in found:  # a chunk isn't spelt
+                    ids = self._whole(text)
+                    out.append([tuple(x.tobytes() for x in ids)] if ids else [])
+                    continue
+            a, b = zip(*found)
+            out.append([(b"".join(a[k : k + CHUNKS]), b"".join(b[k : k + CHUNKS])) for k in range(0, len(a), CHUNKS)])
+        return out
 
 
 _pairs: dict[tuple[str, str], Pair] = {}
@@ -224,11 +256,11 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, spans: bool = False) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, row = pair_of(a_path, b_path), TaskContext.get().partitionId() << 33
         ids: list = []
-        held: list[list[tuple[bytes, bytes]]] = []
+        held: list[str] = []
 
         def emit() -> pa.RecordBatch:
             nonlocal row
-            found = Batch(pair, held)
+            found = Batch(pair, pair.documents(held))
             links = pa.StructArray.from_arrays([pa.array(found.pair), pa.array(found.times.astype(np.int32))], fields=list(_LINKS))
             links = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(found.n_pairs)]), pa.int32()), links)
             out = [pa.array(np.arange(row, row + len(ids))), pa.array(ids, pa.int64()), *map(pa.array, (found.n_a, found.n_b, found.n_groups, found.n_links)), pa.array(found.digests(), pa.string()), links]
@@ -241,7 +273,7 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, spans: bool = False) -> D
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text")):
                 text = text.as_py() or ""
                 ids.append(doc_id)
-                held.append(pair.sequences(text))
+                held.append(text)
                 size += len(text) + 64
                 if size > WINDOW:
                     yield emit()
