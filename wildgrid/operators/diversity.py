@@ -2,8 +2,7 @@
 
 alpha: species of a site; omega: sites of a species; S, N: numbers of species, sites.
 What can be said by alpha and omega alone is; pairs of species (or sites) are counted
-by a self-join on the site (species), never over all S x S. A site with very many
-species makes the square of their number in pairs: that join is split by AQE.
+tile by tile (``tiles``).
 """
 
 from __future__ import annotations
@@ -11,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import tiles
+
 
 def presence(cells: DataFrame, least: int = 1) -> DataFrame:
     return cells.where(F.col("value") >= least).select(F.col("row").alias("site"), F.col("col").alias("species"))
@@ -62,19 +63,14 @@ def diversity_stats(pam: DataFrame) -> DataFrame:
 
 def shared(pam: DataFrame, of: str = "species") -> DataFrame:
     """(i, j, n), i < j: sites that two species share (or species that two sites share), pairs with none left out."""
-    on = "site" if of == "species" else "species"
-    a, b = (pam.select(F.col(of).alias(n), on) for n in "ij")
-    return a.join(b, on).where("i < j").groupBy("i", "j").agg(F.count("*").alias("n"))
+    return tiles.shared(pam, of)
 
 
 def c_score(pam: DataFrame) -> DataFrame:
     """Mean checkerboard score over pairs of species. Pairs that share nothing add omega_i * omega_j, which the marginals give."""
-    o = omega(pam)
-    pairs = shared(pam).join(o.select(F.col("species").alias("i"), F.col("omega").alias("oi")), "i").join(o.select(F.col("species").alias("j"), F.col("omega").alias("oj")), "j")
-    n = F.col("n")
-    part = pairs.agg(F.coalesce(F.sum(n * n - n * (F.col("oi") + F.col("oj"))), F.lit(0)).alias("part"))
-    m = o.agg(F.count("*").alias("S"), F.sum("omega").alias("so"), F.sum(F.col("omega") * F.col("omega")).alias("soo"))
-    j = m.crossJoin(F.broadcast(part))
+    part = tiles.overlap_sums(pam).agg(F.coalesce(F.sum("squares") - F.sum("weighted"), F.lit(0)).alias("part"))
+    m = omega(pam).agg(F.count("*").alias("S"), F.sum("omega").alias("so"), F.sum(F.col("omega") * F.col("omega")).alias("soo"))
+    j = m.crossJoin(F.broadcast(part))  # one row
     all_ = (F.col("so") * F.col("so") - F.col("soo")) / 2 + F.col("part")
     return j.select(F.try_divide(2 * all_, F.col("S") * (F.col("S") - 1)).alias("c_score"))
 
@@ -82,7 +78,7 @@ def c_score(pam: DataFrame) -> DataFrame:
 def sigma(pam: DataFrame, of: str = "species") -> DataFrame:
     """(i, j, sigma), i <= j, of pairs that share something: covariance of species (or of sites).
 
-    For pairs that share nothing it is -p_i * p_j, which ``species_stats`` (``site_stats``) gives.
+    For pairs that share nothing it is -p_i * p_j; ``covariance_matrix`` has these too.
     """
     marginal, size, name = (omega, "N", "omega") if of == "species" else (alpha, "S", "alpha")
     m = marginal(pam)
@@ -91,3 +87,8 @@ def sigma(pam: DataFrame, of: str = "species") -> DataFrame:
     j = found.join(m.select(F.col(of).alias("i"), F.col(name).alias("mi")), "i").join(m.select(F.col(of).alias("j"), F.col(name).alias("mj")), "j").crossJoin(F.broadcast(sizes(pam)))
     total = F.col(size)
     return j.select("i", "j", (F.col("both") / total - (F.col("mi") / total) * (F.col("mj") / total)).alias("sigma"))
+
+
+def covariance_matrix(pam: DataFrame, of: str = "species") -> DataFrame:
+    """(i, j, sigma), i <= j, of all S(S+1)/2 pairs of species (or of sites), zero overlaps included."""
+    return tiles.covariances(pam, of)

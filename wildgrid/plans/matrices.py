@@ -244,6 +244,19 @@ _stat("pam_sigma_sites", _SIGMA.format(size="S", m="alpha", of="site", on="speci
 _stat("pam_covariance_stats", f"select 'species' as axis, * from ({_SIGMA.format(size='N', m='omega', of='species', on='site', t='om')}) a union all select 'site', * from ({_SIGMA.format(size='S', m='alpha', of='site', on='species', t='al')}) b", lambda p: _rounded(D.sigma(p).withColumn("axis", F.lit("species")).unionByName(D.sigma(p, "site").withColumn("axis", F.lit("site")))))
 
 
+_WHOLE = """select '{of}' as axis, a.{of} as i, b.{of} as j, round(coalesce(c, 0) / {size} - (a.{m} / {size}) * (b.{m} / {size}), 9) as sigma from {t} a join {t} b on a.{of} <= b.{of}
+left join (select x.{of} as i, y.{of} as j, count(*) as c from pam x join pam y on x.{on} = y.{on} and x.{of} <= y.{of} group by 1, 2) q on q.i = a.{of} and q.j = b.{of}, z"""
+
+
+@Q.add("pam_covariance_matrix", f"> {_MARGINS} {_WHOLE.format(size='N', m='omega', of='species', on='site', t='om')} union all {_WHOLE.format(size='S', m='alpha', of='site', on='species', t='al')}", "cells")
+def _(spark, d):
+    """Both whole symmetric matrices, written by axis and read again."""
+    pam, path = _pam(spark, d), io.scratch(spark, "covariances")
+    for of in ("species", "site"):
+        io.write_parquet(D.covariance_matrix(pam, of), f"{path}/axis={of}")
+    return _rounded(spark.read.schema("i string, j string, sigma double, axis string").parquet(path))
+
+
 @Q.add("stats_save_load", f"> {_MARGINS} {_SITE_SQL}", "cells")
 def _(spark, d):
     pam = _pam(spark, d)
