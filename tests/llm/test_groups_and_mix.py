@@ -204,14 +204,22 @@ def test_documents_that_do_not_fit_are_passed_over(spark, block_rows, large):
             assert abs(taken - target) <= min(left or [max(r.n for r in own)]) / 2 + 1e-6
 
 
-def brute_last_pass(rows, blocks, targets, shards):
+def brute_last_pass(rows, blocks, targets, shards, chance):
     """Keys that the last pass takes: by loops over (source number, block, key, size) and the shard of each block."""
     out = set()
     for number, (rest, n_blocks) in targets.items():
         mine = [r for r in rows if r[0] == number]
         small = lambda r: r[3] <= rest / min(shards, n_blocks)  # noqa: B023, E731
-        words = sum(r[3] for r in mine if small(r))
-        left = rest
+        words, limit = sum(r[3] for r in mine if small(r)), rest / min(shards, n_blocks)
+        large = sorted((r for r in mine if not small(r) and r[3] <= rest), key=lambda r: r[2])
+        asked = rest * sum(r[3] for r in large) / max(1, words + sum(r[3] for r in large))
+        total = 0
+        for r in large:
+            if total + r[3] <= rest and (total + chance[number] * r[3] < asked or total < rest - words):
+                out.add(r[2])
+            total += r[3]
+        rest -= sum(r[3] for r in large if r[2] in out)
+        left, small = rest, lambda r: r[3] <= limit  # noqa: B023, E731
         for shard in {blocks[r[:2]] for r in mine}:
             own = [r for r in mine if blocks[r[:2]][:1] == shard[:1] and small(r)]
             share = rest * sum(r[3] for r in own) / words if words else 0
@@ -241,7 +249,8 @@ def test_last_pass_matches_brute_force(spark):
         targets, blocks = mixing.plan(slim.select("source", "mix_key", "mix_size"), (5, 2, 1), 3.0, shards, 8, seed)
         order = {(r.mix_number, r.mix_block): (r.last_shard, r.before) for r in blocks.collect()}
         placed = mixing.blocked(slim, targets, "source").collect()
-        want = brute_last_pass([(r.mix_number, r.mix_block, r.mix_key, r.mix_size) for r in placed], order, {r.mix_number: (r.mix_rest, r.mix_blocks) for r in targets.collect()}, shards)
+        chance = {r.mix_number: r.u for r in targets.select("mix_number", mixing._chance(F.lit(seed + 4), "mix_number").alias("u")).collect()}
+        want = brute_last_pass([(r.mix_number, r.mix_block, r.mix_key, r.mix_size) for r in placed], order, {r.mix_number: (r.mix_rest, r.mix_blocks) for r in targets.collect()}, shards, chance)
         whole = {r.doc_id: r.mix_whole for r in placed}
         found = {r.doc_id: len(r.mix_places) for r in mixing.placed(df, F.col("n"), block_rows=8, shards=shards, seed=seed).collect()}
         assert found == {r.doc_id: whole[r.doc_id] + (r.mix_key in want) for r in placed}
@@ -249,6 +258,33 @@ def test_last_pass_matches_brute_force(spark):
     assert taken[4, 7] != taken[4, 8] and taken[4, 7] != taken[1, 7]  # seed and tree decide
 
 
+def test_large_documents_take_part(spark):
+    """One of 1,000 words beside two hundred of 10: a target of 2,500 is met whatever the seed."""
+    rows = [(0, "b", 1000), *[(k, "b", 10) for k in range(1, 201)], (1000, "a", 2000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, n long").withColumn("text", F.col("doc_id").cast("string"))
+    for seed in range(4):
+        found = mixing.placed(df, F.col("n"), weights=(1, 1), seed=seed).where("source = 'b'").collect()
+        assert found[0].mix_target == 2500 and sum(r.n * len(r.mix_places) for r in found) == 2500
+
+
+def test_no_size_is_kept_out(spark):
+    """Over seeds, documents of every size are taken at about the rate of target to size, and the target is met each time."""
+    sizes = {1: [600] * 3, 2: [150] * 20, 3: [5] * 1000}  # 9,800 words
+    rows = [(1000 * k + i, "b", n) for k, own in sizes.items() for i, n in enumerate(own)] + [(0, "a", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, n long").withColumn("text", F.col("doc_id").cast("string"))
+    seeds, rates, target = 10, dict.fromkeys(sizes, 0.0), 0
+    for seed in range(seeds):
+        d = df.withColumn("n", F.when(F.col("source") == "a", 9800 * 2).otherwise(F.col("n")))
+        found = mixing.placed(d, F.col("n"), weights=(5, 1), seed=seed).where("source = 'b'").collect()
+        target = found[0].mix_target
+        assert abs(sum(r.n * len(r.mix_places) for r in found) - target) <= 5
+        for k in sizes:
+            rates[k] += sum(len(r.mix_places) for r in found if r.doc_id // 1000 == k) / len(sizes[k]) / seeds
+    assert 0.3 < target / 9800 < 0.7
+    for k, rate in rates.items():
+        assert abs(rate - target / 9800) < (0.3 if k == 1 else 0.15), (k, rate, target / 9800)
+
+
 def test_leaves_add_up_and_are_fair(spark):
     quotas = spark.createDataFrame([(0, 40), (1, 25), (2, 0), (3, 7)], "number int, tickets long")
     leaves = mixing.split_tickets(quotas, 8, 3).collect()

@@ -138,18 +138,43 @@ def _drawn(seed: int) -> Column:
 
 
 def _small() -> Column:
-    """Whether a row can be one of those that a shard takes first from its blocks: it isn't larger than an even share."""
+    """Whether a row can be one of those that a shard takes first from its blocks: it isn't larger than an even share of the last pass."""
     return F.col("mix_size") <= F.col("mix_rest") / F.least(F.col("mix_shards"), F.col("mix_blocks"))
 
 
+def _large() -> Column:
+    """Whether a row fits into the last pass, but into no shard's share."""
+    return ~_small() & (F.col("mix_size") <= F.col("mix_rest"))
+
+
+def _drawn_large(rows: DataFrame, seed: int) -> DataFrame:
+    """mix_number, large_key, large_rows, large_words: the large rows of the last pass are those before large_key in permuted order and so many of that key.
+
+    As many are drawn as their part of the rest asks for, the one at the border with the chance of what is missing; more if
+    the small ones can't fill what would be left; none that goes beyond the rest. A source has fewer large rows than shards times its words by its rest.
+    """
+    size = F.col("mix_size")
+    sums = rows.groupBy("mix_number").agg(F.sum(F.when(_small(), size).otherwise(0)).alias("small"), F.sum(F.when(_large(), size).otherwise(0)).alias("large"))
+    order = Window.partitionBy("mix_number").orderBy("mix_key", "mix_size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = rows.where(_large()).withColumn("upto", F.sum(size).over(order)).join(sums, "mix_number")
+    asked = F.col("mix_rest") * F.col("large") / (F.col("small") + F.col("large"))
+    border = F.col("upto") - size * (1 - _chance(F.lit(seed + 4), "mix_number"))
+    drawn = found.where((F.col("upto") <= F.col("mix_rest")) & ((border < asked) | (F.col("upto") - size < F.col("mix_rest") - F.col("small"))))
+    keys = drawn.groupBy("mix_number", "mix_key").agg(F.count("*").alias("rows"), F.sum(size).alias("words"))
+    return keys.groupBy("mix_number").agg(F.max("mix_key").alias("large_key"), F.max_by("rows", "mix_key").alias("large_rows"), F.sum("words").alias("large_words"))
+
+
 def _headed(rows: DataFrame) -> DataFrame:
-    """``rows`` with mix_head: whether the running sum of the small ones in permuted order is within their shard's share there.
+    """``rows`` with mix_head: large ones that are drawn, and small ones whose running sum in permuted order is within their shard's share there.
 
     ``before``: that sum where the row's block begins; ``share``: the shard's.
     """
-    order = Window.partitionBy("mix_number", "mix_block").orderBy("mix_key", "mix_size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    block = Window.partitionBy("mix_number", "mix_block")
+    order = block.orderBy("mix_key", "mix_size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     upto = F.col("before") + F.sum(F.when(_small(), F.col("mix_size")).otherwise(0)).over(order)
-    return rows.withColumn("mix_head", _small() & F.coalesce(upto <= F.col("share"), F.lit(False)))
+    among = F.row_number().over(Window.partitionBy("mix_number", "mix_block", "mix_key").orderBy("mix_size"))
+    large = _large() & F.coalesce((F.col("mix_key") < F.col("mix_large")["key"]) | ((F.col("mix_key") == F.col("mix_large")["key"]) & (among <= F.col("mix_large")["rows"])), F.lit(False))
+    return rows.withColumn("mix_head", large | (_small() & F.coalesce(upto <= F.col("share"), F.lit(False))))
 
 
 def _cuts(headed: DataFrame) -> DataFrame:
@@ -197,9 +222,13 @@ def plan(slim: DataFrame, weights, cap: float, shards: int, block_rows: int, see
     blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / block_rows), F.least(F.col("n"), F.lit(4 * shards)))
     targets = targets.select(F.col("source").alias("mix_source"), F.col("words").alias("mix_source_size"), F.col("target").alias("mix_target"), F.col("number").alias("mix_number"), blocks.alias("mix_blocks"), F.lit(shards).alias("mix_shards"), "mix_whole", "mix_rest")
     targets = broadcast_checked(written(targets, "mix-targets"), SMALL)
+    large = _drawn_large(blocked(slim, targets, "source"), seed)
+    targets = targets.join(large, "mix_number", "left").withColumn("mix_small_rest", F.col("mix_rest") - F.coalesce("large_words", F.lit(0)))
+    targets = targets.withColumn("mix_large", F.struct(F.col("large_key").alias("key"), F.col("large_rows").alias("rows"))).drop("large_key", "large_rows", "large_words")
+    targets = broadcast_checked(written(targets, "mix-targets"), SMALL)
 
     small = F.when(_small(), F.col("mix_size")).otherwise(0)
-    blocks = blocked(slim, targets, "source").groupBy("mix_number", "mix_block").agg(F.sum(small).alias("words"), *[F.first(c).alias(c) for c in ("mix_whole", "mix_rest")])
+    blocks = blocked(slim, targets, "source").groupBy("mix_number", "mix_block").agg(F.sum(small).alias("words"), *[F.first(c).alias(c) for c in ("mix_whole", "mix_rest", "mix_small_rest")])
     blocks = written(blocks, "mix-blocks")
     is_last = F.col("pass") == F.col("mix_whole")
     passes = F.filter(F.sequence(F.lit(0).cast("long"), F.col("mix_whole")), lambda p: (p < F.col("mix_whole")) | (F.col("mix_rest") > 0))
@@ -210,11 +239,11 @@ def plan(slim: DataFrame, weights, cap: float, shards: int, block_rows: int, see
     bounds = leaves.select("number", "shard", upto.alias("upto")).groupBy("number").agg(F.sort_array(F.collect_list(F.struct("shard", "upto"))).alias("bounds"))
     dealt = Window.partitionBy("number").orderBy(F.xxhash64(F.lit(seed + 1), "mix_number", "pass", "mix_block"), "pass", "mix_block")
     tickets = tickets.withColumn("at", F.row_number().over(dealt)).join(bounds, "number")
-    tickets = written(tickets.select("mix_number", "mix_block", "mix_rest", "words", "pass", is_last.alias("is_last"), F.size(F.filter("bounds", lambda b: b["upto"] < F.col("at"))).alias("shard")), "mix-tickets")
+    tickets = written(tickets.select("mix_number", "mix_block", "mix_small_rest", "words", "pass", is_last.alias("is_last"), F.size(F.filter("bounds", lambda b: b["upto"] < F.col("at"))).alias("shard")), "mix-tickets")
 
     last = tickets.where("is_last")
     mine, all_ = Window.partitionBy("mix_number", "shard"), Window.partitionBy("mix_number")
-    last = last.withColumn("share", F.try_divide(F.col("mix_rest") * F.sum("words").over(mine), F.sum("words").over(all_)))
+    last = last.withColumn("share", F.try_divide(F.col("mix_small_rest") * F.sum("words").over(mine), F.sum("words").over(all_)))
     before = F.sum("words").over(mine.orderBy(F.xxhash64(F.lit(seed + 3), "shard", "mix_block"), "mix_block")) - F.col("words")
     last = last.select("mix_number", "mix_block", F.col("shard").alias("last_shard"), "share", before.alias("before"))
     whole = tickets.where("not is_last").groupBy("mix_number", "mix_block").agg(F.sort_array(F.collect_list(F.struct("pass", "shard"))).alias("tickets"))
