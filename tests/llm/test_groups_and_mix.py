@@ -360,6 +360,20 @@ def test_stages_one_by_one(spark):
     assert after["piece_ids"].count() == after["mixture"].count() and after["piece_ids"].where("n_pieces is null").count() == 0
 
 
+def test_no_label_vouches_for_its_own_text(spark):
+    """Labelled noise goes as unlabelled noise does, with copies of it; labelled prose stays, in the language of few labels too."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rnd = random.Random(2)
+    noise = ["".join(chr(rnd.randrange(33, 127)) for _ in range(4000)) for _ in range(2)]
+    rows = [(900_000 + k, noise[k % 2], lang, "noise", 4000) for k, lang in enumerate(["en", "de", "en", None])]
+    given = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, given, "").collect()}
+    assert not kept & {r[0] for r in rows}
+    assert kept == {r.doc_id for r in docs.collect() if r.text and any(c.isalpha() for c in r.text)}
+    few = docs.where("lang is not null and text is not null").limit(1)
+    assert corpus_pipeline.language(spark, few, "").count() == 1  # one half has no label
+
+
 def test_stages_without_rows_and_with_odd_ones(spark):
     d = "/root/testdata/sf0.001"
     odd = spark.createDataFrame([(None, None, None, None, 0), (1, "", "en", "s", 0), (2, "hello there you", "en", None, 5), (2, "hello there you", "en", None, 5), (3, "x" * 200_000, "de", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
