@@ -40,12 +40,21 @@ def _neutral(docs: DataFrame) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that are ``und`` (null, empty, letterless), or whose score is below ``LANGUAGE_SHARE``.
 
-    Languages are learned from the documents' own labels; without any every document is
+    Languages are learned from the documents' own labels, but none is judged by a model that has seen it: texts fall into two
+    halves by their hash, and each half is judged by what the labels of the other teach (so a label can't vouch for noise, nor can its copies). Both
+    are read in lower case, so that a rare way of writing needs no examples of its own. Where
+    a half has no label at all, both are judged by all; without any label every document is
     ``und`` and goes. Repeated rows are judged alike. Other columns come through as they are, whatever their names.
     """
     rows = _neutral(docs)
-    found = langid.identify(rows, langid.train(rows), names=("kept_lang", "kept_score"))
-    kept = found.where((F.col("kept_lang") != langid.UNDETERMINED) & (F.col("kept_score") >= LANGUAGE_SHARE))
+    half = F.crc32(F.coalesce(F.col("text"), F.lit(""))) % 2
+    lower = rows.withColumn("kept_lower", F.lower("text"))
+    known = lower.select("lang", F.col("kept_lower").alias("text"), half.alias("half"))
+    models = [langid.train(known.where(F.col("half") != k)) for k in (0, 1)]
+    if not all(m.langs for m in models):
+        models = [langid.train(known)] * 2
+    found = [langid.identify(lower.where(half == k), m, "kept_lower", ("kept_lang", "kept_score")) for k, m in enumerate(models)]
+    kept = found[0].unionByName(found[1]).where((F.col("kept_lang") != langid.UNDETERMINED) & (F.col("kept_score") >= LANGUAGE_SHARE))
     return _columns(kept, rows).toDF(*docs.columns)
 
 
