@@ -28,6 +28,24 @@ def species_list(ann: DataFrame, *keys: str) -> DataFrame:
     return kept.groupBy(*keys, "taxonkey_species", "taxonkey", "species", "riis_assessment").agg(F.count("*").alias("occ_count"))
 
 
+#: What is delivered of a month: name to (region columns, more keys, whether a list of species), and the order of its file.
+PRODUCTS = {
+    **{f"counts_{t}": ((c,), (), False) for t, (c, _) in REGIONS.items()},
+    **{f"counts_{t}_x_riis": ((c,), ("riis_assessment",), False) for t, (c, _) in REGIONS.items()},
+    "list_state": (("census_state",), (), True),
+    "list_county": (("state_county", "census_state", "census_county"), (), True),
+    "list_aiannh": (("aiannh_name",), (), True),
+}
+
+
+def product(ann: DataFrame, name: str) -> tuple[DataFrame, list[str]]:
+    """One of ``PRODUCTS`` and the columns by which its file is ordered: region, then species, then what tells rows of these apart."""
+    regions, more, is_list = PRODUCTS[name]
+    if is_list:
+        return species_list(ann, *regions), [regions[0], "species", "taxonkey_species", "riis_assessment"]
+    return region_counts(ann, *regions, *more), [*regions, *more]
+
+
 def totals(ann: DataFrame, column: str) -> DataFrame:
     return ann.groupBy(column).agg(F.count("*").alias("total"))
 

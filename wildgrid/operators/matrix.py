@@ -145,6 +145,34 @@ def describe(cells: DataFrame, label: str | None = None, axis: int = 0) -> DataF
     return all_stats(cells, axis) if label is None else one_stats(cells, axis).where(F.col("label") == label)
 
 
+#: Rows of a matrix that lie in one block of files.
+ROW_BLOCK = 4096
+
+
+def encoded(cells: DataFrame) -> dict[str, DataFrame]:
+    """Tables of a matrix: rows and cols (id, label), ids dense from 0 in the order of labels, and cells (row_id, col_id, value, block of rows).
+
+    Ids come from ranges of the labels, so no task sees all of them.
+    """
+    from .spatial import ranked
+
+    rows, cols = (ranked(cells.select(F.col(a).alias("label")).distinct(), "label").select(F.col("rank").alias("id"), "label") for a in AXES.values())
+    of_rows, of_cols = (t.select(F.col("id").alias(f"{a}_id"), F.col("label").alias(a)) for t, a in ((rows, "row"), (cols, "col")))
+    ids = cells.join(of_rows, "row").join(of_cols, "col").select("row_id", "col_id", "value", F.floor(F.col("row_id") / ROW_BLOCK).cast("int").alias("block"))
+    return {"rows": rows, "cols": cols, "cells": ids}
+
+
+def decoded(tables: dict[str, DataFrame]) -> DataFrame:
+    """Cells (row, col, value, row_id, col_id) of the tables of ``encoded``; a cell without a label is an error."""
+    out = tables["cells"]
+    for axis in AXES.values():
+        labels = tables[f"{axis}s"].select(F.col("id").alias(f"{axis}_id"), F.col("label").alias("_label"))
+        out = out.join(labels, f"{axis}_id", "left")
+        wrong = F.raise_error(F.concat(F.lit(f"no label of {axis} "), F.col(f"{axis}_id").cast("string")))
+        out = out.withColumn(axis, F.when(F.col("_label").isNull(), wrong).otherwise(F.col("_label"))).drop("_label")
+    return out.select("row", "col", "value", "row_id", "col_id")
+
+
 def consistency(stacked: DataFrame, row: str, col: str, value: str, least: int) -> DataFrame:
     """(rule, label, expected, found) where matrix, list, summary, filtered matrix and presence disagree; empty if all is well."""
     from . import diversity

@@ -141,7 +141,15 @@ def _(spark, d):
 
 @Q.add("sink_ctas", "select c_custkey, c_name from customer where c_acctbal > 0")
 def _(spark, d):
-    return spark.read.parquet(put(spark.read.parquet(f"{d}/customer.parquet").where("c_acctbal > 0").select("c_custkey", "c_name"), "ctas", lambda x, p: x.write.mode("overwrite").parquet(p)))
+    """A table of the warehouse is created from a query, read by its name, delivered as Parquet, and dropped."""
+    import uuid
+
+    name = f"ctas_{uuid.uuid4().hex}"
+    found = io.write_table(spark.read.parquet(f"{d}/customer.parquet").where("c_acctbal > 0").select("c_custkey", "c_name"), name)
+    try:
+        return spark.read.parquet(put(found, "ctas", io.write_parquet))
+    finally:
+        io.drop_table(spark, name)
 
 
 @Q.add("sink_subset_snappy", "select gbifid, taxonkey, lon, lat from sub", "sub")

@@ -55,22 +55,41 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 _ANN2 = f"{_RESOLVED}, keyed2 as ({KEYED.replace('from riis', 'from rr')}), ann2 as ({ANN.replace('keyed', 'keyed2')})"
 
 
-@Q.add("job_monthly", f"""> {_ANN2}
-select 'counts' as sink, census_state as location, riis_assessment, cast(null as varchar) as species, count(*) as occ_count, count(distinct taxonkey) as species_count from ann2 where census_state is not null and species is not null group by 2, 3 union all
-select 'counts_county', state_county, riis_assessment, null, count(*), count(distinct taxonkey) from ann2 where state_county is not null and species is not null group by 2, 3 union all
-select 'counts_aiannh', aiannh_name, riis_assessment, null, count(*), count(distinct taxonkey) from ann2 where aiannh_name is not null and species is not null group by 2, 3 union all
-select 'list_county', state_county, riis_assessment, species, count(*), null from ann2 where census_state is not null and species is not null group by state_county, census_state, census_county, taxonkey_species, taxonkey, species, riis_assessment""", "ann")
+def _monthly_sql() -> str:
+    """Each product as its delivered file has it: the line's position beside it, once for Parquet and once for CSV."""
+    parts = []
+    for name, (regions, more, is_list) in counts.PRODUCTS.items():
+        region = regions[0]
+        if is_list:
+            group = ", ".join(dict.fromkeys([*regions, "taxonkey_species", "taxonkey", "species", "riis_assessment"]))
+            of = f"select {region} as location, riis_assessment, species, taxonkey_species, count(*) as occ_count, null::bigint as species_count from ann2 where census_state is not null and species is not null group by {group}"
+            order = "location, species, taxonkey_species, riis_assessment"
+        else:
+            status = "riis_assessment" if more else "null::varchar"
+            of = f"select {region} as location, {status} as riis_assessment, null::varchar as species, null::varchar as taxonkey_species, count(*) as occ_count, count(distinct taxonkey) as species_count from ann2 where {region} is not null and species is not null group by {', '.join([region, *more])}"
+            order = "location, riis_assessment"
+        order = ", ".join(f"{c} nulls first" for c in order.split(", "))
+        parts.append(f"select '{name}' as sink, kind, row_number() over (partition by kind order by {order}) - 1 as position, location, riis_assessment, species, occ_count, species_count from ({of}) q, (values ('parquet'), ('csv')) k(kind)")
+    return f"> {_ANN2}\n" + " union all\n".join(parts)
+
+
+@Q.add("job_monthly", _monthly_sql(), "ann")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    """The register resolved, the subset annotated with it and written; counts and lists from that table, each to its own sink, and read again."""
+    """The register resolved, the subset annotated with it and written; from that table all counts and lists, each made once as a table and
+    delivered as one ordered Parquet file and one ordered CSV file with header; what was delivered is read again, with each line's place in its file."""
     path = io.scratch(spark, "monthly")
     io.write_parquet(annotated(spark, d, resolved_register(domain(spark, d, "riis"))), f"{path}/annotated")
     ann = spark.read.parquet(f"{path}/annotated")
     back = []
-    for sink, region in (("counts", "census_state"), ("counts_county", "state_county"), ("counts_aiannh", "aiannh_name")):
-        io.write_parquet(counts.region_counts(ann, region, "riis_assessment"), f"{path}/{sink}")
-        back.append(spark.read.parquet(f"{path}/{sink}").select(F.lit(sink).alias("sink"), F.col(region).alias("location"), "riis_assessment", F.lit(None).cast("string").alias("species"), "occ_count", "species_count"))
-    io.write_parquet(counts.species_list(ann, "state_county", "census_state", "census_county"), f"{path}/list_county")
-    back.append(spark.read.parquet(f"{path}/list_county").select(F.lit("list_county").alias("sink"), F.col("state_county").alias("location"), "riis_assessment", "species", "occ_count", F.lit(None).cast("long").alias("species_count")))
+    for sink in counts.PRODUCTS:
+        made, order = counts.product(ann, sink)
+        io.write_parquet(made, f"{path}/{sink}/table")
+        made = spark.read.schema(made.schema).parquet(f"{path}/{sink}/table")
+        for kind in ("parquet", "csv"):
+            io.write_sorted(made, f"{path}/{sink}/{kind}", *order, kind=kind)
+            rows = spark.read.schema(made.schema).parquet(f"{path}/{sink}/{kind}") if kind == "parquet" else io.csv(spark, f"{path}/{sink}/{kind}", made.schema.simpleString()[7:-1].replace(":", " "))
+            have = [F.col(c) if c in rows.columns else F.lit(None).cast(t).alias(c) for c, t in (("riis_assessment", "string"), ("species", "string"), ("occ_count", "long"), ("species_count", "long"))]
+            back.append(io.in_file_order(rows).select(F.lit(sink).alias("sink"), F.lit(kind).alias("kind"), "position", F.col(order[0]).alias("location"), *have))
     return matrix.concat_rows(*back)
 
 
@@ -109,10 +128,11 @@ def _(spark: SparkSession, d: str) -> DataFrame:
 
 @Q.add("job_inspect_record", f"> {_NEAR} select o.gbifid, o.taxonkey, o.census_county, near.fid as nearest_fid, near.distance from ann o left join near using (gbifid) where gbifid = (select min(gbifid) from ann where census_county is not null)", "ann")
 def _(spark: SparkSession, d: str) -> DataFrame:
-    """One record by its id, with the nearest polygon to its point."""
-    ann = annotated(spark, d)
-    first = ann.where("census_county is not null").agg(F.min("gbifid")).first()[0]
-    one = io.by_id(ann, "gbifid", first).select("gbifid", "taxonkey", "census_county", "lon", "lat")
+    """One record by its id, with the nearest polygon to its point; only that record is annotated."""
+    sub = records.subset(domain(spark, d, "occ"))
+    placed = spatial.with_polygons(sub.select("gbifid", "lon", "lat"), spatial.index(layer(spark, d, "poly")))
+    first = placed.where(F.size("polygons") > 0).agg(F.min("gbifid")).first()[0]
+    one = annotated(spark, d, where=F.col("gbifid") == first).limit(1).select("gbifid", "taxonkey", "census_county", "lon", "lat")
     near = spatial.nearest_polygon(one.select("gbifid", "lon", "lat"), layer(spark, d, "poly"), "gbifid", 1.0)
     return one.join(near, "gbifid", "left").select("gbifid", "taxonkey", "census_county", F.col("fid").alias("nearest_fid"), F.round("distance", 9).alias("distance"))
 

@@ -171,15 +171,15 @@ def _(spark, d):
     return M.pivot(cells, list(_FLAGS))
 
 
-@Q.add("matrix_save_load", "select * from cells", "cells")
+@Q.add("matrix_save_load", "> r as (select row, row_number() over (order by row) - 1 as row_id from (select distinct row from cells)), c as (select col, row_number() over (order by col) - 1 as col_id from (select distinct col from cells)) select row, col, value, row_id, col_id from cells join r using (row) join c using (col)", "cells")
 def _(spark, d):
-    cells = _cells(spark, d)
+    """Cells as numbers in blocks of rows beside their ordered labels, written as one bundle, read again and labelled."""
     path = io.scratch(spark, "matrix")
-    io.write_bundle({"cells": cells, "rows": cells.select("row").distinct(), "cols": cells.select("col").distinct()}, path, {"value": "n", "dims": ["site", "species"]})
+    io.write_bundle(M.encoded(_cells(spark, d)), path, {"value": "n", "dims": ["site", "species"]}, {"cells": "block"})
     tables, meta = io.read_bundle(spark, path)
     if not {"cells", "rows", "cols"} <= set(meta["tables"]):
         raise ValueError("labels are missing")
-    return tables["cells"].join(tables["rows"], "row").join(tables["cols"], "col").select("row", "col", "value")
+    return M.decoded(tables)
 
 
 @Q.add("summary_save_load", "select col as label, sum(value)::bigint as total, count(*) as count from cells group by 1", "cells")

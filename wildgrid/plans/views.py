@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wildgrid.operators import records, register, spatial
@@ -112,12 +112,13 @@ def layer(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return d.withColumn("edges", edges(F.array(ring)))
 
 
-def annotated(spark: SparkSession, sf_dir: str, riis: DataFrame | None = None) -> DataFrame:
-    """The annotated subset: counties, native lands, region, register (``riis``, or the folder's own).
+def annotated(spark: SparkSession, sf_dir: str, riis: DataFrame | None = None, where: Column | None = None) -> DataFrame:
+    """The annotated subset: counties, native lands, region, register (``riis``, or the folder's own); of the records that ``where`` names, else of all.
 
     Both layers are one index that the points meet once, each point staying one row; of each layer the polygon with the smallest name counts.
     """
     sub = records.subset(domain(spark, sf_dir, "occ"))
+    sub = sub if where is None else sub.where(where)
     sub = sub.withColumn("taxonkey_species", F.concat(F.col("taxonkey").cast("string"), F.lit(" "), "species"))
     land = F.lit(True).alias("land")
     both = layer(spark, sf_dir, "poly").select((F.col("fid") * 2).alias("fid"), "edges", "name", F.col("stusps").alias("code"), ~land)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,6 +100,11 @@ def jdbc(spark: SparkSession, url: str, query: str, **options) -> DataFrame:
     return spark.read.format("jdbc").options(url=url, dbtable=query, **options).load()
 
 
+def in_file_order(df: DataFrame) -> DataFrame:
+    """Rows of one file with position, their place in it from 0. For ordered summaries: one task numbers them."""
+    return df.withColumn("_at", F.monotonically_increasing_id()).withColumn("position", F.row_number().over(Window.orderBy("_at")).cast("long") - 1).drop("_at")
+
+
 def by_id(df: DataFrame, column: str, value) -> DataFrame:
     """The first record with an id."""
     return df.where(F.col(column) == value).limit(1)
@@ -122,8 +127,13 @@ def write_annotated(df: DataFrame, path: str, state: str = "census_state", geome
 
 
 def write_by(df: DataFrame, path: str, *keys: str, columns: list[str] | None = None, kind: str = "parquet") -> None:
-    """One folder for each value of the keys. Each task writes its own files, so a hot value isn't one task's work."""
+    """One folder for each value of the keys.
+
+    Rows are dealt by the keys and rebalanced by what the shuffle measured: a hot value is split over tasks, each of about
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, and small values share a task, so a folder has few files whatever the number of tasks before.
+    """
     kept = df.select(*columns, *[k for k in keys if k not in columns]) if columns else df
+    kept = kept.hint("rebalance", *[F.col(k) for k in keys])
     writer = kept.write.mode("overwrite").partitionBy(*keys)
     writer.parquet(path) if kind == "parquet" else writer.option("header", True).csv(path)
 
@@ -150,13 +160,16 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def write_bundle(tables: dict[str, DataFrame], path: str, metadata: dict | None = None) -> None:
-    """Several tables and one row of JSON metadata below one path."""
+def write_bundle(tables: dict[str, DataFrame], path: str, metadata: dict | None = None, by: dict[str, str] | None = None) -> None:
+    """Several tables and one row of JSON metadata below one path; ``by``: tables that lie in folders by a column."""
     import json
 
     spark = next(iter(tables.values())).sparkSession
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
+        if by and name in by:
+            write_by(df, f"{path}/{name}", by[name])
+        else:
+            df.write.mode("overwrite").parquet(f"{path}/{name}")
     spark.createDataFrame([(json.dumps({**(metadata or {}), "tables": sorted(tables)}, sort_keys=True),)], "metadata string").coalesce(1).write.mode("overwrite").json(f"{path}/_metadata_")
 
 
