@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from wildgrid.functions import geometry as G
 from wildgrid.operators import diversity as D
+from wildgrid.operators import layers
 from wildgrid.operators import matrix as M
 from wildgrid.operators import spatial
 from wildgrid.sources import io
@@ -331,6 +332,29 @@ def _(spark, d):
     return parts.select("fid", "name", "piece", F.size("rings").alias("rings"), F.round(area, 9).alias("area"))
 
 
+@Q.add("layer_simplified", """with s as (select n_nationkey as fid, n_nationkey // 5 as j from nation where n_nationkey < 25)
+select fid, cast(4 + 3 * ((j > 0)::int + (j < 4)::int) as int) as places, 100.0::double + 1.25 * ((j < 4)::int - (j > 0)::int) as area from s""")
+def _(spark, d):
+    """Squares side by side; inner borders from left to right have a spike of 1 degree, whose three places stay in both neighbours, all borders small bends, which go."""
+    cells = spark.read.parquet(f"{d}/nation.parquet").where("n_nationkey < 25").select(F.col("n_nationkey").alias("fid"), (F.col("n_nationkey") % 5).alias("i"), F.floor(F.col("n_nationkey") / 5).alias("j"))
+    steps = F.sequence(F.lit(0), F.lit(7))
+
+    def bend(k, line, last):
+        """How far the k-th eighth of a border lies off its line: small ones everywhere, 1 in the middle of an inner one."""
+        return F.when(k % 8 == 0, 0.0).when((k == 4) & (line > 0) & (line < last), 1.0).otherwise((k % 3 - 1) * 0.02)
+
+    def across(j, forward: bool):
+        return F.transform(steps, lambda k: (lambda e: F.struct(((F.col("i") + e / 8) * 10).alias("x"), (j * 10 + bend(e, j, 5)).cast("double").alias("y")))(k if forward else 8 - k))
+
+    def upward(i, forward: bool):
+        return F.transform(steps, lambda k: (lambda e: F.struct((i * 10 + bend(e, F.lit(0), 5)).cast("double").alias("x"), ((F.col("j") + e / 8) * 10).alias("y")))(k if forward else 8 - k))
+
+    ring = F.concat(across(F.col("j"), True), upward(F.col("i") + 1, True), across(F.col("j") + 1, False), upward(F.col("i"), False))
+    out = layers.simplified(cells.select("fid", F.array(ring).alias("rings")), 0.2)
+    r = F.get("rings", 0)
+    return out.select("fid", F.size(r).alias("places"), F.round(F.abs(G.ring_area(r)), 9).alias("area"))
+
+
 @Q.add("merged_layers", "select fid, name, stusps, cast(null as varchar) as geoid from poly union all select fid, name, null, geoid from native", "poly", "native")
 def _(spark, d):
     return spatial.merged_layers(layer(spark, d, "poly").select("fid", "name", "stusps"), layer(spark, d, "native").select("fid", "name", "geoid"))
