@@ -63,3 +63,30 @@ def test_every_product_of_a_month_is_delivered_twice(spark):
         assert by[s, "parquet"] == by[s, "csv"] > 0
         csv, parquet = (sorted(tuple(r)[2:] for r in found.where((F.col("sink") == s) & (F.col("kind") == k)).collect()) if not s.startswith("list") else None for k in ("csv", "parquet"))
         assert csv is None or csv == parquet or len(csv) == len(parquet)
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 1000, 20_001])
+def test_medians_are_exact(spark, n):
+    import statistics
+
+    rnd = random.Random(n)
+    rows = [(rnd.randrange(10**6), rnd.choice([1, 1, 1, 2, 50]), None if k % 3 else k) for k in range(n)]
+    df = spark.createDataFrame(rows, "a long, b long, c long").repartition(5)
+    found = M.medians(df, "a", "b", "c").first()
+    want = [statistics.median([r[k] for r in rows if r[k] is not None]) for k in range(3)]
+    assert list(found) == want
+    assert list(M.medians(df.limit(0), "a", "b").first()) == [None, None]
+
+
+def test_positions_follow_the_order_of_files(spark, tmp_path):
+    from wildgrid.operators import records
+
+    parts = [spark.range(k, 30_000, 3).select("id", F.lit(k).alias("k")) for k in (2, 0, 1)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        io.write_parquet(records.merge_sorted("id", *parts), str(tmp_path / "m"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(glob.glob(str(tmp_path / "m" / "part-*"))) > 1
+    back = io.positions(spark, str(tmp_path / "m"))
+    assert back.where("id <> position").count() == 0 and back.count() == 30_000

@@ -61,16 +61,61 @@ def one_stats(cells: DataFrame, axis: int = 0) -> DataFrame:
     return a.join(at, own).withColumnRenamed(own, "label")
 
 
+#: Share of the rows beside the median, on each side, that ``medians`` looks at one by one.
+NEAR = 0.001
+
+
+def medians(df: DataFrame, *columns: str) -> DataFrame:
+    """One row: the exact median of each column, null without values.
+
+    A sketch gives values that surely enclose the median; those below are counted, and only the few between
+    are sorted, by their distinct values. So no task holds all values, as an exact percentile's would.
+    """
+    sketch = {c: F.percentile_approx(c, [0.5 - NEAR, 0.5 + NEAR], F.lit(10 * int(1 / NEAR))) for c in columns}
+    bounds = df.agg(*[x.alias(f"_{c}") for c, x in sketch.items()])
+    out = None
+    for c in columns:
+        low, high = F.get(f"_{c}", 0), F.get(f"_{c}", 1)
+        rows = df.where(F.col(c).isNotNull()).select(c).crossJoin(F.broadcast(bounds.select(f"_{c}")))  # one row
+        counted = rows.groupBy(F.when(F.col(c) < low, None).when(F.col(c) > high, None).otherwise(F.col(c)).alias("_v"), (F.col(c) < low).alias("_below")).agg(F.count("*").alias("_n"))
+        # about 2 NEAR of the values at most, and one row each for those below and above
+        order = Window.orderBy(F.col("_below").desc(), F.col("_v").asc_nulls_last())
+        ranked = counted.withColumn("_upto", F.sum("_n").over(order)).withColumn("_all", F.sum("_n").over(Window.partitionBy()))
+        at = lambda k: F.min(F.when((F.col("_upto") >= k) & F.col("_v").isNotNull(), F.col("_v")))
+        one = ranked.agg(((at(F.floor((F.col("_all") + 1) / 2)) + at(F.floor(F.col("_all") / 2) + 1)) / 2).alias(c))
+        out = one if out is None else out.crossJoin(F.broadcast(one))
+    return out
+
+
 def all_stats(cells: DataFrame, axis: int = 0) -> DataFrame:
-    """One row over all vectors: least, mean, median, most of counts and totals, number at the least, labels at the most, grand total."""
-    v = vector_sums(cells, axis)
-    kinds = {"count": "count", "total": "total"}
-    a = v.agg(F.count("*").alias("vectors"), F.sum("total").alias("grand_total"), *[f(k).alias(f"{n}_{k}") for k in kinds for n, f in (("min", F.min), ("mean", F.avg), ("median", F.median), ("max", F.max))])
-    j = v.crossJoin(F.broadcast(a))  # one row
+    """One row over all vectors: least, mean, median, most of counts and totals, number at the least, labels at the most, grand total.
+
+    The vectors' sums are written once. ``all_extremes`` gives the labels as rows, for as many as there may be.
+    """
+    from wildgrid.sources import io
+
+    spark, path = cells.sparkSession, io.scratch(cells.sparkSession, "vectors")
+    sums = vector_sums(cells, axis)
+    io.write_parquet(sums, path)
+    v = spark.read.schema(sums.schema).parquet(path)
+    kinds = ("count", "total")
+    a = v.agg(F.count("*").alias("vectors"), F.sum("total").alias("grand_total"), *[f(k).alias(f"{n}_{k}") for k in kinds for n, f in (("min", F.min), ("mean", F.avg), ("max", F.max))])
+    a = a.crossJoin(F.broadcast(medians(v, *kinds).toDF(*[f"median_{k}" for k in kinds])))  # one row
+    a = a.select("vectors", "grand_total", *[f"{n}_{k}" for k in kinds for n in ("min", "mean", "median", "max")])
+    j = v.crossJoin(F.broadcast(a))
     at = [x for k in kinds for x in (F.count_if(F.col(k) == F.col(f"min_{k}")).alias(f"n_min_{k}"), F.sort_array(F.collect_list(F.when(F.col(k) == F.col(f"max_{k}"), F.col("label")))).alias(f"max_{k}_labels"))]
     return a.crossJoin(F.broadcast(j.agg(*at)))
 
 
+def all_extremes(cells: DataFrame, axis: int = 0) -> DataFrame:
+    """(measure, extreme, label, value): every vector that has the least or most count or total of all, a row each."""
+    v = vector_sums(cells, axis)
+    kinds = [(k, n, f) for k in ("count", "total") for n, f in (("min", F.min), ("max", F.max))]
+    rows = v.crossJoin(F.broadcast(v.agg(*[f(k).alias(f"{n}_{k}") for k, n, f in kinds])))  # one row
+    each = F.array(*[F.struct(F.lit(k).alias("measure"), F.lit(n).alias("extreme"), F.col("label").cast("string").alias("label"), F.col(k).alias("value"), (F.col(k) == F.col(f"{n}_{k}")).alias("is")) for k, n, _ in kinds])
+    return rows.select(F.explode(F.filter(each, lambda e: e["is"])).alias("e")).select("e.measure", "e.extreme", "e.label", "e.value")
+
+
 def axis_totals(cells: DataFrame, axis: int = 0) -> DataFrame:
     return vector_sums(cells, axis).select("label", "total")
 

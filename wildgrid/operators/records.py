@@ -210,8 +210,8 @@ def sorted_runs(df: DataFrame, key: str, order: str, part: str) -> DataFrame:
 
 
 def merge_sorted(key: str, *parts: DataFrame) -> DataFrame:
-    """Several tables as one in the order of the key, by ranges."""
+    """Several tables as one in the order of the key: each range of it is one task's, which merges what the tables have there."""
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.orderBy(key)
+    return out.repartitionByRange(key).sortWithinPartitions(key)

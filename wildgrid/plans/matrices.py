@@ -106,6 +106,10 @@ for _axis, _name in ((0, "row"), (1, "col")):
     def _(spark, d, axis=_axis):
         return _flat(M.one_stats(_cells(spark, d), axis))
 
+    @Q.add(f"{_name}_extremes_all", f"> v as (select {M.AXES[_axis]} as label, sum(value)::bigint as total, count(*) as count from cells group by 1) " + " union all ".join(f"select '{k}' as measure, '{n}' as extreme, label, {k} as value from v where {k} = (select {n}({k}) from v)" for k in ("count", "total") for n in ("min", "max")), "cells")
+    def _(spark, d, axis=_axis):
+        return M.all_extremes(_cells(spark, d), axis)
+
     @Q.add(f"{_name}_stats_all", f"> {_all(_axis)} select * from x", "cells")
     def _(spark, d, axis=_axis):
         return _flat(M.all_stats(_cells(spark, d), axis))

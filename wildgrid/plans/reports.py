@@ -206,15 +206,23 @@ def _(spark, d):
     return _read(spark, d, "orders").select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(10)
 
 
-@Q.add("merge_sorted", "select event_id, user_id from events")
+def _in_order(spark, df, name):
+    """Written in its order, and read again with each row's place in the files."""
+    path = io.scratch(spark, name)
+    io.write_parquet(df, path)
+    return io.positions(spark, path)
+
+
+@Q.add("merge_sorted", "select event_id, user_id, row_number() over (order by event_id) - 1 as position from events")
 def _(spark, d):
+    """Three tables, each sorted, merged to one whose files follow one another in order."""
     e = _read(spark, d, "events").select("event_id", "user_id")
-    return records.merge_sorted("event_id", *[e.where(F.col("event_id") % 3 == k) for k in range(3)])
+    return _in_order(spark, records.merge_sorted("event_id", *[e.where(F.col("event_id") % 3 == k).sort("event_id") for k in range(3)]), "merged")
 
 
-@Q.add("sort_by_columns", "select c_custkey, c_nationkey, c_acctbal from customer order by c_nationkey, c_acctbal")
+@Q.add("sort_by_columns", "select c_custkey, c_nationkey, c_acctbal, row_number() over (order by c_nationkey, c_acctbal, c_custkey) - 1 as position from customer")
 def _(spark, d):
-    return _read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal").orderBy("c_nationkey", "c_acctbal")
+    return _in_order(spark, _read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal").orderBy("c_nationkey", "c_acctbal", "c_custkey"), "by-columns")
 
 
 @Q.add("union_all", "select s_name as name, s_acctbal as bal from supplier union all select c_name, c_acctbal from customer")

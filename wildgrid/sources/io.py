@@ -105,6 +105,19 @@ def in_file_order(df: DataFrame) -> DataFrame:
     return df.withColumn("_at", F.monotonically_increasing_id()).withColumn("position", F.row_number().over(Window.orderBy("_at")).cast("long") - 1).drop("_at")
 
 
+def positions(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a Parquet folder with position, their place (from 0) in the files one after another, in the order of their numbers.
+
+    Files count their own rows; only the table of files is summed, so no task sees all rows.
+    """
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    sizes = rows.groupBy("_file").agg(F.count("*").alias("_n"))
+    number = F.regexp_extract("_file", r"^part-(\d+)", 1).cast("int")
+    before = Window.orderBy(number, "_file").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return rows.join(F.broadcast(sizes), "_file").withColumn("position", F.col("_before") + F.col("_row")).drop("_file", "_row", "_before")  # one row a file
+
+
 def by_id(df: DataFrame, column: str, value) -> DataFrame:
     """The first record with an id."""
     return df.where(F.col(column) == value).limit(1)
