@@ -126,8 +126,11 @@ def _leaf(index: Index) -> Column:
     return leaf
 
 
-def with_polygons(points: DataFrame, index: Index, name: str = "polygons") -> DataFrame:
-    """Every point with an array of fid and attributes of the polygons that hold it; empty without any or without place."""
+def with_polygons(points: DataFrame, index: Index, name: str = "polygons", closed: bool = False) -> DataFrame:
+    """Every point with an array of fid and attributes of the polygons that hold it; empty without any or without place.
+
+    A point on a border has the polygon of one side, or, if ``closed``, all polygons that touch it there.
+    """
     p = points.withColumns({"_cx": F.floor(F.col("lon") / index.cell), "_cy": F.floor(F.col("lat") / index.cell)})
     if index.splits is not None:
         p = p.join(index.splits, ["_cx", "_cy"], "left").withColumn("_leaf", _leaf(index))
@@ -137,7 +140,10 @@ def with_polygons(points: DataFrame, index: Index, name: str = "polygons") -> Da
     lon, lat = F.col("lon"), F.col("lat")
 
     def holds(q: Column) -> Column:
-        return lon.between(q["xmin"], q["xmax"]) & lat.between(q["ymin"], q["ymax"]) & ((q["crossed"] + G.crossings(q["edges"], lon, lat)) % 2 == 1)
+        inside = (q["crossed"] + G.crossings(q["edges"], lon, lat)) % 2 == 1
+        if closed:
+            inside = inside | F.exists(q["edges"], lambda k: G.on_edge(k, lon, lat))
+        return lon.between(q["xmin"], q["xmax"]) & lat.between(q["ymin"], q["ymax"]) & inside
 
     held = F.transform(F.filter("_polygons", holds), lambda q: F.struct(*[q[c].alias(c) for c in ("fid", *index.attributes)]))
     kind = f"array<struct<{','.join(f'`{c}`:{t}' for c, t in _types(index))}>>"
@@ -175,13 +181,13 @@ def _inside() -> Column:
     return (F.col("crossed") + G.crossings(F.col("edges"), F.col("lon"), F.col("lat"))) % 2 == 1
 
 
-def spatial_join(points: DataFrame, layer: DataFrame | Index, *attributes: str, cell: float = CELL, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Inner join of points and the polygons that contain them, with fid and attributes; ``keys``: columns that must be equal too.
+def spatial_join(points: DataFrame, layer: DataFrame | Index, *attributes: str, cell: float = CELL, keys: tuple[str, ...] = (), closed: bool = False) -> DataFrame:
+    """Inner join of points and the polygons that contain them, with fid and attributes; ``keys``: columns that must be equal too; ``closed``: borders belong to their polygons.
 
     A point in two polygons has two rows. Points without place have none.
     """
     own = layer if isinstance(layer, Index) else index(layer, *attributes, cell=cell, keys=keys)
-    found = with_polygons(points, own, "_held")
+    found = with_polygons(points, own, "_held", closed)
     return found.select(*points.columns, F.explode("_held").alias("_held")).select(*points.columns, "_held.*")
 
 

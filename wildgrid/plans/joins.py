@@ -9,7 +9,7 @@ from wildgrid.functions import geometry as G
 from wildgrid.operators import records, register, spatial
 
 from .query import Queries
-from .views import annotated, annotated_table, domain, layer, view, with_views
+from .views import POLY, annotated, annotated_table, domain, layer, view, with_views
 
 Q = Queries()
 POINTS = ("gbifid", "lon", "lat")
@@ -107,6 +107,16 @@ def _(spark, d):
     return spatial.spatial_join(points, spatial.refined(own, 50_000, points)).select("gbifid", "fid", "name", "stusps")
 
 
+_BORDER = "select c_custkey, mx + r * u as lon, my + r * (1 - abs(u)) * s as lat from (select c_custkey, c_nationkey, (c_custkey % 17 - 8) / 8.0D as u, case when c_custkey % 2 = 0 then 1 else -1 end as s from customer) c join poly on fid = c_nationkey"
+
+
+@Q.add("spatial_join_closed", f"> b as ({_BORDER.replace('8.0D', '8.0::double')}) select c_custkey, p.fid, p.name from b join poly p on abs(lon - mx) + abs(lat - my) <= r", "poly")
+def _(spark, d):
+    """Points on borders and corners (every customer on the border of the own nation's land), with all polygons that touch them."""
+    points = view(spark, d, _BORDER.replace("join poly", f"join ({POLY}) p"))
+    return spatial.spatial_join(points, layer(spark, d, "poly"), "name", closed=True).select("c_custkey", "fid", "name")
+
+
 @Q.add("first_polygon", "select gbifid, min(p.name) as name from occ join poly p on abs(lon - mx) + abs(lat - my) < r group by 1", "occ", "poly")
 def _(spark, d):
     found = spatial.spatial_join(_points(spark, d), layer(spark, d, "poly"), "name")
