@@ -48,13 +48,14 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     rows = _neutral(docs)
     half = F.crc32(F.coalesce(F.col("text"), F.lit(""))) % 2
-    lower = rows.withColumn("kept_lower", F.lower("text"))
-    known = lower.select("lang", F.col("kept_lower").alias("text"), half.alias("half"))
-    models = [langid.train(known.where(F.col("half") != k)) for k in (0, 1)]
-    if not all(m.langs for m in models):
-        models = [langid.train(known)] * 2
-    found = [langid.identify(lower.where(half == k), m, "kept_lower", ("kept_lang", "kept_score")) for k, m in enumerate(models)]
-    kept = found[0].unionByName(found[1]).where((F.col("kept_lang") != langid.UNDETERMINED) & (F.col("kept_score") >= LANGUAGE_SHARE))
+    known = rows.where("lang is not null and text is not null").select("lang", F.lower("text").alias("text"), half.alias("half"))
+    both = known.select("half").distinct().count() == 2
+    kept = None
+    for k in (0, 1):
+        model = langid.train(known.where(F.col("half") != k) if both else known)
+        found = rows.where(half == k).withColumn("kept_found", langid.language_of(F.lower("text"), model, spark))
+        found = found.where((F.col("kept_found.lang") != langid.UNDETERMINED) & (F.col("kept_found.score") >= LANGUAGE_SHARE))
+        kept = found if kept is None else kept.unionByName(found)
     return _columns(kept, rows).toDF(*docs.columns)
 
 
