@@ -73,3 +73,21 @@ def test_audit_is_that_of_loops(spark):
     assert found == {(p, o, k): (*v, total[p, o[k - 1]]) for (p, o, k), v in expected.items()}
     assert audit.audit(docs.limit(0), marks).count() == 0
     assert audit.audit(docs, marks.limit(0)).agg({"good_lost": "sum"}).first()[0] == 0
+
+
+def test_notices_in_a_very_long_text(spark):
+    """Half a million words with notices at known places: the blocks that hold them, in time proportional to the words."""
+    from wildgrid.llm import licenses
+
+    rnd = random.Random(3)
+    template = licenses.TEMPLATES[0]
+    label, notice = template[0], template[1]
+    filler = ["granted", "software", "copy", "the", "of", "person", "other", "word"]
+    words = rnd.choices(filler, k=500_000)
+    size = licenses.window_of(template)
+    for at in (0, 123_456, 499_000):
+        words[at : at + len(notice.split())] = notice.split()
+    df = spark.createDataFrame([(1, " ".join(words)), (2, None)], "doc_id long, text string")
+    blocks = {r.block for r in licenses.similar_blocks(df, ["doc_id"], [template]).where(f"label = '{label}'").collect()}
+    for at in (0, 123_456, 499_000):
+        assert at - at % (size // 2) in blocks

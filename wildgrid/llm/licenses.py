@@ -132,14 +132,17 @@ def similar_blocks(docs: DataFrame, key: list[str], templates=TEMPLATES, thresho
     index = docs.sparkSession.createDataFrame(rows, "token string, template int, label string, place int, size int, need int, tokens array<string>, must array<string>, window int")
     prefix = F.array(*map(F.lit, sorted({r[0] for r in rows})))
     w = docs.select(*key, words(F.col(f"`{text}`")).alias("lic_words")).where(F.arrays_overlap("lic_words", prefix))
-    last = F.greatest(F.lit(0), F.size("lic_words") - 1)
+    ordered = F.array(*map(F.lit, order))
 
-    def starts(size: int) -> Column:
-        return F.transform(F.sequence(F.lit(0), last, F.lit(size // 2)), lambda s: F.struct(F.lit(size).alias("window"), s.alias("block")))
+    def cut(w: Column, size: int) -> Column:
+        """A window's blocks of one text, each with its template words, rarest first; the text's words themselves stay where they are."""
+        starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(w) - 1), F.lit(size // 2))
+        return F.transform(starts, lambda s: F.struct(F.lit(size).alias("window"), s.alias("block"), F.array_intersect(ordered, F.slice(w, s + 1, F.lit(size))).alias("own")))
 
-    blocks = w.select(*key, "lic_words", F.explode(F.concat(*map(starts, sorted(set(windows))))).alias("at")).select(*key, "lic_words", "at.window", "at.block")
-    cut = F.slice("lic_words", F.col("block") + 1, F.col("window"))
-    blocks = blocks.select(*key, "window", "block", F.array_intersect(F.array(*map(F.lit, order)), cut).alias("own"))  # rarest first
+    # the words are bound once, whatever the optimizer does with their column
+    all_ = F.flatten(F.transform(F.array("lic_words"), lambda w: F.concat(*[cut(w, size) for size in sorted(set(windows))])))
+    kept = F.filter(all_, lambda x: F.arrays_overlap(x["own"], prefix))
+    blocks = w.select(*key, F.explode(kept).alias("at")).select(*key, "at.window", "at.block", "at.own")
     probes = blocks.select(*key, "window", "block", "own", F.explode(F.array_intersect("own", prefix)).alias("token"))
     after = F.size("own") - F.array_position("own", F.col("token"))
     near = (F.size("own") >= F.col("need")) & (1 + F.least(F.col("size") - 1 - F.col("place"), after) + F.least(F.col("place"), F.array_position("own", F.col("token")) - 1) >= F.col("need"))
