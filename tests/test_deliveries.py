@@ -90,3 +90,17 @@ def test_positions_follow_the_order_of_files(spark, tmp_path):
     assert len(glob.glob(str(tmp_path / "m" / "part-*"))) > 1
     back = io.positions(spark, str(tmp_path / "m"))
     assert back.where("id <> position").count() == 0 and back.count() == 30_000
+
+
+def test_scratch_tables_are_released(spark):
+    """Jobs leave their tables for the frames that read them; the caller deletes them all, and later queries make theirs anew."""
+    from wildgrid.plans.views import annotated_table
+
+    d = "/root/testdata/sf0.001"
+    rows = annotated_table(spark, d).count()
+    path = io.scratch(spark, "kept")
+    io.write_parquet(spark.range(3), path)
+    assert spark.read.parquet(path).count() == 3 and io.release(spark) >= 2
+    with pytest.raises(Exception):
+        spark.read.parquet(path)
+    assert annotated_table(spark, d).count() == rows

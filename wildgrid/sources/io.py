@@ -35,7 +35,23 @@ def scratch(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         base = spark.sparkContext.getCheckpointDir()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+#: Paths that ``scratch`` has given, by application.
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def release(spark: SparkSession) -> int:
+    """Deletes everything that this application has written to its scratch paths; frames that read them are void then. Returns the number of paths."""
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    for p in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(p)
+        at.getFileSystem(conf).delete(at, True)
+    return len(paths)
 
 
 # --- sources ------------------------------------------------------------------
