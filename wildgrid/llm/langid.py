@@ -309,21 +309,6 @@ def identify(docs: DataFrame, model: Model, text: str = "text", names: tuple[str
     return docs.mapInArrow(predict, f"{ddl}, `{names[0]}` string, `{names[1]}` double")
 
 
-def language_of(text: Column, model: Model, spark: SparkSession) -> Column:
-    """``identify`` as a column, struct<lang:string,score:double>: the text alone goes through Python, a thousand rows at a time."""
-    shared = spark.sparkContext.broadcast(model)
-    kind = pa.struct([("lang", pa.string()), ("score", pa.float64())])
-
-    @F.arrow_udf("struct<lang:string,score:double>")
-    def predict(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for part in texts:
-            found = [shared.value.predict(part.slice(k, 1000).to_pylist()) for k in range(0, len(part), 1000)]
-            lang, score = [x for a, _ in found for x in a], np.concatenate([np.zeros(0), *(b for _, b in found)])
-            yield pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score, pa.float64())], fields=list(kind))
-
-    return predict(text)
-
-
 def held_out(doc_id: Column) -> Column:
     """One of four parts of the documents; a null id is never held out."""
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 4 == 2, F.lit(False))
