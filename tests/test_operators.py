@@ -12,7 +12,7 @@ from wildgrid.functions import geometry as G
 from wildgrid.functions import text as X
 from wildgrid.operators import diversity as D
 from wildgrid.operators import matrix as M
-from wildgrid.operators import records, spatial
+from wildgrid.operators import records, register, spatial
 from wildgrid.sources import io
 
 
@@ -216,3 +216,18 @@ def test_annotated_table_follows_its_files(spark, tmp_path):
     assert views.annotated_table(spark, str(tmp_path)).count() == n
     duckdb.sql(f"copy (select * from '/root/testdata/sf0.001/orders.parquet' where o_orderkey % 2 = 0) to '{tmp_path}/orders.parquet'")
     assert 0 < views.annotated_table(spark, str(tmp_path)).count() < n
+
+
+def test_a_record_meets_one_register_row_for_each_key(spark):
+    """Many lines of one region and taxon: the last one's assessment, without a row for each record and line."""
+    rnd = random.Random(2)
+    lines = [(rnd.choice(["AK", "HI"]), str(rnd.randint(0, 3)), i, f"A{i % 7}") for i in range(400)]
+    rows = [(i, rnd.choice(["AK", "HI", None]), rnd.sample(range(6), rnd.randint(0, 3))) for i in range(60)]
+    r = spark.createDataFrame(lines, "locality string, gbif_res_taxonkey string, occurrenceid long, degreeofestablishment string")
+    found = register.assess_keys(spark.createDataFrame(rows, "id long, riis_region string, keys array<int>"), r, "id")
+    assert "Aggregate [locality" in found._jdf.queryExecution().optimizedPlan().toString()
+    want = {}
+    for i, region, keys in rows:
+        met = [(pos, o, a.lower()) for pos, k in enumerate(keys) for place, key, o, a in lines if place == region and int(key) == k]
+        want[i] = max(met)[2] if met else register.NATIVE
+    assert {x["id"]: x["assessment"] for x in found.collect()} == want

@@ -36,8 +36,13 @@ def presumed(region: Column, entry: Column, assessment: Column) -> Column:
 
 
 def assess_keys(df: DataFrame, register: DataFrame, key: str) -> DataFrame:
-    """(key, keys array, riis_region) with assessment, lower-cased: the last match in the order of keys, then of lines; else presumed native."""
+    """(key, keys array, riis_region) with assessment, lower-cased: the last match in the order of keys, then of lines; else presumed native.
+
+    Of a region's lines of one taxon only the last can win, so a record meets one row for each of its keys, however many lines the register has.
+    """
     r = register.select("locality", F.col("gbif_res_taxonkey").try_cast("int").alias("k"), F.lower("degreeofestablishment").alias("a"), "occurrenceid").where("k is not null")
+    line = F.struct("occurrenceid")
+    r = r.groupBy("locality", "k").agg(F.max_by("a", line).alias("a"), F.max(line)["occurrenceid"].alias("occurrenceid"))
     e = df.select(key, "riis_region", F.posexplode("keys").alias("pos", "k"))
     last = e.join(r, (e["riis_region"] == r["locality"]) & (e["k"] == r["k"])).groupBy(key).agg(F.max_by("a", F.struct("pos", "occurrenceid")).alias("assessment"))
     return df.join(last, key, "left").withColumn("assessment", F.coalesce("assessment", F.lit(NATIVE)))
