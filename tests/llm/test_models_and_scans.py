@@ -187,6 +187,24 @@ def test_recall_ties_and_scores(spark):
     assert hits / (75 * 20) >= 0.9
 
 
+@pytest.mark.parametrize("metric", ann.METRICS)
+def test_nearest_are_whole_where_codes_fit_badly(spark, metric):
+    """Far from the origin, dense groups larger than the shortlist, lengths of all sizes: every query has exactly its nearest."""
+    rng = np.random.default_rng(11)
+    near = 3000 + rng.normal(size=(250, 12))
+    dense = rng.normal(size=(2, 12))[rng.integers(0, 2, 300)] + 1e-4 * rng.normal(size=(300, 12))
+    long = rng.normal(size=(250, 12)) * np.exp(rng.normal(size=(250, 1)) * 2)
+    for x in (near, np.concatenate([dense, long])):
+        use = ann.usable(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"))
+        books = ann.train(use, books=3, words=8)
+        found = ann.search(ann.build_index(use, books), use, use.where("vec_id % 20 = 0"), books, k=20, rerank=30, metric=metric).collect()
+        got = {q: [r.vec_id for r in sorted(found, key=lambda r: r.rank) if r.query_id == q] for q in range(0, len(x), 20)}
+        for q, ids in got.items():
+            exact = (x * x[q]).sum(1) if metric == "ip" else -((x - x[q]) ** 2).sum(1)
+            exact[q] = -np.inf
+            assert ids == np.lexsort((np.arange(len(x)), -exact))[:20].tolist()
+
+
 def test_few_vectors_and_none(spark):
     _, df = vectors(spark, 30)
     use = ann.usable(df.where("vec_id < 5"))

@@ -3,16 +3,20 @@
 Codebooks hold vectors of full dimension; a vector is stored as one code from each,
 and stands for the sum of those. Codebooks are fitted to residuals on a bounded
 sample (``SAMPLE`` rows) and refined by beam-search encoding and least squares; every row is
-encoded by beam search and keeps the norm of its reconstruction. A search looks up
+encoded by beam search and keeps the norm of its reconstruction and its distance from it. A search looks up
 inner products of query and code words in a table, sums them for each stored row,
 keeps the best ``RERANK`` rows of each query over the whole index, fetches the original
 vectors of these alone, and scores them again exactly.
 
+The k-th of these scores is what any other row must reach. A second scan bounds every row's score by
+its codes and its distance from their sum, and scores exactly those that the bound doesn't rule out. So
+the result is that of all rows whatever the vectors are; codes that fit badly cost time, no neighbours.
+
 The scan is linear: every query is compared with every row's codes. Queries and codes
 are both dealt into blocks by a hash of their key, and blocks meet in an equi-join on
 (query block, lane), each pair of blocks being one row of it, so no task holds more than
-two blocks and one shortlist. Only codes and norms go through that join, never the rows'
-vectors, and what comes out grows with the queries alone.
+two blocks and one shortlist. Only codes and norms go through the first scan's join; the second takes the rows' vectors
+along and has blocks of ``WIDER`` times as many queries. What comes out grows with the queries alone.
 """
 
 from __future__ import annotations
@@ -34,6 +38,8 @@ RERANK = 256
 QUERY_BLOCK, ROW_BLOCK = 512, 8192
 #: Row groups are dealt into so many lanes; a lane's groups are scanned one after the other, and give one shortlist a query.
 LANES = 4
+#: The second scan: its query blocks to those of the first, and the bytes of vectors that a block has at most.
+WIDER, BLOCK_BYTES = 8, 4_000_000
 #: Queries up to this number meet their shortlists by broadcast, more by shuffle.
 FEW = 20_000
 METRICS = ("ip", "l2")
@@ -55,7 +61,11 @@ def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) ->
 
 def encode(x: np.ndarray, books: np.ndarray, beam: int = BEAM) -> np.ndarray:
     """Codes (rows, books) by beam search: each book extends the best ``beam`` sums so far."""
-    books = books.astype(np.float32)
+    # less the books' means and by a common scale, so that single precision has all digits for what differs
+    mean = books.mean(1)
+    x, books = x - mean.sum(0), books - mean[:, None]
+    scale = max(np.abs(books).max(), np.abs(x).max(initial=0)) or 1.0
+    x, books = x / scale, (books / scale).astype(np.float32)
     m, k, d = books.shape
     gram = np.einsum("akd,bjd->akbj", books, books)
     own = (books**2).sum(2)
@@ -83,7 +93,9 @@ def decode(codes: np.ndarray, books: np.ndarray) -> np.ndarray:
 
 def fit(x: np.ndarray, books: int = BOOKS, words: int = WORDS, seed: int = 5, rounds: int = 1) -> np.ndarray:
     """Codebooks (books, words, dimension): residual k-means, then rounds of beam encoding and a joint least-squares fit."""
-    rng, rest, found = np.random.default_rng(seed), x.astype(np.float64), []
+    mean = x.mean(0, dtype=np.float64)
+    x = x - mean
+    rng, rest, found = np.random.default_rng(seed), x, []
     for _ in range(books):
         c = _kmeans(rest, words, rng)
         rest = rest - c[((c**2).sum(1) - 2 * (rest @ c.T)).argmin(1)]
@@ -99,6 +111,7 @@ def fit(x: np.ndarray, books: int = BOOKS, words: int = WORDS, seed: int = 5, ro
                 np.add.at(gram, (codes[:, a], codes[:, b]), 1)
         gram[np.diag_indices(size)] += 1e-2
         out = np.linalg.solve(gram, right + 1e-2 * out.reshape(size, -1)).reshape(out.shape)
+    out[0] += mean
     return out
 
 
@@ -130,7 +143,7 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def build_index(vectors: DataFrame, books: np.ndarray) -> DataFrame:
-    """(vec_id, embedding) -> vec_id, codes, norm (squared, of the reconstruction): every row."""
+    """(vec_id, embedding) -> vec_id, codes, norm (squared, of the reconstruction), error (distance from it): every row."""
     shared = vectors.sparkSession.sparkContext.broadcast(books)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,10 +152,11 @@ def build_index(vectors: DataFrame, books: np.ndarray) -> DataFrame:
                 continue
             x = _matrix(b.column("embedding"), shared.value.shape[2])
             codes = encode(x, shared.value)
-            norm = (decode(codes, shared.value) ** 2).sum(1)
-            yield pa.RecordBatch.from_pydict({"vec_id": b.column("vec_id"), "codes": pa.array([c.tobytes() for c in codes], pa.binary()), "norm": pa.array(norm)})
+            own = decode(codes, shared.value)
+            norm, error = (own**2).sum(1), np.sqrt(((x - own) ** 2).sum(1))
+            yield pa.RecordBatch.from_pydict({"vec_id": b.column("vec_id"), "codes": pa.array([c.tobytes() for c in codes], pa.binary()), "norm": pa.array(norm), "error": pa.array(error)})
 
-    return vectors.select("vec_id", "embedding").mapInArrow(run, "vec_id long, codes binary, norm double")
+    return vectors.select("vec_id", "embedding").mapInArrow(run, "vec_id long, codes binary, norm double, error double")
 
 
 def _matrix(column, dimension: int) -> np.ndarray:
@@ -161,15 +175,25 @@ def _top(scores: np.ndarray, k: int) -> np.ndarray:
     return np.nonzero(wanted)[1].reshape(len(scores), k)
 
 
+def _table_sums(q: np.ndarray, codes: np.ndarray, books: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sums, base, slack): inner products of queries and reconstructions are sums + base, within slack. Base is each query's own, so sums keep the order of rows."""
+    lookup = np.einsum("qd,mkd->mqk", q, books, optimize=True)
+    mean = lookup.mean(2, keepdims=True)
+    lookup = (lookup - mean).astype(np.float32)
+    sums = np.zeros((len(q), len(codes)), np.float32)
+    for m in range(len(books)):
+        sums += lookup[m][:, codes[:, m]]
+    reach = np.sqrt((books**2).sum(2)).max(1).sum()
+    slack = 2.0**-22 * len(books) * np.abs(lookup).max(2).sum(0, dtype=np.float64) + 1e-12 * np.sqrt((q**2).sum(1)) * reach
+    return sums, mean.sum(0)[:, 0], slack
+
+
 def scan_block(ids: np.ndarray, codes: np.ndarray, norm: np.ndarray, query_ids: np.ndarray, q: np.ndarray, books: np.ndarray, keep: int, metric: str) -> tuple[np.ndarray, np.ndarray]:
     """(vec_id, table score) of the best ``keep`` rows of one block, one line for each query; -inf where there are fewer. Rows must be in ascending order of id."""
     found = []
     for lo in range(0, len(q), 128):
         part, own = q[lo : lo + 128], query_ids[lo : lo + 128, None]
-        lookup = np.einsum("qd,mkd->mqk", part, books, optimize=True).astype(np.float32)
-        near = np.zeros((len(part), len(ids)), np.float32)
-        for m in range(len(books)):
-            near += lookup[m][:, codes[:, m]]
+        near, _, _ = _table_sums(part, codes, books)
         if metric == "l2":
             near = 2 * near - norm.astype(np.float32)
         near[ids[None] == own] = -np.inf  # never the query itself
@@ -185,16 +209,25 @@ def merged(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray], k
     return np.take_along_axis(ids, order, 1), np.take_along_axis(score, order, 1)
 
 
+def _pairs(rows: DataFrame, queries: DataFrame, fields: tuple[str, ...], asked: tuple[str, ...], groups: int, blocks: int, lanes: int) -> DataFrame:
+    """(query_block, lane, rows, asked): every group of rows beside every block of queries."""
+    key = F.xxhash64("vec_id")
+    rows = rows.groupBy(F.pmod(key, F.lit(groups)).alias("row_group")).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("rows"))
+    rows = rows.select((F.col("row_group") % lanes).cast("int").alias("lane"), "rows")
+    held = queries.groupBy(F.pmod(key, F.lit(blocks)).alias("query_block")).agg(F.collect_list(F.struct(*asked)).alias("asked"))
+    held = held.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
+    rows = rows.withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")))
+    return rows.join(held, ["query_block", "lane"]).select("query_block", "lane", "rows", "asked")
+
+
+def _codes(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+
+
 def shortlist(index: DataFrame, queries: DataFrame, books: np.ndarray, keep: int, metric: str) -> DataFrame:
     """(query_id, vec_id): the ``keep`` rows of the whole index with the best table scores for each query, ties to smaller ids."""
     groups, blocks = max(LANES, -(-index.count() // ROW_BLOCK)), max(1, -(-queries.count() // QUERY_BLOCK))
-    key = F.xxhash64("vec_id")
-    rows = index.groupBy(F.pmod(key, F.lit(groups)).alias("row_group")).agg(F.sort_array(F.collect_list(F.struct("vec_id", "codes", "norm"))).alias("rows"))  # about ROW_BLOCK rows
-    rows = rows.select((F.col("row_group") % LANES).cast("int").alias("lane"), "rows")
-    asked = queries.groupBy(F.pmod(key, F.lit(blocks)).alias("query_block")).agg(F.collect_list(F.struct("vec_id", "embedding")).alias("asked"))
-    asked = asked.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(LANES - 1))))
-    rows = rows.withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")))
-    pairs = rows.join(asked, ["query_block", "lane"]).sortWithinPartitions("query_block", "lane").select("query_block", "lane", "rows", "asked")
+    pairs = _pairs(index, queries, ("vec_id", "codes", "norm"), ("vec_id", "embedding"), groups, blocks, LANES).sortWithinPartitions("query_block", "lane")
     shared = index.sparkSession.sparkContext.broadcast(books)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,10 +245,9 @@ def shortlist(index: DataFrame, queries: DataFrame, books: np.ndarray, keep: int
                     yield closed()
                 r, a = b.column("rows").slice(i, 1).flatten(), b.column("asked").slice(i, 1).flatten()
                 ids, codes, norm = r.flatten()
-                codes = np.frombuffer(b"".join(codes.to_pylist()), np.uint8).reshape(len(ids), -1)
                 query_ids, q = a.flatten()
                 query_ids = query_ids.to_numpy()
-                found = scan_block(ids.to_numpy(), codes, norm.to_numpy(), query_ids, _matrix(q, shared.value.shape[2]), shared.value, keep, metric)
+                found = scan_block(ids.to_numpy(), _codes(codes), norm.to_numpy(), query_ids, _matrix(q, shared.value.shape[2]), shared.value, keep, metric)
                 best = merged(best, found, keep) if now == at else found
                 at, asked_ids = now, query_ids
         if at is not None:
@@ -226,8 +258,58 @@ def shortlist(index: DataFrame, queries: DataFrame, books: np.ndarray, keep: int
     return found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= keep).select("query_id", "vec_id")
 
 
+def check_block(ids: np.ndarray, codes: np.ndarray, norm: np.ndarray, error: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, least: np.ndarray, books: np.ndarray, k: int, metric: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query_id, vec_id, score) of one block's best ``k`` rows for each query, among those whose codes don't rule out a score of ``least``."""
+    found, longest = [], np.sqrt((x**2).sum(1).max())
+    for lo in range(0, len(q), 128):
+        part, own, bar = q[lo : lo + 128], query_ids[lo : lo + 128], least[lo : lo + 128]
+        sums, base, slack = _table_sums(part, codes, books)
+        length = np.sqrt((part**2).sum(1))
+        slack = slack + 1e-12 * length * longest
+        near = sums + base[:, None]
+        if metric == "ip":
+            most = near + (1 + 1e-12) * length[:, None] * error + slack[:, None]
+        else:
+            apart = length[:, None] ** 2 - 2 * near + norm
+            apart = apart - 2 * slack[:, None] - 1e-12 * (length[:, None] ** 2 + norm)
+            most = -np.maximum(0, (1 - 1e-12) * (np.sqrt(np.maximum(0, apart)) - (1 + 1e-12) * error) - 1e-12 * longest) ** 2
+        open_ = ~(most < bar[:, None]) & (ids[None] != own[:, None])  # a bound that is no number rules nothing out
+        for i in np.flatnonzero(open_.any(1)):
+            at = np.flatnonzero(open_[i])
+            score = scores(x[at], part[i], metric)
+            best = np.lexsort((ids[at], -score))[:k]
+            found.append((np.full(len(best), own[i]), ids[at][best], score[best]))
+    return tuple(np.concatenate(c) for c in zip(*found)) if found else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+
+
+def scores(x: np.ndarray, q: np.ndarray, metric: str) -> np.ndarray:
+    return (x * q).sum(1) if metric == "ip" else -((x - q) ** 2).sum(1)
+
+
+def checked(index: DataFrame, vectors: DataFrame, queries: DataFrame, books: np.ndarray, k: int, metric: str) -> DataFrame:
+    """(query_id, vec_id, score): what the whole index holds of each query's k nearest; ``queries``: (vec_id, embedding, least), the score that k rows are known to reach."""
+    width = books.shape[2] * 8
+    row_block, query_block = (max(1, min(n, BLOCK_BYTES // width)) for n in (ROW_BLOCK, WIDER * QUERY_BLOCK))
+    groups, blocks = max(LANES, -(-index.count() // row_block)), max(1, -(-queries.count() // query_block))
+    rows = index.join(vectors.select("vec_id", "embedding"), "vec_id")
+    pairs = _pairs(rows, queries, ("vec_id", "codes", "norm", "error", "embedding"), ("vec_id", "least", "embedding"), groups, blocks, groups)
+    shared = index.sparkSession.sparkContext.broadcast(books)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                r, a = b.column("rows").slice(i, 1).flatten(), b.column("asked").slice(i, 1).flatten()
+                ids, codes, norm, error, x = r.flatten()
+                query_ids, least, q = a.flatten()
+                x, q = (_matrix(c, shared.value.shape[2]) for c in (x, q))
+                found = check_block(ids.to_numpy(), _codes(codes), norm.to_numpy(), error.to_numpy(), x, query_ids.to_numpy(), q, least.to_numpy(), shared.value, k, metric)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["query_id", "vec_id", "score"])
+
+    return pairs.mapInArrow(run, "query_id long, vec_id long, score double")
+
+
 def search(index: DataFrame, vectors: DataFrame, queries: DataFrame, books: np.ndarray, k: int = 20, rerank: int = RERANK, metric: str = "ip") -> DataFrame:
-    """(query_id, rank, vec_id, score): each query's k nearest of the index, itself left out.
+    """(query_id, rank, vec_id, score): each query's k nearest of all rows of the index, itself left out.
 
     ``index``: from ``build_index`` of ``vectors``; ``vectors`` and ``queries``: (vec_id, embedding), as
     ``usable`` gives them. Equal scores go to the smaller vec_id; fewer rows than k are all
@@ -242,11 +324,13 @@ def search(index: DataFrame, vectors: DataFrame, queries: DataFrame, books: np.n
         for b in batches:
             if b.num_rows:
                 x, q = (_matrix(b.column(c), len(b.column(c)[0])) for c in ("embedding", "q"))
-                score = (x * q).sum(1) if metric == "ip" else -((x - q) ** 2).sum(1)
-                yield pa.RecordBatch.from_arrays([b.column("query_id"), b.column("vec_id"), pa.array(score)], names=["query_id", "vec_id", "score"])
+                yield pa.RecordBatch.from_arrays([b.column("query_id"), b.column("vec_id"), pa.array(scores(x, q, metric))], names=["query_id", "vec_id", "score"])
 
     found = pairs.select("query_id", "vec_id", "embedding", "q").mapInArrow(run, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    known = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("known"))
+    bars = written(queries.select("vec_id", "embedding").join(known, "vec_id", "left").select("vec_id", "embedding", F.coalesce("known", F.lit(float("-inf"))).alias("least")), "op8-bars")
+    found = checked(index, vectors, bars, books, k, metric)
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
