@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from wildgrid.llm import jaccard, mixing
+from wildgrid.llm.common import written
 
 LOW = str.maketrans(jaccard.UPPER, jaccard.LOWER)
 
@@ -408,3 +409,22 @@ def test_no_text_is_lost_where_ids_repeat(spark):
     for members in groups.values():
         least = min((i is None, i or 0) for i, _ in members)
         assert any(r in found for r in members if (r[0] is None, r[0] or 0) == least)
+
+
+def test_wide_rows_reach_python_in_small_batches(spark, monkeypatch):
+    """Neither texts nor pairs of whole sets fill an Arrow batch of 10,000 rows; the session's own setting comes back."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, given = spark.conf.get(setting), []
+    found = written(spark.range(1000).coalesce(1).mapInArrow(lambda batches: batches, "id long"), "batches", 100)
+    assert found.count() == 1000 and spark.conf.get(setting) == before
+    sizes = written(spark.range(1000).coalesce(1).mapInPandas(lambda frames: (f.head(1).assign(id=len(f)) for f in frames), "id long"), "sizes", 100)
+    assert max(r.id for r in sizes.collect()) <= 100
+
+    def seen(df, name, batch=None):
+        given.append((name, batch))
+        return written(df, name, batch)
+
+    monkeypatch.setattr(jaccard, "written", seen)
+    jaccard.near_components(spark_rows(spark, [(i, f"a b c d e f g h i {i}") for i in range(30)])).collect()
+    wide = {"sets", "shared", "elements", "near", "links", "more-links"}
+    assert wide <= {n for n, _ in given} and all(b == jaccard.BATCH for n, b in given if n in wide)

@@ -40,6 +40,8 @@ QUERY_BLOCK, ROW_BLOCK = 512, 8192
 LANES = 4
 #: The second scan: its query blocks to those of the first, and the bytes of vectors that a block has at most.
 WIDER, BLOCK_BYTES = 8, 4_000_000
+#: Its pairs of blocks that a task holds at a time.
+PAIRS = 4
 #: Queries up to this number meet their shortlists by broadcast, more by shuffle.
 FEW = 20_000
 METRICS = ("ip", "l2")
@@ -330,7 +332,7 @@ def search(index: DataFrame, vectors: DataFrame, queries: DataFrame, books: np.n
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     known = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("known"))
     bars = written(queries.select("vec_id", "embedding").join(known, "vec_id", "left").select("vec_id", "embedding", F.coalesce("known", F.lit(float("-inf"))).alias("least")), "op8-bars")
-    found = checked(index, vectors, bars, books, k, metric)
+    found = written(checked(index, vectors, bars, books, k, metric), "op8-found", PAIRS)
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -37,16 +37,27 @@ def scratch(spark: SparkSession, name: str) -> str:
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table of the shared folder: cuts lineage, outlives executors, and frees its shuffles' disk."""
+#: Rows of an Arrow batch that a Python task is given at most.
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def written(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
+    """``df`` as a Parquet table of the shared folder: cuts lineage, outlives executors, and frees its shuffles' disk.
+
+    ``batch``: rows of an Arrow batch at most while it is written, for wide rows.
+    """
     spark = df.sparkSession
-    path, before = scratch(spark, name), spark.conf.get(_CLEAN)
-    spark.conf.set(_CLEAN, "true")
+    path = scratch(spark, name)
+    put = {_CLEAN: "true"} | ({_BATCH: str(batch)} if batch else {})
+    before = {k: spark.conf.get(k) for k in put}
+    for k, v in put.items():
+        spark.conf.set(k, v)
     try:
-        # planned anew, so that the setting holds
+        # planned anew, so that the settings hold
         df.select("*").write.parquet(path)
     finally:
-        spark.conf.set(_CLEAN, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     back = spark.read.schema(df.schema).parquet(path)
     back.written_to = path
     return back

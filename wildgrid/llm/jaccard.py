@@ -43,6 +43,8 @@ RATIO = 1.25
 PARITIES = 8
 #: Words that one worker keeps with their hashes, and the longest such word in bytes: both bound its memory.
 WORD_MEMO, LONG = 400_000, 64
+#: Rows of an Arrow batch: texts, and pairs of whole sets, may be wide, and a task holds a batch on both sides.
+BATCH = 256
 INDEX, PROBE, LESS = 1, 2, 4
 
 _LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
@@ -267,7 +269,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             df = df.join(sets.select(F.col("rep").alias(end), *[F.col(c).alias(n + end) for n, c in columns.items()]), end)
         return df
 
-    near = written(beside(pairs, o="odd", n="size").select("a", "b", "oa", "ob", "na", "nb").mapInArrow(prune, "a long, b long"), "near")
+    near = written(beside(pairs, o="odd", n="size").select("a", "b", "oa", "ob", "na", "nb").mapInArrow(prune, "a long, b long"), "near", BATCH)
     full = beside(near, e="elements")
     return full.select("a", "b", "ea", "eb").mapInArrow(run, "a long, b long").distinct()
 
@@ -316,7 +318,7 @@ def near_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     table gives none.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    keys = written(_set_keys(docs, words), "sets")
+    keys = written(_set_keys(docs, words), "sets", BATCH)
     nodes = keys.where("n > 0 and doc_id is not null").groupBy("n", "x", "y").agg(F.min("doc_id").alias("rep"))
     nodes = written(nodes, "nodes")
     same_id = _texts_of_one_id(keys, nodes)
@@ -326,14 +328,14 @@ def near_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     bucket, kind = Window.partitionBy("sig"), _bits("meta", 0, 3)
     asked = F.max(kind.bitwiseAND(F.lit(PROBE))).over(bucket) > 0
     shared = rows.withColumn("n", F.count("*").over(bucket)).withColumn("asked", asked).where("n > 1 and asked").drop("asked")
-    shared = written(shared, "shared")
+    shared = written(shared, "shared", BATCH)
     sets = _sets(docs.join(shared.select("rep").distinct().hint("shuffle_hash"), F.col("doc_id") == F.col("rep"), "left_semi"), words)
-    sets = written(sets, "elements")
+    sets = written(sets, "elements", BATCH)
 
     share = shared.where(kind.bitwiseAND(F.lit(LESS)) == 0).groupBy("rep").agg(F.sum("n").alias("share"))
     pivots = shared.where(kind.bitwiseAND(F.lit(INDEX)) > 0).join(share, "rep", "left").groupBy("sig").agg((-F.max(F.struct("share", -F.col("rep")))["col2"]).alias("pivot"))
     first = shared.join(pivots, "sig").where("rep <> pivot").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
-    links = written(_linked(first, sets, percent).unionByName(same_id), "links")
+    links = written(_linked(first, sets, percent).unionByName(same_id), "links", BATCH)
     found = written(components(links), "components")
 
     label = shared.where("n > 2").join(found, F.col("rep") == F.col("node"), "left").withColumn("component", F.coalesce("component", "rep")).drop("node")
@@ -353,7 +355,7 @@ def near_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     one_whole = F.col("r.meta").bitwiseAND(F.col("s.meta")).bitwiseAND(F.lit(LESS)) == 0
     across = probe.alias("r").join(index.alias("s"), (F.col("r.sig") == F.col("s.sig")) & (F.col("r.component") != F.col("s.component")) & larger & one_whole & _near(percent, "r", "s"))
     second = across.select(F.least("r.rep", "s.rep").alias("a"), F.greatest("r.rep", "s.rep").alias("b")).distinct()
-    more = _linked(second, sets, percent)
+    more = written(_linked(second, sets, percent), "more-links", BATCH)
     named = more.join(found.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(found.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
     joined = written(components(named.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))), "joined")
     forget(sets, rest)
