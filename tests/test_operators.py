@@ -231,3 +231,17 @@ def test_a_record_meets_one_register_row_for_each_key(spark):
         met = [(pos, o, a.lower()) for pos, k in enumerate(keys) for place, key, o, a in lines if place == region and int(key) == k]
         want[i] = max(met)[2] if met else register.NATIVE
     assert {x["id"]: x["assessment"] for x in found.collect()} == want
+
+
+def test_job_annotate_records_reduces_the_register_first(spark, monkeypatch):
+    from wildgrid.plans import registry
+
+    plans, write = [], io.write_parquet
+
+    def seen(df, path, *a, **k):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        write(df, path, *a, **k)
+
+    monkeypatch.setattr(io, "write_parquet", seen)
+    registry.queries()["job_annotate_records"](spark, "/root/testdata/sf0.001")
+    assert any("Aggregate [locality" in p for p in plans)
