@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import re
 
 import duckdb
 import pytest
@@ -245,3 +246,44 @@ def test_job_annotate_records_reduces_the_register_first(spark, monkeypatch):
     monkeypatch.setattr(io, "write_parquet", seen)
     registry.queries()["job_annotate_records"](spark, "/root/testdata/sf0.001")
     assert any("Aggregate [locality" in p for p in plans)
+
+
+def test_job_annotate_records_groups_nothing_by_record(spark, monkeypatch):
+    """Records stay one row from the scan to the table and to the report: no aggregate by id, no join by id."""
+    from wildgrid.plans import registry
+
+    plans, write = [], io.write_parquet
+
+    def seen(df, path, *a, **k):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        write(df, path, *a, **k)
+
+    monkeypatch.setattr(io, "write_parquet", seen)
+    found = registry.queries()["job_annotate_records"](spark, "/root/testdata/sf0.001")
+    plans.append(found._jdf.queryExecution().optimizedPlan().toString())
+    assert not re.search(r"Aggregate \[gbifid|Join .*gbifid", "\n".join(plans))
+
+
+def test_records_look_up_each_place_of_their_keys(spark):
+    """With a known number of keys the same as without, also for null regions, no keys and null keys; more keys are an error."""
+    rnd = random.Random(5)
+    lines = [(rnd.choice(["AK", "HI"]), rnd.choice(["0", "1", "2", "x", None]), i, f"A{i % 7}") for i in range(60)]
+    rows = [(i, rnd.choice(["AK", "HI", "L48", None]), rnd.choice([None, [], [None, 1]]) if i % 9 == 0 else rnd.sample(range(5), rnd.randint(0, 3))) for i in range(80)]
+    r = spark.createDataFrame(lines, "locality string, gbif_res_taxonkey string, occurrenceid long, degreeofestablishment string")
+    df = spark.createDataFrame(rows, "id long, riis_region string, keys array<int>")
+    got = register.assess_keys(df, r, "id", most=3)
+    assert {tuple(map(str, x)) for x in got.collect()} == {tuple(map(str, x)) for x in register.assess_keys(df, r, "id").select(*got.columns).collect()}
+    with pytest.raises(Exception, match="more than 2 keys"):
+        register.assess_keys(df, r, "id", most=2).collect()
+
+
+def test_the_nearest_polygon_comes_along_with_its_attributes(spark):
+    """Points keep their columns and stay one row each, with or without a polygon near."""
+    def ring(x, y):
+        return [(x, y, x + 1.0, y), (x + 1.0, y, x + 1.0, y + 1.0), (x + 1.0, y + 1.0, x, y + 1.0), (x, y + 1.0, x, y)]
+
+    layer = spark.createDataFrame([(2, "b", ring(0.0, 0.0)), (1, "a", ring(2.0, 0.0))], "fid long, code string, edges array<struct<x1:double,y1:double,x2:double,y2:double>>")
+    points = [(1, 0.5, 0.5), (1, 1.5, 0.5), (3, 1.25, 0.5), (4, 9.0, 9.0), (5, None, 1.0), (6, 3.5, 0.5)]
+    found = spatial.with_nearest(spark.createDataFrame(points, "id long, lon double, lat double"), layer, 1.0, "code", cell=0.7).collect()
+    want = {(1, 0.5): (0.0, 2, "b"), (1, 1.5): (0.5, 1, "a"), (3, 1.25): (0.25, 2, "b"), (4, 9.0): None, (5, None): None, (6, 3.5): (0.5, 1, "a")}
+    assert len(found) == len(points) and {(x.id, x.lon): x.nearest and tuple(x.nearest) for x in found} == want

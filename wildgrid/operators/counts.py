@@ -6,7 +6,7 @@ the shuffle like all others.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .register import NATIVE
@@ -157,7 +157,8 @@ def compare_counts(parts: DataFrame, whole: DataFrame) -> DataFrame:
     return a.join(b, k, "full").select(*k, v.alias("verdict"))
 
 
-def annotate_report(source: DataFrame, annotated: DataFrame, key: str, rejected: DataFrame) -> DataFrame:
-    """(what, value, n): ids that were not annotated, and the ranks that were rejected with their rows."""
-    failed = source.join(annotated.select(key), key, "left_anti").select(F.lit("failed_id").alias("what"), F.col(key).cast("string").alias("value"), F.lit(1).cast("bigint").alias("n"))
+def annotate_report(source: DataFrame, annotated: DataFrame | Column, key: str, rejected: DataFrame) -> DataFrame:
+    """(what, value, n): ids that were not annotated, and the ranks that were rejected with their rows. ``annotated``: a table of those that were, or, if ``source`` tells, the condition."""
+    lost = source.where(~annotated) if isinstance(annotated, Column) else source.join(annotated.select(key), key, "left_anti")
+    failed = lost.select(F.lit("failed_id").alias("what"), F.col(key).cast("string").alias("value"), F.lit(1).cast("bigint").alias("n"))
     return failed.unionByName(rejected.select(F.lit("rank").alias("what"), F.col("rank").alias("value"), "n"))

@@ -35,19 +35,39 @@ def presumed(region: Column, entry: Column, assessment: Column) -> Column:
     return F.when(region.isNotNull() & entry.isNull(), NATIVE).otherwise(assessment)
 
 
-def assess_keys(df: DataFrame, register: DataFrame, key: str) -> DataFrame:
+def assess_keys(df: DataFrame, register: DataFrame, key: str, most: int | None = None) -> DataFrame:
     """(key, keys array, riis_region) with assessment, lower-cased: the last match in the order of keys, then of lines; else presumed native.
 
     Of a region's lines of one taxon only the last can win, so a record meets one row for each of its keys, however many lines the register has.
+    ``most``: how many keys a record has at most, where that is known (more are an error). Records then look up each place of keys
+    and stay one row, not grouped or joined back; the reduced register is written first, so Spark knows whether it is small.
     """
     r = register.select("locality", F.col("gbif_res_taxonkey").try_cast("int").alias("k"), F.lower("degreeofestablishment").alias("a"), "occurrenceid").where("k is not null")
     line = F.struct("occurrenceid")
     r = r.groupBy("locality", "k").agg(F.max_by("a", line).alias("a"), F.max(line)["occurrenceid"].alias("occurrenceid"))
+    if most is not None:
+        return _assess_places(df, r, most)
     e = df.select(key, "riis_region", F.posexplode("keys").alias("pos", "k"))
     last = e.join(r, (e["riis_region"] == r["locality"]) & (e["k"] == r["k"])).groupBy(key).agg(F.max_by("a", F.struct("pos", "occurrenceid")).alias("assessment"))
     return df.join(last, key, "left").withColumn("assessment", F.coalesce("assessment", F.lit(NATIVE)))
 
 
+def _assess_places(df: DataFrame, lines: DataFrame, most: int) -> DataFrame:
+    """``assess_keys`` by one lookup for each place of keys."""
+    from wildgrid.sources import io
+
+    path = io.scratch(df.sparkSession, "register-lines")
+    io.write_parquet(lines.select("locality", "k", "a"), path)
+    lines, out = df.sparkSession.read.parquet(path), df
+    for pos in range(most):
+        one = lines.toDF(f"_l{pos}", f"_k{pos}", f"_a{pos}")
+        out = out.join(one, (F.col("riis_region") == F.col(f"_l{pos}")) & (F.get("keys", F.lit(pos)) == F.col(f"_k{pos}")), "left")
+    found = F.when(F.size("keys") > most, F.raise_error(f"a record has more than {most} keys"))
+    for pos in reversed(range(most)):
+        found = found.when(F.col(f"_k{pos}").isNotNull(), F.col(f"_a{pos}"))
+    return out.select(*df.columns, F.coalesce(found, F.lit(NATIVE)).alias("assessment"))
+
+
 def assessment_map(register: DataFrame) -> DataFrame:
     """(key, assessments): a map of locality to assessment for each taxon; the last line wins."""
     r = register.withColumn("key", F.col("gbif_res_taxonkey").try_cast("int")).where("key is not null")

@@ -112,17 +112,15 @@ def _(spark: SparkSession, d: str) -> DataFrame:
     occ = domain(spark, d, "occ").withColumns({"rank": F.col("taxonrank"), "accepted_key": F.col("taxonkey"), "species_key": F.when(F.col("gbifid") % 2 == 0, (F.col("taxonkey") + 5) % 97)})
     kept = records.taxon_keys(occ).select("gbifid", "keys", "lon", "lat")
     poly = layer(spark, d, "poly")
-    near = spatial.nearest_polygon(kept.select("gbifid", "lon", "lat"), poly, "gbifid", 1.0)
-    near = near.join(poly.select("fid", F.col("stusps").alias("state")), "fid").withColumn("distance", F.round("distance", 9))
-    located = kept.join(near, "gbifid", "left").withColumn("riis_region", register.region_of(F.col("state")))
-    assessed = register.assess_keys(located, domain(spark, d, "riis"), "gbifid")
-    gaps = spatial.min_gap(located.where("state is not null").select("gbifid", "lon", "lat", "state"), layer(spark, d, "areas"), "gbifid")
-    out = assessed.join(gaps.withColumnRenamed("name", "area"), "gbifid", "left")
+    near = spatial.with_nearest(kept, poly.withColumnRenamed("stusps", "state"), 1.0, "state")
+    located = near.select("gbifid", "keys", "lon", "lat", "nearest.fid", F.round("nearest.distance", 9).alias("distance"), "nearest.state")
+    assessed = register.assess_keys(located.withColumn("riis_region", register.region_of(F.col("state"))), domain(spark, d, "riis"), "gbifid", most=2)
+    out = spatial.with_min_gap(assessed, layer(spark, d, "areas"))
     path = io.scratch(spark, "annotated-records")
-    io.write_parquet(out.select("gbifid", "fid", "distance", "state", "assessment", "gap", "area"), path)
+    io.write_parquet(out.select("gbifid", "fid", "distance", "state", "assessment", "area.gap", F.col("area.name").alias("area")), path)
     done = spark.read.parquet(path)
     rows = done.select(F.lit("record").alias("what"), F.col("gbifid").cast("string").alias("value"), F.lit(1).cast("long").alias("n"), "fid", "distance", "state", "assessment", "gap", "area")
-    report = counts.annotate_report(done, done.where("fid is not null"), "gbifid", records.rejected_ranks(occ.select("rank")))
+    report = counts.annotate_report(done, F.col("fid").isNotNull(), "gbifid", records.rejected_ranks(occ.select("rank")))
     return rows.unionByName(report, allowMissingColumns=True)
 
 

@@ -66,7 +66,7 @@ def _(spark, d):
     o = domain(spark, d, "occ")
     region = F.when(F.col("gbifid") % 3 == 0, "AK").when(F.col("gbifid") % 3 == 1, "HI").otherwise("L48")
     keys = F.when(F.col("gbifid") % 2 == 0, F.array("taxonkey", (F.col("taxonkey") + 5) % 97)).otherwise(F.array("taxonkey"))
-    return register.assess_keys(o.select("gbifid", region.alias("riis_region"), keys.alias("keys")), domain(spark, d, "riis"), "gbifid").select("gbifid", "assessment")
+    return register.assess_keys(o.select("gbifid", region.alias("riis_region"), keys.alias("keys")), domain(spark, d, "riis"), "gbifid", most=2).select("gbifid", "assessment")
 
 
 @Q.add("riis_assessments_map", """> o as (select try_cast(gbif_res_taxonkey as int) as key, locality, arg_max(degreeofestablishment, occurrenceid) as a from riis where try_cast(gbif_res_taxonkey as int) is not null group by 1, 2)
