@@ -104,3 +104,56 @@ def test_scratch_tables_are_released(spark):
     with pytest.raises(Exception):
         spark.read.parquet(path)
     assert annotated_table(spark, d).count() == rows
+
+
+def test_a_database_of_files_keeps_values_and_rows(spark):
+    """Replaced, then appended from several files; nulls, empty and odd texts, read by several tasks."""
+    import datetime
+
+    odd = ["", None, " edges ", 'a "quote", a comma', "two\nlines", "é\\n", "NULL", "'", ","]
+    rows = [(k, odd[k % len(odd)], k / 7 if k % 3 else None, datetime.date(2024, 1, 2 + k % 9), k % 2 == 0) for k in range(90)]
+    df = spark.createDataFrame(rows, "id long, text string, value double, day date, even boolean").repartition(4)
+    at = io.database(spark, "database")
+    io.fill_database(df.limit(7), at, "kept", replace=True)
+    with pytest.raises(ValueError, match="not .'now'"):
+        io.fill_database(df.withColumn("now", F.current_timestamp()), at, "kept")
+    io.fill_database(df.where("id < 50"), at, "kept", replace=True)
+    first = io.open_database(spark, at)
+    io.fill_database(df.where("id >= 50"), at, "kept")
+    back = io.jdbc_parts(spark, io.open_database(spark, at), "kept", "id", parts=3, **io.DERBY)
+    assert back.rdd.getNumPartitions() == 3
+    assert sorted(tuple(r) for r in back.collect()) == rows
+    assert io.jdbc(spark, first, "kept", **io.DERBY).count() == 50
+    io.fill_database(df.limit(0), at, "kept", replace=True)
+    assert io.jdbc_parts(spark, io.open_database(spark, at), "kept", "id", **io.DERBY).count() == 0
+
+
+def test_rows_go_through_the_writer_of_a_real_database(spark):
+    """``write_jdbc`` itself, on a database inside the one process of a local session."""
+    url = "jdbc:derby:memory:real;create=true"
+    io.write_jdbc(spark.range(5), url, "written", replace=True, **io.DERBY)
+    io.write_jdbc(spark.range(5, 8), url, "written", **io.DERBY)
+    assert sorted(r[0] for r in io.jdbc(spark, url, "written", **io.DERBY).collect()) == list(range(8))
+
+
+@pytest.mark.parametrize("name", ["scan_jdbc"])
+def test_databases_are_seen_by_executors_of_their_own(tmp_path, name):
+    """Executors are two other processes."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = f"""
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local-cluster[2,1,1024]").config("spark.executor.memory", "600m").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", "file://{tmp_path}/shared").getOrCreate()
+from wildgrid.plans import registry
+d = "/root/testdata/sf0.01"
+back = registry.queries()["{name}"](spark, d)
+want = spark.read.parquet(d + "/supplier.parquet").select("s_suppkey", "s_acctbal")
+assert back.count() == want.count() and back.exceptAll(want).count() == 0
+spark.stop()
+"""
+    repo = str(Path(__file__).resolve().parents[1])
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={**os.environ, "PYTHONPATH": repo}, capture_output=True, text=True, timeout=180)
+    assert done.returncode == 0, done.stderr[-3000:]

@@ -382,17 +382,15 @@ def _(spark, d):
 
 # --- databases ------------------------------------------------------------------
 
-#: An embedded database inside the session's own JVM, for local sessions; a real one is given by its own url.
-LOCAL_DATABASE = "jdbc:derby:memory:wildgrid;create=true"
-_DERBY = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
-
 
 def _through_database(spark, d, table, replace):
+    """Through a database file in the shared folder; a real database is given by its own url."""
     df = spark.read.parquet(f"{d}/supplier.parquet").select("s_suppkey", "s_acctbal")
-    io.write_jdbc(df.limit(0) if replace else df, LOCAL_DATABASE, table, replace=True, **_DERBY)
+    at = io.database(spark, "database")
     if replace:
-        io.write_jdbc(df, LOCAL_DATABASE, table, **_DERBY)
-    return io.jdbc(spark, LOCAL_DATABASE, table, **_DERBY).select(F.col("S_SUPPKEY").alias("s_suppkey"), F.col("S_ACCTBAL").alias("s_acctbal"))
+        io.fill_database(df.limit(0), at, table, replace=True)
+    io.fill_database(df, at, table)
+    return io.jdbc_parts(spark, io.open_database(spark, at), table, "s_suppkey", **io.DERBY).select("s_suppkey", "s_acctbal")
 
 
 @Q.add("scan_jdbc", "select s_suppkey, s_acctbal from supplier")

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
+from urllib.parse import urlsplit
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -180,6 +184,69 @@ def write_jdbc(df: DataFrame, url: str, table: str, replace: bool = False, **opt
     df.write.mode("overwrite" if replace else "append").jdbc(url, table, properties=options)
 
 
+# --- an embedded database: where no database server is at hand --------------------
+
+DERBY = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+
+
+def database(spark: SparkSession, name: str) -> str:
+    """Path of a new Derby database in the shared folder, which all must have mounted under one path."""
+    at = urlsplit(scratch(spark, name))
+    if at.scheme not in ("", "file"):
+        raise ValueError(f"an embedded database needs a mounted folder, not {at.scheme}:")
+    return at.path
+
+
+def fill_database(df: DataFrame, at: str, table: str, replace: bool = False) -> None:
+    """Appends rows to a table of an embedded database, or replaces it by them.
+
+    A database file admits one process at a time, here the driver's. So executors write the rows as CSV files into the
+    shared folder, and the database imports file after file, as a server's bulk load does; no rows are held in the driver's memory.
+    """
+    if other := [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.NumericType, T.StringType, T.BooleanType, T.DateType))]:
+        raise ValueError(f"numbers, texts, booleans and dates can be imported, not {other}")
+    spark, url = df.sparkSession, f"jdbc:derby:{at}/db;create=true"
+    write_jdbc(spark.createDataFrame([], df.schema), url, table, replace, **DERBY)
+    files = f"{at}/{uuid.uuid4().hex}"
+    # all but null in quotes: the import would cut blanks off
+    quoted = [F.coalesce(F.concat(F.lit('"'), F.replace(F.col(f"`{c}`").cast("string"), F.lit('"'), F.lit('""')), F.lit('"')), F.lit("")) for c in df.columns]
+    df.select(F.concat_ws(",", *quoted)).write.option("compression", "none").text(f"file://{files}")
+    db = spark._jvm.java.sql.DriverManager.getConnection(url)
+    try:
+        load = db.prepareCall("call SYSCS_UTIL.SYSCS_IMPORT_TABLE(null, ?, ?, ',', '\"', 'UTF-8', 0)")
+        for f in sorted(Path(files).glob("part-*")):
+            load.setString(1, table.upper())
+            load.setString(2, str(f))
+            load.execute()
+    finally:
+        db.close()
+
+
+def open_database(spark: SparkSession, at: str) -> str:
+    """The url of an embedded database as it is now, packed for reading: any number of processes may open that."""
+    try:
+        spark._jvm.java.sql.DriverManager.getConnection(f"jdbc:derby:{at}/db;shutdown=true")
+    except Py4JJavaError as e:
+        if e.java_exception.getSQLState() != "08006":  # the sign that it is shut down
+            raise
+    packed = f"{at}/{uuid.uuid4().hex}.jar"
+    with zipfile.ZipFile(packed, "w") as z:
+        for f in sorted(Path(at, "db").rglob("*")):
+            if f.is_file():
+                z.write(f, f.relative_to(at))
+    return f"jdbc:derby:jar:({packed})db"
+
+
+def jdbc_parts(spark: SparkSession, url: str, table: str, column: str, parts: int | None = None, **options) -> DataFrame:
+    """A table of a database read by several tasks, each a range of a numeric column."""
+    name = f'"{column}"'
+    low, high = jdbc(spark, url, f"(select min({name}) as low, max({name}) as high from {table}) q", **options).first()
+    if low is None:
+        return jdbc(spark, url, table, **options)
+    parts = parts or spark.sparkContext.defaultParallelism
+    return jdbc(spark, url, table, partitionColumn=column, lowerBound=low, upperBound=high + 1, numPartitions=parts, **options)
+
+
 def write_table(df: DataFrame, name: str) -> DataFrame:
     df.write.mode("overwrite").saveAsTable(name)
     return df.sparkSession.table(name)
