@@ -136,7 +136,7 @@ def test_rows_go_through_the_writer_of_a_real_database(spark):
     assert sorted(r[0] for r in io.jdbc(spark, url, "written", **io.DERBY).collect()) == list(range(8))
 
 
-@pytest.mark.parametrize("name", ["scan_jdbc"])
+@pytest.mark.parametrize("name", ["scan_jdbc", "sink_jdbc"])
 def test_databases_are_seen_by_executors_of_their_own(tmp_path, name):
     """Executors are two other processes."""
     import os
