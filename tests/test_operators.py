@@ -287,3 +287,21 @@ def test_the_nearest_polygon_comes_along_with_its_attributes(spark):
     found = spatial.with_nearest(spark.createDataFrame(points, "id long, lon double, lat double"), layer, 1.0, "code", cell=0.7).collect()
     want = {(1, 0.5): (0.0, 2, "b"), (1, 1.5): (0.5, 1, "a"), (3, 1.25): (0.25, 2, "b"), (4, 9.0): None, (5, None): None, (6, 3.5): (0.5, 1, "a")}
     assert len(found) == len(points) and {(x.id, x.lon): x.nearest and tuple(x.nearest) for x in found} == want
+
+
+def test_pairs_of_one_name_are_dealt_over_tasks(spark, monkeypatch):
+    """All pairs of lines as by brute force, each once, and of a name that most lines have no task has more than a part."""
+    monkeypatch.setattr(register, "PAIRS", 1000)
+    rnd = random.Random(8)
+    rows = [(rnd.randrange(500) if k % 50 else None, "hot" if k % 6 else rnd.choice(["a", "b", None, f"n{k}"]), rnd.choice([1, 2, None]), rnd.choice(["AK", "HI", None]), rnd.choice("xyz")) for k in range(600)]
+    found = register.duplicates(spark.createDataFrame(rows, "line long, name string, key long, locality string, assessment string"), block=50)
+    got = sorted(tuple(r) for r in found.collect())
+    want = []
+    for a, b in itertools.product(rows, rows):
+        if None not in (a[0], b[0], a[1]) and a[1] == b[1] and a[0] < b[0]:
+            key, place, status = (a[i] == b[i] for i in (2, 3, 4))
+            want.append((a[0], b[0], key, place, place and status, key and place and status))
+    assert got == sorted(want)
+    share = found.withColumn("task", F.spark_partition_id()).groupBy("task").count().agg(F.max("count")).first()[0]
+    assert share < len(want) / 5
+    assert register.duplicates(spark.createDataFrame([], "line long, name string, key long, locality string, assessment string")).count() == 0

@@ -6,6 +6,8 @@ degreeofestablishment. Where several rows meet a record, the smallest occurrence
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,10 +119,33 @@ def grouped(register: DataFrame) -> DataFrame:
     return one.groupBy(taxon.alias("taxon")).agg(F.sort_array(F.collect_list("occurrenceid")).alias("ids"))
 
 
-def duplicates(register: DataFrame) -> DataFrame:
-    """Pairs of lines (a < b) of one name, with what else they share."""
-    cols = ["line", "name", "key", "locality", "assessment"]
-    a, b = (register.select(*[F.col(c).alias(f"{s}_{c}") for c in cols]) for s in "ab")
-    j = a.join(b, (F.col("a_name") == F.col("b_name")) & (F.col("a_line") < F.col("b_line")))
+#: Lines of one name that lie in one block at most (about), and pairs that a task compares where blocks allow it.
+BLOCK, PAIRS = 4096, 1 << 22
+
+
+def duplicates(register: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Pairs of lines (a < b) of one name, with what else they share.
+
+    There are as many pairs as the square of a name's lines, from a table that is small, so rows are dealt by pairs and not by bytes: a name's lines
+    lie in blocks, and each two blocks (or one with itself) meet in a task of their own choice. A task holds single blocks, however many lines a name has.
+    """
+    lines = register.select("line", "name", "key", "locality", "assessment").where("line is not null and name is not null")
+    n, blocks = F.col("_n"), F.ceil(F.col("_n") / block)
+    sizes = lines.groupBy("name").agg(F.count("*").alias("_n")).where("_n > 1").withColumn("_blocks", blocks)
+    pairs, meetings = sizes.agg(F.sum(n.cast("double") * n / 2), F.sum(F.col("_blocks") * (F.col("_blocks") + 1) / 2)).first()
+    tasks = max(1, min(math.ceil((pairs or 0) / PAIRS), int(meetings or 0)))
+    dealt = lines.join(sizes.drop("_n"), "name").withColumn("_at", F.pmod(F.xxhash64("line"), F.col("_blocks")))
+    cols = ["line", "key", "locality", "assessment"]
+
+    def side(s: str, i: Column, j: Column) -> DataFrame:
+        out = dealt.withColumns({"_i": i, "_j": j})
+        return out.select("name", "_i", "_j", *[F.col(c).alias(f"{s}_{c}") for c in cols]).repartition(tasks, "name", "_i", "_j")
+
+    a = side("a", F.col("_at"), F.explode(F.sequence(F.col("_at"), F.col("_blocks") - 1)))
+    b = side("b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_at"))), F.col("_at"))
+    # equal lines lie in one block; what two lines share is the same both ways
+    # merged: its size in bytes would have one side broadcast whole, or few tasks
+    j = a.join(b.hint("merge"), ["name", "_i", "_j"]).where((F.col("_i") < F.col("_j")) | (F.col("a_line") < F.col("b_line")))
     same = {c: F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}")) for c in ("key", "locality", "assessment")}
-    return j.select("a_line", "b_line", same["key"].alias("same_key"), same["locality"].alias("same_locality"), (same["assessment"] & same["locality"]).alias("same_assessment_locality"), (same["key"] & same["locality"] & same["assessment"]).alias("duplicate"))
+    ends = F.least("a_line", "b_line").alias("a_line"), F.greatest("a_line", "b_line").alias("b_line")
+    return j.select(*ends, same["key"].alias("same_key"), same["locality"].alias("same_locality"), (same["assessment"] & same["locality"]).alias("same_assessment_locality"), (same["key"] & same["locality"] & same["assessment"]).alias("duplicate"))
