@@ -157,3 +157,42 @@ spark.stop()
     repo = str(Path(__file__).resolve().parents[1])
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={**os.environ, "PYTHONPATH": repo}, capture_output=True, text=True, timeout=180)
     assert done.returncode == 0, done.stderr[-3000:]
+
+
+@pytest.mark.parametrize("replace", [False, True])
+def test_a_table_is_made_without_a_task(spark, replace):
+    """Where it is missing, and where it is there already: executors, which cannot open the database, get nothing to do."""
+    at, df = io.database(spark, "database"), spark.range(3)
+    group = f"table made, {replace}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        for _ in range(2):
+            io.make_table(df, at, "made", replace)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    assert not [s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    io.fill_database(df, at, "made")
+    back = io.jdbc(spark, io.open_database(spark, at), "made", **io.DERBY)
+    assert sorted(r[0] for r in back.collect()) == [0, 1, 2]
+
+
+def test_databases_need_no_python_on_executors(tmp_path):
+    """No executor can start Python here."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = f"""
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", "file://{tmp_path}/shared").getOrCreate()
+from wildgrid.plans import registry
+for name in ("sink_jdbc", "scan_jdbc"):
+    assert registry.queries()[name](spark, "/root/testdata/sf0.001").count() == spark.read.parquet("/root/testdata/sf0.001/supplier.parquet").count()
+spark.stop()
+"""
+    repo = str(Path(__file__).resolve().parents[1])
+    env = {**os.environ, "PYTHONPATH": repo, "PYSPARK_PYTHON": str(tmp_path / "none")}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=180)
+    assert done.returncode == 0, done.stderr[-3000:]

@@ -388,7 +388,7 @@ def _through_database(spark, d, table, replace):
     df = spark.read.parquet(f"{d}/supplier.parquet").select("s_suppkey", "s_acctbal")
     at = io.database(spark, "database")
     if replace:
-        io.fill_database(df.limit(0), at, table, replace=True)
+        io.make_table(df, at, table, replace=True)
     io.fill_database(df, at, table)
     return io.jdbc_parts(spark, io.open_database(spark, at), table, "s_suppkey", **io.DERBY).select("s_suppkey", "s_acctbal")
 

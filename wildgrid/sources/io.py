@@ -197,6 +197,16 @@ def database(spark: SparkSession, name: str) -> str:
     return at.path
 
 
+def _connect(spark: SparkSession, url: str):
+    """A connection by Derby's own driver, whatever other drivers the session has."""
+    return spark._jvm.org.apache.derby.iapi.jdbc.AutoloadedDriver().connect(url, spark._jvm.java.util.Properties())
+
+
+def make_table(df: DataFrame, at: str, table: str, replace: bool = False) -> None:
+    """A table with the frame's columns where there is none; ``replace``: anew and empty. Spark's writer makes it in the driver's process, without a task."""
+    write_jdbc(df.limit(0), f"jdbc:derby:{at}/db;create=true", table, replace, **DERBY)
+
+
 def fill_database(df: DataFrame, at: str, table: str, replace: bool = False) -> None:
     """Appends rows to a table of an embedded database, or replaces it by them.
 
@@ -205,16 +215,16 @@ def fill_database(df: DataFrame, at: str, table: str, replace: bool = False) ->
     """
     if other := [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.NumericType, T.StringType, T.BooleanType, T.DateType))]:
         raise ValueError(f"numbers, texts, booleans and dates can be imported, not {other}")
-    spark, url = df.sparkSession, f"jdbc:derby:{at}/db;create=true"
-    write_jdbc(spark.createDataFrame([], df.schema), url, table, replace, **DERBY)
+    spark = df.sparkSession
+    make_table(df, at, table, replace)
     files = f"{at}/{uuid.uuid4().hex}"
     # all but null in quotes: the import would cut blanks off
     quoted = [F.coalesce(F.concat(F.lit('"'), F.replace(F.col(f"`{c}`").cast("string"), F.lit('"'), F.lit('""')), F.lit('"')), F.lit("")) for c in df.columns]
     df.select(F.concat_ws(",", *quoted)).write.option("compression", "none").text(f"file://{files}")
-    db = spark._jvm.java.sql.DriverManager.getConnection(url)
+    db = _connect(spark, f"jdbc:derby:{at}/db")
     try:
         load = db.prepareCall("call SYSCS_UTIL.SYSCS_IMPORT_TABLE(null, ?, ?, ',', '\"', 'UTF-8', 0)")
-        for f in sorted(Path(files).glob("part-*")):
+        for f in sorted(f for f in Path(files).glob("part-*") if f.stat().st_size):
             load.setString(1, table.upper())
             load.setString(2, str(f))
             load.execute()
@@ -225,7 +235,7 @@ def fill_database(df: DataFrame, at: str, table: str, replace: bool = False) ->
 def open_database(spark: SparkSession, at: str) -> str:
     """The url of an embedded database as it is now, packed for reading: any number of processes may open that."""
     try:
-        spark._jvm.java.sql.DriverManager.getConnection(f"jdbc:derby:{at}/db;shutdown=true")
+        _connect(spark, f"jdbc:derby:{at}/db;shutdown=true")
     except Py4JJavaError as e:
         if e.java_exception.getSQLState() != "08006":  # the sign that it is shut down
             raise
