@@ -4,8 +4,11 @@ import itertools
 import math
 import random
 import re
+import time
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -205,6 +208,76 @@ def test_nearest_are_whole_where_codes_fit_badly(spark, metric):
             assert ids == np.lexsort((np.arange(len(x)), -exact))[:20].tolist()
 
 
+@pytest.mark.parametrize("metric", ann.METRICS)
+def test_rows_met_by_blocks_are_brute_force(metric):
+    """Blocks in any order, copies and whole numbers (ties), lengths that lose all digits in single precision, codes of no use."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(900, 12))
+    far = x * np.where(rng.random((900, 1)) < 0.05, 1e9, 1)
+    books = ann.fit(x, books=4, words=16)
+    cases = [(x, books), (x[rng.integers(0, 5, 900)], books), (np.round(x), books), (x * 1e-200, books), (x * 1e120, books), (1e8 + x, ann.fit(1e8 + x, books=4, words=16)), (far, books), (x, rng.normal(size=(3, 8, 12)) * 100), (x[:12], books)]
+    for x, books in cases:
+        ids, codes = rng.permutation(len(x)), ann.encode(x, books)
+        error = np.sqrt(((x - ann.decode(codes, books)) ** 2).sum(1))
+        queries = np.arange(0, len(x), 9)
+        near = ann.Nearest(ids[queries], x[queries], books, 20, 30, metric)
+        for at in np.array_split(rng.permutation(len(x)), max(1, len(x) // 200)):
+            near.meet(ids[at], codes[at], error[at], x[at])
+        got = near.batch().to_pydict()
+        want = []
+        for q in queries:
+            score = ann.scores(x, x[q][None], metric)
+            best = [r for r in np.lexsort((ids, -score)) if r != q][:20]
+            want += [(ids[q], ids[r], score[r]) for r in best]
+        assert list(zip(got["query_id"], got["vec_id"], got["score"])) == want
+
+
+@pytest.mark.parametrize("lanes, wide", [(1, 64_000_000), (3, 1), (3, 1_000)])
+def test_search_of_many_tasks_is_brute_force(spark, monkeypatch, lanes, wide):
+    x, df = vectors(spark, 400)
+    for name, value in {"ROW_BLOCK": 16, "QUERY_BLOCK": 7, "SEARCH_LANES": lanes, "QUERY_BYTES": wide}.items():
+        monkeypatch.setattr(ann, name, value)
+    use = ann.usable(df)
+    books = ann.train(use, books=4, words=16)
+    found = ann.search(ann.build_index(use, books), use, use.where("vec_id % 20 = 0"), books, rerank=30).collect()
+    want = []
+    for q in range(0, 400, 20):
+        score = (x * x[q]).sum(1)
+        want += [(q, i + 1, v, score[v]) for i, v in enumerate([v for v in np.lexsort((np.arange(400), -score)) if v != q][:20])]
+    assert sorted(map(tuple, found)) == want
+
+
+def test_floats_are_searched_as_doubles(spark):
+    x, df = vectors(spark, 200)
+    narrow = df.withColumn("embedding", F.col("embedding").cast("array<float>"))
+    use = ann.usable(narrow)
+    assert use.schema["embedding"].dataType.simpleString() == "array<float>"
+    books = ann.train(use, books=4, words=16)
+    found = ann.search(ann.build_index(use, books), use, use.where("vec_id = 20"), books).collect()
+    x = x.astype(np.float32).astype(np.float64)
+    score = (x * x[20]).sum(1)
+    best = [v for v in np.lexsort((np.arange(200), -score)) if v != 20][:20]
+    assert [(r.vec_id, r.score) for r in sorted(found, key=lambda r: r.rank)] == [(v, score[v]) for v in best]
+
+
+def test_search_time_for_each_pair(spark, tmp_path):
+    """576 million pairs: tables of inner products took over a minute."""
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(24_000, 64)).astype(np.float32)
+    pq.write_table(pa.table({"vec_id": np.arange(24_000), "embedding": list(x)}), tmp_path / "embeddings.parquet")
+    use = ann.usable(spark.read.parquet(str(tmp_path)).repartition(4)).localCheckpoint()
+    books = ann.train(use, sample=2048, books=32, words=32)
+    index = ann.build_index(use, books).localCheckpoint()
+    began = time.monotonic()
+    found = ann.search(index, use, use, books).where("query_id < 20").collect()
+    assert time.monotonic() - began < 40
+    x = x.astype(np.float64)
+    for q in range(20):
+        score = (x * x[q]).sum(1)
+        score[q] = -np.inf
+        assert [r.vec_id for r in sorted(found, key=lambda r: r.rank) if r.query_id == q] == np.argsort(-score)[:20].tolist()
+
+
 def test_few_vectors_and_none(spark):
     _, df = vectors(spark, 30)
     use = ann.usable(df.where("vec_id < 5"))

@@ -1,26 +1,28 @@
-"""Approximate nearest neighbours by additive quantisation.
+"""Nearest neighbours by additive quantisation.
 
 Codebooks hold vectors of full dimension; a vector is stored as one code from each,
 and stands for the sum of those. Codebooks are fitted to residuals on a bounded
 sample (``SAMPLE`` rows) and refined by beam-search encoding and least squares; every row is
-encoded by beam search and keeps the norm of its reconstruction and its distance from it. A search looks up
-inner products of query and code words in a table, sums them for each stored row,
-keeps the best ``RERANK`` rows of each query over the whole index, fetches the original
-vectors of these alone, and scores them again exactly.
-
-The k-th of these scores is what any other row must reach. A second scan bounds every row's score by
-its codes and its distance from their sum, and scores exactly those that the bound doesn't rule out. So
-the result is that of all rows whatever the vectors are; codes that fit badly cost time, no neighbours.
-
-The scan is linear: every query is compared with every row's codes. Queries and codes
-are both dealt into blocks by a hash of their key, and blocks meet in an equi-join on
-(query block, lane), each pair of blocks being one row of it, so no task holds more than
-two blocks and one shortlist. Only codes and norms go through the first scan's join; the second takes the rows' vectors
-along and has blocks of ``WIDER`` times as many queries. What comes out grows with the queries alone.
+encoded by beam search and keeps the norm of its reconstruction and its distance from it.
+
+A search scans all rows once, block by block. The words of a block's rows are summed once, and one product of
+matrices has the inner products of these sums with all queries of the task: what tables of query and code words
+give by a look-up for each book and pair. The best ``RERANK`` rows of the first block are scored exactly, and the k-th of these scores is
+what any other row must reach. Each row's score is bounded by its codes' sum and its distance from it; rows that
+the bound doesn't rule out are scored exactly, and what k rows reach then is the new bar. So
+the result is that of all rows whatever the vectors are; codes that fit badly cost time, no neighbours. Where codes leave more
+than ``DENSE`` of a tile open, a product with the vectors themselves comes between bound and scores.
+
+The scan is linear in rows for each query, and so quadratic. Queries are dealt into blocks and rows into lanes by hashes of
+their keys; a task has one block and one lane, holds the block's queries and their best k, and reads the lane's rows in
+batches. Rows are sent once for each block of queries and queries once for each lane; k rows a query and lane come out.
+
+``shortlist`` is the search by codes alone, by tables, where an index is all there is.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_checked, table, written
+from .common import table, written
 
 BOOKS, WORDS = 32, 128
 BEAM = 4
@@ -36,15 +38,19 @@ BEAM = 4
 SAMPLE = 8192
 RERANK = 256
 QUERY_BLOCK, ROW_BLOCK = 512, 8192
-#: Row groups are dealt into so many lanes; a lane's groups are scanned one after the other, and give one shortlist a query.
+#: A shortlist's row groups are dealt into so many lanes; a lane's groups are scanned one after the other, and give one shortlist a query.
 LANES = 4
-#: The second scan: its query blocks to those of the first, and the bytes of vectors that a block has at most.
-WIDER, BLOCK_BYTES = 8, 4_000_000
-#: Its pairs of blocks that a task holds at a time.
-PAIRS = 4
-#: Queries up to this number meet their shortlists by broadcast, more by shuffle.
-FEW = 20_000
+#: The search deals rows into so many lanes at most, and queries into blocks that a task holds whole, of so many bytes of vectors at most.
+#: Blocks are more and smaller, down to QUERY_BLOCK queries, where there would be fewer than two tasks a core.
+SEARCH_LANES, QUERY_BYTES = 12, 64_000_000
+#: Bytes of vectors that a batch of rows has at most.
+BLOCK_BYTES = 4_000_000
+#: Pairs that are held at a time.
+TILE = 1 << 21
+#: Share of open pairs beyond which a product of whole blocks is cheaper than single rows.
+DENSE = 0.05
 METRICS = ("ip", "l2")
+_NONE = np.iinfo(np.int64).max
 
 
 # --- codebooks ----------------------------------------------------------------
@@ -69,23 +75,27 @@ def encode(x: np.ndarray, books: np.ndarray, beam: int = BEAM) -> np.ndarray:
     scale = max(np.abs(books).max(), np.abs(x).max(initial=0)) or 1.0
     x, books = x / scale, (books / scale).astype(np.float32)
     m, k, d = books.shape
-    gram = np.einsum("akd,bjd->akbj", books, books)
-    own = (books**2).sum(2)
+    own, twice = (books**2).sum(2), np.ascontiguousarray(-2 * books.transpose(0, 2, 1))
     out = np.empty((len(x), m), np.uint8)
-    for lo in range(0, len(x), 1024):
-        part = x[lo : lo + 1024].astype(np.float32)
-        n, dots = len(part), np.einsum("nd,mkd->nmk", part, books, optimize=True)
-        codes, loss = np.zeros((n, 1, 0), np.int64), np.zeros((n, 1), np.float32)
+    for lo in range(0, len(x), 512):
+        rest = x[lo : lo + 512].astype(np.float32)[:, None]  # what each of the sums so far leaves
+        n = len(rest)
+        codes, loss, line = np.zeros((n, 1, 0), np.uint8), np.zeros((n, 1), np.float32), np.arange(n)
         for b in range(m):
-            new = loss[:, :, None] + own[b] - 2 * dots[:, b][:, None, :]
-            for a in range(b):  # cross terms with the words chosen so far
-                new = new + 2 * gram[a, codes[:, :, a], b]
+            new = (rest.reshape(-1, d) @ twice[b]).reshape(n, -1, k)
+            new += own[b]
+            new += loss[:, :, None]
             flat = new.reshape(n, -1)
-            keep = min(beam, flat.shape[1])
-            best = np.argpartition(flat, keep - 1, axis=1)[:, :keep]
-            codes = np.concatenate([np.take_along_axis(codes, (best // k)[:, :, None], 1), (best % k)[:, :, None]], 2)
-            loss = np.take_along_axis(flat, best, 1)
-        out[lo : lo + n] = codes[np.arange(n), loss.argmin(1)]
+            best = np.empty((n, min(beam, flat.shape[1])), np.int64)
+            loss = np.empty(best.shape, np.float32)
+            for i in range(best.shape[1]):
+                best[:, i] = flat.argmin(1)
+                loss[:, i] = flat[line, best[:, i]]
+                flat[line, best[:, i]] = np.inf
+            came, word = best // k, best % k
+            codes = np.concatenate([codes[line[:, None], came], word[:, :, None].astype(np.uint8)], 2)
+            rest = rest[line[:, None], came] - books[b][word]
+        out[lo : lo + n] = codes[line, loss.argmin(1)]
     return out
 
 
@@ -132,7 +142,9 @@ def usable(vectors: DataFrame) -> DataFrame:
     Of several dimensions only the commonest takes part, of equally common ones the larger.
     Rows of one vec_id are one row, that with the smallest vector in the order of its components.
     """
-    v = F.col("embedding").cast("array<double>")
+    v = F.col("embedding")
+    if vectors.schema["embedding"].dataType.simpleString() != "array<float>":  # these stay as they are: half the bytes, the same numbers
+        v = v.cast("array<double>")
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("embedding")).where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0)).where(F.forall("embedding", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))) & F.exists("embedding", lambda c: c != 0))
     common = rows.groupBy(F.size("embedding").alias("d")).count().agg(F.max(F.struct("count", "d"))["d"]).first()[0]
     if common is not None:
@@ -164,7 +176,7 @@ def build_index(vectors: DataFrame, books: np.ndarray) -> DataFrame:
 def _matrix(column, dimension: int) -> np.ndarray:
     if len(flat := column.flatten()) != len(column) * dimension:
         raise ValueError(f"vectors of dimension {dimension} are expected")
-    return flat.to_numpy(zero_copy_only=False).reshape(-1, dimension)
+    return flat.to_numpy(zero_copy_only=False).reshape(-1, dimension).astype(np.float64, copy=False)
 
 
 def _top(scores: np.ndarray, k: int) -> np.ndarray:
@@ -260,54 +272,171 @@ def shortlist(index: DataFrame, queries: DataFrame, books: np.ndarray, keep: int
     return found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= keep).select("query_id", "vec_id")
 
 
-def check_block(ids: np.ndarray, codes: np.ndarray, norm: np.ndarray, error: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, least: np.ndarray, books: np.ndarray, k: int, metric: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query_id, vec_id, score) of one block's best ``k`` rows for each query, among those whose codes don't rule out a score of ``least``."""
-    found, longest = [], np.sqrt((x**2).sum(1).max())
-    for lo in range(0, len(q), 128):
-        part, own, bar = q[lo : lo + 128], query_ids[lo : lo + 128], least[lo : lo + 128]
-        sums, base, slack = _table_sums(part, codes, books)
-        length = np.sqrt((part**2).sum(1))
-        slack = slack + 1e-12 * length * longest
-        near = sums + base[:, None]
-        if metric == "ip":
-            most = near + (1 + 1e-12) * length[:, None] * error + slack[:, None]
-        else:
-            apart = length[:, None] ** 2 - 2 * near + norm
-            apart = apart - 2 * slack[:, None] - 1e-12 * (length[:, None] ** 2 + norm)
-            most = -np.maximum(0, (1 - 1e-12) * (np.sqrt(np.maximum(0, apart)) - (1 + 1e-12) * error) - 1e-12 * longest) ** 2
-        open_ = ~(most < bar[:, None]) & (ids[None] != own[:, None])  # a bound that is no number rules nothing out
-        for i in np.flatnonzero(open_.any(1)):
-            at = np.flatnonzero(open_[i])
-            score = scores(x[at], part[i], metric)
-            best = np.lexsort((ids[at], -score))[:k]
-            found.append((np.full(len(best), own[i]), ids[at][best], score[best]))
-    return tuple(np.concatenate(c) for c in zip(*found)) if found else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
-
-
 def scores(x: np.ndarray, q: np.ndarray, metric: str) -> np.ndarray:
     return (x * q).sum(1) if metric == "ip" else -((x - q) ** 2).sum(1)
 
 
-def checked(index: DataFrame, vectors: DataFrame, queries: DataFrame, books: np.ndarray, k: int, metric: str) -> DataFrame:
-    """(query_id, vec_id, score): what the whole index holds of each query's k nearest; ``queries``: (vec_id, embedding, least), the score that k rows are known to reach."""
-    width = books.shape[2] * 8
-    row_block, query_block = (max(1, min(n, BLOCK_BYTES // width)) for n in (ROW_BLOCK, WIDER * QUERY_BLOCK))
-    groups, blocks = max(LANES, -(-index.count() // row_block)), max(1, -(-queries.count() // query_block))
-    rows = index.join(vectors.select("vec_id", "embedding"), "vec_id")
-    pairs = _pairs(rows, queries, ("vec_id", "codes", "norm", "error", "embedding"), ("vec_id", "least", "embedding"), groups, blocks, groups)
+class Nearest:
+    """The ``k`` nearest of each query among rows that come block by block, by codes and by the vectors that these leave open.
+
+    A row's score is at most that of its words' sum and what its distance from that sum may add: one product of two
+    matrices of single precision, whose rounding is allowed for, against a least number of each query.
+    """
+
+    def __init__(self, query_ids: np.ndarray, q: np.ndarray, books: np.ndarray, k: int, rerank: int, metric: str) -> None:
+        self.query_ids, self.q, self.k, self.rerank, self.metric = query_ids, q, k, rerank, metric
+        self.centre = books.mean(1).sum(0)
+        self.words, self.reach = books - books.mean(1)[:, None], np.sqrt((books**2).sum(2)).max(1).sum()
+        self.length = np.sqrt((q**2).sum(1))
+        self.ids, self.score = np.full((len(q), k), _NONE), np.full((len(q), k), -np.inf)
+        self.bar = np.full(len(q), -np.inf)
+
+    def _right(self, own: np.ndarray, error: np.ndarray, scale: float) -> np.ndarray:
+        parts = [own / scale, (error / scale)[:, None]]
+        if self.metric == "l2":
+            parts.append(((error**2 - (own**2).sum(1)) / scale**2)[:, None])
+        return np.concatenate(parts, 1).astype(np.float32)
+
+    def _left(self, at: slice, bar: np.ndarray, scale: float, longest: float) -> tuple[np.ndarray, np.ndarray]:
+        """(left, least): where left @ right is below least, the row's score is below ``bar``."""
+        q, length = self.q[at], self.length[at]
+        if self.metric == "ip":
+            size, wide = np.where(length > 0, length, 1), self.reach + longest
+            left = np.concatenate([q / size[:, None], np.ones((len(q), 1))], 1)
+            least = (bar - q @ self.centre) / size / scale
+        else:
+            q, radius = q - self.centre, np.sqrt(np.maximum(0, -bar))
+            apart = np.sqrt((q**2).sum(1))
+            size, wide = 2 * apart + 2 * radius + scale, self.reach + longest + length
+            left = np.concatenate([2 * q, 2 * radius[:, None], np.full((len(q), 1), scale)], 1) / size[:, None]
+            least = (apart - radius) * (apart + radius) / size / scale
+        least = least - 2.0**-22 * (q.shape[1] + 8) - 1e-12 * wide / scale
+        odd = ~(np.isfinite(left).all(1) & np.isfinite(least) & np.isfinite(length))  # a bound that is no number rules nothing out
+        left[odd], least[odd] = 0, -np.inf
+        return left.astype(np.float32), np.nextafter(least.astype(np.float32), np.float32(-np.inf))
+
+    def meet(self, ids: np.ndarray, codes: np.ndarray, error: np.ndarray, x: np.ndarray) -> None:
+        with np.errstate(all="ignore"):
+            own, longest = decode(codes, self.words), np.sqrt((x**2).sum(1).max())
+            scale = max(np.sqrt((own**2).sum(1).max()), error.max()) or 1.0
+            right = self._right(own, error, scale)
+            odd = ~np.isfinite(right).all(1)
+            right[odd] = 0
+            plain = self._right(own, np.zeros(len(ids)), scale) if len(ids) > self.rerank + 1 and np.isneginf(self.bar).any() else None
+            whole, step = None, max(1, TILE // len(ids))
+            for lo in range(0, len(self.q), step):
+                at = slice(lo, min(lo + step, len(self.q)))
+                if plain is not None and np.isneginf(self.bar[at]).any():
+                    self._first(at, ids, x, plain, scale, longest)
+                open_ = self._reaches(at, right, scale, longest)
+                open_[:, odd] = True
+                if np.count_nonzero(open_) > DENSE * open_.size:
+                    if whole is None:
+                        centred = x - self.centre
+                        reach = np.sqrt((centred**2).sum(1).max()) or 1.0
+                        whole = self._right(centred, np.zeros(len(ids)), reach), reach
+                    open_ &= self._reaches(at, *whole, longest)
+                    if np.count_nonzero(open_) > DENSE * open_.size:
+                        open_ &= self._reaches_double(at, x, longest)
+                self._check(at, ids, x, open_)
+
+    def _first(self, at: slice, ids: np.ndarray, x: np.ndarray, plain: np.ndarray, scale: float, longest: float) -> None:
+        """A first bar: the k-th score of the ``rerank`` rows of the block with the best sums of words."""
+        left, _ = self._left(at, np.zeros(at.stop - at.start), scale, longest)
+        near = left @ plain.T
+        best = np.argpartition(near, len(ids) - self.rerank - 1, axis=1)[:, len(ids) - self.rerank - 1 :]
+        score = self._scores(at.start + np.repeat(np.arange(len(best)), best.shape[1]), best.ravel(), x).reshape(best.shape)
+        score[(ids[best] == self.query_ids[at, None]) | np.isnan(score)] = -np.inf
+        self.bar[at] = np.maximum(self.bar[at], np.partition(score, -self.k, axis=1)[:, -self.k])
+
+    def _reaches(self, at: slice, right: np.ndarray, scale: float, longest: float) -> np.ndarray:
+        left, least = self._left(at, self.bar[at], scale, longest)
+        return left @ right.T >= least[:, None]
+
+    def _reaches_double(self, at: slice, x: np.ndarray, longest: float) -> np.ndarray:
+        if self.metric == "ip":
+            return ~(self.q[at] @ x.T < (self.bar[at] - 1e-12 * self.length[at] * longest)[:, None])
+        q, x = self.q[at] - self.centre, x - self.centre
+        a, b = (q**2).sum(1), (x**2).sum(1)
+        slack = 1e-12 * (np.sqrt(a) + np.sqrt(b.max())) * (self.length[at] + self.reach + longest)
+        return ~(2 * (q @ x.T) - b < (self.bar[at] + a - slack)[:, None])
+
+    def _scores(self, which: np.ndarray, rows: np.ndarray, x: np.ndarray) -> np.ndarray:
+        out, step = np.empty(len(rows)), max(1, TILE // 32 // x.shape[1])
+        for lo in range(0, len(rows), step):
+            out[lo : lo + step] = scores(x[rows[lo : lo + step]], self.q[which[lo : lo + step]], self.metric)
+        return out
+
+    def _check(self, at: slice, ids: np.ndarray, x: np.ndarray, open_: np.ndarray) -> None:
+        """Scores the open pairs exactly and keeps each query's best k."""
+        which, rows = np.divmod(np.flatnonzero(open_), len(ids))
+        which += at.start
+        other = ids[rows] != self.query_ids[which]  # never the query itself
+        which, rows = which[other], rows[other]
+        score, found = self._scores(which, rows, x), ids[rows]
+        last, last_id = self.score[which, -1], self.ids[which, -1]
+        better = ~(score < self.bar[which]) & (~(score <= last) | (score == last) & (found < last_id))
+        which, found, score = which[better], found[better], score[better]
+        if not len(which):
+            return
+        some, line = np.unique(which, return_inverse=True)
+        line = np.concatenate([np.repeat(np.arange(len(some)), self.k), line])
+        found, score = np.concatenate([self.ids[some].ravel(), found]), np.concatenate([self.score[some].ravel(), score])
+        order = np.lexsort((found, np.where(np.isnan(score), np.inf, -score), line))
+        line = line[order]
+        kept = order[np.arange(len(line)) - np.searchsorted(line, line) < self.k]
+        self.ids[some], self.score[some] = found[kept].reshape(-1, self.k), score[kept].reshape(-1, self.k)
+        self.bar[some] = np.fmax(self.bar[some], self.score[some, -1])
+
+    def batch(self) -> pa.RecordBatch:
+        real = (self.ids < _NONE) | (self.score > -np.inf)
+        query = np.broadcast_to(self.query_ids[:, None], real.shape)[real]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (query, self.ids[real], self.score[real])], names=["query_id", "vec_id", "score"])
+
+
+def dealt(rows: DataFrame, queries: DataFrame, blocks: int, lanes: int) -> DataFrame:
+    """(task, vec_id, codes, error, embedding): each task has a block of queries, without codes, before a lane of rows."""
+    key = F.xxhash64("vec_id")
+    asked = queries.select("vec_id", F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("error"), "embedding", F.pmod(key, F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(lanes - 1)).cast("array<long>")).alias("lane"))
+    rows = rows.select("vec_id", "codes", "error", "embedding", F.pmod(key, F.lit(lanes)).alias("lane"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")).alias("block"))
+    both = asked.unionByName(rows).withColumn("task", (F.col("block") * lanes + F.col("lane")).cast("int")).drop("block", "lane")
+    return both.repartitionById(blocks * lanes, "task").sortWithinPartitions("task", F.col("codes").isNotNull())
+
+
+def checked(index: DataFrame, vectors: DataFrame, queries: DataFrame, books: np.ndarray, k: int, rerank: int, metric: str) -> DataFrame:
+    """(query_id, vec_id, score): each lane's k nearest of every query."""
+    n, asked, width = index.count(), queries.count(), books.shape[2] * 8
+    lanes = max(1, min(SEARCH_LANES, n // ROW_BLOCK))
+    wanted = -(-2 * index.sparkSession.sparkContext.defaultParallelism // lanes)
+    blocks = max(1, -(-asked // max(1, QUERY_BYTES // width)), min(wanted, asked // QUERY_BLOCK))
     shared = index.sparkSession.sparkContext.broadcast(books)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, asked, near = None, [], None
         for b in batches:
-            for i in range(b.num_rows):
-                r, a = b.column("rows").slice(i, 1).flatten(), b.column("asked").slice(i, 1).flatten()
-                ids, codes, norm, error, x = r.flatten()
-                query_ids, least, q = a.flatten()
-                x, q = (_matrix(c, shared.value.shape[2]) for c in (x, q))
-                found = check_block(ids.to_numpy(), _codes(codes), norm.to_numpy(), error.to_numpy(), x, query_ids.to_numpy(), q, least.to_numpy(), shared.value, k, metric)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["query_id", "vec_id", "score"])
-
-    return pairs.mapInArrow(run, "query_id long, vec_id long, score double")
+            task, row = b.column("task").to_numpy(), b.column("codes").is_valid().to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero((np.diff(task) != 0) | (np.diff(row) != 0)) + 1).tolist(), b.num_rows]
+            for lo, hi in itertools.pairwise(cuts):
+                if lo == hi:
+                    continue
+                if task[lo] != at:
+                    if near is not None:
+                        yield near.batch()
+                    at, asked, near = task[lo], [], None
+                part = b.slice(lo, hi - lo)
+                ids, x = part.column("vec_id").to_numpy(), _matrix(part.column("embedding"), shared.value.shape[2])
+                if not row[lo]:
+                    asked.append((ids, x))
+                    continue
+                if near is None and asked:
+                    near, asked = Nearest(*(np.concatenate(c) for c in zip(*asked)), shared.value, k, rerank, metric), []
+                if near is not None:
+                    near.meet(ids, _codes(part.column("codes")), part.column("error").to_numpy(), x)
+        if near is not None:
+            yield near.batch()
+
+    rows = index.select("vec_id", "codes", "error").join(vectors.select("vec_id", "embedding"), "vec_id")
+    return dealt(rows, queries, blocks, lanes).mapInArrow(run, "query_id long, vec_id long, score double")
 
 
 def search(index: DataFrame, vectors: DataFrame, queries: DataFrame, books: np.ndarray, k: int = 20, rerank: int = RERANK, metric: str = "ip") -> DataFrame:
@@ -319,20 +448,8 @@ def search(index: DataFrame, vectors: DataFrame, queries: DataFrame, books: np.n
     """
     if metric not in METRICS:
         raise ValueError(f"metric {metric!r} is none of {METRICS}")
-    asked = broadcast_checked(queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q")), FEW)
-    pairs = shortlist(index, queries, books, max(rerank, k), metric).join(vectors.select("vec_id", "embedding"), "vec_id").join(asked, "query_id")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                x, q = (_matrix(b.column(c), len(b.column(c)[0])) for c in ("embedding", "q"))
-                yield pa.RecordBatch.from_arrays([b.column("query_id"), b.column("vec_id"), pa.array(scores(x, q, metric))], names=["query_id", "vec_id", "score"])
-
-    found = pairs.select("query_id", "vec_id", "embedding", "q").mapInArrow(run, "query_id long, vec_id long, score double")
+    found = written(checked(index, vectors, queries, books, k, max(rerank, k), metric), "op8-found", max(1, min(ROW_BLOCK, BLOCK_BYTES // (books.shape[2] * 8))))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    known = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("known"))
-    bars = written(queries.select("vec_id", "embedding").join(known, "vec_id", "left").select("vec_id", "embedding", F.coalesce("known", F.lit(float("-inf"))).alias("least")), "op8-bars")
-    found = written(checked(index, vectors, bars, books, k, metric), "op8-found", PAIRS)
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
