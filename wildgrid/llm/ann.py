@@ -292,6 +292,7 @@ class Nearest:
         self.bar = np.full(len(q), -np.inf)
 
     def _right(self, own: np.ndarray, error: np.ndarray, scale: float) -> np.ndarray:
+        """Rows as sums of words less the centre and distances from them, over a common scale."""
         parts = [own / scale, (error / scale)[:, None]]
         if self.metric == "l2":
             parts.append(((error**2 - (own**2).sum(1)) / scale**2)[:, None])
@@ -316,6 +317,7 @@ class Nearest:
         return left.astype(np.float32), np.nextafter(least.astype(np.float32), np.float32(-np.inf))
 
     def meet(self, ids: np.ndarray, codes: np.ndarray, error: np.ndarray, x: np.ndarray) -> None:
+        """Takes a block of rows, none of them met before."""
         with np.errstate(all="ignore"):
             own, longest = decode(codes, self.words), np.sqrt((x**2).sum(1).max())
             scale = max(np.sqrt((own**2).sum(1).max()), error.max()) or 1.0
@@ -333,8 +335,8 @@ class Nearest:
                 if np.count_nonzero(open_) > DENSE * open_.size:
                     if whole is None:
                         centred = x - self.centre
-                        reach = np.sqrt((centred**2).sum(1).max()) or 1.0
-                        whole = self._right(centred, np.zeros(len(ids)), reach), reach
+                        size = np.sqrt((centred**2).sum(1).max()) or 1.0
+                        whole = self._right(centred, np.zeros(len(ids)), size), size
                     open_ &= self._reaches(at, *whole, longest)
                     if np.count_nonzero(open_) > DENSE * open_.size:
                         open_ &= self._reaches_double(at, x, longest)
@@ -350,10 +352,12 @@ class Nearest:
         self.bar[at] = np.maximum(self.bar[at], np.partition(score, -self.k, axis=1)[:, -self.k])
 
     def _reaches(self, at: slice, right: np.ndarray, scale: float, longest: float) -> np.ndarray:
+        """Pairs of queries and rows whose bound doesn't rule out the bar."""
         left, least = self._left(at, self.bar[at], scale, longest)
         return left @ right.T >= least[:, None]
 
     def _reaches_double(self, at: slice, x: np.ndarray, longest: float) -> np.ndarray:
+        """The same by the vectors' product in double precision, where single precision leaves much open."""
         if self.metric == "ip":
             return ~(self.q[at] @ x.T < (self.bar[at] - 1e-12 * self.length[at] * longest)[:, None])
         q, x = self.q[at] - self.centre, x - self.centre
