@@ -210,12 +210,13 @@ def test_nearest_are_whole_where_codes_fit_badly(spark, metric):
 
 @pytest.mark.parametrize("metric", ann.METRICS)
 def test_rows_met_by_blocks_are_brute_force(metric):
-    """Blocks in any order, copies and whole numbers (ties), lengths that lose all digits in single precision, codes of no use."""
+    """Blocks in any order, rows whose squares overflow, copies and whole numbers (ties), lengths that lose all digits in single precision, codes of no use."""
     rng = np.random.default_rng(12)
     x = rng.normal(size=(900, 12))
     far = x * np.where(rng.random((900, 1)) < 0.05, 1e9, 1)
     books = ann.fit(x, books=4, words=16)
-    cases = [(x, books), (x[rng.integers(0, 5, 900)], books), (np.round(x), books), (x * 1e-200, books), (x * 1e120, books), (1e8 + x, ann.fit(1e8 + x, books=4, words=16)), (far, books), (x, rng.normal(size=(3, 8, 12)) * 100), (x[:12], books)]
+    huge = np.where(np.arange(900)[:, None] % 50 == 0, np.abs(x) * 1e200, x)  # squares overflow
+    cases = [(x, books), (huge, books), (huge, ann.fit(huge, books=3, words=8)), (x[rng.integers(0, 5, 900)], books), (np.round(x), books), (x * 1e-200, books), (x * 1e120, books), (1e8 + x, ann.fit(1e8 + x, books=4, words=16)), (far, books), (x, rng.normal(size=(3, 8, 12)) * 100), (x[:12], books)]
     for x, books in cases:
         ids, codes = rng.permutation(len(x)), ann.encode(x, books)
         error = np.sqrt(((x - ann.decode(codes, books)) ** 2).sum(1))

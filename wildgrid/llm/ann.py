@@ -312,7 +312,7 @@ class Nearest:
             left = np.concatenate([2 * q, 2 * radius[:, None], np.full((len(q), 1), scale)], 1) / size[:, None]
             least = (apart - radius) * (apart + radius) / size / scale
         least = least - 2.0**-22 * (q.shape[1] + 8) - 1e-12 * wide / scale
-        odd = ~(np.isfinite(left).all(1) & np.isfinite(least) & np.isfinite(length))  # a bound that is no number rules nothing out
+        odd = ~(np.isfinite(left).all(1) & np.isfinite(least) & np.isfinite(length))
         left[odd], least[odd] = 0, -np.inf
         return left.astype(np.float32), np.nextafter(least.astype(np.float32), np.float32(-np.inf))
 
@@ -322,8 +322,6 @@ class Nearest:
             own, longest = decode(codes, self.words), np.sqrt((x**2).sum(1).max())
             scale = max(np.sqrt((own**2).sum(1).max()), error.max()) or 1.0
             right = self._right(own, error, scale)
-            odd = ~np.isfinite(right).all(1)
-            right[odd] = 0
             plain = self._right(own, np.zeros(len(ids)), scale) if len(ids) > self.rerank + 1 and np.isneginf(self.bar).any() else None
             whole, step = None, max(1, TILE // len(ids))
             for lo in range(0, len(self.q), step):
@@ -331,7 +329,6 @@ class Nearest:
                 if plain is not None and np.isneginf(self.bar[at]).any():
                     self._first(at, ids, x, plain, scale, longest)
                 open_ = self._reaches(at, right, scale, longest)
-                open_[:, odd] = True
                 if np.count_nonzero(open_) > DENSE * open_.size:
                     if whole is None:
                         centred = x - self.centre
@@ -354,7 +351,7 @@ class Nearest:
     def _reaches(self, at: slice, right: np.ndarray, scale: float, longest: float) -> np.ndarray:
         """Pairs of queries and rows whose bound doesn't rule out the bar."""
         left, least = self._left(at, self.bar[at], scale, longest)
-        return left @ right.T >= least[:, None]
+        return ~(left @ right.T < least[:, None])  # a bound that is no number rules nothing out
 
     def _reaches_double(self, at: slice, x: np.ndarray, longest: float) -> np.ndarray:
         """The same by the vectors' product in double precision, where single precision leaves much open."""
